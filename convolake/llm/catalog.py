@@ -1,8 +1,12 @@
 """Queries and oracles of the training-data operators."""
 
-from . import op9_decontaminate, op10_simhash
+from . import op1_pii, op3_toxicity, op7_html, op8_quality, op9_decontaminate, op10_simhash
 
 QUERIES = {
+    "op1_pii_skip_chain_crf": op1_pii.query,
+    "op3_toxicity_cnn": op3_toxicity.query,
+    "op7_html_text_density": op7_html.query,
+    "op8_quality_fourier_ridge": op8_quality.query,
     "op9_benchmark_decontamination": op9_decontaminate.query,
     "op10_simhash_near_dedup": op10_simhash.query,
 }

@@ -1,11 +1,25 @@
 """Documents to training text: each stage is one operator, written as Parquet and read again as the next one's input."""
 
-from convolake.llm import common, op9_decontaminate, op10_simhash
+from convolake.llm import common, op1_pii, op8_quality, op9_decontaminate, op10_simhash
 
-STAGES = [
-    ("simhash_near_dedup", lambda spark, docs, sf_dir: op10_simhash.keep_one(docs)),
-    ("benchmark_decontamination", lambda spark, docs, sf_dir: op9_decontaminate.remove_spans(docs, common.table(spark, sf_dir, "benchmark"))),
-]
+
+def quality(spark, docs, sf_dir):
+    return op8_quality.keep_good(docs, common.table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    return op10_simhash.keep_one(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    return op9_decontaminate.remove_spans(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark, docs, sf_dir):
+    return op1_pii.mask(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data)]
 
 #: Fingerprints, trained models and token ids are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
