@@ -1,10 +1,14 @@
 """Queries and oracles of the training-data operators."""
 
-from . import op1_pii, op3_toxicity, op7_html, op8_quality, op9_decontaminate, op10_simhash
+from . import op1_pii, op2_cross_entropy, op3_toxicity, op4_token_file, op5_sentencepiece, op6_embedding, op7_html, op8_quality, op9_decontaminate, op10_simhash
 
 QUERIES = {
     "op1_pii_skip_chain_crf": op1_pii.query,
+    "op2_cross_entropy_difference": op2_cross_entropy.query,
     "op3_toxicity_cnn": op3_toxicity.query,
+    "op4_token_file": op4_token_file.query,
+    "op5_sentencepiece": op5_sentencepiece.query,
+    "op6_embedding_lsh": op6_embedding.query,
     "op7_html_text_density": op7_html.query,
     "op8_quality_fourier_ridge": op8_quality.query,
     "op9_benchmark_decontamination": op9_decontaminate.query,

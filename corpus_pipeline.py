@@ -1,6 +1,6 @@
 """Documents to training text: each stage is one operator, written as Parquet and read again as the next one's input."""
 
-from convolake.llm import common, op1_pii, op8_quality, op9_decontaminate, op10_simhash
+from convolake.llm import common, op1_pii, op5_sentencepiece, op8_quality, op9_decontaminate, op10_simhash
 
 
 def quality(spark, docs, sf_dir):
@@ -19,7 +19,12 @@ def personal_data(spark, docs, sf_dir):
     return op1_pii.mask(docs)
 
 
-STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data)]
+def pieces(spark, docs, sf_dir):
+    """Token ids of what is left, and whether they decode to it."""
+    return op5_sentencepiece.encoded(docs, with_ids=True).withColumnRenamed("id", "doc_id")
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("personal_data", personal_data), ("pieces", pieces)]
 
 #: Fingerprints, trained models and token ids are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None
