@@ -5,8 +5,8 @@ over one hashed vocabulary, with the same Dirichlet smoothing: bigrams back off
 distribution, with pseudo-counts in proportion to each model's tokens, so that the larger one is not smoothed less. A
 document's score is the mean over its tokens of target loss less background loss, in nats; lower is closer to the target.
 
-Counts cover every word of every document; they are summed by Spark by bucket, and only their tables, whose sizes are
-the parameters `words` and `pairs`, reach the tasks. Words are lower-cased and split at white space; a document's first
+Counts cover every word of every document; tasks send them packed by ranges of buckets, which are summed
+in two steps, and only their tables, whose sizes are the parameters `words` and `pairs`, reach the tasks. Words are lower-cased and split at white space; a document's first
 word follows a start mark. Null and empty texts have no tokens and score 0. Without any target document the target
 model is uniform. Labels that repeat count once (good, if any is). Rows that repeat are counted and returned as often;
 null ids keep their row and are no targets; other columns are not read.
@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 from . import common
 
 WORDS, PAIRS = 1 << 18, 1 << 21
+#: Buckets a row of packed counts, and how many parts the counts of a slot are first summed in.
+SLOT, SALTS = 1 << 15, 16
+PACKED = "slot long, salt long, sums binary"
 
 
 class Buckets(dict):
@@ -70,42 +73,56 @@ def count(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = P
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct().withColumn("__good", F.lit(True))
     marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good, F.col("id") == F.col("__id"), "left")
 
-    def run(batches):
-        buckets, held, size = Buckets(words), [], 0
+    size = 2 * words + pairs
+    slots = -(-size // SLOT)
 
-        def summed():
-            at, number, target = (np.concatenate(x) for x in zip(*held))
-            unique, inverse = np.unique(at, return_inverse=True)
-            sums = [np.bincount(inverse, w, len(unique)).astype(np.int64) for w in (target, number)]
-            return unique, sums[1], sums[0]
+    def run(batches):
+        from pyspark import TaskContext
 
+        buckets, total = Buckets(words), None
         for batch in batches:
             for part, texts in common.slices(batch, "text"):
                 word, before, pair, counts = tokens(texts, buckets, pairs)
                 target = np.repeat(np.asarray(part.column("__good").is_valid()), counts)
-                held.append((np.concatenate([word, words + before, 2 * words + pair]), np.ones(3 * len(word), np.int64), np.tile(target, 3).astype(np.int64)))
-                size += 3 * len(word)
-                if size > 6_000_000:
-                    held[:] = [summed()]
-                    size = len(held[0][0])
-        if size:
-            at, number, target = summed()
-            for k in range(0, len(at), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[k : k + 100_000]) for x in (at, target, number)], ["at", "target", "every"])
-
-    size, slot = 2 * words + pairs, 1 << 15
-
-    def dense(part: pa.Table) -> pa.Table:
-        at = part["at"].to_numpy()
-        out = np.zeros((2, slot), "<i8")
-        out[0, at % slot], out[1, at % slot] = part["target"].to_numpy(), part["every"].to_numpy()
-        return pa.table({"slot": pa.array([int(at[0]) // slot], pa.int64()), "sums": pa.array([out.tobytes()], pa.binary())})
-
-    summed = marked.select("text", "__good").mapInArrow(run, "at long, target long, every long").groupBy("at").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
-    total = np.zeros((2, -(-size // slot) * slot), np.int64)
-    for k, sums in summed.groupBy((F.col("at") / slot).cast("long").alias("slot")).applyInArrow(dense, "slot long, sums binary").toLocalIterator():
-        total[:, k * slot : (k + 1) * slot] = np.frombuffer(sums, "<i8").reshape(2, slot)
-    return total[:, :size]
+                total = np.zeros((2, slots * SLOT), np.int64) if total is None else total
+                for first, wide, at in ((0, words, word), (words, words, before), (2 * words, pairs, pair)):
+                    total[0, first : first + wide] += np.bincount(at[target], minlength=wide)
+                    total[1, first : first + wide] += np.bincount(at, minlength=wide)
+        if total is not None:
+            yield _packed(total.reshape(2, slots, SLOT).swapaxes(0, 1), range(slots), TaskContext.get().partitionId() % SALTS)
+
+    packed = marked.select("text", "__good").mapInArrow(run, PACKED)
+    # Sums meet in two steps, so that no task reads what all tasks have counted; tasks hold dense sums of their slots.
+    for keys in (("slot", "salt"), ("slot",)):
+        packed = packed.repartition(max(1, min(slots * (SALTS if len(keys) > 1 else 1), 256)), *keys).mapInArrow(_merged, PACKED)
+    total = np.zeros((2, slots, SLOT), np.int64)
+    for slot, _, sums in packed.toLocalIterator():
+        total[:, slot] += _unpacked(sums)
+    return total.reshape(2, -1)[:, :size]
+
+
+def _packed(sums: np.ndarray, slots, salt: int) -> pa.RecordBatch:
+    """Slots that have counts, in the narrowest numbers they fit, compressed."""
+    rows = []
+    for slot, x in zip(slots, sums):
+        if x.any():
+            kind = np.min_scalar_type(int(x.max()))
+            rows.append((slot, salt, bytes([kind.itemsize]) + zlib.compress(x.astype(kind.newbyteorder("<")).tobytes(), 1)))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["slot", "salt", "sums"])
+
+
+def _unpacked(sums: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(sums[1:]), f"<u{sums[0]}").reshape(2, SLOT)
+
+
+def _merged(batches):
+    held: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for slot, salt, sums in zip(*(c.to_pylist() for c in batch.columns)):
+            there = held.setdefault((slot, salt), np.zeros((2, SLOT), np.int64))
+            there += _unpacked(sums)
+    for (slot, salt), x in held.items():
+        yield _packed(x[None], [slot], salt)
 
 
 def scores(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = PAIRS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
