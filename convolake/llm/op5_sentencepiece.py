@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from . import common
 
 MARK, LONG, SPAN = "▁", 64, 16
+#: Characters of distinct segments that are indexed at once; an index takes about a hundred bytes for each.
+PART = 600_000
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -200,7 +202,7 @@ def _relax_long(at, length, piece, start: int, size: int, present, symbol, piece
 
 
 class Encoder:
-    def __init__(self, pieces: Pieces, most: int = 300_000):
+    def __init__(self, pieces: Pieces, most: int = 200_000):
         self.pieces, self.most, self.known = pieces, most, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -212,7 +214,7 @@ class Encoder:
         at = 0
         while at < len(fresh):
             end, size = at, 0
-            while end < len(fresh) and (end == at or size + len(fresh[end]) < 2_000_000):
+            while end < len(fresh) and (end == at or size + len(fresh[end]) < PART):
                 size += len(fresh[end]) + 1
                 end += 1
             self.known.update(zip(fresh[at:end], encode_segments(fresh[at:end], self.pieces)))
@@ -239,7 +241,7 @@ def encoded(docs: DataFrame, model: str | None = None, with_ids: bool = False, i
     def run(batches):
         encoder = Encoder(sent.value)
         for batch in batches:
-            for part, texts in common.slices(batch, "text", 8_000_000):
+            for part, texts in common.slices(batch, "text", 3_000_000):
                 texts = [t.decode() for t in texts]
                 ids = encoder(texts)
                 back = [decode(i, encoder.pieces) for i in ids]
