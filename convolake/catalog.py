@@ -565,7 +565,8 @@ def _(spark, d):
 
 # -- similarity --
 
-_PAIR_SQL = "v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings), p AS (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, list_cosine_similarity(a.x, b.x) AS score FROM v a JOIN v b ON a.id < b.id WHERE list_cosine_similarity(a.x, b.x) >= 0.3)"
+_PAIR_SQL = """u AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings), v AS (SELECT *, sqrt(list_dot_product(x, x)) + 1e-10 AS norm FROM u),
+p AS (SELECT * FROM (SELECT a.id AS a, b.id AS b, a.label AS la, b.label AS lb, list_dot_product(a.x, b.x) / (a.norm * b.norm) AS score FROM v a JOIN v b ON a.id < b.id) WHERE score >= 0.3)"""
 
 
 @query("cosine_pairs", f"WITH {_PAIR_SQL} SELECT a, b, round(score, 6) AS score FROM p")
