@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conversation import MESSAGE, TOOL_OUTPUT, grounding_values
+from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values
 from ..functions.text import is_blank, parse_response_schema, parse_type
 from ..operators.quality import DIMENSIONS
 
@@ -143,6 +143,15 @@ def tool_turn(model: Model, talk: Talk) -> bool:
     return True
 
 
+def extract(model: Model, result: dict) -> dict[str, str]:
+    """Values worth keeping of a tool's result, as the model sees them; by patterns, if it can't say."""
+    try:
+        found = complete_json(model, f"EXTRACT\nName what later steps may need of {json.dumps(result, sort_keys=True)}")
+        return {str(k): v if isinstance(v, str) else json.dumps(v) for k, v in found.items() if v is not None}
+    except ModelError:
+        return extract_values(result)
+
+
 def judge(model: Model, talk: Talk) -> dict[str, int]:
     """Four scores between 1 and 10."""
     read = complete_json(model, f"JUDGE\nGoal: {talk.goal}\n{talk.history()}")

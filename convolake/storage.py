@@ -25,4 +25,13 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
     """df, written and read again: later steps start from files, also after executors are lost."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def drop_stored(df: DataFrame) -> None:
+    """Deletes what stored() wrote for df."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

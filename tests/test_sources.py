@@ -127,6 +127,7 @@ def test_generation(spark):
         assert calls == [m["tool_call_id"] for m in r["messages"] if m["role"] == "tool"]
     none = generation.generate(chains, generation.FakeModel(fail_every=1)).collect()
     assert not any(r["success"] for r in none) and none[0]["error"] == "no answer"
+    assert generation.extract(generation.FakeModel(fail_every=1), {"order_id": 7}) == {"order_id": "7"}
     seen = []
     steered = generation.generate_steered(lambda done: seen.append(0 if done is None else done.count()) or chains, generation.FakeModel(), 2)
     assert steered.count() == 6 and seen == [0, 3]
