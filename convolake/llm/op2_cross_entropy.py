@@ -71,7 +71,8 @@ class Models:
 def count(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = PAIRS, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Counts by model (target, background) and bucket: words, then contexts, then pairs."""
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct().withColumn("__good", F.lit(True))
-    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good, F.col("id") == F.col("__id"), "left")
+    # Ids of targets grow with the corpus, so they are never broadcast: the join deals both sides out at every size.
+    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good.hint("merge"), F.col("id") == F.col("__id"), "left")
 
     size = 2 * words + pairs
     slots = -(-size // SLOT)
@@ -93,8 +94,8 @@ def count(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = P
 
     packed = marked.select("text", "__good").mapInArrow(run, PACKED)
     # Sums meet in two steps, so that no task reads what all tasks have counted; tasks hold dense sums of their slots.
-    for keys in (("slot", "salt"), ("slot",)):
-        packed = packed.repartition(max(1, min(slots * (SALTS if len(keys) > 1 else 1), 256)), *keys).mapInArrow(_merged, PACKED)
+    packed = packed.repartition("slot", "salt").mapInArrow(_merged, PACKED)
+    packed = packed.withColumn("salt", F.lit(0).cast("long")).repartition("slot").mapInArrow(_merged, PACKED)
     total = np.zeros((2, slots, SLOT), np.int64)
     for slot, _, sums in packed.toLocalIterator():
         total[:, slot] += _unpacked(sums)
