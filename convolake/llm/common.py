@@ -1,9 +1,7 @@
-"""Shared plumbing: storage for cut lineage, text batches, distributed components."""
+"""Shared plumbing: text batches and distributed components; stored tables come from the library's storage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,35 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import drop_stored, stored
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests, one machine)."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="convolake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+__all__ = ["Forest", "components", "drop_stored", "local_roots", "slices", "stored", "table"]
 
 
-def stored(df: DataFrame, name: str = "t") -> DataFrame:
-    """df, written to the shared folder and read from there: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/convolake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_path = path
-    return out
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Delete what stored() wrote."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
