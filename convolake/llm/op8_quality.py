@@ -143,11 +143,17 @@ def fit(stats: DataFrame, labels: DataFrame, ridge: float = 1e-4) -> Model:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 32], pa.int32()), pa.array([np.append(a.ravel(), [*b, n]).tobytes()], pa.binary())], ["slot", "sums"])
 
-    def add(part: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py()) for x in part.column("sums"))
-        return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
-
-    total = sum(np.frombuffer(r[0]) for r in train.mapInArrow(sums, "slot int, sums binary").groupBy("slot").applyInArrow(add, "sums binary").toLocalIterator())
+    def add(batches):
+        total = None
+        for batch in batches:
+            for sums_ in batch.column("sums").to_pylist():
+                total = np.frombuffer(sums_) + (0 if total is None else total)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    # Sums are added one by one where their slot is, so no task holds more than one; the driver gets one row a slot.
+    parts = train.mapInArrow(sums, "slot int, sums binary").repartition("slot").mapInArrow(add, "sums binary")
+    total = sum(np.frombuffer(r[0]) for r in parts.toLocalIterator())
     size = features.size
     a, b, n = total[: size * size].reshape(size, size), total[size * size : -1], total[-1]
     model = Model(features, np.linalg.solve(a / n + ridge * np.eye(size), b / n))
