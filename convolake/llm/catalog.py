@@ -15,4 +15,41 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash.query,
 }
 
-ORACLES: dict[str, str] = {}
+# A label learnt from data, a hash that SQL lacks, or a tokenizer stands between the other operators and SQL; tests hold
+# them against brute force.
+ORACLES = {
+    "op6_embedding_lsh": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), fine AS (
+  SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.9
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, (SELECT min(b) FROM reach WHERE a = vec_id) AS component_id,
+  vec_id = (SELECT min(b) FROM reach WHERE a = vec_id) AS kept
+FROM v""",
+    "op9_benchmark_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, w[k:k + least(len(w), 10) - 1] AS words FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM b WHERE len(w) > 0)
+), sizes AS (
+  SELECT DISTINCT len(words) AS n FROM windows
+), places AS (
+  SELECT doc_id, k, n, w[k:k + n - 1] AS words FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)
+), found AS (
+  SELECT doc_id, k, n, item_id FROM places JOIN windows USING (words)
+), hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS place FROM (SELECT DISTINCT doc_id, k, n FROM found)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY 1
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
