@@ -187,10 +187,15 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pipeline stage: documents that score THRESHOLD or more stay, unchanged. Texts are not shuffled."""
+    """Pipeline stage: documents that score THRESHOLD or more stay, unchanged. Texts are not shuffled.
+
+    Without labels nothing is known of any document, and all stay.
+    """
     stats = common.stored(with_statistics(docs), "quality-stats")
     model = fit(stats, labels)
     common.drop_stored(stats)
+    if model.weights is None:
+        return docs
 
     def run(batches):
         for batch in batches:

@@ -59,6 +59,7 @@ def test_odd_rows(spark):
     assert op3.scored(d.limit(0), op3.learn(d.limit(0), y)).count() == 0 and op8.scores(d.limit(0), y).count() == 0
     kept = op8.keep_good(d, y)
     assert kept.columns == d.columns and kept.count() <= len(docs)
+    assert op8.keep_good(d, none).count() == len(docs) and op8.keep_good(d.limit(0), y).count() == 0
 
 
 def test_labels_of_held_out_rows_change_nothing(spark):
