@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Temporary folders by application, for sessions that name no shared one.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's spark.checkpoint.dir; a temporary folder only where none is named (tests, one machine)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="convolake-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = tempfile.mkdtemp(prefix="convolake-")
+            atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
+        named = f"file://{_OWN[app]}"
     return named.rstrip("/")
 
 
