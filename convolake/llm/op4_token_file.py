@@ -17,6 +17,7 @@ ValueError.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -256,30 +257,55 @@ class Part:
 
 
 class Tokenising:
-    """Ids of texts by the tokenizers library; each distinct word (as the tokenizer's own pattern splits) goes there once."""
+    """Ids of texts by the tokenizers library; each distinct word (as the tokenizer's own pattern splits) goes there once.
 
-    # Fixed value: the word pattern of byte-level tokenizers of this family.
+    Words that begin with a space are sent many at a time as one text, and told apart by the tokens that begin with one.
+    Texts with characters whose class differs between Unicode versions, or with added tokens, go to the library whole.
+    """
+
+    # The word pattern of byte-level tokenizers of this family, and blocks of characters whose classes
+    # have not changed for long.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    STEADY = "\x00-\u0557\u2000-\u206f\u2190-\u27ff\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uffee\U0001f300-\U0001f64f"
 
-    def __init__(self, model: str, most: int = 400_000):
+    def __init__(self, model: str, most: int = 300_000):
         import regex
         from tokenizers import Tokenizer
 
         self.model, self.words, self.most, self.known = Tokenizer.from_str(model), regex.compile(self.PATTERN), most, {}
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([f"[^{self.STEADY}]", *(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values())]))
+        tokens = self.model.get_vocab()
+        self.begins = np.zeros(max(tokens.values()) + 1, bool)
+        self.begins[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, fresh: list[str]) -> None:
+        spaced = [w for w in fresh if w[0] == " " and not w.isspace()]
+        for k in range(0, len(spaced), 20_000):
+            part = spaced[k : k + 20_000]
+            ids = np.array(self._ids(["".join(part)])[0], "<u4")
+            cuts = np.append(np.flatnonzero(self.begins[ids]), len(ids)) * 4
+            flat = ids.tobytes()
+            if len(cuts) != len(part) + 1:
+                raise ValueError("the tokenizer joins words")
+            self.known.update(zip(part, [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
+        others = [w for w in fresh if w[0] != " " or w.isspace()]
+        for k in range(0, len(others), 20_000):
+            part = others[k : k + 20_000]
+            self.known.update(zip(part, (np.array(i, "<u4").tobytes() for i in self._ids(part))))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit numbers."""
         if len(self.known) > self.most:
             self.known.clear()
-        split = [None if any(s in t for s in self.special) else self.words.findall(t) for t in texts]
+        split = [None if self.odd.search(t) else self.words.findall(t) for t in texts]
         known = self.known
         fresh = list({w for x in split if x for w in x if w not in known})
-        for k in range(0, len(fresh), 50_000):
-            part = fresh[k : k + 50_000]
-            known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(part, add_special_tokens=False))))
-        whole = lambda t: np.array(self.model.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        return [whole(t) if x is None else b"".join([known[w] for w in x]) for t, x in zip(texts, split)]
+        if fresh:
+            self._learn(fresh)
+        return [np.array(self._ids([t])[0], "<u4").tobytes() if x is None else b"".join([known[w] for w in x]) for t, x in zip(texts, split)]
 
 
 def default_model() -> str:
