@@ -622,7 +622,7 @@ def _(spark, d):
 def _(spark, d):
     t = Tables(spark, d)
     c = sampling.Constraints(min_steps=3, max_steps=4, min_completeness=0.3, require_multi_tool=True)
-    return sampling.sample_chains(t.endpoints(), graph.same_domain_edges(t.endpoints()), c, starts=4, fan=4).select("visit", "path")
+    return sampling.sample_chains(t.endpoints(), graph.empty(spark)[1], c, starts=4, fan=4, by_domain=True).select("visit", "path")
 
 
 _CHAIN = "c AS (SELECT l_orderkey AS conv, list(CAST(l_partkey AS VARCHAR) ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS chain FROM lineitem GROUP BY 1)"

@@ -103,15 +103,26 @@ def start_candidates(endpoints: DataFrame, c: Constraints, weights: DataFrame |
     return first.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("w"), F.xxhash64("id", F.lit(seed)), "id")) - 1)
 
 
-def neighbor_candidates(paths: DataFrame, edges: DataFrame, endpoints: DataFrame, c: Constraints, weights: DataFrame | None = None, most: int = 10, seed: int = 0) -> DataFrame:
-    """C4: paths(path, …) with each allowed, unvisited neighbour (id, tool_id, w, rank) of their last endpoint, the first `most`."""
-    near = both_ways(edges, [SAME_DOMAIN, SIMILAR]).select("node", "other").distinct()
+def neighbor_candidates(paths: DataFrame, edges: DataFrame, endpoints: DataFrame, c: Constraints, weights: DataFrame | None = None, most: int = 10, seed: int = 0, by_domain: bool = False) -> DataFrame:
+    """C4: paths(path, …) with each allowed, unvisited neighbour (id, tool_id, w, rank) of their last endpoint, the first `most`.
+
+    by_domain takes the neighbours in one domain from the endpoints themselves, so same-domain edges need not be made.
+    """
+    # The paths' ends are few (starts times fan to the depth), so they go to the edges, which are neither sent nor sorted.
+    paths = paths.withColumn("node", F.element_at("path", -1))
+    ends = F.broadcast(paths.select("node").distinct())
+    near = both_ways(edges, [SIMILAR] if by_domain else [SAME_DOMAIN, SIMILAR]).select("node", "other").join(ends, "node")
+    if by_domain:
+        named = endpoints.where("domain is not null and domain <> ''").select("id", "domain")
+        own = F.broadcast(named.withColumnRenamed("id", "node").join(ends, "node"))
+        near = near.unionByName(named.withColumnRenamed("id", "other").join(own, "domain").where("node <> other").select("node", "other"))
+    near = near.distinct()
     kept = allowed(endpoints, c).select(F.col("id").alias("other"), "tool_id")
-    grown = paths.withColumn("node", F.element_at("path", -1)).join(near, "node").where(~F.array_contains("path", F.col("other"))).join(kept, "other")
+    grown = paths.join(near, "node").where(~F.array_contains("path", F.col("other"))).join(kept, "other")
     return ranked(grown.withColumnRenamed("other", "id").drop("node"), ["path"], weights, seed).where(F.col("rank") < most)
 
 
-def sample_chains(endpoints: DataFrame, edges: DataFrame, c: Constraints, weights: DataFrame | None = None, attempts: int = 100, starts: int = 10, fan: int = 10, seed: int = 0, lowest_first: bool = False) -> DataFrame:
+def sample_chains(endpoints: DataFrame, edges: DataFrame, c: Constraints, weights: DataFrame | None = None, attempts: int = 100, starts: int = 10, fan: int = 10, seed: int = 0, lowest_first: bool = False, by_domain: bool = False) -> DataFrame:
     """(path, chain, visit): the chains that a depth-first search meets in its first `attempts` states and that are
     valid, in the order of the search; the first is the search's result.
 
@@ -123,7 +134,7 @@ def sample_chains(endpoints: DataFrame, edges: DataFrame, c: Constraints, weight
     paths = start_candidates(endpoints, c, weights, starts, seed).select(F.array("id").alias("path"), F.array(F.col("rank").cast("int")).alias("ranks"))
     all_ = paths
     for _ in range(1, c.max_steps):
-        grown = neighbor_candidates(paths, edges, endpoints, c, weights, fan, seed)
+        grown = neighbor_candidates(paths, edges, endpoints, c, weights, fan, seed, by_domain)
         paths = stored(grown.select(F.array_append("path", F.col("id")).alias("path"), F.array_append("ranks", way(F.col("rank")).cast("int")).alias("ranks")), "paths")
         all_ = all_.unionByName(paths)
     visited = all_.orderBy("ranks").limit(attempts)

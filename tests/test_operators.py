@@ -190,6 +190,15 @@ def test_depth_first_search(spark):
         assert got == found
 
 
+def test_domain_neighbours_need_no_edges(spark):
+    rows = [(f"e{k:02d}", f"t{k % 5}", ("x", "y", None)[k % 3], (k % 7 + 3) / 10) for k in range(30)]
+    e = spark.createDataFrame(rows, "id string, tool_id string, domain string, completeness_score double")
+    c = sampling.Constraints(min_steps=3, max_steps=4, min_completeness=0.4)
+    made = sampling.sample_chains(e, graph.same_domain_edges(e), c, starts=3, fan=3)
+    found = sampling.sample_chains(e, graph.empty(spark)[1], c, starts=3, fan=3, by_domain=True)
+    assert sorted(made.collect()) == sorted(found.collect()) and made.count() > 5
+
+
 _CACHE = {}
 
 
