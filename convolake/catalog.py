@@ -150,6 +150,11 @@ def _(spark, d):
     return diversity.pattern_hashes(Tables(spark, d).called())
 
 
+@query("unique_patterns", f"WITH {_PAIRS} SELECT count(DISTINCT k) AS n FROM (SELECT string_agg(tool, ',' ORDER BY tool) AS k FROM used GROUP BY conv)")
+def _(spark, d):
+    return diversity.pattern_hashes(Tables(spark, d).called()).agg(F.count_distinct("pattern").alias("n"))
+
+
 @query(
     "diversity_metrics",
     f"""WITH {_PAIRS}, calls AS (SELECT l_suppkey AS tool, p_brand AS domain FROM lineitem JOIN part ON p_partkey = l_partkey),
@@ -334,6 +339,26 @@ def _(spark, d):
     return read.select("conversation_id", F.size("messages").cast("long").alias("n"), F.md5(F.array_join(F.transform("messages", lambda m: F.concat(m["role"], m["content"])), "|")).alias("digest"))
 
 
+@query("serialize_conversations", "SELECT CAST(conv_id AS VARCHAR) AS conversation_id, count(*) AS num_turns, CAST(conv_id % 10 + 1 AS DOUBLE) AS average FROM conversations GROUP BY conv_id")
+def _(spark, d):
+    made = conversation.from_turns(Tables(spark, d).conversations)
+    score = (F.col("conversation_id").cast("long") % 10 + 1).cast("long")
+    full = made.withColumns({"tool_outputs": F.array().cast(f"array<{conversation.TOOL_OUTPUT}>"), "success": F.lit(True), "attempts": F.lit(1), "repaired": F.lit(False), "error": F.lit(None).cast("string"), **{k: score for k in quality.DIMENSIONS}})
+    doc = interchange.serialize(full).select(F.parse_json("json").alias("v"))
+    return doc.select(*[F.variant_get("v", path, kind).alias(name) for name, path, kind in (("conversation_id", "$.conversation_id", "string"), ("num_turns", "$.metadata.num_turns", "bigint"), ("average", "$.judge_scores.average", "double"))])
+
+
+@query("answered_calls", "SELECT CAST(conv_id AS VARCHAR) AS conversation_id, 'c' || turn AS call_id, CASE WHEN turn % 2 = 0 THEN text END AS answer FROM conversations")
+def _(spark, d):
+    # Each message becomes a call; every other one is answered by its own text.
+    call = lambda t: F.struct(F.concat(F.lit("c"), t.cast("string")).alias("id"), F.struct(F.lit("f").alias("name"), F.lit("{}").alias("arguments")).alias("function"))
+    message = lambda role, text_, calls, of: F.struct(F.lit(role).alias("role"), text_.alias("content"), calls.cast(f"array<{conversation.TOOL_CALL}>").alias("tool_calls"), of.cast("string").alias("tool_call_id"))
+    rows = Tables(spark, d).conversations.groupBy(F.col("conv_id").cast("string").alias("conversation_id")).agg(F.collect_list(F.struct("turn", "text")).alias("m"))
+    asked = F.transform("m", lambda m: message("assistant", F.lit(None).cast("string"), F.array(call(m["turn"])), F.lit(None)))
+    told = F.transform(F.filter("m", lambda m: m["turn"] % 2 == 0), lambda m: message("tool", m["text"], F.lit(None), F.concat(F.lit("c"), m["turn"].cast("string"))))
+    return conversation.answered_calls(rows.select("conversation_id", F.concat(asked, told).alias("messages"))).select("conversation_id", "call_id", "answer")
+
+
 # -- text --
 
 
@@ -642,6 +667,30 @@ def _(spark, d):
     return chains.select("conv", F.size(sampling.chain_errors("chain", c)).alias("n_errors"))
 
 
+@query(
+    "valid_chains",
+    """WITH s AS (SELECT l_orderkey AS conv, l_suppkey % 7 AS tool, (l_partkey % 11) / 10 AS score FROM lineitem), c AS (SELECT conv, count(*) AS n, count(DISTINCT tool) AS k, min(score) AS low FROM s GROUP BY 1)
+    SELECT conv, CAST(n AS INTEGER) AS steps FROM c WHERE n BETWEEN 2 AND 5 AND k > 1 AND low >= 0.15""",
+)
+def _(spark, d):
+    step = F.struct(F.col("l_partkey").cast("string").alias("endpoint_id"), (F.col("l_suppkey") % 7).cast("string").alias("tool_id"), F.lit("x").alias("domain"), ((F.col("l_partkey") % 11) / 10).alias("completeness_score"))
+    chains = Tables(spark, d).lineitem.groupBy(F.col("l_orderkey").alias("conv")).agg(F.collect_list(step).alias("chain"))
+    return chains.where(sampling.is_valid("chain", sampling.Constraints(min_completeness=0.15, require_multi_tool=True))).select("conv", F.size("chain").alias("steps"))
+
+
+@query(
+    "neighbor_rank",
+    f"""WITH {_E}, near AS (SELECT a.id AS start, b.tool_id, b.id FROM e a JOIN e b ON a.domain = b.domain AND a.id <> b.id WHERE a.tool_id = 't7' AND b.completeness_score >= 0.5),
+    w AS (SELECT start, 1 / (count(*) OVER (PARTITION BY start, tool_id) + 1) AS w FROM near), r AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY w DESC) AS k FROM w)
+    SELECT start, count(*) AS n, round(sum(w), 6) AS weight FROM r WHERE k <= 10 GROUP BY 1""",
+)
+def _(spark, d):
+    e = Tables(spark, d).endpoints()
+    paths = e.where("tool_id = 't7'").select(F.array("id").alias("path"))
+    found = sampling.neighbor_candidates(paths, graph.empty(spark)[1], e, sampling.Constraints(min_completeness=0.5), by_domain=True)
+    return found.groupBy(F.get("path", F.lit(0)).alias("start")).agg(F.count("*").alias("n"), F.round(F.sum("w"), 6).alias("weight"))
+
+
 def _plan(name: str, sql: str) -> None:
     @query(f"plan_{name}", f"WITH {_CHAIN}, {sql} SELECT conv, CAST(step AS INTEGER) AS step, endpoint_id, array_to_string(depends_on, ',') AS depends_on, is_parallel FROM p")
     def _(spark, d):
@@ -723,6 +772,18 @@ def _(spark, d):
     return out.agg(F.count("*").alias("n"))
 
 
+@query("stream_windows", "SELECT event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1")
+def _(spark, d):
+    # The last window stays open, as a later event may still fall into it.
+    out = tracker.run_once(tracker.windowed_counts(tracker.read_events(spark, f"{d}/events.parquet"), "1 day", "1 second"))
+    return out.groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+@query("stream_sessions")
+def _(spark, d):
+    return tracker.run_once(tracker.sessions(tracker.read_events(spark, f"{d}/events.parquet"), "6 hours", "1 second"))
+
+
 @query("generate_fake")
 def _(spark, d):
     chains = Tables(spark, d).chains().where(F.size("chain") >= 2).select("conv", F.array(F.slice("chain", 1, 5), F.reverse(F.slice("chain", 1, 5))).alias("attempts"))

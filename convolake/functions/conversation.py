@@ -255,5 +255,28 @@ def pending_call(messages) -> Column:
     return F.get(F.filter(calls, lambda c: ~F.array_contains(answered, c["id"])), F.lit(0))
 
 
+def answered_calls(conversations: DataFrame) -> DataFrame:
+    """(conversation_id, call_id, name, arguments, answer): each tool call with what the tool said, null if nothing yet.
+
+    Calls and answers of a conversation are matched inside its row, so nothing is joined.
+    """
+    none = F.array().cast(f"array<{TOOL_CALL}>")
+    calls = F.flatten(F.transform("messages", lambda m: F.coalesce(m["tool_calls"], none)))
+    answers = F.filter("messages", lambda m: m["role"] == "tool")
+    found = conversations.select("conversation_id", answers.alias("answers"), F.explode(calls).alias("c"))
+    answer = F.get(F.filter("answers", lambda m: m["tool_call_id"] == F.col("c.id")), F.lit(0))["content"]
+    return found.select("conversation_id", F.col("c.id").alias("call_id"), F.col("c.function.name").alias("name"), F.col("c.function.arguments").alias("arguments"), answer.alias("answer"))
+
+
+def append_message(messages, role: str, content) -> Column:
+    """X1."""
+    return F.array_append(_col(messages), F.struct(F.lit(role).alias("role"), _col(content).alias("content"), F.lit(None).cast(f"array<{TOOL_CALL}>").alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id")))
+
+
+def is_complete(tool_outputs, target) -> Column:
+    """Whether as many tools answered as were planned."""
+    return F.greatest(F.size(_col(tool_outputs)), F.lit(0)) >= (_col(target) if not isinstance(target, int) else F.lit(target))
+
+
 def turn_stats(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     return turns.groupBy(conv).agg(F.count("*").alias("n_turns"), F.count_if(F.col("role") == "user").alias("n_user"), F.count_if(F.col("role") == "assistant").alias("n_assistant"), F.sum(F.length("text")).alias("n_chars"))

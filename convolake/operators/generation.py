@@ -86,6 +86,33 @@ def complete_json(model: Model, prompt: str) -> dict:
         raise ModelError("the answer holds no JSON") from e
 
 
+def complete_structured(model: Model, prompt: str, fields: dict[str, type]) -> dict:
+    """L1: an object that has these fields, of these types."""
+    found = complete_json(model, prompt)
+    for name, kind in fields.items():
+        if not isinstance(found.get(name), kind):
+            raise ModelError(f"the answer's {name} is missing or no {kind.__name__}")
+    return found
+
+
+def chat(model: Model, messages: list[dict]) -> str:
+    """L1: the next message of a conversation."""
+    return complete(model, "CHAT\n" + "\n".join(f"{m['role']}: {m['content']}" for m in messages if m.get("content")))
+
+
+def complete_with_tools(model: Model, prompt: str, tools: list[dict]) -> tuple[str, list[dict]]:
+    """L1: text and tool calls; an answer that is an object with a known tool's name and arguments is a call."""
+    text = complete(model, f"{prompt}\nTools: {json.dumps(tools, sort_keys=True)}")
+    try:
+        found = json.loads(text)
+    except ValueError:
+        return text, []
+    if isinstance(found, dict) and found.get("name") in {t["name"] for t in tools}:
+        call = {"id": "call_" + hashlib.md5(text.encode()).hexdigest()[:8], "function": {"name": found["name"], "arguments": json.dumps(found.get("arguments", {}))}}
+        return "", [call]
+    return text, []
+
+
 @dataclass
 class Talk:
     """A conversation under way."""

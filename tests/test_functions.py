@@ -111,6 +111,14 @@ def test_conversations(spark):
     assert row[0][5].startswith("user_") and row[0][5] != row[1][5]
 
 
+def test_calls_and_answers(spark):
+    m = messages(("assistant", None, [CALL, {**CALL, "id": "c2"}], None), ("tool", "r1", None, "c1"))
+    df = spark.createDataFrame([("a", m, [], {}, {}), ("b", [], None, {}, {})], conv.CONVERSATION)
+    assert sorted((r["call_id"], r["answer"]) for r in conv.answered_calls(df).collect()) == [("c1", "r1"), ("c2", None)]
+    assert [r[0] for r in df.select(F.size(conv.append_message("messages", "user", F.lit("x")))).collect()] == [3, 1]
+    assert [r[0] for r in df.select(conv.is_complete("tool_outputs", 0)).collect()] == [True, True]
+
+
 def test_values(spark):
     data = {"id": 7, "user": {"id": 3, "name": "Ann", "email": "a@b.c", "total": 5, "price": "x"}, "orders": [{"order_id": 9}, {"order_id": 10}], "state": "ok", "confirmation": None}
     assert conv.extract_values(data) == {"id": "7", "user_id": "3", "user_name": "Ann", "email": "a@b.c", "user_total": "5", "order_id": "9", "state": "ok"}

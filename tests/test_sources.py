@@ -133,6 +133,27 @@ def test_generation(spark):
     assert steered.count() == 6 and seen == [0, 3]
 
 
+class Fixed:
+    def __init__(self, answer):
+        self.answer = answer
+
+    def complete(self, prompt):
+        return self.answer
+
+
+def test_model_calls():
+    assert generation.complete_structured(Fixed('so: {"a": 1}'), "p", {"a": int}) == {"a": 1}
+    for answer in ('{"a": "x"}', "{}", "none"):
+        with pytest.raises(generation.ModelError):
+            generation.complete_structured(Fixed(answer), "p", {"a": int})
+    assert generation.chat(Fixed("hi"), [{"role": "user", "content": "hello"}]) == "hi"
+    tools = [{"name": "f"}]
+    text, calls = generation.complete_with_tools(Fixed('{"name": "f", "arguments": {"x": 1}}'), "p", tools)
+    assert text == "" and calls[0]["function"] == {"name": "f", "arguments": '{"x": 1}'}
+    assert generation.complete_with_tools(Fixed('{"name": "g"}'), "p", tools) == ('{"name": "g"}', [])
+    assert generation.complete_with_tools(Fixed("text"), "p", tools) == ("text", [])
+
+
 def test_inference(spark):
     e = spark.createDataFrame([("e1", "GET", "/x", "a", "", None, [("p", "unknown")]), ("e2", "GET", "/y", "b", "said", "{}", [("q", "string")])], "id string, method string, path string, name string, description string, response_schema string, parameters array<struct<name:string,type:string>>")
     found = generation.infer_fields(e, generation.FakeModel())
