@@ -63,11 +63,14 @@ class Tables:
     def tools(self) -> DataFrame:
         return self.endpoints().select(F.col("tool_id").alias("id")).distinct().withColumn("name", F.col("id"))
 
-    def results(self) -> DataFrame:
+    def results(self, with_calls: bool = False) -> DataFrame:
+        """Judged results; the orders' lines are only read where their calls are asked for."""
         k = F.col("o_orderkey")
         scores = [(F.pmod(k * m, F.lit(10)) + 1).cast("long").alias(d) for m, d in zip((3, 7, 9, 11), quality.DIMENSIONS)]
-        calls = self.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.col("l_suppkey").cast("string")).alias("endpoint_ids"))
         base = self.orders.select("o_orderkey", (F.col("o_orderstatus") != "P").alias("success"), (F.pmod(k, F.lit(3)) + 1).alias("attempts"), (F.pmod(k, F.lit(5)) == 0).alias("repaired"), *scores)
+        if not with_calls:
+            return base
+        calls = self.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(F.col("l_suppkey").cast("string")).alias("endpoint_ids"))
         return base.join(calls, "o_orderkey", "left").withColumn("endpoint_ids", F.coalesce("endpoint_ids", F.array().cast("array<string>")))
 
     def vectors(self) -> DataFrame:
@@ -217,7 +220,7 @@ _RATE = "round(avg(CASE WHEN {} THEN 1.0 ELSE 0.0 END) FILTER (WHERE success), 6
     {_RATE.format("overall >= 6")} AS pass_rate, {_RATE.format("repaired")} AS repair_rate, {_RATE.format("n_calls >= 3")} AS multi_step_rate, {_RATE.format("n_tools >= 2")} AS multi_tool_rate FROM results""",
 )
 def _(spark, d):
-    out = quality.aggregate_scores(Tables(spark, d).results())
+    out = quality.aggregate_scores(Tables(spark, d).results(with_calls=True))
     return _rounded(out, *[c for c, t in out.dtypes if t == "double"])
 
 
@@ -248,7 +251,7 @@ def _(spark, d):
     min(CAST(overall AS DOUBLE)) FILTER (WHERE success) AS min_score, max(CAST(overall AS DOUBLE)) FILTER (WHERE success) AS max_score FROM results""",
 )
 def _(spark, d):
-    return _rounded(quality.generation_summary(Tables(spark, d).results()), "avg_calls", "avg_score")
+    return _rounded(quality.generation_summary(Tables(spark, d).results(with_calls=True)), "avg_calls", "avg_score")
 
 
 @query("quality_histogram", f"WITH {_RESULTS} SELECT CASE WHEN overall / 10 >= 0.9 THEN 'excellent' WHEN overall / 10 >= 0.8 THEN 'good' WHEN overall / 10 >= 0.7 THEN 'fair' WHEN overall / 10 >= 0.6 THEN 'weak' ELSE 'poor' END AS bin, count(*) AS n FROM results GROUP BY 1")
@@ -261,7 +264,7 @@ def _(spark, d):
     f"""WITH {_RESULTS} SELECT 'Dataset Quality Report' || chr(10) || 'Total Conversations: ' || count(*) || chr(10) || 'Successful: ' || (count(*) FILTER (WHERE success)) AS head FROM results""",
 )
 def _(spark, d):
-    return quality.report(quality.aggregate_scores(Tables(spark, d).results())).select(F.substring_index("report", "\n", 3).alias("head"))
+    return quality.report(quality.aggregate_scores(Tables(spark, d).results(with_calls=True))).select(F.substring_index("report", "\n", 3).alias("head"))
 
 
 # -- messages --

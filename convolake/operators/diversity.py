@@ -40,8 +40,15 @@ def pattern_hashes(called: DataFrame) -> DataFrame:
 
 def diversity_metrics(called: DataFrame) -> DataFrame:
     """One row of entropies, numbers of tools, domains, pairs, patterns and conversations, and the pair ratio."""
-    tool = metrics.entropy(called, "tool").select(F.col("entropy").alias("tool_entropy"), F.col("n_items").alias("n_tools"))
-    domain = metrics.entropy(called, "domain").select(F.col("entropy").alias("domain_entropy"), F.col("n_items").alias("n_domains"))
+    # Both entropies come from one count of calls, and pairs and patterns from one set of tools, so calls are read twice.
+    both = called.groupBy("tool", "domain").agg(F.count("*").alias("n"))
+
+    def entropy(key: str) -> DataFrame:
+        # Calls without a key are counted as none: a filter would reach the scan, and the two counts would differ.
+        n = F.sum(F.when(F.col(key).isNotNull(), F.col("n")).otherwise(0))
+        return metrics.entropy_of(both.groupBy(key).agg(n.alias("n"))).select(F.col("entropy").alias(f"{key}_entropy"), F.col("n_items").alias(f"n_{key}s"))
+
+    tool, domain = entropy("tool"), entropy("domain")
     pairs = tool_pairs(called).agg(F.count("*").alias("n_pairs"))
     patterns = pattern_hashes(called).agg(F.count("*").alias("n_conversations"), F.count_distinct("pattern").alias("n_patterns"))
     ratio = F.col("n_pairs") / F.when(F.col("n_tools") > 1, metrics.possible_pairs("n_tools")).otherwise(1)
