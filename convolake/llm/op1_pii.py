@@ -94,13 +94,15 @@ def _features(text: str, spans: list[tuple[int, int]]) -> list[int]:
     out, plus_end = [], -9
     for k, (a, b) in enumerate(spans):
         t = text[a:b].strip(EDGES)
-        digits = _digits(t)
+        letters = any(c.isalpha() for c in t)
+        # Digits between letters (of a hash, say) are no number.
+        digits = "" if letters else _digits(t)
         n = len(digits)
         parts = t.split(".")
         quad = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
         near = (k > 0 and a - spans[k - 1][1] <= 2) or (k + 1 < len(spans) and spans[k + 1][0] - b <= 2)
         flags = (
-            True, "@" in t, "@" in t and "." in t.rpartition("@")[2], any(c.isalpha() for c in t[:64]), 1 <= n <= 3, 4 <= n <= 6, 7 <= n <= 9, 10 <= n <= 13, 14 <= n <= 19, n >= 20,
+            True, "@" in t, "@" in t and "." in t.rpartition("@")[2], letters, 1 <= n <= 3, 4 <= n <= 6, 7 <= n <= 9, 10 <= n <= 13, 14 <= n <= 19, n >= 20,
             14 <= n <= 19 and luhn(digits), text[a] == "+", quad, quad and all(len(p) <= 3 and int(p) <= 255 for p in parts), "(" in text[a:b], "-" in t, a - plus_end <= 2, near,
             len(t) >= 16 and all(c in "0123456789abcdefABCDEF" for c in t[:64]),
         )

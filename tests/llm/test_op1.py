@@ -76,3 +76,10 @@ def test_query_and_mask(spark):
     masked = op1.mask(df)
     assert masked.columns == df.columns
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in masked.collect()} == {1: ("mail <EMAIL> and <IP>", 21), 2: (None, None), 3: ("", 0), None: ("clean", 5)}
+
+
+def test_digits_of_hashes_are_no_numbers():
+    bits = lambda t: op1._features(t, [(0, len(t))])[0]
+    number = 1 << op1.FEATURES.index("14-19 digits") | 1 << op1.FEATURES.index("passes the card sum")
+    assert bits("4845168114407329") & number == number
+    assert bits("4a845168114407329") & number == 0
