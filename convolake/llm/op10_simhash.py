@@ -165,13 +165,13 @@ def _linked(own: np.ndarray, ask: np.ndarray, radius: int) -> tuple[np.ndarray,
     return nodes[a], nodes[b]
 
 
-def fingerprint_components(fps: DataFrame, radius: int = 2, shard_rows: int = 32_768, sample_rows: int = 65_536) -> DataFrame:
+def fingerprint_components(fps: DataFrame, radius: int = 2, shard_rows: int = 32_768, sample_rows: int = 262_144) -> DataFrame:
     """(fp, root) for distinct fingerprints (column fp) that aren't the smallest (signed) of their component."""
     spark, n = fps.sparkSession, fps.count()
     shards = min(max(1, -(-n // shard_rows)), sample_rows // 16)
     # About sample_rows of them, picked by a hash, so that tasks send the driver no more than that in all.
     drawn = fps.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(max(1, -(-n // sample_rows)))) == 0).select("fp")
-    sample = np.array([r[0] for r in drawn.collect()] if shards > 1 else [], np.int64)
+    sample = drawn.toArrow()["fp"].to_numpy() if shards > 1 else np.empty(0, np.int64)
     tree, made = build_tree(sample.view(np.uint64), shards)
 
     def deal(batches):
