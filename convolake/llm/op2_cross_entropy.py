@@ -1,15 +1,19 @@
 """Cross-entropy difference of two matched n-gram models.
 
 The target model counts the documents labelled good, the background model counts all documents. Both are bigram models
-over one hashed vocabulary, with the same Dirichlet smoothing: bigrams back off to unigrams, unigrams to the uniform
+over one vocabulary, with the same Dirichlet smoothing: bigrams back off to unigrams, unigrams to the uniform
 distribution, with pseudo-counts in proportion to each model's tokens, so that the larger one is not smoothed less. A
 document's score is the mean over its tokens of target loss less background loss, in nats; lower is closer to the target.
 
-Counts cover every word of every document; tasks send them packed by ranges of buckets, which are summed
-in two steps, and only their tables, whose sizes are the parameters `words` and `pairs`, reach the tasks. Words are lower-cased and split at white space; a document's first
-word follows a start mark. Null and empty texts have no tokens and score 0. Without any target document the target
-model is uniform. Labels that repeat count once (good, if any is). Rows that repeat are counted and returned as often;
-null ids keep their row and are no targets; other columns are not read.
+Words, contexts and pairs are counted by their own bytes: nothing is hashed together, and what is counted grows with the
+corpus. Documents are dealt by id to chunks of about SHARE bytes of text. A chunk sends each of its distinct words,
+contexts and pairs once, with its counts, to the part that sums this key; the part sends each chunk the sums of the
+keys it asked for, in its order. So a common key is one entry a chunk, and no task or driver holds a whole table.
+
+Words are lower-cased and split at white space; a document's first word follows a start mark. The uniform distribution is
+over the distinct words of the corpus, WORDS at least. Null and empty texts have no tokens and score 0. Without any
+target document the target model is uniform. Labels that repeat count once (good, if any is). Rows that repeat are
+counted and returned as often; null ids keep their row and are no targets; other columns are not read.
 """
 
 from __future__ import annotations
@@ -18,130 +22,169 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-WORDS, PAIRS = 1 << 18, 1 << 21
-#: Buckets a row of packed counts, and how many parts the counts of a slot are first summed in.
-SLOT, SALTS = 1 << 15, 16
-PACKED = "slot long, salt long, sums binary"
-
-
-class Buckets(dict):
-    """Vocabulary buckets of words, kept while there are not too many of them."""
-
-    def __init__(self, words: int):
-        self.words = words
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        at = self[word] = 1 + zlib.crc32(word) % (self.words - 1)
-        return at
-
-
-def tokens(texts: list[bytes], buckets: Buckets, pairs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Over all texts: the buckets of words, of the words before (0 at a start), of both as a pair; and words a text."""
-    split = [(t if t.isascii() else t.decode().lower().encode()).lower().split() for t in texts]
-    counts = np.array([len(w) for w in split], np.int64)
-    word = np.array([buckets[x] for w in split for x in w], np.int64)
-    before = np.concatenate([[0], word[:-1]]) if len(word) else word
-    before[(np.cumsum(counts) - counts)[counts > 0]] = 0
-    pair = ((before * 0x9E3779B1 + word * 0x85EBCA77) >> 7) % pairs  # Fixed values: odd multipliers of common hashes.
-    return word, before, pair, counts
-
-
-class Models:
-    """Counts of both models, target first: words, contexts and pairs."""
-
-    def __init__(self, counts: np.ndarray, words: int, pairs: int, strength: float = 1e-5, uniform: float = 1e-7):
-        counts = counts.astype(float)
-        self.word, self.context, self.pair = counts[:, :words], counts[:, words : 2 * words], counts[:, 2 * words :]
-        self.total = self.word.sum(1)
-        # Pseudo-counts, in proportion to each model's tokens.
-        self.back, self.flat = np.maximum(strength * self.total, 1.0), np.maximum(uniform * self.total, 0.01)
-
-    def losses(self, model: int, word: np.ndarray, before: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        single = (self.word[model][word] + self.flat[model]) / (self.total[model] + self.flat[model] * self.word.shape[1])
-        return -np.log((self.pair[model][pair] + self.back[model] * single) / (self.context[model][before] + self.back[model]))
-
-
-def count(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = PAIRS, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Counts by model (target, background) and bucket: words, then contexts, then pairs."""
-    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct().withColumn("__good", F.lit(True))
-    # Ids of targets grow with the corpus, so they are never broadcast: the join deals both sides out at every size.
-    marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(good.hint("merge"), F.col("id") == F.col("__id"), "left")
-
-    size = 2 * words + pairs
-    slots = -(-size // SLOT)
+#: The least vocabulary of the uniform distribution, and the bytes of text of a chunk, and of a part of the keys.
+WORDS, SHARE = 1 << 18, 16_000_000
+STRENGTH, UNIFORM = 1e-5, 1e-7
+CODEC = "zstd"
+
+
+class Keys:
+    """The distinct words, contexts and pairs of some texts: the same for the same texts in any order.
+
+    A word's key is the word, a context's ends in a space (alone for a start), and a pair's is both words, a space
+    between them; words hold no space.
+    """
+
+    def __init__(self, table: pa.Table, parts: int):
+        seen: dict[bytes, int] = {}
+        ids, counts = [], []
+        for batch in table.to_batches():
+            for _, texts in common.slices(batch, "text"):
+                for t in texts:
+                    words = (t if t.isascii() else t.decode().lower().encode()).lower().split()
+                    counts.append(len(words))
+                    ids.append(np.array([seen.setdefault(w, len(seen)) for w in words], np.int32))
+        self.counts = np.array(counts, np.int64)
+        found = list(seen)
+        order = sorted(range(len(found)), key=found.__getitem__)
+        place = np.empty(len(found), np.int64)
+        place[order] = np.arange(1, len(found) + 1)
+        self.names = [b"", *(found[k] for k in order)]  # 0 is the start mark
+        size = len(self.names)
+        self.word = place[np.concatenate(ids)] if ids else np.empty(0, np.int64)
+        self.before = np.concatenate([[0], self.word[:-1]]) if len(self.word) else self.word
+        self.before[(np.cumsum(self.counts) - self.counts)[self.counts > 0]] = 0
+        self.pairs, self.at = np.unique(self.before * size + self.word, return_inverse=True)
+        self.first, self.second = np.divmod(self.pairs, size)
+        self.size = size
+        # Which part sums a key: the words' hashes mixed; words and contexts as pairs with fixed values.
+        h = np.fromiter(map(zlib.crc32, self.names), np.uint64, size)
+        mixed = lambda a, b: ((a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)) % np.uint64(parts)
+        part = np.concatenate([mixed(h, np.uint64(1)), mixed(h, np.uint64(2)), mixed(h[self.first], h[self.second])]).astype(np.int64)
+        self.order = np.argsort(part, kind="stable")
+        self.ends = np.cumsum(np.bincount(part, minlength=parts))
+
+    def tally(self, tokens: np.ndarray) -> np.ndarray:
+        """Counts of all keys over these tokens (a mask)."""
+        one = lambda x, n: np.bincount(x[tokens], minlength=n)
+        return np.concatenate([one(self.word, self.size), one(self.before, self.size), one(self.at, len(self.pairs))])
+
+    def of_part(self, part: int) -> np.ndarray:
+        return self.order[self.ends[part - 1] if part else 0 : self.ends[part]]
+
+    def texts(self, keys: np.ndarray) -> pa.Array:
+        names, n = pa.array(self.names, pa.large_binary()), self.size
+        space, rest = pa.scalar(b" ", pa.large_binary()), keys[keys >= 2 * n] - 2 * n
+        out = [names.take(pa.array(keys[keys < n]))]
+        out.append(pc.binary_join_element_wise(names.take(pa.array(keys[(keys >= n) & (keys < 2 * n)] - n)), pa.scalar(b"", pa.large_binary()), space))
+        out.append(pc.binary_join_element_wise(names.take(pa.array(self.first[rest])), names.take(pa.array(self.second[rest])), space))
+        return pa.concat_arrays(out)
+
+
+def _packed(*columns: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays(list(columns), [str(k) for k in range(len(columns))])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=CODEC)) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> list[pa.Array]:
+    return pa.ipc.open_stream(data).read_next_batch().columns
+
+
+def _narrow(counts: np.ndarray) -> pa.Array:
+    return pa.array(counts.astype(np.min_scalar_type(int(counts.max(initial=0)))))
+
+
+def asked(docs: DataFrame, good: DataFrame, parts: int) -> DataFrame:
+    """(part, chunk, keys): each chunk's distinct keys, packed with their counts in all and in good documents."""
+
+    def run(rows: pa.Table, targets: pa.Table) -> pa.Table:
+        out = []
+        if rows.num_rows:
+            keys = Keys(rows, parts)
+            target = pc.and_(pc.is_in(rows["id"], value_set=targets["good"].combine_chunks()), pc.is_valid(rows["id"])).to_numpy()
+            all_, wanted = keys.tally(np.ones(len(keys.word), bool)), keys.tally(np.repeat(target, keys.counts))
+            for part in range(parts):
+                of = keys.of_part(part)
+                if len(of):
+                    out.append((part, rows["chunk"][0].as_py(), _packed(keys.texts(of), _narrow(all_[of]), _narrow(wanted[of]))))
+        return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["part", "chunk", "keys"])
+
+    return docs.groupBy("chunk").cogroup(good.groupBy("chunk")).applyInArrow(run, "part long, chunk long, keys binary")
+
+
+def summed(sent: DataFrame, chunks: int, parts: int) -> DataFrame:
+    """(chunk, part, sums, n_all, n_good, n_words): of each part, the sums of each chunk's keys in its order, to every
+    chunk, and the part's tokens and distinct words."""
 
     def run(batches):
-        from pyspark import TaskContext
-
-        buckets, total = Buckets(words), None
+        held: dict[int, dict[int, bytes]] = {}
         for batch in batches:
-            for part, texts in common.slices(batch, "text"):
-                word, before, pair, counts = tokens(texts, buckets, pairs)
-                target = np.repeat(np.asarray(part.column("__good").is_valid()), counts)
-                total = np.zeros((2, slots * SLOT), np.int64) if total is None else total
-                for first, wide, at in ((0, words, word), (words, words, before), (2 * words, pairs, pair)):
-                    total[0, first : first + wide] += np.bincount(at[target], minlength=wide)
-                    total[1, first : first + wide] += np.bincount(at, minlength=wide)
-        if total is not None:
-            yield _packed(total.reshape(2, slots, SLOT).swapaxes(0, 1), range(slots), TaskContext.get().partitionId() % SALTS)
-
-    packed = marked.select("text", "__good").mapInArrow(run, PACKED)
-    # Sums meet in two steps, so that no task reads what all tasks have counted; tasks hold dense sums of their slots.
-    packed = packed.repartition("slot", "salt").mapInArrow(_merged, PACKED)
-    packed = packed.withColumn("salt", F.lit(0).cast("long")).repartition("slot").mapInArrow(_merged, PACKED)
-    total = np.zeros((2, slots, SLOT), np.int64)
-    for slot, _, sums in packed.toLocalIterator():
-        total[:, slot] += _unpacked(sums)
-    return total.reshape(2, -1)[:, :size]
-
-
-def _packed(sums: np.ndarray, slots, salt: int) -> pa.RecordBatch:
-    """Slots that have counts, in the narrowest numbers they fit, compressed."""
-    rows = []
-    for slot, x in zip(slots, sums):
-        if x.any():
-            kind = np.min_scalar_type(int(x.max()))
-            rows.append((slot, salt, bytes([kind.itemsize]) + zlib.compress(x.astype(kind.newbyteorder("<")).tobytes(), 1)))
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["slot", "salt", "sums"])
-
-
-def _unpacked(sums: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(sums[1:]), f"<u{sums[0]}").reshape(2, SLOT)
-
-
-def _merged(batches):
-    held: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for slot, salt, sums in zip(*(c.to_pylist() for c in batch.columns)):
-            there = held.setdefault((slot, salt), np.zeros((2, SLOT), np.int64))
-            there += _unpacked(sums)
-    for (slot, salt), x in held.items():
-        yield _packed(x[None], [slot], salt)
-
-
-def scores(docs: DataFrame, labels: DataFrame, words: int = WORDS, pairs: int = PAIRS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            for part, chunk, keys in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(part, {})[chunk] = keys
+        for part in list(held):
+            columns = {chunk: _unpacked(keys) for chunk, keys in held.pop(part).items()}
+            coded = pa.concat_arrays([c[0] for c in columns.values()]).dictionary_encode()
+            codes, names = coded.indices.to_numpy(), coded.dictionary
+            # Sums as floats are exact up to 2^53.
+            sums = [np.bincount(codes, np.concatenate([c[k].to_numpy() for c in columns.values()])).astype(np.int64) for k in (1, 2)]
+            words = pc.equal(pc.find_substring(names, b" "), -1).to_numpy(zero_copy_only=False) & (pc.binary_length(names).to_numpy() > 0)
+            totals = [int(sums[0][words].sum()), int(sums[1][words].sum()), int(words.sum())]
+            at = 0
+            for chunk in range(chunks):
+                of = codes[at : at + len(columns[chunk][0])] if chunk in columns else codes[:0]
+                if chunk in columns:
+                    at += len(of)
+                row = [chunk, part, _packed(_narrow(sums[0][of]), _narrow(sums[1][of])), *totals]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary() if k == 2 else pa.int64()) for k, x in enumerate(row)], ["chunk", "part", "sums", "n_all", "n_good", "n_words"])
+
+    return sent.repartition(parts, "part").mapInArrow(run, "chunk long, part long, sums binary, n_all long, n_good long, n_words long")
+
+
+def losses(keys: Keys, sums: np.ndarray, total: int, words: int) -> np.ndarray:
+    """The loss of each distinct pair."""
+    back, flat = max(STRENGTH * total, 1.0), max(UNIFORM * total, 0.01)  # in proportion to the model's tokens
+    n = keys.size
+    single = (sums[:n][keys.second] + flat) / (total + flat * words)
+    return -np.log((sums[2 * n :] + back * single) / (sums[n : 2 * n][keys.first] + back))
+
+
+def scores(docs: DataFrame, labels: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", share: int = SHARE) -> DataFrame:
     """(id, n_tokens, target_loss, background_loss, score) for each row; losses are means a token."""
-    counts = count(docs, labels, words, pairs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(counts.astype("<u4") if counts.max(initial=0) < 1 << 32 else counts)
-
-    def run(batches):
-        models, buckets = Models(sent.value, words, pairs), Buckets(words)
-        for batch in batches:
-            for part, texts in common.slices(batch, "text"):
-                word, before, pair, n = tokens(texts, buckets, pairs)
-                of = np.repeat(np.arange(len(texts)), n)
-                mean = [np.bincount(of, models.losses(m, word, before, pair), len(texts)) / np.maximum(n, 1) for m in (0, 1)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), *map(pa.array, mean), pa.array(mean[0] - mean[1])], ["id", "n_tokens", "target_loss", "background_loss", "score"])
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    chunks = parts = max(1, -(-size // share))
+    dealt = lambda key: F.pmod(key, F.lit(chunks)).cast("long").alias("chunk")
+    # Rows without an id are dealt by their texts.
+    rows = docs.select(dealt(F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col))), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    known = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias("good")).distinct()
+    sent = asked(rows, known.select(dealt(F.xxhash64("good")), "good"), parts)
+
+    def run(rows: pa.Table, sums: pa.Table) -> pa.Table:
+        keys = Keys(rows, parts)
+        held = np.zeros((2, 2 * keys.size + len(keys.pairs)), np.int64)
+        for part, packed in zip(sums["part"].to_pylist(), sums["sums"].to_pylist()):
+            of = keys.of_part(part)
+            for k, x in enumerate(_unpacked(packed)):
+                held[k, of] = x.to_numpy()
+        all_, wanted, distinct = (int(pc.sum(sums[c]).as_py() or 0) for c in ("n_all", "n_good", "n_words"))
+        of = np.repeat(np.arange(len(keys.counts)), keys.counts)
+        mean = [np.bincount(of, losses(keys, held[k], total, max(words, distinct))[keys.at], len(keys.counts)) / np.maximum(keys.counts, 1) for k, total in ((1, wanted), (0, all_))]
+        return pa.table([rows["id"], pa.array(keys.counts), *map(pa.array, mean), pa.array(mean[0] - mean[1])], ["id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    def answered(rows: pa.Table, sums: pa.Table) -> pa.Table:
+        return run(rows, sums) if rows.num_rows else pa.table({"id": rows["id"], "n_tokens": pa.array([], pa.int64()), **{c: pa.array([], pa.float64()) for c in ("target_loss", "background_loss", "score")}})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
+    got = rows.groupBy("chunk").cogroup(summed(sent, chunks, parts).groupBy("chunk"))
+    return got.applyInArrow(answered, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Cross-entropy differences against dictionaries of counts."""
 
 import math
+import zlib
 from collections import Counter
 
 import pytest
@@ -40,3 +41,18 @@ def test_no_targets_and_empty(spark):
     y = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert op2.scores(d, y).first()["n_tokens"] == 2
     assert op2.scores(d.limit(0), y).count() == 0
+
+
+def test_words_of_one_hash_are_told_apart(spark):
+    """Words of one crc32 (as buckets had it), with chunks of a few bytes: every n-gram keeps its own counts."""
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    docs = [(k, "plumless tea") for k in range(8)] + [(8, "buckeroo tea"), (9, "plumless buckeroo")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame([(k, 1, 0) for k in range(8)], "doc_id long, quality int, toxic int")
+    whole = {r["id"]: tuple(r)[1:] for r in op2.scores(d, y).collect()}
+    parted = {r["id"]: tuple(r)[1:] for r in op2.scores(d, y, share=20).collect()}
+    assert whole.keys() == parted.keys() and all(parted[k] == pytest.approx(whole[k], rel=1e-9) for k in whole)
+    assert whole[0][3] < 0 < whole[8][3]
+    first = lambda n, k: -math.log((k + (k + 0.01) / (2 * n + 0.01 * op2.WORDS)) / (n + 1))
+    after = lambda n, k: -math.log((k + (k + 0.01) / (2 * n + 0.01 * op2.WORDS)) / (k + 1))
+    assert whole[0][1] == pytest.approx((first(8, 8) + after(8, 8)) / 2, rel=1e-6)
