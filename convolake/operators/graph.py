@@ -112,32 +112,31 @@ def reachable_endpoints(edges: DataFrame, nodes: DataFrame, starts: DataFrame, d
     return bfs(edges, starts, depth).where("depth > 0").join(ends, "node", "left_semi")
 
 
-def shortest_path(edges: DataFrame, start: str, goal: str, most: int = 64) -> list[str] | None:
-    """The nodes of a shortest path (the smallest, node by node, of several); None without one.
+def shortest_path(edges: DataFrame, start: str, goal: str, most: int | None = None) -> list[str] | None:
+    """The nodes of a shortest path (the smallest, node by node, of several); None without one (of `most` steps, if given).
 
-    A breadth-first search from the goal keeps each node's distance; the path is then read from the start downwards.
+    A breadth-first search from the goal keeps each round's nodes, until it meets the start or finds no new ones; the
+    path is then read from the start downwards. A round's neighbours are in it, the one before or the next, so only
+    these are compared and plans don't grow with the length.
     """
     if start == goal:
         return [start]
     spark, near = edges.sparkSession, stored(neighbors(edges), "near")
-    seen = stored(spark.createDataFrame([(goal, 0)], "node string, d int"), "seen")
-    front, found = seen, None
-    for k in range(1, most + 1):
-        step = front.select("node").join(near, "node").select(F.col("other").alias("node")).distinct()
-        front = stored(step.join(seen.select("node"), "node", "left_anti").withColumn("d", F.lit(k)), "front")
-        if front.isEmpty():
-            return None
-        seen = seen.unionByName(front)
-        if not front.where(F.col("node") == start).isEmpty():
-            found = k
+    fronts = [stored(spark.createDataFrame([(goal,)], "node string"), "front")]
+    while most is None or len(fronts) <= most:
+        step = fronts[-1].join(near, "node").select(F.col("other").alias("node")).distinct()
+        for front in fronts[-2:]:
+            step = step.join(front, "node", "left_anti")
+        fronts.append(stored(step, "front"))
+        if fronts[-1].isEmpty():
             break
-    if found is None:
-        return None
-    path = [start]
-    for d in range(found - 1, -1, -1):
-        step = near.where(F.col("node") == path[-1]).select(F.col("other").alias("node")).join(seen.where(F.col("d") == d), "node")
-        path.append(step.agg(F.min("node")).first()[0])
-    return path
+        if not fronts[-1].where(F.col("node") == start).isEmpty():
+            path = [start]
+            for front in fronts[-2::-1]:
+                step = near.where(F.col("node") == path[-1]).select(F.col("other").alias("node")).join(front, "node")
+                path.append(step.agg(F.min("node")).first()[0])
+            return path
+    return None
 
 
 def subgraph(nodes: DataFrame, edges: DataFrame, domains: list[str]) -> tuple[DataFrame, DataFrame]:

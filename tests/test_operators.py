@@ -90,6 +90,16 @@ def nodes_edges(spark):
     return graph.build_nodes(t, e), graph.build_edges(e), e, t
 
 
+def test_shortest_path_of_any_length(spark):
+    """A chain of 70 steps, with a shortcut and a part that isn't connected."""
+    links = [(f"n{k:02}", f"n{k + 1:02}", "X") for k in range(72)] + [("n00", "n02", "X"), ("far", "away", "X")]
+    edges = spark.createDataFrame(links, "src string, dst string, type string").coalesce(1)
+    path = graph.shortest_path(edges, "n00", "n71")
+    assert path == ["n00"] + [f"n{k:02}" for k in range(2, 72)]
+    assert graph.shortest_path(edges, "n00", "n05", most=3) is None and len(graph.shortest_path(edges, "n00", "n05", most=4)) == 5
+    assert graph.shortest_path(edges, "n00", "far") is None
+
+
 def test_graph(spark):
     nodes, edges, e, t = nodes_edges(spark)
     assert nodes.count() == 5 + 10 + 2 and edges.count() == 10 + 7
