@@ -683,15 +683,14 @@ def _(spark, d):
 
 @query(
     "neighbor_rank",
-    f"""WITH {_E}, near AS (SELECT a.id AS start, b.tool_id, b.id FROM e a JOIN e b ON a.domain = b.domain AND a.id <> b.id WHERE a.tool_id = 't7' AND b.completeness_score >= 0.5),
+    f"""WITH {_E}, near AS (SELECT a.id AS start, b.tool_id, b.id FROM e a JOIN e b ON a.domain = b.domain AND a.id <> b.id WHERE b.completeness_score >= 0.5),
     w AS (SELECT start, 1 / (count(*) OVER (PARTITION BY start, tool_id) + 1) AS w FROM near), r AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY w DESC) AS k FROM w)
     SELECT start, count(*) AS n, round(sum(w), 6) AS weight FROM r WHERE k <= 10 GROUP BY 1""",
 )
 def _(spark, d):
     e = Tables(spark, d).endpoints()
-    paths = e.where("tool_id = 't7'").select(F.array("id").alias("path"))
-    found = sampling.neighbor_candidates(paths, graph.empty(spark)[1], e, sampling.Constraints(min_completeness=0.5), by_domain=True)
-    return found.groupBy(F.get("path", F.lit(0)).alias("start")).agg(F.count("*").alias("n"), F.round(F.sum("w"), 6).alias("weight"))
+    found = sampling.domain_candidates(e, sampling.Constraints(min_completeness=0.5))
+    return found.groupBy("start").agg(F.count("*").alias("n"), F.round(F.sum("w"), 6).alias("weight"))
 
 
 def _plan(name: str, sql: str) -> None:

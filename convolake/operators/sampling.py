@@ -122,6 +122,40 @@ def neighbor_candidates(paths: DataFrame, edges: DataFrame, endpoints: DataFrame
     return ranked(grown.withColumnRenamed("other", "id").drop("node"), ["path"], weights, seed).where(F.col("rank") < most)
 
 
+def domain_candidates(endpoints: DataFrame, c: Constraints, weights: DataFrame | None = None, most: int = 10, seed: int = 0) -> DataFrame:
+    """C4 of all endpoints at once, by domain: what neighbor_candidates() gives with by_domain and no edges for the path of
+    each endpoint alone, as (start, id, tool_id, w, rank).
+
+    A start changes the weights of its own tool's candidates only, and not their order. So the first `most` are among the
+    first of its tool in the domain (one more, as the start itself goes) and the first of the domain when no tool holds
+    more than that many of these; pairs are not made.
+    """
+    named = endpoints.where("domain is not null and domain <> ''")
+    all_ = allowed(named, c).select("domain", F.col("id").alias("cid"), F.col("tool_id").alias("tool"))
+    outer = F.lit(1.0)
+    if weights is not None:
+        all_ = all_.join(weights.select(F.col("endpoint").alias("cid"), "weight"), "cid", "left")
+        outer = F.coalesce("weight", F.lit(1.0))
+    all_ = all_.withColumn("outer", outer).withColumn("hash", F.xxhash64("cid", F.lit(seed)))
+    same = all_.groupBy("domain", "tool").agg(F.count("*").alias("same"))
+    # Of each tool in a domain, its first; of each domain, the first of these.
+    own = all_.withColumn("nth", F.row_number().over(Window.partitionBy("domain", "tool").orderBy(F.desc("outer"), "hash", "cid"))).where(F.col("nth") <= most + 1).drop("nth")
+    own = own.groupBy("domain", "tool").agg(F.collect_list(F.struct("cid", "tool", "outer", "hash")).alias("own"))
+    own = own.join(same, (own["domain"] == same["domain"]) & own["tool"].eqNullSafe(same["tool"])).select(own["domain"], own["tool"], "own", "same")
+    each = own.select("domain", "same", F.inline("own"))
+    first = each.withColumn("nth", F.row_number().over(Window.partitionBy("domain").orderBy(F.desc(F.col("outer") / (F.col("same") + 1)), "hash", "cid"))).where(F.col("nth") <= 2 * most + 1)
+    first = first.groupBy(F.col("domain").alias("of")).agg(F.collect_list(F.struct("cid", "tool", "outer", "hash", "same")).alias("first"))
+
+    starts = named.select(F.col("id").alias("start"), "domain", "tool_id").join(first, F.col("domain") == F.col("of"))
+    starts = starts.join(own.withColumnRenamed("domain", "in"), (F.col("domain") == F.col("in")) & F.col("tool_id").eqNullSafe(F.col("tool")), "left")
+    starts = starts.join(all_.select(F.col("cid").alias("known")).distinct(), F.col("start") == F.col("known"), "left")
+    one = lambda x, same: F.struct((-x["outer"] / (same + 1)).alias("w"), x["hash"].alias("hash"), x["cid"].alias("id"), x["tool"].alias("tool_id"))
+    others = F.transform(F.filter("first", lambda x: ~x["tool"].eqNullSafe(F.col("tool_id"))), lambda x: one(x, x["same"]))
+    mine = F.transform(F.filter(F.coalesce("own", F.array().cast(own.schema["own"].dataType)), lambda x: x["cid"] != F.col("start")), lambda x: one(x, F.col("same") - F.col("known").isNotNull().cast("int")))
+    best = F.slice(F.array_sort(F.concat(others, mine)), 1, most)
+    return starts.select("start", F.posexplode(best).alias("rank", "x")).select("start", "x.id", "x.tool_id", (-F.col("x.w")).alias("w"), "rank")
+
+
 def sample_chains(endpoints: DataFrame, edges: DataFrame, c: Constraints, weights: DataFrame | None = None, attempts: int = 100, starts: int = 10, fan: int = 10, seed: int = 0, lowest_first: bool = False, by_domain: bool = False) -> DataFrame:
     """(path, chain, visit): the chains that a depth-first search meets in its first `attempts` states and that are
     valid, in the order of the search; the first is the search's result.

@@ -8,6 +8,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from convolake import catalog
 from convolake.functions.conversation import CONVERSATION
 from convolake.operators import diversity, graph, metrics, quality, sampling, similarity, validation
 from convolake.plans import patterns
@@ -90,6 +91,26 @@ def nodes_edges(spark):
     return graph.build_nodes(t, e), graph.build_edges(e), e, t
 
 
+def test_domain_candidates_are_neighbor_candidates(spark):
+    """Every endpoint's candidates against the ones by pairs; one tool holds most of a domain."""
+    rows = [(f"e{k}", ("t0" if k % 5 < 3 else None if k % 10 == 9 else f"t{k % 7}"), ("x", "y", "x", None, "x", "")[k % 6], (k % 11) / 10) for k in range(90)] + [("lone", "t1", "z", 0.9)]
+    e = spark.createDataFrame(rows, "id string, tool_id string, domain string, completeness_score double").coalesce(1)
+    weights = spark.createDataFrame([(f"e{k}", 0.5 + (k * 37 % 11) / 4) for k in range(0, 90, 2)], "endpoint string, weight double").coalesce(1)
+    c = sampling.Constraints(min_completeness=0.3, excluded_tools=("t5",))
+    for w, most in ((None, 3), (weights, 4), (None, 100)):
+        found = sampling.domain_candidates(e, c, w, most, seed=5).collect()
+        pairs = sampling.neighbor_candidates(e.select(F.array("id").alias("path")), graph.empty(spark)[1], e, c, w, most, seed=5, by_domain=True).collect()
+        assert {(r["start"], r["rank"]): (r["id"], r["tool_id"], r["w"]) for r in found} == {(r["path"][0], r["rank"]): (r["id"], r["tool_id"], r["w"]) for r in pairs}
+        assert len(found) == len(pairs) and len({r["start"] for r in found}) > 50
+
+
+def test_neighbor_rank_covers_all_endpoints(spark, tmp_path):
+    """One row for each endpoint that has a candidate, not for one tool's only."""
+    part = spark.range(1, 61).selectExpr("id AS p_partkey", "'n' AS p_name", "'c' AS p_type", "concat('Brand#', id % 3) AS p_brand")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    assert catalog.QUERIES["neighbor_rank"](spark, str(tmp_path)).count() == 60
+
+
 def test_shortest_path_of_any_length(spark):
     """A chain of 70 steps, with a shortcut and a part that isn't connected."""
     links = [(f"n{k:02}", f"n{k + 1:02}", "X") for k in range(72)] + [("n00", "n02", "X"), ("far", "away", "X")]
