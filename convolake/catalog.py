@@ -251,7 +251,8 @@ def _(spark, d):
     min(CAST(overall AS DOUBLE)) FILTER (WHERE success) AS min_score, max(CAST(overall AS DOUBLE)) FILTER (WHERE success) AS max_score FROM results""",
 )
 def _(spark, d):
-    return _rounded(quality.generation_summary(Tables(spark, d).results(with_calls=True)), "avg_calls", "avg_score")
+    found = quality.generation_summary(Tables(spark, d).results(with_calls=True))  # orders have no turns or repairs
+    return _rounded(found.select("n", "succeeded", "avg_calls", "avg_score", "min_score", "max_score"), "avg_calls", "avg_score")
 
 
 @query("quality_histogram", f"WITH {_RESULTS} SELECT CASE WHEN overall / 10 >= 0.9 THEN 'excellent' WHEN overall / 10 >= 0.8 THEN 'good' WHEN overall / 10 >= 0.7 THEN 'fair' WHEN overall / 10 >= 0.6 THEN 'weak' ELSE 'poor' END AS bin, count(*) AS n FROM results GROUP BY 1")

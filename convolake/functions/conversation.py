@@ -280,3 +280,62 @@ def is_complete(tool_outputs, target) -> Column:
 
 def turn_stats(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     return turns.groupBy(conv).agg(F.count("*").alias("n_turns"), F.count_if(F.col("role") == "user").alias("n_user"), F.count_if(F.col("role") == "assistant").alias("n_assistant"), F.sum(F.length("text")).alias("n_chars"))
+
+
+def iso_time(time) -> Column:
+    """A time in ISO form, with microseconds where it has some; null stays."""
+    time = _col(time)
+    return F.when(F.date_format(time, "SSSSSS") == "000000", F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+
+
+def output_of(contexts: DataFrame) -> DataFrame:
+    """(conversation_id, messages, tool_outputs, metadata) of contexts(conversation_id, messages, tool_outputs,
+    scenario_description, tool_chain, target_steps, seed, start_time); messages and outputs have a timestamp too."""
+    pick = lambda column, names: F.transform(column, lambda x: F.struct(*[(iso_time(x[n]) if n == "timestamp" else x[n]).alias(n) for n in names.split()]))
+    about = F.struct("scenario_description", "tool_chain", "target_steps", "seed", iso_time("start_time").alias("start_time"))
+    return contexts.select(
+        "conversation_id", pick("messages", "role content tool_calls tool_call_id timestamp").alias("messages"),
+        pick("tool_outputs", "endpoint_id arguments result call_id timestamp success").alias("tool_outputs"), about.alias("metadata"),
+    )
+
+
+def repair_text(messages: list[dict], outputs: list[dict], scenario: dict | None) -> str:
+    """A conversation as JSON for the prompt of a repair: calls and their ids only where there are some."""
+    said = [{"role": m["role"], "content": m["content"], **{k: m[k] for k in ("tool_calls", "tool_call_id") if m.get(k)}} for m in messages]
+    data = {"messages": said, "tool_outputs": [{k: o[k] for k in ("endpoint_id", "arguments", "result", "call_id")} for o in outputs], "scenario": scenario or {}}
+    return json.dumps(data, indent=2)
+
+
+def _parsed_list(text: Column, schema: str) -> Column:
+    return F.coalesce(F.from_json(text, schema), F.from_json(F.lit("[]"), schema))
+
+
+PLANNED_PARAMETERS = "array<struct<name:string,type:string,description:string,required:boolean,enum:array<string>,default:string>>"
+
+
+def planner_endpoints(chains: DataFrame, endpoints: DataFrame) -> DataFrame:
+    """X11 by registry: (conv, at, and the endpoint's columns) of chains(conv, chain: ids); unknown ids are dropped."""
+    return chains.select("conv", F.posexplode("chain").alias("at", "id")).join(endpoints, "id")
+
+
+def planner_chain_data(chains: DataFrame, nodes: DataFrame) -> DataFrame:
+    """X11 by chain data: (conv, at, id, name, description, tool_id, domain, parameters) of chains(conv, chain: structs of
+    endpoint_id, name, tool_id and domain), with names, descriptions and parameters of nodes(id, name, description,
+    parameters_json); steps without a node stay, and parameters that aren't JSON are an empty list."""
+    steps = chains.select("conv", F.posexplode("chain").alias("at", "s")).select("conv", "at", F.coalesce("s.endpoint_id", F.lit("")).alias("id"), "s.name", "s.tool_id", "s.domain")
+    known = nodes.select("id", F.col("name").alias("_name"), F.col("description").alias("_description"), "parameters_json")
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    return steps.join(known, "id", "left").select(
+        "conv", "at", "id", F.coalesce("_name", "name", "id").alias("name"), blank("_description").alias("description"), blank("tool_id").alias("tool_id"), blank("domain").alias("domain"),
+        _parsed_list(F.col("parameters_json"), PLANNED_PARAMETERS).alias("parameters"),
+    )
+
+
+def user_goal(scenario: dict, description: str | None = None) -> str:
+    """The scenario's goal, else its description, else a constant."""
+    return scenario.get("user_goal") or description or scenario.get("description") or "Complete the task"
+
+
+def available_tools(scenario: dict) -> list[dict]:
+    """The tools that a scenario makes available."""
+    return scenario.get("available_tools") or []

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values
+from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values, repair_text, user_goal
 from ..functions.text import is_blank, parse_response_schema, parse_type
 from ..operators.quality import DIMENSIONS
 
@@ -123,6 +123,7 @@ class Talk:
     messages: list[dict] = field(default_factory=list)
     outputs: list[dict] = field(default_factory=list)
     grounding: dict[str, str] = field(default_factory=dict)
+    scenario: dict = field(default_factory=dict)
 
     def say(self, role: str, content: str | None, calls: list[dict] | None = None, call_id: str | None = None) -> None:
         self.messages.append({"role": role, "content": content, "tool_calls": calls, "tool_call_id": call_id})
@@ -133,7 +134,8 @@ class Talk:
 
 def plan(model: Model, talk: Talk) -> None:
     """L3."""
-    talk.goal = complete_json(model, f"SCENARIO\nInvent a user who needs these tools in turn: {', '.join(talk.chain)}").get("user_goal", "")
+    talk.scenario = complete_json(model, f"SCENARIO\nInvent a user who needs these tools in turn: {', '.join(talk.chain)}")
+    talk.goal = user_goal(talk.scenario)
 
 
 def user_turn(model: Model, talk: Talk) -> None:
@@ -191,8 +193,8 @@ def repair(model: Model, talk: Talk, scores: dict[str, int], least: float) -> Ta
     at = next((k for k in range(len(talk.messages) - 1, -1, -1) if talk.messages[k]["role"] == "assistant"), None)
     if not low or at is None:
         return talk
-    out = Talk(f"{talk.id}-r", talk.chain, talk.goal, [dict(m) for m in talk.messages], list(talk.outputs), dict(talk.grounding))
-    out.messages[at]["content"] = complete(model, f"REPAIR\nBetter in {', '.join(low)}\n{talk.history()}")
+    out = Talk(f"{talk.id}-r", talk.chain, talk.goal, [dict(m) for m in talk.messages], list(talk.outputs), dict(talk.grounding), talk.scenario)
+    out.messages[at]["content"] = complete(model, f"REPAIR\nBetter in {', '.join(low)}\n{repair_text(talk.messages, talk.outputs, talk.scenario)}")
     return out
 
 

@@ -67,13 +67,27 @@ def dataset_result(results: DataFrame) -> DataFrame:
     return results.agg(F.count("*").alias("n"), F.count_if("success").alias("succeeded"), F.count_if(~F.col("success")).alias("failed"), F.coalesce(F.avg(F.col("success").cast("double")), F.lit(0.0)).alias("success_rate"))
 
 
-def generation_summary(results: DataFrame) -> DataFrame:
-    """Totals, calls and scores over successful results."""
+def generation_summary(results: DataFrame, top: int = 5) -> DataFrame:
+    """Totals; turns, calls, scores and tools over successful results; and the `top` tools with their calls.
+
+    An endpoint's tool is its id up to the first slash; calls that name a domain (a field of tool_outputs) count it.
+    Turns are null and repairs 0 where results have no messages and no such column.
+    """
     calls = F.when(F.col("success"), F.size("endpoint_ids"))
     score = F.when(judged(), average())
-    return results.agg(
+    fields = results.schema["tool_outputs"].dataType.elementType.names if "tool_outputs" in results.columns else []
+    turns = F.avg(F.when(F.col("success"), F.size("messages"))) if "messages" in results.columns else F.lit(None).cast("double")
+    totals = results.agg(
         F.count("*").alias("n"), F.count_if("success").alias("succeeded"), F.coalesce(F.avg(calls), F.lit(0.0)).alias("avg_calls"), F.avg(score).alias("avg_score"), F.min(score).alias("min_score"), F.max(score).alias("max_score"),
+        F.count_if(~F.coalesce("success", F.lit(False))).alias("failed"), (F.count_if("repaired") if "repaired" in results.columns else F.lit(0).cast("long")).alias("repaired"), turns.alias("avg_turns"),
     )
+    good = results.where("success")
+    used = good.select(F.explode("endpoint_ids").alias("id")).where("id is not null").groupBy(F.split("id", "/")[0].alias("tool")).agg(F.count("*").alias("n_calls"))
+    first = used.orderBy(F.desc("n_calls"), "tool").limit(top).agg(F.array_sort(F.collect_list(F.struct((-F.col("n_calls")).alias("less"), "tool"))).alias("top_tools"))
+    first = first.select(F.transform("top_tools", lambda x: F.struct(x["tool"].alias("tool"), (-x["less"]).alias("n_calls"))).alias("top_tools"))
+    domains = good.select(F.explode("tool_outputs").alias("o")).select(F.col("o.domain").alias("domain")).where("domain <> ''") if "domain" in fields else good.select(F.lit(None).cast("string").alias("domain")).limit(0)
+    one = totals.crossJoin(used.agg(F.count("*").alias("n_tools"))).crossJoin(domains.agg(F.countDistinct("domain").alias("n_domains")))  # single rows
+    return one.crossJoin(first)
 
 
 def report(stats: DataFrame) -> DataFrame:

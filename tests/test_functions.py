@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from convolake.functions import conversation as conv
 from convolake.functions import scoring, text
+from convolake.operators import generation
 
 
 def apply(spark, column, values, kind="string"):
@@ -132,3 +133,35 @@ def test_feedback(spark):
     df = spark.createDataFrame([(5, 9, 9, 3, "why")], "a long, b long, c long, d long, r string")
     out = df.select(conv.low_score_feedback({"tool_correctness": "a", "argument_grounding": "b", "task_completion": "c", "naturalness": "d"}, "r")).first()[0]
     assert "Tool Correctness (5/10)" in out and "Naturalness (3/10)" in out and "Grounding" not in out and out.endswith("Reasons given: why")
+
+
+def test_output_of_contexts(spark):
+    schema = "conversation_id string, messages array<struct<role:string,content:string,tool_calls:array<string>,tool_call_id:string,timestamp:timestamp>>, tool_outputs array<struct<endpoint_id:string,arguments:string,result:string,call_id:string,timestamp:timestamp,success:boolean>>, scenario_description string, tool_chain array<string>, target_steps int, seed long, start_time timestamp"
+    row = spark.sql("SELECT timestamp'2024-01-02 03:04:05' AS a, timestamp'2024-01-02 03:04:05.25' AS b").first()
+    df = spark.createDataFrame([("c", [("user", "hi", None, None, row["a"])], [("e", "{}", "{}", "1", row["b"], True)], "s", ["e"], 1, 7, None)], schema)
+    got = conv.output_of(df).first().asDict(recursive=True)
+    assert got["messages"][0]["timestamp"] == "2024-01-02T03:04:05" and got["tool_outputs"][0]["timestamp"] == "2024-01-02T03:04:05.250000" and got["tool_outputs"][0]["success"]
+    assert got["metadata"] == {"scenario_description": "s", "tool_chain": ["e"], "target_steps": 1, "seed": 7, "start_time": None}
+
+
+def test_planner_endpoints_and_goals(spark):
+    chains = spark.createDataFrame([(1, ["a", "gone", "b"])], "conv long, chain array<string>")
+    nodes = spark.createDataFrame([("a", "A", None, '[{"name": "q", "required": true}]'), ("b", None, "text", "not JSON")], "id string, name string, description string, parameters_json string")
+    assert sorted((r["at"], r["id"]) for r in conv.planner_endpoints(chains, nodes).collect()) == [(0, "a"), (2, "b")]
+    data = spark.createDataFrame([(1, [("a", None, "t", "d"), ("gone", "G", "t", None), ("b", None, None, None)])], "conv long, chain array<struct<endpoint_id:string,name:string,tool_id:string,domain:string>>")
+    got = sorted((r["at"], r["name"], r["description"], r["domain"], [p["name"] for p in r["parameters"]]) for r in conv.planner_chain_data(data, nodes).collect())
+    assert got == [(0, "A", "", "d", ["q"]), (1, "G", "", "", []), (2, "b", "text", "", [])]
+    assert [conv.user_goal(*x) for x in (({"user_goal": "g"}, "d"), ({}, "d"), ({"description": "e"},), ({},))] == ["g", "d", "e", "Complete the task"]
+    assert conv.available_tools({}) == [] and conv.available_tools({"available_tools": [{"name": "t"}]}) == [{"name": "t"}]
+
+
+def test_repair_text_and_plan():
+    class Plain:
+        def complete(self, prompt):
+            return "{}"
+
+    text_ = conv.repair_text([{"role": "user", "content": "hi", "tool_calls": None, "tool_call_id": None}, {"role": "tool", "content": "x", "tool_calls": None, "tool_call_id": "1"}], [{"endpoint_id": "e", "arguments": "{}", "result": "r", "call_id": "1", "success": True}], {"user_goal": "g"})
+    assert json.loads(text_) == {"messages": [{"role": "user", "content": "hi"}, {"role": "tool", "content": "x", "tool_call_id": "1"}], "tool_outputs": [{"endpoint_id": "e", "arguments": "{}", "result": "r", "call_id": "1"}], "scenario": {"user_goal": "g"}}
+    talk = generation.Talk("c", ["e"])
+    generation.plan(Plain(), talk)
+    assert talk.goal == "Complete the task"

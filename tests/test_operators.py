@@ -257,3 +257,14 @@ def test_plans(spark):
     ids = lambda s: [r["endpoint_id"] for r in one.select(patterns.branching(F.lit("s"), "b", F.lit("m"), s)).first()[0]]
     assert ids(None) == ["s", "x", "m"] and ids("q") == ["s", "y", "z", "m"] and ids("nope") == ["s", "m"]
     assert [r["endpoint_id"] for r in one.select(patterns.iterative(F.lit("s"), F.lit("l"), 0, F.lit("e"))).first()[0]] == ["s", "e"]
+
+
+def test_generation_summary_is_whole(spark):
+    schema = "success boolean, repaired boolean, messages array<string>, endpoint_ids array<string>, tool_outputs array<struct<domain:string>>, tool_correctness int, argument_grounding int, task_completion int, naturalness int"
+    rows = [(True, True, ["a", "b"], ["t1/x", "t1/y", "t2/x"], [("d",), ("d",), ("e",)], 8, 8, 8, 8), (True, False, ["a"] * 4, ["t2", "t3"], [(None,), ("d",)], 6, 6, 6, 6), (False, False, ["a"] * 9, ["t9/x"], [("f",)], 1, 1, 1, 1)]
+    df = spark.createDataFrame(rows, schema)
+    s = quality.generation_summary(df, top=2).first()
+    assert (s["n"], s["succeeded"], s["failed"], s["repaired"], s["avg_turns"], s["avg_calls"], s["avg_score"]) == (3, 2, 1, 1, 3.0, 2.5, 7.0)
+    assert (s["n_tools"], s["n_domains"], [tuple(t) for t in s["top_tools"]]) == (3, 2, [("t1", 2), ("t2", 2)])
+    none = quality.generation_summary(df.limit(0)).first()
+    assert (none["n"], none["n_tools"], none["top_tools"]) == (0, 0, [])
