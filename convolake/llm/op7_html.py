@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree in one pass. Script, style and other boilerplate elements (by tag, or by words in class, id
-or role) leave no text. For every other node the composite density is its characters per tag, lowered by the share of
+A page is parsed into a tree in one pass. Script, style and other boilerplate elements (by tag, or hidden) leave no text.
+Names (a whole class, id or role that is a word for boilerplate, alone or with words for parts of a page) are hints:
+such elements leave no text either, unless they are headings, or hold the node with the largest density sum while no
+other article or main element has text, or are inside the chosen element and as dense as the threshold. For every other node the composite density is its characters per tag, lowered by the share of
 link text; a node's density sum adds up its children's densities. The node with the largest sum wins; other nodes count
 where their density reaches the threshold, the least density on the way from the winner to the body. A winner inside
 an article or main element stands for that whole element.
@@ -37,6 +39,11 @@ BOILERPLATE = frozenset(
     " pagination popup promo promos promotion recommended related replies respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe"
     " subscription toolbar widget widgets".split()
 )
+PARTS = frozenset(
+    "area bar block box button buttons container content count feed footer form group header icon icons inner item items left link links list lists module outer panel post"
+    " posts right row section slot text title top bottom unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ANCHORED = frozenset("html body main".split())
 
 MARKUP = re.compile(
@@ -47,11 +54,15 @@ NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _named_boilerplate(attributes: str) -> bool:
-    for _, value, hidden in NAMED.findall(attributes):
-        if hidden or any(w.lower() in BOILERPLATE for w in WORD.findall(value)):
-            return True
-    return False
+def _hints(attributes: str) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether one of its names is boilerplate's."""
+    hidden = named = False
+    for _, value, is_hidden in NAMED.findall(attributes):
+        hidden = hidden or bool(is_hidden)
+        for token in value.strip("\"'").split():
+            words = [w.lower() for w in WORD.findall(token)]
+            named = named or any(w in BOILERPLATE for w in words) and all(w in BOILERPLATE or w in PARTS for w in words)
+    return hidden, named
 
 
 class Page:
@@ -62,6 +73,8 @@ class Page:
         #: (node, text); a text of None is the edge of a block.
         self.runs: list[tuple[int, str | None]] = []
         self.body = 0
+        #: Nodes with names of boilerplate.
+        self.hinted: list[int] = []
         open_, at = [0], 0
         while found := MARKUP.search(source, at):
             self._text(open_[-1], source[at : found.start()])
@@ -79,8 +92,10 @@ class Page:
                 while len(open_) > 1:
                     self._pop(open_)
                 self.body = self.body or len(self.parent)
-            silent = self.silent[open_[-1]] or name in SILENT or (bool(found[3]) and name not in ANCHORED and _named_boilerplate(found[3]))
-            self._open(open_, name, silent)
+            hidden, named = _hints(found[3]) if found[3] and name not in ANCHORED else (False, False)
+            self._open(open_, name, self.silent[open_[-1]] or name in SILENT or hidden)
+            if named and name not in HEADINGS and not self.silent[open_[-1]]:
+                self.hinted.append(open_[-1])
             if name in VOID or found[3].endswith("/") and name not in BLOCK and name not in RAW:
                 self._close(open_, name)
             elif name in RAW:
@@ -165,21 +180,49 @@ class Page:
                 total[self.parent[k]] += density[k]
         return density, total
 
-    def content(self) -> list[int]:
-        """The nodes whose subtrees are the main text, in document order."""
+    def _chosen(self) -> tuple[list[float], list[float], list[int], int | None]:
+        """Densities and their sums, the way from the node with the largest sum to the body, and its article or main element."""
         density, total = self.densities()
-        n = len(self.parent)
-        last = list(range(n))  # the last node of each subtree
-        for k in range(n - 1, 0, -1):
-            last[self.parent[k]] = max(last[self.parent[k]], last[k])
-        best = max(range(n), key=lambda k: (total[k], density[k], -k))
+        best = max(range(len(self.parent)), key=lambda k: (total[k], density[k], -k))
         path = [best]
         while path[-1] not in (0, self.body):
             path.append(self.parent[path[-1]])
         owner = next((k for k in reversed(path) if self.tag[k] == "main"), None)
-        owner = next((k for k in reversed(path) if self.tag[k] == "article"), owner)
+        return density, total, path, next((k for k in reversed(path) if self.tag[k] == "article"), owner)
+
+    def _silence(self, certain: list[bool], hinted: set[int]) -> None:
+        self.silent = list(certain)
+        for k in range(1, len(self.parent)):
+            self.silent[k] = self.silent[k] or k in hinted or self.silent[self.parent[k]]
+
+    def _weigh_hints(self) -> None:
+        """Silences the elements that are boilerplate by name, but for those whose densities speak against it."""
+        certain, hinted = self.silent, set(self.hinted)
+        free, _, free_path, _ = self._chosen()
+        self._silence(certain, hinted)
+        density, _, path, owner = self._chosen()
+        if owner is None and hinted & set(free_path):
+            hinted -= set(free_path)
+            self._silence(certain, hinted)
+            density, _, path, owner = self._chosen()
+        if owner is not None:
+            threshold, inside = min(density[k] for k in path), [False] * len(self.parent)
+            for k in range(owner, len(self.parent)):
+                inside[k] = k == owner or inside[self.parent[k]]
+            hinted -= {k for k in hinted if inside[k] and free[k] >= max(threshold, 1e-9)}
+            self._silence(certain, hinted)
+
+    def content(self) -> list[int]:
+        """The nodes whose subtrees are the main text, in document order."""
+        if self.hinted:
+            self._weigh_hints()
+        density, total, path, owner = self._chosen()
+        best, n = path[0], len(self.parent)
         if owner is not None:
             return [owner]
+        last = list(range(n))  # the last node of each subtree
+        for k in range(n - 1, 0, -1):
+            last[self.parent[k]] = max(last[self.parent[k]], last[k])
         threshold = min(density[k] for k in path)
         inside = best
         while inside not in (0, self.body) and self.parent[inside] not in (0, self.body) and density[self.parent[inside]] >= threshold and total[self.parent[inside]] >= 0.5 * total[best]:
@@ -195,7 +238,7 @@ class Page:
         for node in self.content():
             if self.begin[node] >= reach:
                 reach = self.end[node]
-                parts += ["\n" if t is None else t for _, t in self.runs[self.begin[node] : reach]]
+                parts += ["\n" if t is None else t for k, t in self.runs[self.begin[node] : reach] if t is None or not self.silent[k]]
                 parts.append("\n")
         return " ".join("".join(parts).split())
 

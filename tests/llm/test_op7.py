@@ -30,6 +30,23 @@ def test_cases(source, want):
     assert op7.main_text(source) == want
 
 
+HINTS = [
+    (f"<article><p>{LONG}</p><section id='search-algorithms'><h2 id='related-work'>H</h2><p>short</p></section></article>", f"{LONG} H short"),
+    (f"<body><nav>n</nav><div class='layout has-sidebar'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+    (f"<article class='post no-comments'><p>{LONG}</p></article>", LONG),
+    (f"<div class='search'><article><h1 class=share>T</h1><p>{LONG}</p></article></div>", f"T {LONG}"),
+    (f"<div id='related'><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+    (f"<article><p>{LONG}</p><div class='notice'><p>{LONG} {LONG}</p></div><div class='share-buttons'><a>x</a><a>y</a></div></article>", f"{LONG} {LONG} {LONG}"),
+    (f"<article><p>{LONG}</p></article><div class='comments'><p>{LONG} {LONG} {LONG}</p></div>", LONG),
+    (f"<article><p>{LONG}</p><p hidden>{LONG} {LONG}</p></article>", LONG),
+]
+
+
+@pytest.mark.parametrize("source,want", HINTS)
+def test_names_are_hints(source, want):
+    assert op7.main_text(source) == want
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", "<article>a</article>", "clash"), (1, "u", "<article>a</article>", "clash"), (None, None, None, None), (3, "v", "<p>" + "long word " * 50_000, "x"), (4, "w", "<div>" * 30_000 + "deep", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("n_chars", F.lit("clash"))
