@@ -16,6 +16,7 @@ their row; a component's id is its smallest non-null id. An empty table gives an
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -207,14 +208,19 @@ def fingerprint_components(fps: DataFrame, radius: int = 2, shard_rows: int = 32
     return common.components(links).select(F.col("node").alias("fp"), "root")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, **sizes) -> DataFrame:
-    """(id, fp, component) for each row of docs; see the module's text."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, radius: int, **sizes) -> DataFrame:
+    """(id, fp, root, component) for each row of docs; components whose smallest id is the same differ in root."""
     marked = common.stored(with_fingerprints(docs, id_col, text_col), "simhash")
     classes = common.stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     found = fingerprint_components(classes, radius, **sizes)
     rooted = classes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    return marked.join(rooted.select("fp", "root").join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return marked.join(rooted.select("fp", "root").join(least, "root").select("fp", "root", "component"), "fp").select("id", "fp", "root", "component")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, **sizes) -> DataFrame:
+    """(id, fp, component) for each row of docs; see the module's text."""
+    return _grouped(docs, id_col, text_col, radius, **sizes).select("id", "fp", "component")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
@@ -223,12 +229,22 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest id stays (one of them, if that id repeats).
+    """Pipeline stage: of each component the row with the smallest id stays.
 
-    Rows without an id can't be told apart and all stay.
+    Where an id stands for texts in several components, each is judged by its own text; of rows with this id in one
+    component one stays. Rows without an id can't be told apart and all stay.
     """
-    groups = near_duplicates(docs.select("doc_id", "text"), radius=radius)
-    kept = groups.where("id = component").select(F.col("id").alias("__id")).distinct()
-    joined = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return joined.withColumn("__nth", first).where("__nth = 1").drop("__nth").unionByName(docs.where("doc_id is null"))
+    groups = _grouped(docs.select("doc_id", "text"), "doc_id", "text", radius).where("id is not null")
+    each = groups.groupBy("id", "root").agg(F.min("fp").alias("fp"), F.max("fp").alias("high"), F.min("component").alias("component"))
+    # Of each kept id the fingerprints that stay, and whether it has others or several.
+    kept = each.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.when(F.col("id") == F.col("component"), F.col("fp"))).alias("__fps"), (F.min("fp") != F.max("high")).alias("__many"))
+    joined = docs.join(kept.where(F.size("__fps") > 0), F.col("doc_id") == F.col("__id"))
+
+    @F.pandas_udf("long")
+    def fingerprint(texts: pd.Series) -> pd.Series:
+        return pd.Series(fingerprints([(t or "").encode() for t in texts]).view(np.int64))
+
+    own = F.when(F.col("__many"), fingerprint(F.when(F.col("__many"), F.col("text"))))
+    joined = joined.withColumn("__fp", own).where(~F.col("__many") | F.array_contains("__fps", F.col("__fp")))
+    first = F.row_number().over(Window.partitionBy("doc_id", "__fp").orderBy(F.xxhash64("text")))
+    return joined.withColumn("__nth", first).where("__nth = 1").select(docs.columns).unionByName(docs.where("doc_id is null"))

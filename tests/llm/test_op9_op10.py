@@ -141,3 +141,14 @@ def test_keep_one(spark):
     assert got.columns == d.columns
     assert sorted(got.select("doc_id").collect(), key=str) == sorted([(3,), (1,), (9,), (None,)], key=str)
     assert op10.keep_one(d.limit(0)).count() == 0
+
+
+def test_keep_one_of_each_component_where_ids_repeat(spark):
+    """One id with texts of different components: each component keeps one row, and no other group's copy."""
+    texts = [f"{w} one {w} two {w} three {w} four" for w in ("red", "green", "blue", "white", "black", "gray")]
+    docs = [(1, texts[0]), (1, texts[1]), (2, texts[1])]  # both components have 1 as their smallest id
+    for k in range(2, 6):
+        docs += [(10 * k, f"own words of {k} alone"), (10 * k, texts[k]), (9, texts[k]), (10 * k, texts[k])]
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    want = [(1, texts[0]), (1, texts[1])] + [x for k in range(2, 6) for x in ((10 * k, f"own words of {k} alone"), (9, texts[k]))]
+    assert sorted(tuple(r) for r in op10.keep_one(d).collect()) == sorted(want)
