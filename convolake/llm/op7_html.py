@@ -2,11 +2,13 @@
 
 A page is parsed into a tree in one pass. Script, style and other boilerplate elements (by tag, or hidden) leave no text.
 Names (a whole class, id or role that is a word for boilerplate, alone or with words for parts of a page) are hints:
-such elements leave no text either, unless they are headings, or hold the node with the largest density sum while no
-other article or main element has text, or are inside the chosen element and as dense as the threshold. For every other node the composite density is its characters per tag, lowered by the share of
-link text; a node's density sum adds up its children's densities. The node with the largest sum wins; other nodes count
-where their density reaches the threshold, the least density on the way from the winner to the body. A winner inside
-an article or main element stands for that whole element.
+such elements leave no text either, unless they are headings, or hold the node with the largest density sum while hardly
+any density is left without them, or are inside the chosen region and as dense as the threshold. For every other node
+the composite density is its characters per tag, lowered by the share of link text; a node's density sum adds up its
+children's densities. The node with the largest sum wins, and its subtree (with parents as dense and of comparable sum)
+is the main text; other nodes beside it and in the body count where their density reaches the threshold, the least
+density on the way from the winner to the body. Article and main elements only bound the region in which names are
+weighed; they choose nothing.
 
 White space inside a block becomes one space, blocks are joined by one space, character references are decoded after
 parsing. Null or empty html gives an empty text. Unclosed elements end with their parents; a page that breaks off ends
@@ -45,6 +47,8 @@ PARTS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ANCHORED = frozenset("html body main".split())
+#: The share of the largest density sum below which names leave too little to be right.
+LITTLE = 0.05
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
@@ -180,35 +184,48 @@ class Page:
                 total[self.parent[k]] += density[k]
         return density, total
 
-    def _chosen(self) -> tuple[list[float], list[float], list[int], int | None]:
-        """Densities and their sums, the way from the node with the largest sum to the body, and its article or main element."""
+    def _chosen(self) -> tuple[list[float], list[float], list[int]]:
+        """Densities and their sums, and the way from the node with the largest sum to the body."""
         density, total = self.densities()
-        best = max(range(len(self.parent)), key=lambda k: (total[k], density[k], -k))
-        path = [best]
+        path = [max(range(len(self.parent)), key=lambda k: (total[k], density[k], -k))]
         while path[-1] not in (0, self.body):
             path.append(self.parent[path[-1]])
-        owner = next((k for k in reversed(path) if self.tag[k] == "main"), None)
-        return density, total, path, next((k for k in reversed(path) if self.tag[k] == "article"), owner)
+        return density, total, path
 
     def _silence(self, certain: list[bool], hinted: set[int]) -> None:
         self.silent = list(certain)
         for k in range(1, len(self.parent)):
             self.silent[k] = self.silent[k] or k in hinted or self.silent[self.parent[k]]
 
+    def _region(self, path: list[int]) -> int | None:
+        """The outermost article, else main element, around the winner or holding all of its text; else the winner, if it isn't the body."""
+        best, n = path[0], len(self.parent)
+        texts = [k for k, t in self.runs if t and not t.isspace() and not self.silent[k]]
+        around = [k for k in reversed(path) if self.tag[k] in ("article", "main")]
+        held = [0] * n
+        for k in texts:
+            held[k] += 1
+        for k in range(n - 1, 0, -1):
+            held[self.parent[k]] += held[k]
+        below = [k for k in range(best + 1, n) if self.tag[k] in ("article", "main") and held[k] and held[k] == held[best]]
+        all_ = around + below
+        return next((k for k in all_ if self.tag[k] == "article"), all_[0] if all_ else None if best in (0, self.body) else best)
+
     def _weigh_hints(self) -> None:
         """Silences the elements that are boilerplate by name, but for those whose densities speak against it."""
         certain, hinted = self.silent, set(self.hinted)
-        free, _, free_path, _ = self._chosen()
+        free, free_total, free_path = self._chosen()
         self._silence(certain, hinted)
-        density, _, path, owner = self._chosen()
-        if owner is None and hinted & set(free_path):
+        density, total, path = self._chosen()
+        if hinted & set(free_path) and total[path[0]] < LITTLE * free_total[free_path[0]]:
             hinted -= set(free_path)
             self._silence(certain, hinted)
-            density, _, path, owner = self._chosen()
-        if owner is not None:
+            density, total, path = self._chosen()
+        region = self._region(path)
+        if region is not None:
             threshold, inside = min(density[k] for k in path), [False] * len(self.parent)
-            for k in range(owner, len(self.parent)):
-                inside[k] = k == owner or inside[self.parent[k]]
+            for k in range(region, len(self.parent)):
+                inside[k] = k == region or inside[self.parent[k]]
             hinted -= {k for k in hinted if inside[k] and free[k] >= max(threshold, 1e-9)}
             self._silence(certain, hinted)
 
@@ -216,10 +233,8 @@ class Page:
         """The nodes whose subtrees are the main text, in document order."""
         if self.hinted:
             self._weigh_hints()
-        density, total, path, owner = self._chosen()
+        density, total, path = self._chosen()
         best, n = path[0], len(self.parent)
-        if owner is not None:
-            return [owner]
         last = list(range(n))  # the last node of each subtree
         for k in range(n - 1, 0, -1):
             last[self.parent[k]] = max(last[self.parent[k]], last[k])

@@ -1,7 +1,9 @@
 """Main texts of hand-made and of the driver's pages."""
 
 import html
+import math
 import os
+import random
 import re
 
 import pandas as pd
@@ -61,3 +63,69 @@ def test_pages_hold_their_articles():
         inner = re.search(r"<article>(.*?)(</article>|$)", source, re.S)[1]
         inner = re.sub(r"<[^>]*>", "", re.sub(r"<br>|</?p>|</?h1>", " ", inner))
         assert op7.main_text(source) == " ".join(html.unescape(inner).split())
+
+
+def _tree(rng, depth=0):
+    """A random element: (tag, texts and elements)."""
+    tag = "p" if depth > 3 else rng.choice(["div", "div", "section", "article", "a", "b"] if depth else ["div"])
+    inner = []
+    for _ in range(rng.randint(1, 4)):
+        inner.append(" ".join(rng.choice(["ab", "cde", "fghi"]) for _ in range(rng.randint(1, 12))) if tag in ("p", "a", "b") or rng.random() < 0.3 else _tree(rng, depth + 1))
+    return tag, inner
+
+
+def _source(node):
+    return node if isinstance(node, str) else f"<{node[0]}>" + "".join(map(_source, node[1])) + f"</{node[0]}>"
+
+
+def _chars(node, linked=None):
+    """Characters of a subtree that are no spaces: all, or those in links."""
+    if isinstance(node, str):
+        return len(node.replace(" ", "")) if linked in (None, True) else 0
+    inside = True if linked is not None and node[0] == "a" else linked
+    return sum(_chars(x, inside) for x in node[1])
+
+
+def _tags(node, kind=None):
+    return sum((kind is None or x[0] == kind) + _tags(x, kind) for x in node[1] if not isinstance(x, str))
+
+
+def _density(node, body):
+    c, lc = _chars(node), _chars(node, False)
+    t, lt = max(1, _tags(node)), max(1, _tags(node, "a") + (node[0] == "a"))
+    base = math.log(c / max(1, c - lc) * lc + _chars(body, False) / max(1, _chars(body)) * c + math.e)
+    return c / t * max(0.0, math.log(c / max(1, lc) * t / lt) / base)
+
+
+def _elements(node):
+    yield node
+    for x in node[1]:
+        if not isinstance(x, str):
+            yield from _elements(x)
+
+
+def test_densities_against_their_definition():
+    rng = random.Random(7)
+    for _ in range(200):
+        body = ("body", [_tree(rng) for _ in range(rng.randint(1, 4))])
+        page = op7.Page(_source(body))
+        density, total = page.densities()
+        own = list(_elements(body))
+        assert page.tag[page.body :] == [x[0] for x in own]
+        want = [_density(x, body) for x in own]
+        assert density[page.body :] == pytest.approx(want)
+        sums = [sum(_density(y, body) for y in x[1] if not isinstance(y, str)) for x in own]
+        assert total[page.body :] == pytest.approx(sums)
+        # The winner, and nothing below the least density of its way to the body.
+        best = max(range(len(own)), key=lambda k: (round(sums[k], 9), round(want[k], 9), -k))
+        if sums[best] > max([s for k, s in enumerate(sums) if k != best], default=0) + 1e-6:
+            chosen = [max(0, k - page.body) for k in page.content()]  # the root stands for the body
+            assert any(id(own[best]) in map(id, _elements(own[k])) for k in chosen)
+            way = [x for x in own if id(own[best]) in map(id, _elements(x))]
+            assert all(want[k] >= min(_density(x, body) for x in way) - 1e-9 for k in chosen)
+
+
+def test_article_elements_choose_nothing():
+    page = f"<body><article><p>ad</p></article><div><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert op7.main_text(page) == f"{LONG} {LONG}"
+    assert op7.main_text(page.replace("article", "div")) == f"{LONG} {LONG}"
