@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch with about `most` bytes of text each (one row at least), and their texts as bytes, null as empty."""
     texts = batch.column(column).cast(pa.large_binary())
-    sizes = np.cumsum(np.array([0 if n is None else n for n in pa.compute.binary_length(texts).to_pylist()], np.int64))
+    sizes = np.cumsum(np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64))
     at = 0
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))

@@ -5,9 +5,14 @@ width; the cells of `k` projections name a bucket, in each of `tables` tables. k
 of classes, so that unrelated vectors share a bucket with about `bucket` others, and the number of tables keeps the
 chance to miss a pair at the threshold below `miss` (far below that for closer pairs).
 
-A row of a bucket carries its vector and its signature, so a pair is checked where it meets, and counted only in the
-first table where it meets; no pairs are sent. What leaves a task are link counts of classes and a spanning forest of
-the links. Buckets of over `most` rows are cut into blocks, and each pair of blocks is a group of its own.
+Vectors are not sent to their buckets: a row of a bucket is a class's number and a sketch of 128 signs of projections.
+Pairs in a bucket whose sketches differ in no more signs than pairs at the threshold do (by four deviations) are
+candidates; of these a spanning forest leaves the task. What candidates connect is then brought together, each vector
+once, and all pairs in there are checked exactly. Where candidates connect more than `most` classes, these vectors go to
+their buckets, and a pair counts in the first table where it meets, told by whole 64-bit bucket names.
+
+No pairs are sent. What leaves a task are link counts of classes and a spanning forest of the links. Buckets of over
+`most` rows are cut into blocks, and each pair of blocks is a group of its own.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors of different sizes
 never link. Rows that repeat are vectors of their own (copies). Rows without an id keep their row; a component's id is
@@ -20,11 +25,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
+SKETCH = 128
 ROW = "bucket long, t int, cid long, n long, sig binary, vec binary"
 
 
@@ -35,7 +42,7 @@ def same_cell(distance: float, width: float) -> float:
 
 
 class Hashing:
-    def __init__(self, rows: int, threshold: float, miss: float = 1e-3, bucket: int = 32, width: float = 2.5, seed: int = 6):
+    def __init__(self, rows: int, threshold: float, miss: float = 1e-3, bucket: int = 256, width: float = 2.5, seed: int = 6):
         near, far = same_cell(math.sqrt(2 - 2 * threshold), width), same_cell(math.sqrt(2), width)
         self.k = max(4, math.ceil(math.log(max(rows, bucket) / bucket) / -math.log(far)))
         self.tables = math.ceil(math.log(miss) / math.log1p(-(near**self.k)))
@@ -54,28 +61,38 @@ class Hashing:
         return x ^ (x >> np.uint64(29))
 
 
-def _units(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), "<f8").reshape(len(vectors), -1)
+class Sketching:
+    """Signs of projections: near pairs differ in few of them."""
+
+    def __init__(self, threshold: float, seed: int = 9, deviations: float = 4.0):
+        share = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
+        self.seed, self.most = seed, math.floor(SKETCH * share + deviations * math.sqrt(SKETCH * share * (1 - share)))
+
+    def __call__(self, unit: np.ndarray) -> np.ndarray:
+        turn = np.random.default_rng([self.seed, unit.shape[1]]).normal(size=(unit.shape[1], SKETCH))
+        return np.packbits(unit @ turn > 0, axis=1).view(np.uint64)
+
+
+def _units(x: np.ndarray) -> np.ndarray:
+    """Vectors of length one. Scaled by the largest component first: its square neither overflows nor vanishes."""
+    x = x / np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 class Block:
-    """Rows of some groups, of one vector size; checks pairs and keeps counts and a forest."""
+    """Rows of some groups; finds the pairs that are near and keeps a forest of them."""
+
+    def __init__(self, rows: int):
+        self.forest = common.Forest(rows)
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
 
-    def __init__(self, cid: np.ndarray, n: np.ndarray, table: np.ndarray, sig: np.ndarray, unit: np.ndarray, threshold: float):
-        self.cid, self.n, self.table, self.sig, self.unit, self.threshold = cid, n, table, sig, unit, threshold
-        self.links, self.forest = np.zeros(len(cid), np.int64), common.Forest(len(cid))
+    def near_all(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        raise NotImplementedError
 
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        """Pairs that reach the threshold, unless an earlier table has them too."""
-        t = self.table[i]
-        earlier = (self.sig[i] == self.sig[j]) & (np.arange(self.sig.shape[1]) < t[:, None])
-        first = ~earlier.any(1)
-        i, j = i[first], j[first]
-        if len(i):
-            np.add.at(self.links, i, self.n[j])
-            np.add.at(self.links, j, self.n[i])
-            self.forest.add(i, j)
+        self.forest.add(i, j)
 
     def small(self, start: np.ndarray, size: np.ndarray) -> None:
         """All pairs within groups of a few rows, by how far apart they stand."""
@@ -85,7 +102,7 @@ class Block:
             k = np.flatnonzero(of[apart:] == of[:-apart])
             for part in np.array_split(k, len(k) // 50_000 + 1):
                 i, j = at[part], at[part + apart]
-                hit = np.einsum("nd,nd->n", self.unit[i], self.unit[j]) >= self.threshold
+                hit = self.near(i, j)
                 if hit.any():
                     self.add(i[hit], j[hit])
 
@@ -94,43 +111,105 @@ class Block:
         for a in range(0, len(left), step):
             for b in range(a if same else 0, len(right), step):
                 x, y = left[a : a + step], right[b : b + step]
-                i, j = np.nonzero(self.unit[x] @ self.unit[y].T >= self.threshold)
+                i, j = np.nonzero(self.near_all(x, y))
                 if same and a == b:
                     i, j = i[i < j], j[i < j]
                 for part in range(0, len(i), 100_000):
                     self.add(x[i[part : part + 100_000]], y[j[part : part + 100_000]])
 
-
-def _check(rows: pa.Table, threshold: float, small: int = 128) -> pa.RecordBatch | None:
-    """Link counts (a: class, b: null) and forest links (a, b) of whole groups; rows are sorted by group."""
-    lengths = rows["vec"].combine_chunks().cast(pa.large_binary())
-    lengths = np.asarray(pa.compute.binary_length(lengths))
-    out = []
-    for size in np.unique(lengths):
-        part = rows.filter(pa.array(lengths == size)) if (lengths != size).any() else rows
-        column = lambda name: part[name].to_numpy()
-        keys = np.stack([column("bucket"), column("i"), column("j")], 1)
+    def groups(self, keys: np.ndarray, own: np.ndarray, few: int = 128) -> None:
+        """All pairs of each group; keys (group, i, j) are sorted, and rows of blocks i and j meet where these differ."""
         edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))
         count = np.diff(np.append(edge, len(keys)))
-        sig = np.frombuffer(b"".join(part["sig"].to_pylist()), "<u4").reshape(len(keys), -1)
-        block = Block(column("cid"), column("n"), column("t"), sig, _units(part["vec"].to_pylist()), threshold)
-        few = (count <= small) & (keys[edge, 1] == keys[edge, 2])
-        block.small(edge[few], count[few])
-        own = column("own")
-        for a, s in zip(edge[~few], count[~few]):
+        little = (count <= few) & (keys[edge, 1] == keys[edge, 2])
+        self.small(edge[little], count[little])
+        for a, s in zip(edge[~little], count[~little]):
             at = np.arange(a, a + s)
             if keys[a, 1] == keys[a, 2]:
-                block.large(at, at, True)
+                self.large(at, at, True)
             else:
-                block.large(at[own[at] == keys[a, 1]], at[own[at] == keys[a, 2]], False)
-        hit = np.flatnonzero(block.links)
+                self.large(at[own[at] == keys[a, 1]], at[own[at] == keys[a, 2]], False)
+
+
+class Sketches(Block):
+    def __init__(self, bits: np.ndarray, most: int):
+        super().__init__(len(bits))
+        self.bits, self.most = bits, most
+
+    def near(self, i, j):
+        return np.bitwise_count(self.bits[i] ^ self.bits[j]).sum(1) <= self.most
+
+    def near_all(self, i, j):
+        return sum(np.bitwise_count(self.bits[i, None, k] ^ self.bits[None, j, k]) for k in range(self.bits.shape[1])) <= self.most
+
+
+class Vectors(Block):
+    """Checks cosines, and counts links of classes of n rows each."""
+
+    def __init__(self, n: np.ndarray, table: np.ndarray, sig: np.ndarray, unit: np.ndarray, threshold: float):
+        super().__init__(len(n))
+        self.n, self.table, self.sig, self.unit, self.threshold = n, table, sig, unit, threshold
+        self.links = np.zeros(len(n), np.int64)
+
+    def near(self, i, j):
+        return np.einsum("nd,nd->n", self.unit[i], self.unit[j]) >= self.threshold
+
+    def near_all(self, i, j):
+        return self.unit[i] @ self.unit[j].T >= self.threshold
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Pairs that reach the threshold, unless an earlier table has them too."""
+        earlier = (self.sig[i] == self.sig[j]) & (np.arange(self.sig.shape[1]) < self.table[i][:, None])
+        first = ~earlier.any(1)
+        i, j = i[first], j[first]
+        if len(i):
+            np.add.at(self.links, i, self.n[j])
+            np.add.at(self.links, j, self.n[i])
+            self.forest.add(i, j)
+
+
+def _keys(rows: pa.Table) -> np.ndarray:
+    return np.stack([rows[c].to_numpy() for c in ("bucket", "i", "j")], 1)
+
+
+def _candidates(most: int):
+    """Forest links (a, b) of the rows of whole groups whose sketches are near."""
+
+    def check(rows: pa.Table) -> pa.RecordBatch | None:
+        block = Sketches(np.stack([rows[c].to_numpy().view(np.uint64) for c in ("s0", "s1")], 1), most)
+        block.groups(_keys(rows), rows["own"].to_numpy())
         a, b = block.forest.links()
-        out.append((np.concatenate([block.cid[hit], block.cid[a]]), np.concatenate([block.links[hit], block.cid[b]]), np.repeat([True, False], [len(hit), len(a)])))
-    a, b, counted = (np.concatenate(x) for x in zip(*out))
-    return pa.RecordBatch.from_arrays([pa.array(counted), pa.array(a), pa.array(b)], ["counted", "a", "b"]) if len(a) else None
+        cid = rows["cid"].to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(cid[a]), pa.array(cid[b])], ["a", "b"]) if len(a) else None
+
+    return check
 
 
-def _by_group(threshold: float, rows: int = 16_384):
+def _check(threshold: float):
+    """Link counts (a: class, b: null) and forest links (a, b) of whole groups."""
+
+    def check(rows: pa.Table) -> pa.RecordBatch | None:
+        width = lambda c: np.asarray(pc.binary_length(rows[c].combine_chunks().cast(pa.large_binary())))
+        vec, sig = width("vec"), width("sig")
+        out = []
+        for size, names in sorted(set(zip(vec.tolist(), sig.tolist()))):
+            part = rows.filter(pa.array((vec == size) & (sig == names)))
+            column = lambda c: part[c].to_numpy()
+            x = np.frombuffer(b"".join(part["vec"].to_pylist()), "<f8").reshape(part.num_rows, -1)
+            block = Vectors(column("n"), column("t"), np.frombuffer(b"".join(part["sig"].to_pylist()), "<u8").reshape(part.num_rows, names // 8), _units(x), threshold)
+            block.groups(_keys(part), column("own"))
+            hit, cid = np.flatnonzero(block.links), column("cid")
+            a, b = block.forest.links()
+            out.append((np.concatenate([cid[hit], cid[a]]), np.concatenate([block.links[hit], cid[b]]), np.repeat([True, False], [len(hit), len(a)])))
+        a, b, counted = (np.concatenate(x) for x in zip(*out))
+        return pa.RecordBatch.from_arrays([pa.array(counted), pa.array(a), pa.array(b)], ["counted", "a", "b"]) if len(a) else None
+
+    return check
+
+
+def _by_group(check, rows: int = 16_384):
+    """Calls check with whole groups, about `rows` rows at a time; rows come sorted by group."""
+
     def run(batches):
         held: list[pa.RecordBatch] = []
         waiting = 0
@@ -140,12 +219,11 @@ def _by_group(threshold: float, rows: int = 16_384):
             held.clear()
             cut = table.num_rows
             if not final:
-                last = [table[c].to_numpy() for c in ("bucket", "i", "j")]
-                same = np.logical_and.reduce([x == x[-1] for x in last])
+                same = (_keys(table) == _keys(table.slice(cut - 1))).all(1)
                 cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
                 if cut < table.num_rows:
                     held.extend(table.slice(cut).to_batches())
-            return _check(table.slice(0, cut), threshold) if cut else None
+            return check(table.slice(0, cut)) if cut else None
 
         for batch in batches:
             if batch.num_rows:
@@ -161,7 +239,30 @@ def _by_group(threshold: float, rows: int = 16_384):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e-3, most: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _of_size(batches, step: int = 512):
+    """Parts of batches whose vectors (column v) are of one size, and their vectors."""
+    for batch in batches:
+        sizes = np.asarray(pc.list_value_length(batch.column("v")))
+        for size in np.unique(sizes):
+            of_size = batch.filter(pa.array(sizes == size))
+            for at in range(0, of_size.num_rows, step):
+                part = of_size.slice(at, step)
+                yield part, np.asarray(part.column("v").flatten()).reshape(part.num_rows, -1)
+
+
+def _grouped(rows: DataFrame, check, schema: str) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(_by_group(check), schema)
+
+
+def _blocks(rows: DataFrame, hot: DataFrame, most: int) -> DataFrame:
+    """rows with own, i and j: buckets of over `most` rows are cut into parts, each row goes to each pair with its own."""
+    if hot.isEmpty():
+        return rows.select("*", F.lit(0).alias("own"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    rows = rows.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
+    return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "parts")
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e-3, most: int = 4096, bucket: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, n_links, component) for each row of vectors."""
     read = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
@@ -169,49 +270,51 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e
     keyed = common.stored(marked.select("id", "fine", F.when(F.col("fine"), F.struct(F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g"))).alias("key")), "vectors")
     grouped = marked.where("fine").groupBy(F.struct(F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g")).alias("key")).agg(F.first("v").alias("v"), F.count("*").alias("n"), F.min("id").alias("least"))
     classes = common.stored(grouped.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    hashing = Hashing(classes.count(), threshold, miss)
-
-    def spread(whole: bool):
-        def run(batches):
-            for batch in batches:
-                sizes = np.asarray(pa.compute.list_value_length(batch.column("v")))
-                for size in np.unique(sizes):
-                    of_size = batch.filter(pa.array(sizes == size))
-                    for at in range(0, of_size.num_rows, 512):
-                        part = of_size.slice(at, 512)
-                        x = np.asarray(part.column("v").flatten()).reshape(part.num_rows, -1)
-                        # Scaled by the largest component first: its square neither overflows nor vanishes.
-                        x = x / np.abs(x).max(1, keepdims=True)
-                        sig = hashing.signatures(x / np.linalg.norm(x, axis=1, keepdims=True))
-                        t = np.tile(np.arange(hashing.tables), part.num_rows)
-                        bucket = (sig + np.arange(hashing.tables, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)).ravel().view(np.int64)
-                        if not whole:
-                            yield pa.RecordBatch.from_arrays([pa.array(bucket)], ["bucket"])
-                            continue
-                        again = np.repeat(np.arange(part.num_rows), hashing.tables)
-                        short = [s.tobytes() for s in (sig & np.uint64(0xFFFFFFFF)).astype("<u4")]
-                        vec = [v.tobytes() for v in x.astype("<f8")]
-                        cid, n = np.asarray(part.column("cid"))[again], np.asarray(part.column("n"))[again]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(bucket), pa.array(t.astype(np.int32)), pa.array(cid), pa.array(n), pa.array([short[k] for k in again], pa.binary()), pa.array([vec[k] for k in again], pa.binary())],
-                            ["bucket", "t", "cid", "n", "sig", "vec"],
-                        )
-
-        return run
+    hashing, sketching = Hashing(classes.count(), threshold, miss, bucket), Sketching(threshold)
+
+    def buckets(sig: np.ndarray) -> np.ndarray:
+        return (sig + np.arange(hashing.tables, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)).ravel().view(np.int64)  # Fixed value: an odd step.
+
+    def names(batches):
+        for _, x in _of_size(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(buckets(hashing.signatures(_units(x))))], ["bucket"])
+
+    def sketched(batches):
+        for part, x in _of_size(batches):
+            unit = _units(x)
+            short, again = sketching(unit).view(np.int64), np.repeat(np.arange(len(x)), hashing.tables)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (buckets(hashing.signatures(unit)), np.asarray(part.column("cid"))[again], short[again, 0], short[again, 1])], ["bucket", "cid", "s0", "s1"])
+
+    def spread(batches):
+        for part, x in _of_size(batches):
+            sig, again = hashing.signatures(_units(x)), np.repeat(np.arange(len(x)), hashing.tables)
+            t = np.tile(np.arange(hashing.tables, dtype=np.int32), len(x))
+            vec, own = [v.tobytes() for v in x.astype("<f8")], [s.tobytes() for s in sig.astype("<u8")]
+            cid, n = np.asarray(part.column("cid"))[again], np.asarray(part.column("n"))[again]
+            yield pa.RecordBatch.from_arrays([pa.array(buckets(sig)), pa.array(t), pa.array(cid), pa.array(n), pa.array([own[k] for k in again], pa.binary()), pa.array([vec[k] for k in again], pa.binary())], ["bucket", "t", "cid", "n", "sig", "vec"])
+
+    def together(batches):
+        for part, x in _of_size(batches):
+            none = pa.array([b""] * len(x), pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("root"), pa.array(np.zeros(len(x), np.int32)), part.column("cid"), part.column("n"), none, pa.array([v.tobytes() for v in x.astype("<f8")], pa.binary())], ["bucket", "t", "cid", "n", "sig", "vec"])
 
     # Which buckets are large is read from all buckets' counts; Spark broadcasts the few only if they are small.
-    hot = classes.mapInArrow(spread(False), "bucket long").groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > most)
+    hot = classes.select("v").mapInArrow(names, "bucket long").groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > most)
     hot = common.stored(hot.select("bucket", F.ceil(F.col("rows") / most).cast("int").alias("parts")), "hot-buckets")
-    rows = classes.mapInArrow(spread(True), ROW)
-    if hot.isEmpty():
-        rows = rows.select("*", F.lit(0).alias("own"), F.lit(0).alias("i"), F.lit(0).alias("j"))
-    else:
-        rows = rows.join(hot, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    dealt = rows.select("bucket", "t", "cid", "n", "sig", "vec", "own", "i", "j").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    found = common.stored(dealt.mapInArrow(_by_group(threshold), "counted boolean, a long, b long"), "vector-links")
+    met = _blocks(classes.select("v", "cid").mapInArrow(sketched, "bucket long, cid long, s0 long, s1 long"), hot, most)
+    near = common.components(_grouped(met, _candidates(sketching.most), "a long, b long"))
+    wide = common.stored(near.groupBy("root").agg((F.count("*") + 1).alias("size")).where(F.col("size") > most).select("root", F.lit(True).alias("wide")), "wide")
+    members = near.select(F.col("node").alias("cid"), "root").union(near.select("root", "root").distinct())
+    held = classes.select("v", "n", "cid").join(members.join(wide, "root", "left"), "cid")
+    rows = held.where("wide is null").select("v", "n", "cid", "root").mapInArrow(together, ROW).select("*", *[F.lit(-1).alias(c) for c in ("own", "i", "j")])
+    chained = not wide.isEmpty()
+    if chained:
+        rows = rows.unionByName(_blocks(held.where("wide").select("v", "n", "cid").mapInArrow(spread, ROW), hot, most))
+    found = common.stored(_grouped(rows, _check(threshold), "counted boolean, a long, b long"), "vector-links")
     counts = found.where("counted").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("links"))
-    roots = common.components(found.where("not counted").select("a", "b")).withColumnRenamed("node", "cid")
+    # What was brought together whole is linked whole, too: a forest's links lead to one class of each component.
+    links = found.where("not counted").select("a", "b")
+    roots = (common.components(links) if chained else links.toDF("node", "root")).withColumnRenamed("node", "cid")
     joined = classes.select("key", "cid", "n", "least").join(counts, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
     result = joined.join(least, "root").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component")

@@ -45,3 +45,25 @@ def test_empty_and_lonely(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (None, None)], "vec_id long, embedding array<float>")
     assert sorted((tuple(r) for r in op6.near_duplicates(df).collect()), key=str) == [(1, 0, 1), (None, 0, None)]
     assert op6.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_recall_with_the_querys_parameters(spark):
+    """Pairs just at the threshold are the hardest; all parameters are near_duplicates()' own."""
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(1500, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = np.repeat([0.9005, 0.92, 0.95], 500)[:, None]
+    near = base * cosine + side * np.sqrt(1 - cosine**2)
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(np.concatenate([base, near]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = set(enumerate(((unit @ unit.T >= 0.9).sum(1) - 1).tolist()))
+    got = [(r[0], r[1]) for r in op6.near_duplicates(df, 0.9).collect()]
+    assert len(got) == len(rows) and sum(x in want for x in got) >= 0.998 * len(rows)
+    by_id = dict(want)
+    assert all(n <= by_id[i] for i, n in got)
+    assert len({r[0] for r in got if by_id[r[0]] == 0 and r[1]}) == 0
