@@ -68,6 +68,10 @@ class Forest:
         return node, root[node]
 
 
+#: What tells whether a round of components() changed anything.
+_MARK = ("count(*)", "sum(cast(xxhash64(v, m) as decimal(38, 0)))")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of edges (a, b) that isn't its component's smallest; root is that smallest node.
 
@@ -76,8 +80,8 @@ def components(edges: DataFrame) -> DataFrame:
     the longest chain.
     """
     state = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).distinct(), "edges")
-    mark = None
-    while True:
+    mark, now = None, tuple(state.selectExpr(*_MARK).first())
+    while now != mark and now[0]:
         both = state.select(F.col("v").alias("u"), F.col("m").alias("w")).union(state.select(F.col("m"), F.col("v")))
         least = both.groupBy("u").agg(F.min("w").alias("w0")).select("u", F.least("u", "w0").alias("m"))
         large = both.where("w > u").join(least, "u").select(F.col("w").alias("v"), "m").distinct()
@@ -85,7 +89,5 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "v").where("m <> mm").select(F.col("m").alias("v"), F.col("mm").alias("m")).union(low.select("v", F.col("mm").alias("m"))).distinct()
         before, state = state, stored(small, "edges")
         drop_stored(before)
-        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first())
-        if now == mark or now[0] == 0:
-            return state.select(F.col("v").alias("node"), F.col("m").alias("root"))
-        mark = now
+        mark, now = now, tuple(state.selectExpr(*_MARK).first())
+    return state.select(F.col("v").alias("node"), F.col("m").alias("root"))
