@@ -9,6 +9,10 @@ in base spans are observed. Tokens that come out as personal data become further
 Weights are learnt from base labels on a bounded sample of documents (`sample_docs`, by a hash of the id): logistic
 regression for nodes, label agreement for chains and skips. The sample only fits weights; every document is searched.
 
+Texts are taken about a megabyte at a time, a longer one alone. Tokens, edges and messages are flat arrays, the two
+matrices of potentials are shared by all edges, and messages are made for some edges at a time, so a long text of
+numbers takes about a hundred bytes for each character.
+
 Null texts are empty and have no spans. Spans are in code points, ends exclusive. Rows that repeat give repeated rows;
 an empty table gives an empty result; other columns are not read.
 """
@@ -16,6 +20,8 @@ an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -89,10 +95,16 @@ FEATURES = (
 )
 
 
-def _features(text: str, spans: list[tuple[int, int]]) -> list[int]:
+#: Bytes of text that are searched at once, a longer text alone.
+SLICE = 1_000_000
+
+
+def _features(text: str, spans: Iterable[tuple[int, int]]) -> array:
     """Bits of FEATURES for each token."""
-    out, plus_end = [], -9
-    for k, (a, b) in enumerate(spans):
+    out, plus_end, spans, end = array("q"), -9, iter(spans), None
+    now = next(spans, None)
+    while now is not None:
+        (a, b), after = now, next(spans, None)
         t = text[a:b].strip(EDGES)
         letters = any(c.isalpha() for c in t)
         # Digits between letters (of a hash, say) are no number.
@@ -100,7 +112,7 @@ def _features(text: str, spans: list[tuple[int, int]]) -> list[int]:
         n = len(digits)
         parts = t.split(".")
         quad = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
-        near = (k > 0 and a - spans[k - 1][1] <= 2) or (k + 1 < len(spans) and spans[k + 1][0] - b <= 2)
+        near = (end is not None and a - end <= 2) or (after is not None and after[0] - b <= 2)
         flags = (
             True, "@" in t, "@" in t and "." in t.rpartition("@")[2], letters, 1 <= n <= 3, 4 <= n <= 6, 7 <= n <= 9, 10 <= n <= 13, 14 <= n <= 19, n >= 20,
             14 <= n <= 19 and luhn(digits), text[a] == "+", quad, quad and all(len(p) <= 3 and int(p) <= 255 for p in parts), "(" in text[a:b], "-" in t, a - plus_end <= 2, near,
@@ -109,6 +121,7 @@ def _features(text: str, spans: list[tuple[int, int]]) -> list[int]:
         if text[a] == "+" or (a - plus_end <= 2 and n == len([c for c in t if c not in "()-. "])):
             plus_end = b
         out.append(sum(1 << i for i, f in enumerate(flags) if f))
+        now, end = after, b
     return out
 
 
@@ -126,14 +139,17 @@ class Tokens:
     """The field's nodes and edges for some texts."""
 
     def __init__(self, texts: list[str], base: list[list[tuple[int, int, int]]]):
-        self.doc, self.spans, bits, observed, chain, skip = [], [], [], [], [], []
-        for d, (text, known) in enumerate(zip(texts, base)):
-            spans = [m.span() for m in TOKEN.finditer(text)]
-            if not spans:
-                continue
-            first, heads, last, i = len(self.spans), {}, {}, 0
-            bits += _features(text, spans)
-            for k, (a, b) in enumerate(spans):
+        places, sizes, bits, observed, chain, skip = (array("q") for _ in range(6))
+        for text, known in zip(texts, base):
+            first = len(places) // 2
+            for m in TOKEN.finditer(text):
+                places.extend(m.span())
+            spans = lambda: zip(places[2 * first :: 2], places[2 * first + 1 :: 2])  # noqa: B023, E731
+            sizes.append(len(places) // 2 - first)
+            bits.extend(_features(text, spans()))
+            # heads holds keys that repeat.
+            heads, last, i, end = {}, {}, 0, -9
+            for k, (a, b) in enumerate(spans(), first):
                 while i < len(known) and known[i][1] <= a:
                     i += 1
                 # Spans of different kinds may overlap; the first that meets the token labels it.
@@ -141,19 +157,21 @@ class Tokens:
                 while j < len(known) and known[j][0] < b and not label:
                     label, j = (known[j][2] + 1) * (known[j][1] > a), j + 1
                 observed.append(label)
-                if k and a - spans[k - 1][1] <= 2:
-                    chain.append((first + k - 1, first + k))
+                if a - end <= 2:
+                    chain.extend((k - 1, k))
+                end = b
                 if key := _key(text[a:b]):
                     if key in last:
-                        skip.append((last[key], first + k))
-                        if heads[key] != last[key]:
-                            skip.append((heads[key], first + k))
-                    heads.setdefault(key, first + k)
-                    last[key] = first + k
-            self.doc += [d] * len(spans)
-            self.spans += spans
-        self.bits, self.observed = np.array(bits, np.int64), np.array(observed, np.int64)
-        self.chain, self.skip = (np.array(x, np.int64).reshape(-1, 2) for x in (chain, skip))
+                        skip.extend((last[key], k))
+                        if key in heads:
+                            skip.extend((heads[key], k))
+                        else:
+                            heads[key] = last[key]
+                    last[key] = k
+        flat = lambda x: np.frombuffer(x, np.int64) if len(x) else np.empty(0, np.int64)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), flat(sizes))
+        self.spans, self.bits, self.observed = flat(places).reshape(-1, 2), flat(bits), np.array(flat(observed), np.int8)
+        self.chain, self.skip = (flat(x).reshape(-1, 2) for x in (chain, skip))
 
 
 def _matrix(bits: np.ndarray) -> np.ndarray:
@@ -189,29 +207,41 @@ def fit(counts: list[tuple[str, int, int, int]]) -> dict[str, np.ndarray]:
     return out
 
 
-def infer(tokens: Tokens, weights: dict[str, np.ndarray], rounds: int = 12) -> np.ndarray:
-    """Probabilities of LABELS for each token, by damped loopy sum-product messages."""
-    score = _matrix(tokens.bits) @ weights["node"]
-    seen = tokens.observed > 0
+def _sent(belief: np.ndarray, back: np.ndarray, potential: np.ndarray) -> np.ndarray:
+    """Messages from nodes of these beliefs, less what came back, in logarithms; potential is no logarithm."""
+    out = belief - back
+    most = out.max(1, keepdims=True)
+    new = np.log(np.exp(out - most) @ potential)
+    return new - new.max(1, keepdims=True)
+
+
+def infer(tokens: Tokens, weights: dict[str, np.ndarray], rounds: int = 12, step: int = 1 << 16) -> np.ndarray:
+    """Probabilities of LABELS for each token, by damped loopy sum-product messages, made for `step` edges at a time."""
+    kinds, at = np.unique(tokens.bits, return_inverse=True)
+    score = (_matrix(kinds) @ weights["node"]).astype(np.float32)[at]
+    seen = np.flatnonzero(tokens.observed)
     score[seen] = -30.0
     score[seen, tokens.observed[seen]] = 0.0
-    edges = np.concatenate([tokens.chain, tokens.skip])
-    pair = np.concatenate([np.broadcast_to(weights[k], (len(e), 5, 5)) for k, e in (("chain", tokens.chain), ("skip", tokens.skip))])
-    source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-    pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
-    back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-    message = np.zeros((len(source), len(LABELS)))
     belief = score.copy()
-    for _ in range(rounds if len(edges) else 0):
-        out = (belief[source] - message[back])[:, :, None] + pair
-        most = out.max(1, keepdims=True)
-        new = (np.log(np.exp(out - most).sum(1)) + most[:, 0])
-        new -= new.max(1, keepdims=True)
-        message = 0.5 * message + 0.5 * new
-        belief = score.copy()
-        np.add.at(belief, target, message)
-    p = np.exp(belief - belief.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+    # For each edge a message there and one back.
+    sides = [(e, np.exp(weights[k]).astype(np.float32), np.zeros((2, len(e), len(LABELS)), np.float32)) for k, e in (("chain", tokens.chain), ("skip", tokens.skip)) if len(e)]
+    for _ in range(rounds if sides else 0):
+        for edges, potential, message in sides:
+            for k in range(0, len(edges), step):
+                part = slice(k, k + step)
+                there = _sent(belief[edges[part, 0]], message[1, part], potential)
+                back = _sent(belief[edges[part, 1]], message[0, part], potential.T)
+                message[0, part] += 0.5 * (there - message[0, part])
+                message[1, part] += 0.5 * (back - message[1, part])
+        belief[:] = score
+        for edges, _, message in sides:
+            for k in range(0, len(edges), step):
+                np.add.at(belief, edges[k : k + step, 1], message[0, k : k + step])
+                np.add.at(belief, edges[k : k + step, 0], message[1, k : k + step])
+    belief -= belief.max(1, keepdims=True)
+    np.exp(belief, out=belief)
+    belief /= belief.sum(1, keepdims=True)
+    return belief
 
 
 def all_spans(texts: list[str], weights: dict[str, np.ndarray]) -> tuple[list, list]:
@@ -224,7 +254,7 @@ def all_spans(texts: list[str], weights: dict[str, np.ndarray]) -> tuple[list, l
         label = p.argmax(1)
         label[(tokens.observed > 0) | (p.max(1) < 0.5)] = 0
         for k in np.flatnonzero(label).tolist():
-            d, (a, b) = tokens.doc[k], tokens.spans[k]
+            d, (a, b) = int(tokens.doc[k]), tokens.spans[k].tolist()
             t = texts[d][a:b]
             a, b = a + len(t) - len(t.lstrip(EDGES)), b - len(t) + len(t.rstrip(EDGES))
             if a >= b:
@@ -249,7 +279,7 @@ def learn(docs: DataFrame, sample_docs: int = 4000, id_col: str = "doc_id", text
 
         found: Counter = Counter()
         for batch in batches:
-            for _, texts in common.slices(batch, "text"):
+            for _, texts in common.slices(batch, "text", SLICE):
                 texts = _strings(texts)
                 tokens = Tokens(texts, [base_spans(t) for t in texts])
                 found.update(("node", int(b), int(y)) for b, y in zip(tokens.bits, tokens.observed))
@@ -270,7 +300,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weight
     def run(batches):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32())]))
         for batch in batches:
-            for part, texts in common.slices(batch, "text"):
+            for part, texts in common.slices(batch, "text", SLICE):
                 found = all_spans(_strings(texts), weights)
                 yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array([[dict(zip(("start", "end", "kind"), s)) for s in x] for x in side], kind) for side in found)], ["id", "base", "spans"])
 
@@ -303,7 +333,7 @@ def mask(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, texts in common.slices(batch, "text"):
+            for part, texts in common.slices(batch, "text", SLICE):
                 texts = _strings(texts)
                 _, spans = all_spans(texts, weights)
                 if any(spans):

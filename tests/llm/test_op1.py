@@ -1,8 +1,11 @@
 """Personal data: base spans against the plain patterns, and the field's messages against all labellings."""
 
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -83,3 +86,70 @@ def test_digits_of_hashes_are_no_numbers():
     number = 1 << op1.FEATURES.index("14-19 digits") | 1 << op1.FEATURES.index("passes the card sum")
     assert bits("4845168114407329") & number == number
     assert bits("4a845168114407329") & number == 0
+
+
+def plain_spans(text, weights):
+    """All spans of a text by the module's description, token by token."""
+    base = brute(text)
+    tokens = [m.span() for m in re.finditer(r"\S+", text) if re.search("[0-9@]", m[0])]
+    bits = list(op1._features(text, tokens))
+    label = [next((k + 1 for a, b, k in base if a < y and b > x), 0) for x, y in tokens]
+    score = [[sum(weights["node"][f][c] for f in range(len(op1.FEATURES)) if bits[t] >> f & 1) if not label[t] else (0.0 if c == label[t] else -30.0) for c in range(5)] for t in range(len(tokens))]
+    key = [op1._key(text[a:b]) for a, b in tokens]
+    edges = [(t - 1, t, "chain") for t in range(1, len(tokens)) if tokens[t][0] - tokens[t - 1][1] <= 2]
+    for t in range(len(tokens)):
+        same = [u for u in range(t) if key[u] and key[u] == key[t]]
+        edges += [(u, t, "skip") for u in sorted({same[0], same[-1]})] if same else []
+    message = {(i, j, k, way): [0.0] * 5 for i, j, k in edges for way in (0, 1)}
+    belief = [list(x) for x in score]
+    for _ in range(12):
+        new = {}
+        for i, j, k in edges:
+            for way, (u, v) in enumerate(((i, j), (j, i))):
+                out = [np.log(sum(np.exp(belief[u][a] - message[i, j, k, 1 - way][a] + (weights[k][a][b] if way == 0 else weights[k][b][a])) for a in range(5))) for b in range(5)]
+                new[i, j, k, way] = [0.5 * m + 0.5 * (x - max(out)) for m, x in zip(message[i, j, k, way], out)]
+        message = new
+        belief = [list(x) for x in score]
+        for (i, j, _, way), m in message.items():
+            v = j if way == 0 else i
+            belief[v] = [x + y for x, y in zip(belief[v], m)]
+    more = []
+    for t, (a, b) in enumerate(tokens):
+        p = np.exp(np.array(belief[t]) - max(belief[t]))
+        p /= p.sum()
+        c = int(p.argmax())
+        if label[t] or not c or p[c] < 0.5:
+            continue
+        inner = text[a:b].strip(op1.EDGES)
+        a += text[a:b].index(inner) if inner else b - a
+        b = a + len(inner)
+        if a < b and more and more[-1][2] == c - 1 and a - more[-1][1] <= 2:
+            more[-1] = (more[-1][0], b, c - 1)
+        elif a < b:
+            more.append((a, b, c - 1))
+    return sorted([*base, *more], key=lambda s: (s[0], s[2]))
+
+
+def test_spans_equal_a_plain_field(spark):
+    rng = random.Random(5)
+    parts = ["4845168114407329", "4845.1681.1440.7329", "a.b@c.de", "A.B@C.de", "(a.b@c.de)", "1.2.3.4", "1.2.3.4,", "+49 30 1234567", "49301234567", "word", "12", "2024-01-01", "x1y2z3w4", "foo@bar", "555-1234567"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(300)]
+    counts = [("node", 1, 0, 900), ("node", 257, 3, 40), ("node", 257, 0, 60), ("node", 7, 1, 50), ("node", 5, 1, 10), ("node", 5, 0, 20), ("chain", 0, 3, 5), ("chain", 0, 0, 50), ("skip", 3, 3, 90), ("skip", 1, 1, 40), ("skip", 0, 0, 90)]
+    weights = op1.fit(counts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: [tuple(s) for s in r["spans"]] for r in op1.find(df, weights=weights).collect()}
+    assert got == {k: plain_spans(t, weights) for k, t in enumerate(texts)}
+    assert sum(len(got[k]) > len(brute(t)) for k, t in enumerate(texts)) > 20
+
+
+def test_long_tables_of_numbers_take_bounded_memory():
+    run = """
+import resource
+from convolake.llm import op1_pii as op1
+weights = op1.fit([("node", 1, 0, 900), ("chain", 0, 0, 50)])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+base, spans = op1.all_spans(["12 7 " * 800_000], weights)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", run], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), check=True)
+    assert float(out.stdout.split()[-1]) < 500
