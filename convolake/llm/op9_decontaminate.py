@@ -8,9 +8,11 @@ A shard is what one task holds of the documents, in parts of bounded size. Its a
 a word outside of it can be in no occurrence and becomes a separator, and so do runs of vocabulary words shorter than
 the shortest window. Nothing that could match is left out. The index is a Burrows-Wheeler transform in a wavelet tree of
 bit ranks; suffix positions are sampled in text order. All windows are searched at once, located, and their spans merged.
+At most `PIECE` words are indexed at once; a longer text is cut into pieces that overlap by a window less a word.
 
-The benchmark is dealt to the tasks in groups of at most `group_bytes`, searched one after the other, so no broadcast
-grows with it. Null texts have no words. Null item ids hit words but are not counted as items. Rows that repeat give
+The benchmark is dealt to the tasks in groups of at most `group_bytes` (an item above alone). A part of the documents is
+searched for one group after the other, and a task holds one group at a time; work grows with the number of groups, what
+is held does not. Null texts have no words. Null item ids hit words but are not counted as items. Rows that repeat give
 repeated rows; empty tables give empty or clean results; only the named columns are read.
 """
 
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WIDTH = 10
+#: Words that are indexed at once, and bytes of a text that are split at once.
+PIECE, SPLIT = 2_000_000, 4_000_000
 #: Upper case to lower case, and all other ASCII but digits and lower case to a space.
 _KEEP = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -34,25 +38,56 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_KEEP).split()
 
 
+def word_ids(texts: list[bytes], vocabulary: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words (0: unknown), and the number of words of each text."""
+    parts, counts = [np.empty(0, np.int32)], np.zeros(len(texts), np.int64)
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            end = at + SPLIT
+            while end < len(text) and _KEEP[text[end]] != 32:
+                end += 1
+            found = words(text[at:end])
+            parts.append(np.fromiter((vocabulary.get(x, 0) for x in found), np.int32, len(found)))
+            counts[k] += len(found)
+            at = end
+    return np.concatenate(parts), counts
+
+
 class Patterns:
     """The windows of a group of items: vocabulary, distinct windows as word ids from 1 on, and whose they are."""
 
     def __init__(self, items: list[tuple[object, bytes]]):
         self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
         self.ids = sorted({i for i, _ in items if i is not None}, key=str)
         place = {i: k for k, i in enumerate(self.ids)}
+        rows, owner = [np.zeros((0, WIDTH), np.int32)], [np.zeros(0, np.int64)]
         for item, text in items:
-            w = [self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in words(text)]
-            for k in range(max(1, len(w) - WIDTH + 1) if w else 0):
-                owners = found.setdefault(tuple(w[k : k + WIDTH]), set())
-                if item is not None:
-                    owners.add(place[item])
-        self.lengths = np.array([len(x) for x in found], np.int64)
-        self.windows = np.zeros((len(found), WIDTH), np.int64)
-        for row, x in zip(self.windows, found):
-            row[: len(x)] = x
-        self.owners = [sorted(x) for x in found.values()]
+            w = np.array([self.vocabulary.setdefault(x, len(self.vocabulary) + 1) for x in words(text)], np.int32)
+            if len(w):
+                short = np.concatenate([w, np.zeros(max(0, WIDTH - len(w)), np.int32)])
+                rows.append(np.lib.stride_tricks.sliding_window_view(short, WIDTH))
+                owner.append(np.full(len(rows[-1]), place.get(item, -1)))
+        all_, owner = np.concatenate(rows), np.concatenate(owner)
+        # Equal windows stand side by side once sorted, two ids as one number.
+        keys = (all_[:, 0::2].astype(np.int64) << 32) | all_[:, 1::2]
+        order = np.lexsort(keys.T[::-1])
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (keys[order][1:] != keys[order][:-1]).any(1)
+        self.windows = all_[order[fresh]].astype(np.int64)
+        self.lengths = (self.windows > 0).sum(1)
+        pairs = np.unique(np.stack([np.cumsum(fresh) - 1, owner[order]], 1), axis=0)
+        pairs = pairs[pairs[:, 1] >= 0]
+        #: The items of window k are owners[ends[k - 1] : ends[k]].
+        self.owners, self.ends = pairs[:, 1], np.cumsum(np.bincount(pairs[:, 0], minlength=len(self.windows)))
+
+    def items(self, doc: np.ndarray, window: np.ndarray) -> np.ndarray:
+        """Distinct (document, item) of these documents and the windows that they hold."""
+        met = np.unique(np.stack([doc, window], 1), axis=0)
+        starts = np.concatenate([[0], self.ends])[met[:, 1]]
+        many = self.ends[met[:, 1]] - starts
+        of = np.repeat(starts - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return np.unique(np.stack([np.repeat(met[:, 0], many), self.owners[of]], 1), axis=0)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -170,45 +205,50 @@ def search(ids: np.ndarray, doc: np.ndarray, patterns: Patterns) -> tuple[np.nda
     text[at] = ids[place]
     back = np.zeros(len(text), np.int64)
     back[at] = place
-    index = FMIndex(text, len(patterns.vocabulary) + 1)
-    low, high = index.ranges(patterns.windows, patterns.lengths)
-    many = high - low
-    window = np.repeat(np.arange(len(many)), many)
-    found = index.locate(np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum()))
-    return back[found], patterns.lengths[window], window
+    places, windows = [], []
+    for k in range(0, len(text), PIECE):
+        index = FMIndex(text[k : k + PIECE + WIDTH - 1], len(patterns.vocabulary) + 1)
+        low, high = index.ranges(patterns.windows, patterns.lengths)
+        many = high - low
+        windows.append(np.repeat(np.arange(len(many)), many))
+        places.append(back[k + index.locate(np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum()))])
+    window = np.concatenate(windows)
+    return np.concatenate(places), patterns.lengths[window], window
 
 
 def _grouped(benchmark: DataFrame, group_bytes: int) -> list:
     """The benchmark's rows in broadcasts of bounded size; the driver holds one group at a time."""
     spark, groups, held, size = benchmark.sparkSession, [], [], 0
     for item, text in benchmark.select("item_id", F.col("text").cast("binary")).toLocalIterator():
+        if held and size + len(text or b"") > group_bytes:
+            groups, held, size = [*groups, spark.sparkContext.broadcast(held)], [], 0
         held.append((item, bytes(text or b"")))
         size += len(held[-1][1])
-        if size > group_bytes:
-            groups, held, size = [*groups, spark.sparkContext.broadcast(held)], [], 0
     return [*groups, spark.sparkContext.broadcast(held)]
 
 
 def _shard(texts: list[bytes], groups: list, ready: Patterns | None) -> tuple[np.ndarray, list, list, list]:
     """For each text of a shard: its words, the starts and ends of its hit spans, and the items found."""
-    split = [words(t) for t in texts]
-    counts = np.array([len(w) for w in split], np.int64)
-    doc, first = np.repeat(np.arange(len(split)), counts), np.cumsum(counts) - counts
-    hit, items = np.zeros(len(doc) + 1, np.int64), [set() for _ in split]
+    hit, counts, items = None, None, [set() for _ in texts]
     for group in groups:
         patterns = ready or Patterns(group.value)
-        known = patterns.vocabulary.get
-        ids = np.array([known(x, 0) for w in split for x in w], np.int64)
+        if ready is None:
+            # The worker drops the group that it has read, or all of them would stay in its memory.
+            vars(group).pop("_value", None)
+        ids, counts = word_ids(texts, patterns.vocabulary)
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), counts)
+        hit = np.zeros(len(ids) + 1, np.int32) if hit is None else hit
         at, length, window = search(ids, doc, patterns)
         np.add.at(hit, at, 1)
         np.add.at(hit, at + length, -1)
-        for d, w in set(zip(doc[at].tolist(), window.tolist())):
-            items[d].update(str(patterns.ids[i]) for i in patterns.owners[w])
+        for d, i in patterns.items(doc[at], window).tolist():
+            items[d].add(str(patterns.ids[i]))
+    first = np.cumsum(counts) - counts
     on = np.cumsum(hit)[:-1] > 0
-    fresh = np.zeros(len(doc) + 1, bool)  # the first word of a document, and the end
+    fresh = np.zeros(len(on) + 1, bool)  # the first word of a document, and the end
     fresh[first[counts > 0]] = fresh[-1] = True
     before, after = np.concatenate([[False], on])[:-1], np.append(on, False)[1:]
-    begins, ends = [[] for _ in split], [[] for _ in split]
+    begins, ends = [[] for _ in texts], [[] for _ in texts]
     for k in np.flatnonzero(on & (~before | fresh[:-1])).tolist():
         begins[doc[k]].append(k - int(first[doc[k]]))
     for k in np.flatnonzero(on & (~after | fresh[1:])).tolist():
@@ -228,7 +268,7 @@ def _over_shards(docs: DataFrame, benchmark: DataFrame, finish, schema, group_by
     return docs.mapInArrow(run, schema)
 
 
-def spans(docs: DataFrame, benchmark: DataFrame, group_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def spans(docs: DataFrame, benchmark: DataFrame, group_bytes: int = 4 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, starts, ends, items) for each row: the merged hit spans in words, and the items found, as strings."""
 
     def finish(part, texts, counts, begins, ends, items):
@@ -250,8 +290,11 @@ def cut_words(text: bytes, begins: list[int], ends: list[int]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, group_bytes: int = 16 << 20) -> DataFrame:
-    """Pipeline stage: takes hit spans out of the texts (and sets n_chars, where there is one); other rows stay as they are."""
+def remove_spans(docs: DataFrame, benchmark: DataFrame, group_bytes: int = 4 << 20) -> DataFrame:
+    """Pipeline stage: takes hit spans out of the texts (and sets n_chars, where there is one); other rows stay as they are.
+
+    A text that is hit from end to end stays, as what is left of it: an empty text.
+    """
 
     def finish(part, texts, counts, begins, ends, items):
         hit = [k for k, x in enumerate(begins) if x]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import types
 
 import numpy as np
 import xxhash
@@ -72,6 +73,20 @@ def test_removed_spans_and_empty_tables(spark):
     assert op9.remove_spans(d.limit(0), b).count() == 0
 
 
+def test_pieces_and_groups_change_nothing(monkeypatch):
+    docs, items = some_docs()
+    want, texts = brute_hits(docs, items), [(t or "").encode() for _, t in docs]
+    for piece, split, step in ((50, 30, 3), (7, 5, 100), (2_000_000, 4_000_000, 1)):
+        monkeypatch.setattr(op9, "PIECE", piece)
+        monkeypatch.setattr(op9, "SPLIT", split)
+        groups = [types.SimpleNamespace(value=[(i, (t or "").encode()) for i, t in items[k : k + step]], _value=1) for k in range(0, len(items), step)]
+        counts, begins, ends, found = op9._shard(texts, groups, None)
+        assert not any("_value" in vars(g) for g in groups)
+        for (k, _), n, a, b, names in zip(docs, counts, begins, ends, found):
+            hits = sum(y - x for x, y in zip(a, b))
+            assert (n, hits, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hits > 0) == want[k], k
+
+
 def test_suffix_array_and_index():
     rng = np.random.default_rng(0)
     for n, a in ((1, 2), (50, 2), (300, 5), (400, 40)):
@@ -152,3 +167,11 @@ def test_keep_one_of_each_component_where_ids_repeat(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
     want = [(1, texts[0]), (1, texts[1])] + [x for k in range(2, 6) for x in ((10 * k, f"own words of {k} alone"), (9, texts[k]))]
     assert sorted(tuple(r) for r in op10.keep_one(d).collect()) == sorted(want)
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "a b c", 1, 2, 3, 4), (1, "a b c", 1, 2, 3, 5), (2, "a b c", 6, 7, 8, 9), (3, "d", 1, 1, 1, 1)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, key long, row long, FP long, id long")
+    got = op10.keep_one(d)
+    assert got.columns == d.columns
+    assert sorted(tuple(r)[:5] for r in got.collect()) == [(1, "a b c", 1, 2, 3), (3, "d", 1, 1, 1)]
