@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -86,19 +86,34 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 # -- vantage-point trees --
 
 
-def build_tree(sample: np.ndarray, leaves: int, seed: int = 1) -> list:
-    """Nested [vantage point, radius, inside, outside], leaves numbered from 0 on; splits at medians of the sample."""
+def _split(points: np.ndarray, vantage: np.uint64, radius: int) -> tuple[float, int] | None:
+    """(cost, cut): distances up to the cut go inside. The cost is how much visits grow for each bit of splitting."""
+    met = np.bincount(np.bitwise_count(points ^ vantage), minlength=65)
+    inside, n = np.cumsum(met)[:-1], len(points)
+    # Points within the radius of the cut visit both sides.
+    both = np.append(np.cumsum(met), [n] * radius)[radius : radius + 64] - np.append([0] * radius, np.cumsum(met))[:64]
+    usable = np.flatnonzero((inside >= 0.3 * n) & (inside <= 0.7 * n))
+    if not len(usable):
+        usable = np.flatnonzero((inside > 0) & (inside < n))
+    if not len(usable):
+        return None
+    p = inside[usable] / n
+    cost = np.log2(1 + both[usable] / n) / -(p * np.log2(p) + (1 - p) * np.log2(1 - p))
+    k = int(cost.argmin())
+    return float(cost[k]), int(usable[k])
+
+
+def build_tree(sample: np.ndarray, leaves: int, radius: int = 2, seed: int = 1, tries: int = 12) -> list:
+    """Nested [vantage point, cut, inside, outside], leaves numbered from 0 on; of some vantage points and of cuts near the median, that which fewest points cross."""
     rng, made = np.random.default_rng(seed), [0]
 
     def grow(points: np.ndarray, want: int):
         if want > 1 and len(points) >= 2:
-            vantage = points[rng.integers(len(points))]
-            d = np.bitwise_count(points ^ vantage)
-            # The widest gap in ranks near the median, so that both sides have points.
-            cut = int(np.median(d))
-            cut = cut if (d > cut).any() else cut - 1
-            if (d <= cut).any() and (d > cut).any():
-                return [int(vantage), cut, grow(points[d <= cut], want // 2), grow(points[d > cut], want - want // 2)]
+            each = [(split, int(v)) for v in points[rng.integers(len(points), size=tries)] if (split := _split(points, v, radius))]
+            if each:
+                (_, cut), vantage = min(each)
+                near = np.bitwise_count(points ^ np.uint64(vantage)) <= cut
+                return [vantage, cut, grow(points[near], want // 2), grow(points[~near], want - want // 2)]
         made[0] += 1
         return made[0] - 1
 
@@ -173,7 +188,7 @@ def fingerprint_components(fps: DataFrame, radius: int = 2, shard_rows: int = 32
     # About sample_rows of them, picked by a hash, so that tasks send the driver no more than that in all.
     drawn = fps.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(max(1, -(-n // sample_rows)))) == 0).select("fp")
     sample = drawn.toArrow()["fp"].to_numpy() if shards > 1 else np.empty(0, np.int64)
-    tree, made = build_tree(sample.view(np.uint64), shards)
+    tree, _ = build_tree(sample.view(np.uint64), shards, radius)
 
     def deal(batches):
         for batch in batches:
@@ -183,21 +198,21 @@ def fingerprint_components(fps: DataFrame, radius: int = 2, shard_rows: int = 32
 
     # Shards with many residents or visitors are split into blocks: each pair of blocks is a task of its own.
     dealt = common.stored(fps.select("fp").mapInArrow(deal, "leaf int, home boolean, fp long"), "dealt")
-    sizes = dealt.groupBy("leaf").agg(F.count_if("home").alias("own"), F.count("*").alias("ask")).collect()
-    over = [(r["leaf"], max(1, -(-r[k] // (2 * shard_rows))), k) for r in sizes for k in ("own", "ask")]
-
-    def parts(kind: str):
-        known = [F.lit(x) for leaf, many, k in over if k == kind and many > 1 for x in (leaf, many)]
-        return F.coalesce(F.element_at(F.create_map(*known), F.col("leaf")), F.lit(1)) if known else F.lit(1)
+    sizes = dealt.groupBy("leaf").agg(F.count_if("home").alias("own"), F.count("*").alias("ask"))
+    wide = common.stored(sizes.select("leaf", *[F.greatest(F.lit(1), F.ceil(F.col(k) / F.lit(2 * shard_rows)).cast("int")).alias(f"{k}_parts") for k in ("own", "ask")]).where("own_parts > 1 or ask_parts > 1"), "wide-leaves")
+    if wide.isEmpty():
+        cut = dealt.withColumns({"own_parts": F.lit(1), "ask_parts": F.lit(1)})
+    else:
+        cut = dealt.join(wide, "leaf", "left").withColumns({f"{k}_parts": F.coalesce(f"{k}_parts", F.lit(1)) for k in ("own", "ask")})
 
     def block(kind: str):
-        return F.pmod(F.xxhash64("fp"), parts(kind)).cast("int")
+        return F.pmod(F.xxhash64("fp"), F.col(f"{kind}_parts")).cast("int")
 
     def every(kind: str):
-        return F.explode(F.sequence(F.lit(0), parts(kind) - 1))
+        return F.explode(F.sequence(F.lit(0), F.col(f"{kind}_parts") - 1))
 
-    own = dealt.where("home").select("leaf", block("own").alias("i"), every("ask").alias("j"), "home", "fp")
-    ask = dealt.select("leaf", every("own").alias("i"), block("ask").alias("j"), F.lit(False).alias("home"), "fp")
+    own = cut.where("home").select("leaf", block("own").alias("i"), every("ask").alias("j"), "home", "fp")
+    ask = cut.select("leaf", every("own").alias("i"), block("ask").alias("j"), F.lit(False).alias("home"), "fp")
 
     def one(part: pa.Table) -> pa.Table:
         fp, home = part.column("fp").to_numpy(), part.column("home").to_numpy()
@@ -235,16 +250,30 @@ def keep_one(docs: DataFrame, radius: int = 2) -> DataFrame:
     component one stays. Rows without an id can't be told apart and all stay.
     """
     groups = _grouped(docs.select("doc_id", "text"), "doc_id", "text", radius).where("id is not null")
-    each = groups.groupBy("id", "root").agg(F.min("fp").alias("fp"), F.max("fp").alias("high"), F.min("component").alias("component"))
-    # Of each kept id the fingerprints that stay, and whether it has others or several.
-    kept = each.groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.when(F.col("id") == F.col("component"), F.col("fp"))).alias("__fps"), (F.min("fp") != F.max("high")).alias("__many"))
-    joined = docs.join(kept.where(F.size("__fps") > 0), F.col("doc_id") == F.col("__id"))
+    # Of an id's rows in one component those with the least fingerprint can stay; all this is narrow rows.
+    each = common.stored(groups.groupBy("id", "root").agg(F.min("fp").alias("fp"), F.min("component").alias("component"), F.count("*").alias("rows")), "kept")
+    by_id = each.groupBy("id").agg(F.sum("rows").alias("rows"), F.max(F.col("id") == F.col("component")).alias("stays"))
+    key, row, fp = (_free(docs, x) for x in ("key", "row", "fp"))
+    once = by_id.where("rows = 1 and stays").select(F.col("id").alias(key))
+    kept = docs.join(once, F.col("doc_id") == F.col(key), "left_semi").unionByName(docs.where("doc_id is null"))
+    many = common.stored(by_id.where("rows > 1").select(F.col("id").alias(key)), "repeated")
+    if many.isEmpty():
+        return kept
 
     @F.pandas_udf("long")
     def fingerprint(texts: pd.Series) -> pd.Series:
         return pd.Series(fingerprints([(t or "").encode() for t in texts]).view(np.int64))
 
-    own = F.when(F.col("__many"), fingerprint(F.when(F.col("__many"), F.col("text"))))
-    joined = joined.withColumn("__fp", own).where(~F.col("__many") | F.array_contains("__fps", F.col("__fp")))
-    first = F.row_number().over(Window.partitionBy("doc_id", "__fp").orderBy(F.xxhash64("text")))
-    return joined.withColumn("__nth", first).where("__nth = 1").select(docs.columns).unionByName(docs.where("doc_id is null"))
+    # Rows of one id and fingerprint are brought down to one before they are sent.
+    again = docs.join(many, F.col("doc_id") == F.col(key), "left_semi").withColumn(fp, fingerprint("text"))
+    first = again.groupBy(F.col("doc_id").alias(key), fp).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.xxhash64("text")).alias(row))
+    stay = each.where("id = component").select("id", F.col("fp").alias("least"))
+    return kept.unionByName(first.join(stay, (F.col(key) == F.col("id")) & (F.col(fp) == F.col("least")), "left_semi").select(f"{row}.*"))
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """A name that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
