@@ -4,8 +4,9 @@ Texts are tokenised, an end id is appended to each, and the ids of all documents
 order. They are cut into blocks of `BLOCK` ids, each coded on its own: models start afresh, and a block has its size
 and the CRC-32 of its ids. In a block the id after the last two ids (order 2) and after the last id (order 1) is
 predicted; each prediction is weighted by how often its order, at its confidence, was right so far in the block; what
-weight is left goes to order 0, an adaptive distribution of magnitudes with even bits below. A carry-less range coder
-codes which of these holds and the rest. Blocks of a part are coded in step, one id of each at a time.
+weight is left goes to order 0, the counts of all ids of the block so far, renewed at fixed places. So one mixed
+distribution drives a carry-less range coder. An id that order 0 has not met yet is coded as such, by an adaptive
+distribution of magnitudes with even bits below. Blocks of a part are coded in step, one id of each at a time.
 
 A file is a Parquet table of parts: shard and part number, ids of the shard before the part, and one blob (see Part).
 Shards are ranges of document ids. Ids must be below 65,536.
@@ -28,10 +29,12 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BLOCK, END = 1024, 2
+BLOCK, END = 4096, 2
 _SLOTS = BLOCK  # of each context table
 _CLASSES = 16
-_MAGIC, _HEAD = b"CXM1", struct.Struct("<4sIIII")
+#: Order 0 deals out 2 ** SHARES, and is renewed at these places of a block.
+SHARES, RENEWED = 13, (16, 32, 64, 128, 256, 512, 768, 1024, 1536, 2048, 3072)
+_MAGIC, _HEAD = b"CXM2", struct.Struct("<4sIIII")
 
 
 # -- range coder in step: 64-bit low and range, 16-bit words, no carries --
@@ -68,7 +71,7 @@ class _Coder:
 class _Encoder(_Coder):
     def __init__(self, lanes: int):
         super().__init__(lanes)
-        self.words = np.zeros((lanes, 3 * BLOCK + 8), "<u2")
+        self.words = np.zeros((lanes, 4 * BLOCK + 8), "<u2")
 
     def shift(self, index: np.ndarray, low: np.ndarray) -> None:
         self.words[index, self.at[index]] = (low >> _S48).astype(np.uint16)
@@ -141,6 +144,8 @@ class _Models:
         self.before[:n] = ids
 
 
+#: Bits of the mixed distribution, and its last part.
+_MIXED, _MOST = np.uint64(16 + SHARES), np.uint64((1 << 16 + SHARES) - 1)
 #: For each class, where an adaptive distribution moves after it; each class keeps some share.
 _TARGETS = np.array([[i * 64 + (65536 - _CLASSES * 64) * (i > k) for i in range(_CLASSES + 1)] for k in range(_CLASSES)], np.int32)
 
@@ -168,53 +173,130 @@ def _escape(coder: _Coder, models: _Models, lanes: np.ndarray, ids: np.ndarray |
     return ids
 
 
+class _Counts:
+    """Order 0 of each block after its first ids: the ids met, in ascending order, each with its share; what is left says that an id is new.
+
+    past: the ids so far, a row a block.
+    """
+
+    def __init__(self, past: np.ndarray, before: np.ndarray, since: int):
+        lanes, n = past.shape
+        # An id and its place as one number, so that sorting brings equal ids together.
+        key = np.sort((past.astype(np.int32) << 12) | np.arange(n, dtype=np.int32), axis=1)
+        ids = key >> 12
+        fresh = np.ones((lanes, n), bool)
+        np.not_equal(ids[:, 1:], ids[:, :-1], out=fresh[:, 1:])
+        at = np.flatnonzero(fresh)
+        self.lane, self.id, self.place = at // n, ids.ravel()[at], key.ravel()[at] & 4095
+        self.met = fresh.sum(1)
+        # New ids are as likely as they were of late, a little less.
+        new = np.clip(((self.met - before) << SHARES) * 3 // (4 * since), 16, 1 << SHARES - 1)
+        room = (1 << SHARES) - new - self.met
+        self.size = 1 + np.diff(np.append(at, lanes * n)) * room[self.lane] // n
+        first = np.cumsum(self.met) - self.met
+        ends = np.cumsum(self.size)
+        self.start = ends - self.size - (ends - self.size)[first][self.lane]
+        self.new = (1 << SHARES) - np.add.reduceat(self.size, first)
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each block and share the entry it belongs to, and the entries' ids (-1: new), starts and sizes."""
+        lanes = len(self.met)
+        place = np.arange(len(self.id)) + self.lane
+        last = np.cumsum(self.met) + np.arange(lanes)
+        out = []
+        for own, rest in ((self.id, -1), (self.start, (1 << SHARES) - self.new), (self.size, self.new)):
+            x = np.empty(len(place) + lanes, np.int32)
+            x[place], x[last] = own, rest
+            out.append(x)
+        return np.repeat(np.arange(len(out[0]), dtype=np.int32), out[2]), *out
+
+
+def _spans(sizes: np.ndarray) -> list[tuple[int, int]]:
+    """The parts of a block between which order 0 is renewed, as far as blocks reach."""
+    most = int(sizes.max(initial=0))
+    edges = [0, *(x for x in RENEWED if x < most), most]
+    return list(zip(edges[:-1], edges[1:]))
+
+
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
     """The payload of each block of BLOCK ids (the last may be shorter)."""
     lanes = -(-len(ids) // BLOCK)
-    grid = np.zeros((BLOCK, lanes), np.int32)
-    full = np.zeros(lanes * BLOCK, np.int32)
-    full[: len(ids)] = ids
-    grid[:] = full.reshape(lanes, BLOCK).T
+    rows = np.zeros((lanes, BLOCK), np.int32)
+    rows.ravel()[: len(ids)] = ids
     sizes = np.minimum(BLOCK, len(ids) - np.arange(lanes) * BLOCK)
+    # Each id's number among the ids of its block.
+    key = np.sort((rows << 12) | np.arange(BLOCK, dtype=np.int32), axis=1)
+    number = np.empty_like(rows)
+    np.put_along_axis(number, key & 4095, np.cumsum(np.diff(key >> 12, axis=1, prepend=-1) > 0, axis=1, dtype=np.int32) - 1, axis=1)
     coder, models = _Encoder(lanes), _Models(lanes)
-    for t in range(int(sizes.max(initial=0))):
-        n = lanes if t < sizes[-1] else lanes - 1
-        x = grid[t, :n]
-        models.predict(n)
-        hit2, hit1 = models.guess[0] == x, models.guess[1] == x
-        w2, w1 = models.w2, models.w1
-        start = np.where(hit2, 0, np.where(hit1, w2, w2 + w1))
-        size = np.where(hit2, w2, np.where(hit1, w1, models.rest))
-        coder.narrow(slice(0, n), start.astype(np.uint64), size.astype(np.uint64), _S16)
-        miss = np.flatnonzero(~(hit1 | hit2))
-        if len(miss):
-            _escape(coder, models, miss, x[miss].astype(np.int64))
-        models.learn(n, x)
+    width = int(number.max(initial=0)) + 1
+    start, size = np.zeros((lanes, width), np.int32), np.zeros((lanes, width), np.int32)
+    new, met = np.full(lanes, 1 << SHARES, np.int32), np.zeros(lanes, np.int64)
+    for k, (a, b) in enumerate(_spans(sizes)):
+        on = lanes if a < sizes[-1] else lanes - 1
+        if k:
+            counts = _Counts(rows[:on, :a], met[:on], a - _spans(sizes)[k - 1][0])
+            at = (counts.lane, number[counts.lane, counts.place])
+            start[at], size[at] = counts.start, counts.size
+            new[:on], met[:on] = counts.new, counts.met
+        own = np.take_along_axis(size[:on], number[:on, a:b], 1)
+        known = own > 0
+        shares = np.ascontiguousarray(np.where(known, own, new[:on, None]).T)
+        starts = np.ascontiguousarray(np.where(known, np.take_along_axis(start[:on], number[:on, a:b], 1), (1 << SHARES) - new[:on, None]).T)
+        past, fresh = np.ascontiguousarray(rows[:on, a:b].T), np.ascontiguousarray(~known.T)
+        for t in range(a, b):
+            n = lanes if t < sizes[-1] else lanes - 1
+            x = past[t - a, :n]
+            models.predict(n)
+            hit2, hit1 = models.guess[0] == x, models.guess[1] == x
+            w2, w1 = models.w2 << SHARES, models.w1 << SHARES
+            low = np.where(hit2, 0, np.where(hit1, w2, w2 + w1 + models.rest * starts[t - a, :n]))
+            part = np.where(hit2, w2, np.where(hit1, w1, models.rest * shares[t - a, :n]))
+            coder.narrow(slice(0, n), low.astype(np.uint64), part.astype(np.uint64), _MIXED)
+            miss = np.flatnonzero(fresh[t - a, :n] & ~(hit1 | hit2))
+            if len(miss):
+                _escape(coder, models, miss, x[miss].astype(np.int64))
+            models.learn(n, x)
     return coder.finish()
 
 
 def decode_blocks(payloads: list[bytes], count: int) -> np.ndarray:
     """The ids of all blocks, count in all."""
     lanes = len(payloads)
-    grid = np.zeros((BLOCK, lanes), np.int32)
+    rows = np.zeros((lanes, BLOCK), np.int32)
     sizes = np.minimum(BLOCK, count - np.arange(lanes) * BLOCK)
     coder, models = _Decoder(payloads), _Models(lanes)
-    for t in range(int(sizes.max(initial=0))):
-        n = lanes if t < sizes[-1] else lanes - 1
-        models.predict(n)
-        w2, w1 = models.w2.astype(np.uint64), models.w1.astype(np.uint64)
-        part, unit = coder.code[:n] - coder.low[:n], coder.range[:n] >> _S16
-        hit2, not1 = part < w2 * unit, part >= (w2 + w1) * unit
-        start = np.where(hit2, np.uint64(0), np.where(not1, w2 + w1, w2))
-        size = np.where(hit2, w2, np.where(not1, models.rest.astype(np.uint64), w1))
-        coder.narrow(slice(0, n), start, size, _S16)
-        x = np.where(hit2, models.guess[0], models.guess[1])
-        miss = np.flatnonzero(not1 & ~hit2)
-        if len(miss):
-            x[miss] = _escape(coder, models, miss, None)
-        grid[t, :n] = x
-        models.learn(n, x)
-    return grid.T.reshape(-1)[:count] if lanes else np.empty(0, np.int32)
+    met, base = np.zeros(lanes, np.int64), np.arange(lanes) << SHARES
+    table = None
+    for k, (a, b) in enumerate(_spans(sizes)):
+        on = lanes if a < sizes[-1] else lanes - 1
+        if k:
+            counts = _Counts(rows[:on, :a], met[:on], a - _spans(sizes)[k - 1][0])
+            met[:on] = counts.met
+            table, id_, start, size = counts.table()
+        past = np.zeros((b - a, lanes), np.int32)
+        for t in range(a, b):
+            n = lanes if t < sizes[-1] else lanes - 1
+            models.predict(n)
+            w2, w1, rest = models.w2 << SHARES, models.w1 << SHARES, models.rest
+            value = np.minimum((coder.code[:n] - coder.low[:n]) // (coder.range[:n] >> _MIXED), _MOST).astype(np.int32)
+            hit2, other = value < w2, value >= w2 + w1
+            if table is None:
+                x0, start0, size0 = np.full(n, -1, np.int32), 0, 1 << SHARES
+            else:
+                entry = table[base[:n] + np.where(other, (value - w2 - w1) // rest, 0)]
+                x0, start0, size0 = id_[entry], start[entry], size[entry]
+            low = np.where(hit2, 0, np.where(other, w2 + w1 + rest * start0, w2))
+            part = np.where(hit2, w2, np.where(other, rest * size0, w1))
+            coder.narrow(slice(0, n), low.astype(np.uint64), part.astype(np.uint64), _MIXED)
+            x = np.where(other, x0, np.where(hit2, models.guess[0], models.guess[1]))
+            miss = np.flatnonzero(other & (x0 < 0))
+            if len(miss):
+                x[miss] = _escape(coder, models, miss, None)
+            past[t - a, :n] = x
+            models.learn(n, x)
+        rows[:, a:b] = past.T
+    return rows.reshape(-1)[:count]
 
 
 class Part:
@@ -257,23 +339,30 @@ class Part:
 
 
 class Tokenising:
-    """Ids of texts by the tokenizers library; each distinct word (as the tokenizer's own pattern splits) goes there once.
+    """Ids of texts by the tokenizers library, where each distinct chunk goes there once.
 
-    Words that begin with a space are sent many at a time as one text, and told apart by the tokens that begin with one.
-    Texts with characters whose class differs between Unicode versions, or with added tokens, go to the library whole.
+    A chunk is a space and what follows up to the next one; it is tokenised alike wherever it stands, but where white
+    space is on both sides of a space. Chunks are sent many at a time as one text, and told apart by the tokens that
+    begin with a space. Texts with such runs of white space are split by the tokenizer's own pattern. Texts with
+    characters whose class differs between Unicode versions, with rare white space or added tokens go to the library whole.
     """
 
-    # The word pattern of byte-level tokenizers of this family, and blocks of characters whose classes
-    # have not changed for long.
+    # The word pattern of byte-level tokenizers of this family, and blocks of characters, but white space,
+    # whose classes have not changed for long.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    STEADY = "\x00-\u0557\u2000-\u206f\u2190-\u27ff\u3000-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uffee\U0001f300-\U0001f64f"
+    STEADY = "\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u0557\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u206f\u2190-\u27ff\u3001-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uffee\U0001f300-\U0001f64f"
+    RUNS = ("   ", "  \n", "\n  ", "\n \n", "\t", "\r", "\x0b", "\x0c")
 
-    def __init__(self, model: str, most: int = 300_000):
+    def __init__(self, model: str, most: int = 400_000):
         import regex
         from tokenizers import Tokenizer
 
-        self.model, self.words, self.most, self.known = Tokenizer.from_str(model), regex.compile(self.PATTERN), most, {}
-        self.odd = re.compile("|".join([f"[^{self.STEADY}]", *(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values())]))
+        self.model, self.words, self.most = Tokenizer.from_str(model), regex.compile(self.PATTERN), most
+        #: Ids of words, and of chunks without their space.
+        self.known: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.odd = re.compile(f"[^{self.STEADY}]")
+        self.whole = [*"\x1c\x1d\x1e\x1f", *(t.content for t in self.model.get_added_tokens_decoder().values())]
         tokens = self.model.get_vocab()
         self.begins = np.zeros(max(tokens.values()) + 1, bool)
         self.begins[[i for t, i in tokens.items() if t.startswith("\u0120")]] = True
@@ -281,31 +370,57 @@ class Tokenising:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, fresh: list[str]) -> None:
-        spaced = [w for w in fresh if w[0] == " " and not w.isspace()]
-        for k in range(0, len(spaced), 20_000):
-            part = spaced[k : k + 20_000]
-            ids = np.array(self._ids(["".join(part)])[0], "<u4")
+    def _spaced(self, found: dict[str, bytes], fresh: list[str], space: str) -> None:
+        """Learns texts that begin with their only white space, a space (or stand without it, if it is given)."""
+        for k in range(0, len(fresh), 20_000):
+            part = fresh[k : k + 20_000]
+            ids = np.array(self._ids([space + space.join(part)])[0], "<u4")
             cuts = np.append(np.flatnonzero(self.begins[ids]), len(ids)) * 4
             flat = ids.tobytes()
             if len(cuts) != len(part) + 1:
                 raise ValueError("the tokenizer joins words")
-            self.known.update(zip(part, [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
+            found.update(zip(part, [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
+
+    def _by_words(self, split: list[list[str]]) -> list[bytes]:
+        known = self.known
+        fresh = list({w for x in split for w in x if w not in known})
+        self._spaced(known, [w for w in fresh if w[0] == " " and not w.isspace()], "")
         others = [w for w in fresh if w[0] != " " or w.isspace()]
         for k in range(0, len(others), 20_000):
             part = others[k : k + 20_000]
-            self.known.update(zip(part, (np.array(i, "<u4").tobytes() for i in self._ids(part))))
+            known.update(zip(part, (np.array(i, "<u4").tobytes() for i in self._ids(part))))
+        return [b"".join([known[w] for w in x]) for x in split]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit numbers."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        split = [None if self.odd.search(t) else self.words.findall(t) for t in texts]
-        known = self.known
-        fresh = list({w for x in split if x for w in x if w not in known})
+        for cache in (self.known, self.chunks):
+            if len(cache) > self.most:
+                cache.clear()
+        get, fresh = self.chunks.get, set()
+        heads, tails, out = [], [], [b""] * len(texts)
+        for k, t in enumerate(texts):
+            if any(w in t for w in self.whole) or not t.isascii() and self.odd.search(t):
+                out[k] = np.array(self._ids([t])[0], "<u4").tobytes()
+            elif any(w in t for w in self.RUNS) or t.endswith(("  ", "\n ")):
+                heads.append((k, self.words.findall(t)))
+            else:
+                head, *tail = t.split(" ")
+                heads.append((k, self.words.findall(head)))
+                found = list(map(get, tail))
+                if None in found:
+                    fresh.update(c for c, x in zip(tail, found) if x is None)
+                tails.append((k, tail, found))
         if fresh:
-            self._learn(fresh)
-        return [np.array(self._ids([t])[0], "<u4").tobytes() if x is None else b"".join([known[w] for w in x]) for t, x in zip(texts, split)]
+            plain = [c for c in fresh if c and "\n" not in c]
+            self._spaced(self.chunks, plain, " ")
+            others = [c for c in fresh if not c or "\n" in c]
+            self.chunks.update(zip(others, self._by_words([self.words.findall(" " + c) for c in others])))
+        for (k, _), ids in zip(heads, self._by_words([x for _, x in heads])):
+            out[k] = ids
+        every = self.chunks.__getitem__
+        for k, tail, found in tails:
+            out[k] += b"".join(map(every, tail) if None in found else found)
+        return out
 
 
 def default_model() -> str:
@@ -328,7 +443,7 @@ def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", tex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenising, shard, part, start = Tokenising(sent.value), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for piece, texts in common.slices(batch, "text", 8_000_000):
+            for piece, texts in common.slices(batch, "text", 16_000_000):
                 each = [x + end for x in tokenising([t.decode() for t in texts])]
                 ids = np.frombuffer(b"".join(each), "<u4").astype(np.int32)
                 blob = Part.write(piece.column("id").to_pylist(), np.array([len(x) // 4 for x in each]), ids)
