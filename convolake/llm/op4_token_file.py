@@ -215,7 +215,7 @@ def _spans(sizes: np.ndarray) -> list[tuple[int, int]]:
     """The parts of a block between which order 0 is renewed, as far as blocks reach."""
     most = int(sizes.max(initial=0))
     edges = [0, *(x for x in RENEWED if x < most), most]
-    return list(zip(edges[:-1], edges[1:]))
+    return list(zip(edges[:-1], edges[1:])) if most else []
 
 
 def encode_blocks(ids: np.ndarray) -> list[bytes]:
