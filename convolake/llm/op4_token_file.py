@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BLOCK, END = 4096, 2
+BLOCK, END = 2048, 2
 _SLOTS = BLOCK  # of each context table
 _CLASSES = 16
 #: Order 0 deals out 2 ** SHARES, and is renewed at these places of a block.
-SHARES, RENEWED = 13, (16, 32, 64, 128, 256, 512, 768, 1024, 1536, 2048, 3072)
+SHARES, RENEWED = 13, (16, 32, 64, 128, 256, 512, 768, 1024, 1536)
 _MAGIC, _HEAD = b"CXM2", struct.Struct("<4sIIII")
 
 
@@ -423,12 +424,36 @@ class Tokenising:
         return out
 
 
+#: What this worker has learnt of each model, for its next task.
+_READY: dict[str, Tokenising] = {}
+
+
+def ready(model: str) -> Tokenising:
+    if model not in _READY:
+        _READY.clear()
+        _READY[model] = Tokenising(model)
+    return _READY[model]
+
+
 def default_model() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _few(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
+    """The texts in parts of about `most` bytes."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The file's parts as a DataFrame (shard, part, start, n_tokens, blob), written to the shared folder."""
     with open(model or default_model(), encoding="utf-8") as f:
@@ -441,10 +466,11 @@ def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", tex
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenising, shard, part, start = Tokenising(sent.value), TaskContext.get().partitionId(), 0, 0
+        tokenising, shard, part, start = ready(sent.value), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for piece, texts in common.slices(batch, "text", 16_000_000):
-                each = [x + end for x in tokenising([t.decode() for t in texts])]
+                # Words are told apart for some texts at a time: as Python's strings they take many times their bytes.
+                each = [x + end for few in _few(texts) for x in tokenising([t.decode() for t in few])]
                 ids = np.frombuffer(b"".join(each), "<u4").astype(np.int32)
                 blob = Part.write(piece.column("id").to_pylist(), np.array([len(x) // 4 for x in each]), ids)
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([part], pa.int64()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([blob], pa.binary())], ["shard", "part", "start", "n_tokens", "blob"])
