@@ -260,12 +260,21 @@ def _(spark, d):
     return metrics.quality_histogram(Tables(spark, d).results().withColumn("share", quality.average() / 10), "share")
 
 
+def _shown(label: str, value: str, shape: str = "%.2f") -> str:
+    return f"printf('{label + ':':<20} {shape}', {value})"
+
+
+_MEANS = [(label, f"avg({c}) FILTER (WHERE success)") for label, c in (("Tool Correctness", "a"), ("Argument Grounding", "b"), ("Task Completion", "c"), ("Naturalness", "d"), ("Overall Average", "CAST(overall AS DOUBLE)"))]
+_SHARES = [(label, f"100 * avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END) FILTER (WHERE success)") for label, c in (("Pass Rate", "overall >= 6"), ("Repair Rate", "repaired"), ("Multi-Step Rate", "n_calls >= 3"), ("Multi-Tool Rate", "n_tools >= 2"))]
+
+
 @query(
     "stats_report",
-    f"""WITH {_RESULTS} SELECT 'Dataset Quality Report' || chr(10) || 'Total Conversations: ' || count(*) || chr(10) || 'Successful: ' || (count(*) FILTER (WHERE success)) AS head FROM results""",
+    f"""WITH {_RESULTS} SELECT array_to_string([repeat('=', 50), 'Dataset Quality Report', repeat('=', 50), '', 'Total Conversations: ' || count(*), 'Successful: ' || count(*) FILTER (WHERE success), 'Total Attempts: ' || CAST(sum(attempts) AS BIGINT),
+    printf('Mean Attempts: %.2f', sum(attempts) / count(*)), '', '--- Quality Scores (1-10) ---', {", ".join(_shown(k, v) for k, v in _MEANS)}, '', '--- Rates ---', {", ".join(_shown(k, f"CAST({v} AS DOUBLE)", "%.1f%%") for k, v in _SHARES)}, repeat('=', 50)], chr(10)) AS report FROM results""",
 )
 def _(spark, d):
-    return quality.report(quality.aggregate_scores(Tables(spark, d).results(with_calls=True))).select(F.substring_index("report", "\n", 3).alias("head"))
+    return quality.report(quality.aggregate_scores(Tables(spark, d).results(with_calls=True)))
 
 
 # -- messages --
@@ -528,10 +537,16 @@ def _(spark, d):
     return graph.neighbors(_graph(Tables(spark, d))[1])
 
 
-@query("subgraph_domain", f"WITH {_G} SELECT 'e' || p_partkey AS id, p_brand AS domain FROM part WHERE p_brand IN ('Brand#11', 'Brand#23')")
+@query(
+    "subgraph_domain",
+    f"""WITH {_E}, k AS (SELECT * FROM e WHERE domain IN ('Brand#11', 'Brand#23')) SELECT 'node' AS kind, id AS a, domain AS b FROM k
+    UNION ALL SELECT 'edge', x.id, y.id FROM k x JOIN k y ON x.domain = y.domain AND x.id < y.id""",
+)
 def _(spark, d):
-    kept, _ = graph.subgraph(*_graph(Tables(spark, d)), ["Brand#11", "Brand#23"])
-    return kept.select("id", "domain")
+    t = Tables(spark, d)
+    nodes, edges = _graph(t)
+    kept, inner = graph.subgraph(nodes, edges.unionByName(graph.same_domain_edges(t.endpoints())), ["Brand#11", "Brand#23"])
+    return kept.select(F.lit("node").alias("kind"), F.col("id").alias("a"), F.col("domain").alias("b")).unionByName(inner.select(F.lit("edge").alias("kind"), F.col("src").alias("a"), F.col("dst").alias("b")))
 
 
 _REGIONS = "g AS (SELECT 'n' || n_nationkey AS src, 'r' || n_regionkey AS dst FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey FROM supplier)"
@@ -563,11 +578,19 @@ def _(spark, d):
     return spark.createDataFrame([(None if found is None else len(found) - 1,)], "steps int")
 
 
-@query("random_walks")
+@query(
+    "random_walks",
+    f"""WITH {_G}, u AS (SELECT src AS node, dst AS other FROM g UNION SELECT dst, src FROM g),
+    m AS (SELECT node, other, row_number() OVER (PARTITION BY node ORDER BY md5(other), other) - 1 AS nth, count(*) OVER (PARTITION BY node) AS degree FROM u),
+    w1 AS (SELECT id AS walk, other AS a FROM e JOIN m ON node = id AND nth = CAST('0x' || substr(md5(id || '|1|0'), 1, 8) AS BIGINT) % degree),
+    w2 AS (SELECT walk, a, other AS b FROM w1 JOIN m ON node = a AND nth = CAST('0x' || substr(md5(walk || '|2|0'), 1, 8) AS BIGINT) % degree),
+    w3 AS (SELECT walk, a, b, other AS c FROM w2 JOIN m ON node = b AND nth = CAST('0x' || substr(md5(walk || '|3|0'), 1, 8) AS BIGINT) % degree)
+    SELECT walk, walk || '>' || a || '>' || b || '>' || c AS path FROM w3""",
+)
 def _(spark, d):
     t = Tables(spark, d)
     starts = t.endpoints().select(F.col("id").alias("walk"), "id")
-    return graph.random_walks(_graph(t)[1], starts, 3)
+    return graph.random_walks(_graph(t)[1], starts, 3).withColumn("path", F.array_join("path", ">"))
 
 
 @query("completeness_filter", f"WITH {_E} SELECT id, round(completeness_score, 6) AS completeness_score FROM e WHERE completeness_score >= 0.65")
@@ -641,10 +664,13 @@ def _(spark, d):
 # -- chains and plans --
 
 
-@query("start_candidates", f"WITH {_E}, k AS (SELECT id, tool_id FROM e WHERE completeness_score >= 0.5), n AS (SELECT tool_id, count(*) AS n FROM k GROUP BY 1) SELECT count(*) AS n, round(max(1 / (n + 1)), 6) AS best FROM (SELECT n FROM k JOIN n USING (tool_id) ORDER BY n LIMIT 10)")
+@query(
+    "start_candidates",
+    f"""WITH {_E}, k AS (SELECT id, tool_id FROM e WHERE completeness_score >= 0.5), w AS (SELECT id, tool_id, 1 / (count(*) OVER (PARTITION BY tool_id) + 1) AS w FROM k),
+    r AS (SELECT *, CAST(row_number() OVER (ORDER BY w DESC, md5(id || '|0'), id) - 1 AS INTEGER) AS rank FROM w) SELECT id, tool_id, round(w, 6) AS w, rank FROM r WHERE rank < 10""",
+)
 def _(spark, d):
-    found = sampling.start_candidates(Tables(spark, d).endpoints(), sampling.Constraints(min_completeness=0.5))
-    return found.agg(F.count("*").alias("n"), F.round(F.max("w"), 6).alias("best"))
+    return _rounded(sampling.start_candidates(Tables(spark, d).endpoints(), sampling.Constraints(min_completeness=0.5)), "w").select("id", "tool_id", "w", "rank")
 
 
 @query("dfs_sample")
@@ -659,16 +685,20 @@ _CHAIN = "c AS (SELECT l_orderkey AS conv, list(CAST(l_partkey AS VARCHAR) ORDER
 
 @query(
     "chain_errors",
-    """WITH s AS (SELECT l_orderkey AS conv, l_suppkey % 7 AS tool, p_brand AS domain, (l_partkey % 11) / 10 AS score FROM lineitem JOIN part ON p_partkey = l_partkey),
-    c AS (SELECT conv, count(*) AS n, count(DISTINCT tool) AS k, bool_or(domain = 'Brand#12') AS need, count(*) FILTER (WHERE domain = 'Brand#23') AS bad, count(*) FILTER (WHERE tool = 3) AS worse, count(*) FILTER (WHERE score < 0.15) AS low FROM s GROUP BY 1)
-    SELECT conv, CAST((n < 2)::INT + (n > 5)::INT + (NOT need)::INT + bad + worse + low + (k < 2)::INT AS INTEGER) AS n_errors FROM c""",
+    """WITH s AS (SELECT l_orderkey AS conv, l_linenumber AS i, CAST(l_partkey AS VARCHAR) AS id, l_suppkey % 7 AS tool, p_brand AS domain, l_partkey % 11 AS score FROM lineitem JOIN part ON p_partkey = l_partkey),
+    c AS (SELECT conv, count(*) AS n, count(DISTINCT tool) AS k, bool_or(domain = 'Brand#12') AS need, list_filter(list(CASE WHEN domain = 'Brand#23' THEN id || ' is of excluded domain Brand#23' END ORDER BY i, id, tool), lambda x: x IS NOT NULL) AS bad,
+      list_filter(list(CASE WHEN tool = 3 THEN id || ' is of excluded tool 3' END ORDER BY i, id, tool), lambda x: x IS NOT NULL) AS worse, list_filter(list(CASE WHEN score < 2 THEN id || ' is complete to 0.' || score END ORDER BY i, id, tool), lambda x: x IS NOT NULL) AS low FROM s GROUP BY 1)
+    SELECT conv, array_to_string(list_filter([CASE WHEN n < 2 THEN n || ' steps are fewer than 2' END, CASE WHEN n > 5 THEN n || ' steps are more than 5' END, CASE WHEN NOT need THEN 'required domain ''Brand#12'' is missing' END], lambda x: x IS NOT NULL)
+      || bad || worse || low || CASE WHEN k < 2 THEN [k || ' tools where two are required'] ELSE [] END, '; ') AS errors FROM c""",
 )
 def _(spark, d):
     t = Tables(spark, d)
-    step = F.struct(F.col("l_partkey").cast("string").alias("endpoint_id"), (F.col("l_suppkey") % 7).cast("string").alias("tool_id"), F.col("p_brand").alias("domain"), ((F.col("l_partkey") % 11) / 10).alias("completeness_score"))
-    chains = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("conv")).agg(F.collect_list(step).alias("chain"))
+    id_, tool = F.col("l_partkey").cast("string"), F.col("l_suppkey") % 7
+    step = F.struct(id_.alias("endpoint_id"), tool.cast("string").alias("tool_id"), F.col("p_brand").alias("domain"), ((F.col("l_partkey") % 11) / 10).alias("completeness_score"))
+    placed = F.array_sort(F.collect_list(F.struct("l_linenumber", id_.alias("id"), tool.alias("tool"), step.alias("s"))))
+    chains = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(F.col("l_orderkey").alias("conv")).agg(F.transform(placed, lambda x: x["s"]).alias("chain"))
     c = sampling.Constraints(required_domains=("Brand#12",), excluded_domains=("Brand#23",), excluded_tools=("3",), min_completeness=0.15, require_multi_tool=True)
-    return chains.select("conv", F.size(sampling.chain_errors("chain", c)).alias("n_errors"))
+    return chains.select("conv", F.array_join(sampling.chain_errors("chain", c), "; ").alias("errors"))
 
 
 @query(
@@ -685,13 +715,12 @@ def _(spark, d):
 @query(
     "neighbor_rank",
     f"""WITH {_E}, near AS (SELECT a.id AS start, b.tool_id, b.id FROM e a JOIN e b ON a.domain = b.domain AND a.id <> b.id WHERE b.completeness_score >= 0.5),
-    w AS (SELECT start, 1 / (count(*) OVER (PARTITION BY start, tool_id) + 1) AS w FROM near), r AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY w DESC) AS k FROM w)
-    SELECT start, count(*) AS n, round(sum(w), 6) AS weight FROM r WHERE k <= 10 GROUP BY 1""",
+    w AS (SELECT *, 1 / (count(*) OVER (PARTITION BY start, tool_id) + 1) AS w FROM near), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY start ORDER BY w DESC, md5(id || '|0'), id) - 1 AS INTEGER) AS rank FROM w)
+    SELECT start, id, tool_id, round(w, 6) AS w, rank FROM r WHERE rank < 10""",
 )
 def _(spark, d):
     e = Tables(spark, d).endpoints()
-    found = sampling.domain_candidates(e, sampling.Constraints(min_completeness=0.5))
-    return found.groupBy("start").agg(F.count("*").alias("n"), F.round(F.sum("w"), 6).alias("weight"))
+    return _rounded(sampling.domain_candidates(e, sampling.Constraints(min_completeness=0.5)), "w").select("start", "id", "tool_id", "w", "rank")
 
 
 def _plan(name: str, sql: str) -> None:
@@ -768,32 +797,43 @@ def _(spark, d):
     return tracker.run_once(tracker.tool_counts(tracker.read_events(spark, f"{d}/events.parquet")), "complete").withColumn("total", F.round("total", 4))
 
 
-@query("stream_first_patterns", "SELECT count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events)")
+@query("stream_first_patterns", "SELECT DISTINCT user_id, event_type FROM events")
 def _(spark, d):
     # The watermark spans all events, so each pattern passes once.
-    out = tracker.run_once(tracker.new_patterns(tracker.read_events(spark, f"{d}/events.parquet"), "3650 days"))
-    return out.agg(F.count("*").alias("n"))
+    return tracker.run_once(tracker.new_patterns(tracker.read_events(spark, f"{d}/events.parquet"), "3650 days")).select("user_id", "event_type")
 
 
-@query("stream_windows", "SELECT event_type, count(*) AS n FROM events WHERE date_trunc('day', ts) < (SELECT date_trunc('day', max(ts)) FROM events) GROUP BY 1")
+@query("stream_windows", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, d):
-    # The last window stays open, as a later event may still fall into it.
-    out = tracker.run_once(tracker.windowed_counts(tracker.read_events(spark, f"{d}/events.parquet"), "1 day", "1 second"))
-    return out.groupBy("event_type").agg(F.sum("n").alias("n"))
+    out = tracker.run_to_end(tracker.read_events(spark, f"{d}/events.parquet"), lambda e: tracker.windowed_counts(e, "1 day", "1 second"))
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("stream_sessions")
+@query(
+    "stream_sessions",
+    """WITH s AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS fresh FROM events),
+    n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM s) SELECT user_id, CAST(min(ts) AS TIMESTAMP) AS start, count(*) AS n FROM n GROUP BY user_id, k""",
+)
 def _(spark, d):
-    return tracker.run_once(tracker.sessions(tracker.read_events(spark, f"{d}/events.parquet"), "6 hours", "1 second"))
+    out = tracker.run_to_end(tracker.read_events(spark, f"{d}/events.parquet"), lambda e: tracker.sessions(e, "6 hours", "1 second"))
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
 @query("generate_fake")
 def _(spark, d):
-    chains = Tables(spark, d).chains().where(F.size("chain") >= 2).select("conv", F.array(F.slice("chain", 1, 5), F.reverse(F.slice("chain", 1, 5))).alias("attempts"))
+    chains = Tables(spark, d).chains().where(F.size("chain") >= 2).select("conv", F.array("chain", F.reverse("chain")).alias("attempts"))
     return generation.generate(chains, generation.FakeModel()).select("conversation_id", "success", "attempts", "repaired", *quality.DIMENSIONS, F.size("messages").alias("n_messages"), "endpoint_ids")
 
 
-@query("embed_texts")
+@query(
+    "embed_texts",
+    """WITH w AS (SELECT CAST(p_partkey AS VARCHAR) AS id, CAST('0x' || substr(md5(unnest(string_split(lower(p_name), ' '))), 1, 8) AS BIGINT) AS h FROM part), c AS (SELECT id, h // 2 % 16 AS pos, sum(1 - 2 * (h % 2)) AS v FROM w GROUP BY 1, 2)
+    SELECT id, CAST(pos AS INTEGER) AS pos, round(CAST(v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS DOUBLE), 4) AS v FROM c WHERE v <> 0""",
+)
 def _(spark, d):
     p = Tables(spark, d).part.select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("text"))
-    return interchange.embed(p, spark.createDataFrame([], "id string, embedding array<float>"), interchange.hashing_embedder(16))
+    made = interchange.embed(p, spark.createDataFrame([], "id string, embedding array<float>"), interchange.hashing_embedder(16))
+    return made.select("id", F.posexplode("embedding").alias("pos", "v")).where("v <> 0").withColumn("v", F.round(F.col("v").cast("double"), 4))
+
+
+from . import catalog_records  # noqa: E402, F401 - registers more queries with query()

@@ -154,21 +154,22 @@ def _as_text(value) -> str:
     return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+#: Which scalars are kept, and under what name: the first rule whose word is met decides. How a word is met, the words,
+#: the name given, and the kinds of values (None: any).
+KEPT = (
+    ("is", "id", "owner", None), ("ends", "_id", "key", None), ("holds", "status state", "key", None), ("is", NAME_KEYS, "path", None),
+    ("is", NUMBER_KEYS, "path", int | float), ("holds", "confirmation reference", "key", None), ("is", "email", "key", str),
+)
+_MET = {"is": str.__eq__, "ends": str.endswith, "holds": str.__contains__}
+
+
 def _kept_name(key: str, value, parent: str) -> str | None:
     """Under which name a scalar is kept, if it is."""
-    low = key.lower()
-    joined = f"{parent}_{key}" if parent else key
-    if low == "id" or low.endswith("_id"):
-        return f"{parent}_id" if low == "id" and parent else key
-    if "status" in low or "state" in low:
-        return key
-    if low in NAME_KEYS.split():
-        return joined
-    if low in NUMBER_KEYS.split():
-        return joined if isinstance(value, int | float) else None
-    if "confirmation" in low or "reference" in low:
-        return key
-    return key if low == "email" and isinstance(value, str) else None
+    rule = next((r for r in KEPT if any(_MET[r[0]](key.lower(), word) for word in r[1].split())), None)
+    if rule is None or (rule[3] is not None and not isinstance(value, rule[3])):
+        return None
+    before = f"{parent}_" if parent else ""
+    return {"key": key, "path": before + key, "owner": f"{before}id" if parent else key}[rule[2]]
 
 
 def extract_values(data) -> dict[str, str]:

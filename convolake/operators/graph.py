@@ -50,10 +50,15 @@ def build_edges(endpoints: DataFrame) -> DataFrame:
     return _shape(own.unionByName(domain), EDGES)
 
 
-def same_domain_edges(endpoints: DataFrame) -> DataFrame:
-    """An edge between any two endpoints of a domain, from the smaller id. All these pairs are the result."""
+def same_domain_edges(endpoints: DataFrame, salts: int = 16) -> DataFrame:
+    """An edge between any two endpoints of a domain, from the smaller id. All these pairs are the result.
+
+    A few domains hold most endpoints, so each is dealt to `salts` keys: one side by its ids, the other to all of them.
+    """
     e = endpoints.where("domain is not null and domain <> ''").select("id", "domain")
-    pairs = e.alias("a").join(e.alias("b"), (F.col("a.domain") == F.col("b.domain")) & (F.col("a.id") < F.col("b.id")))
+    left = e.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).alias("a")
+    right = e.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
+    pairs = left.join(right, (F.col("a.domain") == F.col("b.domain")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.id") < F.col("b.id")))
     return _shape(pairs.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst"), F.lit(SAME_DOMAIN).alias("type"), F.lit(1.0).alias("weight")), EDGES)
 
 
@@ -62,6 +67,13 @@ def add_nodes(nodes: DataFrame, more: DataFrame) -> DataFrame:
     return nodes.unionByName(more.join(nodes.select("id"), "id", "left_anti"))
 
 
+def upsert_nodes(nodes: DataFrame, more: DataFrame) -> DataFrame:
+    """G1: new ids are added; known ones take the attributes that the newer node has (not null), and keep the others."""
+    old, new = nodes.alias("old"), more.alias("new")
+    both = old.join(new, F.col("old.id") == F.col("new.id"), "full")
+    return both.select(*[F.coalesce(F.col(f"new.{c}") if c in more.columns else F.lit(None), F.col(f"old.{c}")).alias(c) for c in nodes.columns])
+
+
 def upsert_edges(edges: DataFrame, more: DataFrame) -> DataFrame:
     """Of equal (src, dst, type) the newer edge."""
     both = edges.withColumn("_age", F.lit(1)).unionByName(more.withColumn("_age", F.lit(0)))
@@ -147,17 +159,31 @@ def subgraph(nodes: DataFrame, edges: DataFrame, domains: list[str]) -> tuple[Da
     return kept, inner.select(edges.columns)
 
 
+def _number(*parts, digits: int = 8):
+    """A number from a hash of these values that any engine can make: the first hexadecimal digits of an MD5 sum."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, digits), 16, 10).cast("long")
+
+
 def random_walks(edges: DataFrame, starts: DataFrame, steps: int, seed: int = 0, types: list[str] | None = None) -> DataFrame:
     """(walk, path): walks of up to `steps` steps over neighbours picked evenly by a hash; they end where there are none.
 
-    starts: (walk, id). A step takes the neighbour with the least hash of (walk, step, neighbour, seed), an aggregate
-    that is combined before it is sent.
+    starts: (walk, id). A node's neighbours are numbered in the order of their hashes, and a step takes the number that
+    the hash of (walk, step, seed) gives, so a walk meets one row of its node and one neighbour, however many there are.
+    Neighbours are numbered in 256 slots of the hash, so that those of a hub are sorted in as many tasks.
     """
-    near = neighbors(edges, types)
+    near = neighbors(edges, types).withColumn("hash", F.md5("other")).withColumn("slot", F.substring("hash", 1, 2))
+    nth = F.row_number().over(Window.partitionBy("node", "slot").orderBy("hash", "other")) - 1
+    numbered = stored(near.withColumn("nth", nth).select("node", "slot", "nth", "other"), "numbered")
+    sizes = numbered.groupBy("node", "slot").agg(F.count("*").alias("n"))
+    # A node's slots, at most 256: how many neighbours each has, in order.
+    slots = stored(sizes.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("slots"), F.sum("n").alias("degree")), "slots")
     walks = starts.select("walk", F.array("id").alias("path"), F.col("id").alias("node"))
     for k in range(1, steps + 1):
-        pick = F.min_by("other", F.struct(F.xxhash64("walk", F.lit(k), "other", F.lit(seed)), "other")).alias("next")
-        step = walks.select("walk", "node").join(near, "node").groupBy("walk").agg(pick)
+        picked = walks.where("node is not null").join(slots, "node").withColumn("k", _number(F.col("walk").cast("string"), F.lit(str(k)), F.lit(str(seed))) % F.col("degree"))
+        # The slot in which this number falls, and the number within it.
+        found = F.aggregate("slots", F.struct(F.lit(None).cast("string").alias("slot"), F.col("k").alias("left")), lambda s, x: F.when(s["slot"].isNotNull(), s).when(s["left"] < x["n"], F.struct(x["slot"].alias("slot"), s["left"].alias("left"))).otherwise(F.struct(F.lit(None).cast("string").alias("slot"), (s["left"] - x["n"]).alias("left"))))
+        step = picked.select("walk", "node", found.alias("f")).select("walk", "node", F.col("f.slot").alias("slot"), F.col("f.left").alias("nth"))
+        step = step.join(numbered, ["node", "slot", "nth"]).select("walk", F.col("other").alias("next"))
         walks = walks.join(step, "walk", "left").select("walk", F.when(F.col("next").isNotNull(), F.array_append("path", F.col("next"))).otherwise(F.col("path")).alias("path"), F.col("next").alias("node"))
     return walks.select("walk", "path")
 

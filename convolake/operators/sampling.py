@@ -40,6 +40,11 @@ class Constraints:
                 raise ValueError(f"{kind} both required and excluded: {sorted(both)}")
 
 
+def _shuffled(id_: str, seed: int) -> Column:
+    """The order of equal weights: an MD5 sum of the id, which any engine can make."""
+    return F.md5(F.concat_ws("|", F.col(id_).cast("string"), F.lit(str(seed))))
+
+
 def chain_errors(chain, c: Constraints) -> Column:
     """What a chain (an array of STEP) breaks, in the order of the constraints; an empty array if nothing."""
     chain = F.col(chain) if isinstance(chain, str) else chain
@@ -84,7 +89,7 @@ def ranked(candidates: DataFrame, group: list[str], weights: DataFrame | None, s
         outer = F.coalesce("weight", F.lit(1.0))
     same = F.count("*").over(Window.partitionBy(*group, "tool_id"))
     w = candidates.withColumn("w", outer / (same + 1))
-    return w.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("w"), F.xxhash64("id", F.lit(seed)), "id")) - 1)
+    return w.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("w"), _shuffled("id", seed), "id")) - 1)
 
 
 def start_candidates(endpoints: DataFrame, c: Constraints, weights: DataFrame | None = None, most: int = 10, seed: int = 0) -> DataFrame:
@@ -99,8 +104,8 @@ def start_candidates(endpoints: DataFrame, c: Constraints, weights: DataFrame |
     if weights is not None:
         scored = scored.join(weights.select(F.col("endpoint").alias("id"), "weight"), "id", "left")
         outer = F.coalesce("weight", F.lit(1.0))
-    first = scored.select("id", "tool_id", (outer / (F.col("same") + 1)).alias("w")).orderBy(F.desc("w"), F.xxhash64("id", F.lit(seed)), "id").limit(most)
-    return first.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("w"), F.xxhash64("id", F.lit(seed)), "id")) - 1)
+    first = scored.select("id", "tool_id", (outer / (F.col("same") + 1)).alias("w")).orderBy(F.desc("w"), _shuffled("id", seed), "id").limit(most)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("w"), _shuffled("id", seed), "id")) - 1)
 
 
 def neighbor_candidates(paths: DataFrame, edges: DataFrame, endpoints: DataFrame, c: Constraints, weights: DataFrame | None = None, most: int = 10, seed: int = 0, by_domain: bool = False) -> DataFrame:
@@ -108,13 +113,13 @@ def neighbor_candidates(paths: DataFrame, edges: DataFrame, endpoints: DataFrame
 
     by_domain takes the neighbours in one domain from the endpoints themselves, so same-domain edges need not be made.
     """
-    # The paths' ends are few (starts times fan to the depth), so they go to the edges, which are neither sent nor sorted.
+    # The paths' ends are few in a search (starts times fan to the depth); Spark sends them to the edges where they are.
     paths = paths.withColumn("node", F.element_at("path", -1))
-    ends = F.broadcast(paths.select("node").distinct())
+    ends = paths.select("node").distinct()
     near = both_ways(edges, [SIMILAR] if by_domain else [SAME_DOMAIN, SIMILAR]).select("node", "other").join(ends, "node")
     if by_domain:
         named = endpoints.where("domain is not null and domain <> ''").select("id", "domain")
-        own = F.broadcast(named.withColumnRenamed("id", "node").join(ends, "node"))
+        own = named.withColumnRenamed("id", "node").join(ends, "node")
         near = near.unionByName(named.withColumnRenamed("id", "other").join(own, "domain").where("node <> other").select("node", "other"))
     near = near.distinct()
     kept = allowed(endpoints, c).select(F.col("id").alias("other"), "tool_id")
@@ -136,7 +141,7 @@ def domain_candidates(endpoints: DataFrame, c: Constraints, weights: DataFrame |
     if weights is not None:
         all_ = all_.join(weights.select(F.col("endpoint").alias("cid"), "weight"), "cid", "left")
         outer = F.coalesce("weight", F.lit(1.0))
-    all_ = all_.withColumn("outer", outer).withColumn("hash", F.xxhash64("cid", F.lit(seed)))
+    all_ = all_.withColumn("outer", outer).withColumn("hash", _shuffled("cid", seed))
     same = all_.groupBy("domain", "tool").agg(F.count("*").alias("same"))
     # Of each tool in a domain, its first; of each domain, the first of these.
     own = all_.withColumn("nth", F.row_number().over(Window.partitionBy("domain", "tool").orderBy(F.desc("outer"), "hash", "cid"))).where(F.col("nth") <= most + 1).drop("nth")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from copy import deepcopy
 from pathlib import Path
 
@@ -14,7 +13,22 @@ DEFAULTS = {
     "quality": {"min_score": 6.0, "max_retries": 3, "repair_threshold": 6},
     "generation": {"max_turns": 20, "seed": 42},
 }
-_VARIABLE = re.compile(r"\$\{([^}:]+)(?::-([^}]*))?\}")
+
+
+def _filled(text: str) -> str:
+    """The text with the values of its variables; what is no variable stays."""
+    head, *rest = text.split("${")
+    out = [head]
+    for part in rest:
+        inner, closed, after = part.partition("}")
+        name, given, default = inner.partition(":-")
+        if not closed or not name or ":" in name:
+            out.append("${" + part)
+            continue
+        if name not in os.environ and not given:
+            raise ValueError(f"the environment has no {name}, and no default is given")
+        out += [os.environ.get(name, default), after]
+    return "".join(out)
 
 
 def expand(value):
@@ -25,14 +39,7 @@ def expand(value):
         return [expand(v) for v in value]
     if not isinstance(value, str):
         return value
-
-    def found(m: re.Match) -> str:
-        there = os.environ.get(m[1], m[2])
-        if there is None:
-            raise ValueError(f"the environment has no {m[1]}, and no default is given")
-        return there
-
-    text = _VARIABLE.sub(found, value)
+    text = _filled(value)
     return {"true": True, "false": False}.get(text.lower(), text)
 
 

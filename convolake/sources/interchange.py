@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 from collections.abc import Callable, Iterator
-from xml.sax.saxutils import escape, quoteattr
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.conversation import CONVERSATION
 from ..operators import graph
 from ..operators.quality import DIMENSIONS, average
+from ..storage import new_path
 
 # -- conversations --
 
@@ -38,9 +37,9 @@ def serialize(results: DataFrame, metadata: bool = True) -> DataFrame:
 
 def write_jsonl(results: DataFrame, path: str, failed: bool = False, metadata: bool = True) -> int:
     """Writes serialize() of successful (or all) results; returns how many."""
-    kept = results if failed else results.where(F.col("success"))
-    serialize(kept, metadata).write.text(path)
-    return results.sparkSession.read.text(path).count()
+    kept, seen = results if failed else results.where(F.col("success")), Observation()
+    serialize(kept, metadata).observe(seen, F.count("*").alias("n")).write.text(path)
+    return seen.get["n"]
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str = CONVERSATION, strict: bool = True) -> DataFrame:
@@ -65,16 +64,42 @@ def load_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.schema(graph.NODES).parquet(f"{path}/nodes"), spark.read.schema(graph.EDGES).parquet(f"{path}/edges")
 
 
+def _assemble(spark: SparkSession, path: str, parts: list[str | DataFrame], compressed: bool) -> None:
+    """One file of texts and of tables of lines (column line), in this order.
+
+    Spark writes the lines to the shared folder; their bytes are then joined by the file system's streams, so no rows
+    come to the driver's Python. The first character of a table's first line is left out (a comma between elements).
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(conf).create(place, True)
+    out = jvm.java.util.zip.GZIPOutputStream(out) if compressed else out
+    try:
+        for part in parts:
+            if isinstance(part, str):
+                out.write(bytearray(part.encode()))
+                continue
+            folder = new_path(spark, "lines")
+            part.select("line").write.text(folder)
+            source = jvm.org.apache.hadoop.fs.Path(folder)
+            fs, first = source.getFileSystem(conf), True
+            for file in sorted((f for f in fs.listStatus(source) if f.getLen() and f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName()):
+                lines = fs.open(file.getPath())
+                if first:
+                    lines.read()
+                    first = False
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(lines, out, 1 << 16, False)
+                lines.close()
+            fs.delete(source, True)
+    finally:
+        out.close()
+
+
 def write_graph_json(nodes: DataFrame, edges: DataFrame, path: str, links: str = "edges", compressed: bool = False, created: str = "") -> None:
-    """S16 and (links="links") S17: one local JSON document, its parts streamed from the tables one partition at a time."""
-    with (gzip.open(path, "wt", encoding="utf-8") if compressed else open(path, "w", encoding="utf-8")) as out:
-        out.write('{"metadata": {"schema_version": "1.0.0", "created_at": "%s"}' % created)
-        for name, table in (("nodes", nodes), (links, edges)):
-            out.write(f', "{name}": [')
-            for k, (line,) in enumerate(table.select(F.to_json(F.struct("*"))).toLocalIterator()):
-                out.write(",\n" * (k > 0) + line)
-            out.write("]")
-        out.write("}\n")
+    """S16 and (links="links") S17: one JSON document, an element a line."""
+    line = F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("line")
+    head = '{"metadata": {"schema_version": "1.0.0", "created_at": "%s"}, "nodes": [\n' % created
+    _assemble(nodes.sparkSession, path, [head, nodes.select(line), f'], "{links}": [\n', edges.select(line), "]}\n"], compressed)
 
 
 def read_graph_json(spark: SparkSession, path: str, links: str = "edges") -> tuple[DataFrame, DataFrame]:
@@ -87,21 +112,22 @@ def _typed(schema: str) -> str:
     return ",".join(":".join(p.split()) for p in schema.split(","))
 
 
+def _escaped(x: Column, attribute: bool = False) -> Column:
+    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *((('"', "&quot;"), ("\n", "&#10;"), ("\t", "&#9;")) if attribute else ()), ("\r", "&#13;")):
+        x = F.replace(x, F.lit(plain), F.lit(coded))
+    return x
+
+
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str, compressed: bool = False) -> None:
-    """GraphML, streamed; null attributes are left out."""
-    with (gzip.open(path, "wt", encoding="utf-8") if compressed else open(path, "w", encoding="utf-8")) as out:
-        out.write('<?xml version="1.0" encoding="utf-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n')
-        for kind, table in (("node", nodes), ("edge", edges)):
-            for name, type_ in table.dtypes:
-                out.write(f'<key id="{kind}_{name}" for="{kind}" attr.name="{name}" attr.type="{type_ if type_ in ("string", "double") else "long"}"/>\n')
-        out.write('<graph edgedefault="directed">\n')
-        for kind, table in (("node", nodes), ("edge", edges)):
-            for row in table.toLocalIterator():
-                values = row.asDict()
-                ends = f"id={quoteattr(values['id'])}" if kind == "node" else f"source={quoteattr(values['src'])} target={quoteattr(values['dst'])}"
-                data = "".join(f'<data key="{kind}_{k}">{escape(str(v))}</data>' for k, v in values.items() if v is not None)
-                out.write(f"<{kind} {ends}>{data}</{kind}>\n")
-        out.write("</graph>\n</graphml>\n")
+    """GraphML, an element a line; null attributes are left out."""
+    keys, lines = [], []
+    for kind, table, ends in (("node", nodes, {"id": "id"}), ("edge", edges, {"source": "src", "target": "dst"})):
+        keys += [f'<key id="{kind}_{name}" for="{kind}" attr.name="{name}" attr.type="{type_ if type_ in ("string", "double") else "long"}"/>\n' for name, type_ in table.dtypes]
+        named = F.concat(*[F.concat(F.lit(f' {a}="'), _escaped(F.col(c), True), F.lit('"')) for a, c in ends.items()])
+        data = F.concat_ws("", *[F.concat(F.lit(f'<data key="{kind}_{c}">'), _escaped(F.col(c).cast("string")), F.lit("</data>")) for c in table.columns])
+        lines.append(table.select(F.concat(F.lit(f" <{kind}"), named, F.lit(">"), data, F.lit(f"</{kind}>")).alias("line")))
+    head = '<?xml version="1.0" encoding="utf-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n'
+    _assemble(nodes.sparkSession, path, [head, *keys, '<graph edgedefault="directed">\n', *lines, "</graph>\n</graphml>\n"], compressed)
 
 
 def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -118,14 +144,24 @@ def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 # -- embeddings --
 
 
+def _of_size(size: int) -> Column:
+    return F.when(F.size("embedding") == size, F.col("embedding")).otherwise(F.raise_error(F.format_string(f"a vector of size %d where {size} is due", F.size("embedding"))))
+
+
 def save_embeddings(vectors: DataFrame, path: str, size: int) -> None:
     """(id, embedding), all of one size, else it raises."""
-    checked = F.when(F.size("embedding") == size, F.col("embedding")).otherwise(F.raise_error(F.format_string(f"a vector of size %d where {size} is due", F.size("embedding"))))
-    vectors.select("id", checked.cast("array<float>").alias("embedding")).write.mode("append").parquet(path)
+    vectors.select("id", _of_size(size).cast("array<float>").alias("embedding")).write.mode("append").parquet(path)
+
+
+def load_embeddings(spark: SparkSession, path: str, size: int | None = None) -> DataFrame:
+    """S19; with a size, a stored vector of another one raises."""
+    found = spark.read.schema("id string, embedding array<float>").parquet(path)
+    return found if size is None else found.select("id", _of_size(size).cast("array<float>").alias("embedding"))
 
 
-def load_embeddings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("id string, embedding array<float>").parquet(path)
+def clear_embeddings(spark: SparkSession, path: str) -> None:
+    """An empty cache at this path."""
+    spark.createDataFrame([], "id string, embedding array<float>").write.mode("overwrite").parquet(path)
 
 
 def hashing_embedder(size: int = 64) -> Callable[[list[str]], list[list[float]]]:
@@ -135,8 +171,8 @@ def hashing_embedder(size: int = 64) -> Callable[[list[str]], list[list[float]]]
         out = np.zeros((len(texts), size), np.float32)
         for row, text in zip(out, texts):
             for word in text.lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                row[h % size] += 1 - 2 * (h >> 63)
+                h = int(hashlib.md5(word.encode()).hexdigest()[:8], 16)
+                row[h // 2 % size] += 1 - 2 * (h % 2)
         return (out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)).tolist()
 
     return embed

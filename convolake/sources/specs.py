@@ -23,9 +23,19 @@ def scan(spark: SparkSession, path: str, pattern: str = "*.json", recursive: boo
     return files.orderBy("path").limit(limit) if limit is not None else files
 
 
+def _kind(v: Column, name: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+
+
 def _get(v: Column, *names: str) -> Column:
-    """The first of these fields that is neither missing nor empty, as a string."""
-    return F.coalesce(*[F.nullif(F.try_variant_get(v, f"$.{n}", "string"), F.lit("")) for n in names])
+    """The first of these fields that is neither missing nor empty, zero or false, as a string."""
+
+    def one(name: str) -> Column:
+        text = F.try_variant_get(v, f"$.{name}", "string")
+        nothing = (text == "") | (text.isin("0", "0.0", "-0", "-0.0", "false") & (_kind(v, name) != "STRING"))
+        return F.when(~nothing, text)
+
+    return F.coalesce(*[one(n) for n in names])
 
 
 def _list(v: Column, name: str) -> Column:
@@ -36,10 +46,21 @@ def _json(v: Column, name: str) -> Column:
     return F.to_json(F.try_variant_get(v, f"$.{name}", "variant"))
 
 
-def _parameter(p: Column, name: Column, required: bool, most: int) -> Column:
-    needed = F.coalesce(F.lower(F.try_variant_get(p, "$.required", "string")) == "true", F.lit(required))
+#: Names of a parameter's type and description: in lists, and in objects.
+IN_LIST, IN_OBJECT = (("type", "parameter_type", "param_type"), ("description", "parameter_description")), (("type", "parameter_type"), ("description",))
+
+
+def _required(p: Column, else_: bool) -> Column:
+    """A text must be "true", a number not zero; null is false, a missing field is else_."""
+    kind, get = _kind(p, "required"), lambda type_: F.try_variant_get(p, "$.required", type_)
+    known = F.when(kind == "VOID", False).when(kind == "STRING", F.lower(get("string")) == "true").when(kind == "BOOLEAN", get("boolean"))
+    return F.when(kind.isNull(), else_).otherwise(F.coalesce(known, get("double") != 0, ~get("string").isin("[]", "{}")))
+
+
+def _parameter(p: Column, name: Column, required: bool, most: int, names: tuple = IN_LIST) -> Column:
+    needed = _required(p, required)
     return F.struct(
-        name.alias("name"), normalize_type(_get(p, "type", "parameter_type", "param_type")).alias("type"), truncate(F.coalesce(_get(p, "description", "parameter_description"), F.lit("")), most).alias("description"),
+        name.alias("name"), normalize_type(_get(p, *names[0])).alias("type"), truncate(F.coalesce(_get(p, *names[1]), F.lit("")), most).alias("description"),
         needed.alias("required"), F.when(F.schema_of_variant(F.try_variant_get(p, "$.default", "variant")) != "VOID", _json(p, "default")).alias("default"),
         F.transform(F.try_variant_get(p, "$.enum", "array<variant>"), lambda x: F.to_json(x)).alias("enum"),
     )
@@ -55,7 +76,7 @@ def parameters_of_object(v: Column, name: str, most: int = 500) -> Column:
     """An object's keys are the names; values that are no objects are passed over."""
     entries = F.map_entries(F.try_variant_get(v, f"$.{name}", "map<string,variant>"))
     objects = F.filter(entries, lambda e: F.schema_of_variant(e["value"]).startswith("OBJECT"))
-    return F.coalesce(F.transform(objects, lambda e: _parameter(e["value"], e["key"], False, most)), F.array().cast(f"array<{PARAMETER}>"))
+    return F.coalesce(F.transform(objects, lambda e: _parameter(e["value"], e["key"], False, most, IN_OBJECT)), F.array().cast(f"array<{PARAMETER}>"))
 
 
 def _parameters(v: Column, most: int) -> Column:

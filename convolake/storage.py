@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-#: Temporary folders by application, for sessions that name no shared one.
+#: Temporary folders by application, for local sessions that name no shared one; applications whose tables go at the end.
 _OWN: dict[str, str] = {}
+_KEPT: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir; a temporary folder only where none is named (tests, one machine)."""
+    """The session's spark.checkpoint.dir; a temporary folder only where none is named on a local master (tests, one machine)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = tempfile.mkdtemp(prefix="convolake-")
@@ -26,8 +29,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _leave(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        _delete(spark, folder)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/convolake/{name}-{uuid.uuid4().hex}"
+    """A path in the application's own folder, which goes when the driver's Python ends: results that are read later need it."""
+    folder = f"{shared_dir(spark)}/convolake-{spark.sparkContext.applicationId}"
+    if folder not in _KEPT:
+        _KEPT.add(folder)
+        atexit.register(_leave, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str = "t") -> DataFrame:
@@ -41,6 +59,4 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Deletes what stored() wrote for df."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.stored_path)

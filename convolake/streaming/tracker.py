@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,17 +47,45 @@ def new_patterns(events: DataFrame, late: str = "1 hour", keys: tuple[str, ...]
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(list(keys))
 
 
+#: When the last marker of an ended stream stands; no event may be later.
+END_OF_TIME = "9999-01-01 00:00:00"
+
+
 def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Runs a stream over all that is there and reads what it wrote.
 
     Appended rows go to files in the shared folder. Complete results are rewritten a batch, so their last batch counts.
+    Windows and sessions that later events could still change stay open; run_to_end() closes them, too.
     """
     spark = stream.sparkSession
     out, marks = new_path(spark, "stream"), new_path(spark, "stream-marks")
+    _run(stream, mode, out, marks)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _run(stream: DataFrame, mode: str, out: str, marks: str) -> None:
     writer = stream.writeStream.option("checkpointLocation", marks).trigger(availableNow=True)
     if mode == "append":
         writer = writer.format("parquet").option("path", out).outputMode("append")
     else:
         writer = writer.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
     writer.start().awaitTermination()
+
+
+def run_to_end(events: DataFrame, transform: Callable[[DataFrame], DataFrame], time: str = "ts") -> DataFrame:
+    """run_once() of transform(events) for a stream that has ended: what it leaves open comes out as well.
+
+    A second source, empty until all events are through, then holds one marker at the end of time. The query starts again
+    from its checkpoint, the marker moves the watermark past all events, and their windows and sessions close; the
+    marker's own stays open for good.
+    """
+    spark = events.sparkSession
+    out, marks, markers = new_path(spark, "stream"), new_path(spark, "stream-marks"), new_path(spark, "markers")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(markers)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    stream = transform(events.unionByName(spark.readStream.schema(events.schema).parquet(markers)))
+    _run(stream, "append", out, marks)
+    marker = [F.lit(END_OF_TIME if f.name == time else None).cast(f.dataType).alias(f.name) for f in events.schema]
+    spark.range(1).select(*marker).write.mode("append").parquet(markers)
+    _run(stream, "append", out, marks)
     return spark.read.schema(stream.schema).parquet(out)

@@ -176,8 +176,32 @@ def test_streams(spark, tmp_path):
     windows = tracker.run_once(tracker.windowed_counts(tracker.read_events(spark, path), "6 hours", "1 minute"))
     batch = rows.groupBy(F.window("ts", "6 hours")["start"].alias("start"), "event_type").agg(F.count("*").alias("n"))
     closed = {tuple(r) for r in windows.collect()}
-    assert closed and closed <= {tuple(r) for r in batch.collect()}
+    assert closed and closed < {tuple(r) for r in batch.collect()}
+    ended = tracker.run_to_end(tracker.read_events(spark, path, files=1), lambda e: tracker.windowed_counts(e, "6 hours", "3 days"))
+    assert sorted(tuple(r) for r in ended.collect()) == sorted(tuple(r) for r in batch.collect())
     first = tracker.run_once(tracker.new_patterns(tracker.read_events(spark, path), "30 days"))
     assert first.count() == 12
     s = tracker.run_once(tracker.sessions(tracker.read_events(spark, path), "20 minutes", "1 minute"))
     assert s.count() > 100 and s.agg(F.max("n")).first()[0] == 1
+    ended = tracker.run_to_end(tracker.read_events(spark, path), lambda e: tracker.sessions(e, "1 hour", "1 minute"))
+    assert sorted(tuple(r) for r in ended.select("user_id", "n").collect()) == [(0, 67), (1, 67), (2, 66)]
+
+
+def test_truth_of_required(spark, tmp_path):
+    values = [True, False, 1, 0, None, "True", "no", "", [], [0]]
+    doc = {"name": "t", "api_list": [{"name": "e", "required_parameters": [{"name": f"p{k}", "required": v} for k, v in enumerate(values)] + [{"name": "given"}], "parameters": {"q": {"param_type": "int", "parameter_type": "bool", "parameter_description": "x"}, "r": {"required": 1}}}]}
+    (tmp_path / "a.json").write_text(json.dumps(doc))
+    e = specs.parse_endpoints(specs.parse_tools(specs.scan(spark, f"file://{tmp_path}"))).first()
+    got = {p["name"]: p for p in e["parameters"]}
+    assert [got[f"p{k}"]["required"] for k in range(len(values))] == [True, False, True, False, False, True, False, False, False, True]
+    assert got["given"]["required"] and got["r"]["required"] and got["q"]["type"] == "boolean" and got["q"]["description"] == ""
+
+
+def test_embedding_cache(spark, tmp_path):
+    path = f"file://{tmp_path}/vectors"
+    interchange.save_embeddings(spark.createDataFrame([("a", [1.0, 2.0])], "id string, embedding array<float>"), path, 2)
+    assert interchange.load_embeddings(spark, path, 2).count() == 1
+    with pytest.raises(Exception, match="3 is due"):
+        interchange.load_embeddings(spark, path, 3).collect()
+    interchange.clear_embeddings(spark, path)
+    assert interchange.load_embeddings(spark, path).count() == 0
