@@ -600,7 +600,7 @@ def _(spark, d):
 
 @query("endpoints_by_domain", f"WITH {_E} SELECT id, tool_id FROM e WHERE domain = 'Brand#23'")
 def _(spark, d):
-    return Tables(spark, d).endpoints().where("domain = 'Brand#23'").select("id", "tool_id")
+    return graph.by_domain(Tables(spark, d).endpoints(), "Brand#23").select("id", "tool_id")
 
 
 @query("endpoints_by_category", "SELECT 'e' || p_partkey AS id FROM part WHERE p_partkey % 100 % 6 = 2")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .catalog import _E, _G, _N, Tables, _graph, query
 from .functions import conversation, text
 from .operators import generation, graph, validation
-from .sources import interchange, specs
+from .sources import cache, interchange, specs
 from .storage import new_path
 
 # -- specifications: the tools of the graph (a part's number modulo 100) as files of all three layouts --
@@ -130,6 +130,57 @@ def _(spark, d):
     return e.select("id", graph.weight_of_edge().alias("weight"))
 
 
+@query("endpoints_by_id", f"WITH {_E} SELECT id, name FROM e WHERE CAST(id[2:] AS BIGINT) IN (SELECT s_suppkey FROM supplier)")
+def _(spark, d):
+    t = Tables(spark, d)
+    return graph.by_ids(t.endpoints(), t.supplier.select(F.concat(F.lit("e"), F.col("s_suppkey").cast("string")).alias("id"))).select("id", "name")
+
+
+@query("nodes_of_type", f"WITH {_E}, {_N} SELECT id FROM n WHERE type = 'Domain'")
+def _(spark, d):
+    return graph.of_type(_graph(Tables(spark, d))[0], graph.DOMAIN).select("id")
+
+
+@query("existing_edges", f"WITH {_E} SELECT 't' || CAST(id[2:] AS BIGINT) % 50 AS src, id AS dst, tool_id = 't' || CAST(id[2:] AS BIGINT) % 50 AS there FROM e")
+def _(spark, d):
+    t = Tables(spark, d)
+    pairs = t.endpoints().select(F.concat(F.lit("t"), (F.col("id").substr(2, 20).cast("long") % 50).cast("string")).alias("src"), F.col("id").alias("dst"), F.lit(graph.HAS_ENDPOINT).alias("type"))
+    return graph.existing(_graph(t)[1], pairs).select("src", "dst", "there")
+
+
+# -- the cache's tiers --
+
+_TIERS = """m AS (SELECT event_type || '-' || user_id AS k, max(ts) AS last, count(*) AS n FROM events WHERE user_id % 3 = 0 GROUP BY 1), x AS (SELECT event_type || '-' || user_id AS k, max(ts) AS last, count(*) AS n FROM events WHERE user_id % 3 < 2 GROUP BY 1)"""
+
+
+def _tiers(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Requests, and the entries of both tiers; the one on disk is saved and loaded."""
+    r = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("prompt_hash"), "user_id")
+    one = lambda rows: rows.groupBy("prompt_hash").agg(F.lower(F.first("prompt_hash")).alias("content"), F.lit("m").alias("model"), F.max("ts").alias("created_at"), F.count("*").alias("hit_count"), F.max("ts").alias("last_accessed"))
+    path = new_path(t.spark, "cache")
+    disk = one(r.where("user_id % 3 < 2"))
+    cache.save(disk, path)
+    cache.save(disk.limit(3).withColumn("content", F.lit(None).cast("string")), path)  # damaged
+    return r, one(r.where("user_id % 3 = 0")), cache.load(t.spark, path)
+
+
+@query("cache_tiers", f"WITH {_TIERS} SELECT event_id, lower(coalesce(m.k, x.k)) AS content, CASE WHEN m.k IS NOT NULL THEN 'memory' WHEN x.k IS NOT NULL THEN 'disk' END AS tier FROM events LEFT JOIN m ON m.k = event_type || '-' || user_id LEFT JOIN x ON x.k = event_type || '-' || user_id")
+def _(spark, d):
+    return cache.tiered(*_tiers(Tables(spark, d))).select("event_id", "content", "tier")
+
+
+@query(
+    "cache_remembered",
+    f"""WITH {_TIERS}, q AS (SELECT event_type || '-' || user_id AS k, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY 1),
+    a AS (SELECT m.k, m.n + coalesce(q.n, 0) AS n, q.k IS NOT NULL AS used, m.last FROM m LEFT JOIN q USING (k) UNION ALL SELECT x.k, x.n, true, x.last FROM x JOIN q USING (k) WHERE k NOT IN (SELECT k FROM m))
+    SELECT k AS prompt_hash, n AS hit_count FROM (SELECT * FROM a ORDER BY used DESC, CASE WHEN used THEN NULL ELSE last END DESC, k LIMIT 200)""",
+)
+def _(spark, d):
+    r, memory, disk = _tiers(Tables(spark, d))
+    now = F.lit("2100-01-01 00:00:00").cast("timestamp")
+    return cache.remembered(r.where("event_id % 2 = 0").select("prompt_hash"), memory, disk, now, 200).select("prompt_hash", "hit_count")
+
+
 # -- ids and methods --
 
 

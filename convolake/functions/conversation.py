@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DecimalType, StructType
 
 from .text import _col, blank_as_null, is_blank
 
@@ -119,6 +120,24 @@ def tool_definition(id_, name, description, parameters) -> Column:
     return F.struct(_col(id_).alias("name"), F.coalesce(blank_as_null(description), F.concat(F.lit("Call "), _col(name))).alias("description"), input_schema(parameters).alias("input_schema"))
 
 
+#: JSON schema types of Spark's; all others are strings.
+_JSON_TYPES = {"tinyint": "integer", "smallint": "integer", "int": "integer", "bigint": "integer", "float": "number", "double": "number", "boolean": "boolean"}
+
+
+def _json_schema(kind: DataType) -> dict:
+    if isinstance(kind, StructType):
+        needed = [f.name for f in kind if not f.nullable]
+        return {"type": "object", "properties": {f.name: _json_schema(f.dataType) for f in kind}, **({"required": needed} if needed else {})}
+    if isinstance(kind, ArrayType):
+        return {"type": "array", "items": _json_schema(kind.elementType)}
+    return {"type": "number" if isinstance(kind, DecimalType) else _JSON_TYPES.get(kind.simpleString(), "string")}
+
+
+def tool_of_schema(name: str, description: str, schema: StructType) -> dict:
+    """A tool whose input has these fields; those that can't be null are required."""
+    return {"name": name, "description": description, "input_schema": _json_schema(schema)}
+
+
 def entity_id(kind, conversation) -> Column:
     """P33. An id for a kind of thing that stays the same within a conversation."""
     return F.concat(_col(kind), F.lit("_"), F.substring(F.md5(F.concat_ws("\u0001", _col(conversation), _col(kind))), 1, 8))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values, repair_text, user_goal
 from ..functions.text import is_blank, parse_response_schema, parse_type
 from ..operators.quality import DIMENSIONS
+from ..operators.validation import ROLES
 
 RESULT = (
     f"conversation_id string, success boolean, attempts long, repaired boolean, error string, messages array<{MESSAGE}>, tool_outputs array<{TOOL_OUTPUT}>,"
@@ -39,6 +41,33 @@ class ModelError(Exception):
         self.transient = transient
 
 
+class RateLimited(ModelError):
+    """L2: asked too often; `retry_after` seconds, if the service says so."""
+
+    def __init__(self, text: str, retry_after: float | None = None):
+        super().__init__(text, True)
+        self.retry_after = retry_after
+
+
+class ServiceError(ModelError):
+    """L2: the service answers with an error; those of its own side (500 and above) are transient."""
+
+    def __init__(self, text: str, status: int | None = None):
+        super().__init__(text, status is not None and status >= 500)
+        self.status = status
+
+
+class InvalidAnswer(ModelError):
+    """L2: the answer has not the form that was asked for."""
+
+
+class Unreachable(ModelError):
+    """L2: no connection, or none in time."""
+
+    def __init__(self, text: str):
+        super().__init__(text, True)
+
+
 @dataclass
 class FakeModel:
     """L1 offline: answers made from a hash of the prompt; scores lie between least and 10."""
@@ -60,6 +89,11 @@ class FakeModel:
             return json.dumps({"status": "success", "id": f"{h % 10**8:08d}"})
         if task == "SCENARIO":
             return json.dumps({"description": f"scenario {h % 1000}", "user_goal": f"goal {h % 97}"})
+        if task == "REPAIR":
+            said = json.loads(rest.partition("\n")[2])["messages"]
+            for m in [m for m in said if m["role"] == "assistant"][-1:]:
+                m["content"] = f"repair {h % 10**6}"
+            return json.dumps({"messages": said})
         if task == "TYPE":
             return ("string", "integer", "number", "boolean")[h % 4]
         if task == "SCHEMA":
@@ -67,14 +101,15 @@ class FakeModel:
         return f"{task.lower()} {h % 10**6}: {rest[-40:].strip()}"
 
 
-def complete(model: Model, prompt: str, tries: int = 3) -> str:
-    """Tries again after transient errors."""
+def complete(model: Model, prompt: str, tries: int = 3, wait: float = 0.0) -> str:
+    """Tries again after transient errors, after as long as the service asks for, else `wait` seconds, doubled each time."""
     for k in range(tries):
         try:
             return model.complete(prompt)
         except ModelError as e:
             if not e.transient or k + 1 == tries:
                 raise
+            time.sleep(getattr(e, "retry_after", None) or wait * 2**k)
     raise AssertionError
 
 
@@ -83,7 +118,7 @@ def complete_json(model: Model, prompt: str) -> dict:
     try:
         return json.loads(text[text.index("{") : text.rindex("}") + 1])
     except ValueError as e:
-        raise ModelError("the answer holds no JSON") from e
+        raise InvalidAnswer("the answer holds no JSON") from e
 
 
 def complete_structured(model: Model, prompt: str, fields: dict[str, type]) -> dict:
@@ -91,7 +126,7 @@ def complete_structured(model: Model, prompt: str, fields: dict[str, type]) -> d
     found = complete_json(model, prompt)
     for name, kind in fields.items():
         if not isinstance(found.get(name), kind):
-            raise ModelError(f"the answer's {name} is missing or no {kind.__name__}")
+            raise InvalidAnswer(f"the answer's {name} is missing or no {kind.__name__}")
     return found
 
 
@@ -188,14 +223,24 @@ def judge(model: Model, talk: Talk) -> dict[str, int]:
 
 
 def repair(model: Model, talk: Talk, scores: dict[str, int], least: float) -> Talk:
-    """Rewrites the last assistant message, if any score is low; else the same conversation."""
+    """The conversation as the model rewrites it, under a new id, if any score is low.
+
+    The same conversation stays if none is, or if what comes back is no conversation: messages of known roles, from a user
+    or the system on (V7).
+    """
     low = [d for d in DIMENSIONS if scores[d] < least]
-    at = next((k for k in range(len(talk.messages) - 1, -1, -1) if talk.messages[k]["role"] == "assistant"), None)
-    if not low or at is None:
+    if not low:
+        return talk
+    try:
+        read = complete_json(model, f"REPAIR\nBetter in {', '.join(low)}\n{repair_text(talk.messages, talk.outputs, talk.scenario)}").get("messages")
+    except ModelError:
+        return talk
+    if not isinstance(read, list) or not read or not all(isinstance(m, dict) for m in read):
+        return talk
+    said = [{"role": m.get("role", "user"), "content": m.get("content"), "tool_calls": m.get("tool_calls"), "tool_call_id": m.get("tool_call_id")} for m in read]
+    if said[0]["role"] not in ("user", "system") or any(m["role"] not in ROLES for m in said):
         return talk
-    out = Talk(f"{talk.id}-r", talk.chain, talk.goal, [dict(m) for m in talk.messages], list(talk.outputs), dict(talk.grounding), talk.scenario)
-    out.messages[at]["content"] = complete(model, f"REPAIR\nBetter in {', '.join(low)}\n{repair_text(talk.messages, talk.outputs, talk.scenario)}")
-    return out
+    return Talk(f"{talk.id}-r", talk.chain, talk.goal, said, list(talk.outputs), dict(talk.grounding), talk.scenario)
 
 
 def converse(model: Model, talk: Talk, turns: int = 20) -> None:

@@ -216,6 +216,27 @@ def complete_enough(endpoints: DataFrame, least: float) -> DataFrame:
     return endpoints.where(F.col("completeness_score") >= least)
 
 
+def by_ids(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """the nodes (tools, endpoints) of these ids (column id)."""
+    return nodes.join(ids.select("id").distinct(), "id", "left_semi")
+
+
+def by_domain(endpoints: DataFrame, domain: str) -> DataFrame:
+    """F2."""
+    return endpoints.where(F.col("domain") == domain)
+
+
+def of_type(rows: DataFrame, kind: str) -> DataFrame:
+    """F8: nodes or edges of a type."""
+    return rows.where(F.col("type") == kind)
+
+
+def existing(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """F8: pairs(src, dst, type) with whether there is such an edge."""
+    there = edges.select("src", "dst", "type").distinct().withColumn("there", F.lit(True))
+    return pairs.join(there, ["src", "dst", "type"], "left").withColumn("there", F.coalesce("there", F.lit(False)))
+
+
 def empty(spark) -> tuple[DataFrame, DataFrame]:
     """G13."""
     return spark.createDataFrame([], NODES), spark.createDataFrame([], EDGES)

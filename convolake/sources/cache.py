@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ENTRY = "prompt_hash string, content string, model string, created_at timestamp, hit_count long, last_accessed timestamp"
@@ -54,3 +54,33 @@ def stats(requests: DataFrame, entries: DataFrame) -> DataFrame:
 def by_shard(entries: DataFrame) -> DataFrame:
     """Entries with the folder they belong to, for partitionBy("shard")."""
     return entries.withColumn("shard", F.substring("prompt_hash", 1, 2))
+
+
+# -- two tiers: the entries used last, and all of them on disk --
+
+
+def save(entries: DataFrame, path: str) -> None:
+    """The disk tier, in one folder for each first two digits of the key."""
+    by_shard(entries).write.mode("append").partitionBy("shard").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The disk tier's latest entries; those without a key or content, or with a wrong key for their folder, are left out."""
+    read = spark.read.schema(f"{ENTRY}, shard string").parquet(path)
+    fine = F.col("prompt_hash").isNotNull() & F.col("content").isNotNull() & (F.substring("prompt_hash", 1, 2) == F.col("shard"))
+    return latest(read.where(fine).drop("shard"))
+
+
+def tiered(requests: DataFrame, memory: DataFrame, disk: DataFrame, key: str = "prompt_hash") -> DataFrame:
+    """Requests with content and the tier that has it (memory, then disk; null: neither)."""
+    named = lambda tier, name: tier.select(key, F.col("content").alias(name))
+    found = requests.join(named(memory, "_memory"), key, "left").join(named(disk, "_disk"), key, "left")
+    tier = F.when(F.col("_memory").isNotNull(), "memory").when(F.col("_disk").isNotNull(), "disk")
+    return found.withColumns({"content": F.coalesce("_memory", "_disk"), "tier": tier}).drop("_memory", "_disk")
+
+
+def remembered(requests: DataFrame, memory: DataFrame, disk: DataFrame, now: Column, keep: int = 1000) -> DataFrame:
+    """The memory tier after these requests: its hits count, entries found on disk come in as they are, and the `keep` used last stay."""
+    asked = requests.select("prompt_hash").distinct()
+    fetched = disk.join(asked, "prompt_hash", "left_semi").join(memory.select("prompt_hash"), "prompt_hash", "left_anti")
+    return recent(touched(memory, requests, now).unionByName(fetched.withColumn("last_accessed", now)), keep)

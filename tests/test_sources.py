@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from convolake.functions import conversation
 from convolake.functions.conversation import CONVERSATION
 from convolake.operators import generation, graph
 from convolake.sources import cache, config, interchange, specs
@@ -205,3 +206,45 @@ def test_embedding_cache(spark, tmp_path):
         interchange.load_embeddings(spark, path, 3).collect()
     interchange.clear_embeddings(spark, path)
     assert interchange.load_embeddings(spark, path).count() == 0
+
+
+def test_repairs_and_errors():
+    talk = generation.Talk("c", ["e"])
+    talk.say("user", "hi")
+    talk.say("assistant", "well")
+    low = dict.fromkeys(generation.DIMENSIONS, 3)
+
+    class Says:
+        def __init__(self, *answers):
+            self.answers = list(answers)
+
+        def complete(self, prompt):
+            answer = self.answers.pop(0)
+            if isinstance(answer, Exception):
+                raise answer
+            return answer
+
+    better = json.dumps({"messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "better"}]})
+    out = generation.repair(Says(better), talk, low, 6)
+    assert out.id != talk.id and [m["content"] for m in out.messages] == ["hi", "better"] and talk.messages[1]["content"] == "well"
+    assert generation.repair(Says(better), talk, dict.fromkeys(generation.DIMENSIONS, 6), 6) is talk
+    for bad in ("no", "{}", json.dumps({"messages": []}), json.dumps({"messages": [{"role": "assistant", "content": "x"}]}), better.replace('"assistant"', '"robot"'), generation.ServiceError("down", 400)):
+        assert generation.repair(Says(bad), talk, low, 6) is talk
+    # Transient errors are tried again, others aren't.
+    assert generation.complete(Says(generation.RateLimited("slow", 0.001), generation.Unreachable("gone"), "ok"), "p") == "ok"
+    assert generation.complete(Says(generation.ServiceError("busy", 503), "ok"), "p") == "ok"
+    for error in (generation.ServiceError("no such", 404), generation.InvalidAnswer("odd")):
+        with pytest.raises(type(error)):
+            generation.complete(Says(error, "ok"), "p")
+    with pytest.raises(generation.InvalidAnswer):
+        generation.complete_json(Says("none"), "p")
+
+
+def test_tool_of_schema():
+    from pyspark.sql.types import ArrayType, DecimalType, IntegerType, StringType, StructField, StructType
+
+    schema = StructType([StructField("city", StringType(), False), StructField("days", ArrayType(IntegerType())), StructField("price", DecimalType(9, 2))])
+    assert conversation.tool_of_schema("f", "does", schema) == {
+        "name": "f", "description": "does",
+        "input_schema": {"type": "object", "properties": {"city": {"type": "string"}, "days": {"type": "array", "items": {"type": "integer"}}, "price": {"type": "number"}}, "required": ["city"]},
+    }
