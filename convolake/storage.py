@@ -29,14 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def _delete(jvm, conf, path: str) -> None:
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
 
 
-def _leave(spark: SparkSession, folder: str) -> None:
+def _leave(jvm, conf, folder: str) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone
-        _delete(spark, folder)
+        _delete(jvm, conf, folder)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -44,7 +44,7 @@ def new_path(spark: SparkSession, name: str) -> str:
     folder = f"{shared_dir(spark)}/convolake-{spark.sparkContext.applicationId}"
     if folder not in _KEPT:
         _KEPT.add(folder)
-        atexit.register(_leave, spark, folder)
+        atexit.register(_leave, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
@@ -59,4 +59,5 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Deletes what stored() wrote for df."""
-    _delete(df.sparkSession, df.stored_path)
+    spark = df.sparkSession
+    _delete(spark._jvm, spark._jsc.hadoopConfiguration(), df.stored_path)
