@@ -1,7 +1,7 @@
 """Quality classifier: kernel ridge regression on document statistics by random Fourier features, calibrated isotonically.
 
 Statistics of the whole text (sizes, shares of character classes, repetition) are standardised with means and deviations
-over all documents, mapped to cosines of random projections (a Gaussian kernel), and fitted to labels by normal equations
+over all documents (values more than five deviations away count as five), mapped to cosines of random projections (a Gaussian kernel), and fitted to labels by normal equations
 that each partition sums on its own. Raw scores of the training rows are counted in fixed bins, made monotone by pooling
 adjacent violators, and read by linear interpolation, so a score is the share of good documents at its raw value.
 
