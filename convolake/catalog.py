@@ -673,11 +673,24 @@ def _(spark, d):
     return _rounded(sampling.start_candidates(Tables(spark, d).endpoints(), sampling.Constraints(min_completeness=0.5)), "w").select("id", "tool_id", "w", "rank")
 
 
-@query("dfs_sample")
+def _longer(before: str) -> str:
+    """Each path with its best four neighbours of the last endpoint's domain."""
+    return f"""SELECT path || [id] AS path, ranks || [rank] AS ranks, tools || [tool_id] AS tools, domain FROM (SELECT *, row_number() OVER (PARTITION BY path ORDER BY w DESC, md5(id || '|0'), id) - 1 AS rank FROM (
+    SELECT path, ranks, tools, k.id, k.tool_id, k.domain, 1 / (count(*) OVER (PARTITION BY path, k.tool_id) + 1) AS w FROM {before} p JOIN k ON k.domain = p.domain AND NOT list_contains(path, k.id))) WHERE rank < 4"""
+
+
+@query(
+    "dfs_sample",
+    f"""WITH {_E}, k AS (SELECT * FROM e WHERE completeness_score >= 0.3), w AS (SELECT id, tool_id, domain, 1 / (count(*) OVER (PARTITION BY tool_id) + 1) AS w FROM k),
+    p1 AS (SELECT [id] AS path, [rank] AS ranks, [tool_id] AS tools, domain FROM (SELECT *, row_number() OVER (ORDER BY w DESC, md5(id || '|0'), id) - 1 AS rank FROM w) WHERE rank < 4),
+    p2 AS ({_longer("p1")}), p3 AS ({_longer("p2")}), p4 AS ({_longer("p3")}),
+    v AS (SELECT *, row_number() OVER (ORDER BY ranks) AS visit FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3 UNION ALL SELECT * FROM p4))
+    SELECT CAST(visit AS INTEGER) AS visit, array_to_string(path, '>') AS path FROM v WHERE visit <= 100 AND len(path) >= 3 AND len(list_distinct(tools)) > 1""",
+)
 def _(spark, d):
     t = Tables(spark, d)
     c = sampling.Constraints(min_steps=3, max_steps=4, min_completeness=0.3, require_multi_tool=True)
-    return sampling.sample_chains(t.endpoints(), graph.empty(spark)[1], c, starts=4, fan=4, by_domain=True).select("visit", "path")
+    return sampling.sample_chains(t.endpoints(), graph.empty(spark)[1], c, starts=4, fan=4, by_domain=True).select("visit", F.array_join("path", ">").alias("path"))
 
 
 _CHAIN = "c AS (SELECT l_orderkey AS conv, list(CAST(l_partkey AS VARCHAR) ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS chain FROM lineitem GROUP BY 1)"

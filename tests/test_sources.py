@@ -248,3 +248,15 @@ def test_tool_of_schema():
         "name": "f", "description": "does",
         "input_schema": {"type": "object", "properties": {"city": {"type": "string"}, "days": {"type": "array", "items": {"type": "integer"}}, "price": {"type": "number"}}, "required": ["city"]},
     }
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from convolake import storage
+
+    empty = SimpleNamespace(get=lambda *_: None)
+    session = lambda master: SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: empty, master=master, applicationId="a"), conf=empty)
+    with pytest.raises(ValueError, match="checkpoint"):
+        storage.shared_dir(session("spark://host:7077"))
+    assert storage.shared_dir(session("local[2]")).startswith("file:/")
