@@ -468,7 +468,7 @@ def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", tex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenising, shard, part, start = ready(sent.value), TaskContext.get().partitionId(), 0, 0
         for batch in batches:
-            for piece, texts in common.slices(batch, "text", 16_000_000):
+            for piece, texts in common.slices(batch, "text", 8_000_000):
                 # Words are told apart for some texts at a time: as Python's strings they take many times their bytes.
                 each = [x + end for few in _few(texts) for x in tokenising([t.decode() for t in few])]
                 ids = np.frombuffer(b"".join(each), "<u4").astype(np.int32)
@@ -476,7 +476,9 @@ def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([part], pa.int64()), pa.array([start], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([blob], pa.binary())], ["shard", "part", "start", "n_tokens", "blob"])
                 part, start = part + 1, start + len(ids)
 
-    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange("id").sortWithinPartitions("id")
+    # Rows of one id, or of none, are told apart by their texts, so that they need not share a range.
+    read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("salt"))
+    ordered = read.repartitionByRange("id", "salt").sortWithinPartitions("id", "salt").select("id", "text")
     return common.stored(ordered.mapInArrow(run, "shard long, part long, start long, n_tokens long, blob binary"), "tokens")
 
 
