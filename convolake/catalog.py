@@ -834,7 +834,7 @@ def _(spark, d):
 
 @query("generate_fake")
 def _(spark, d):
-    chains = Tables(spark, d).chains().where(F.size("chain") >= 2).select("conv", F.array("chain", F.reverse("chain")).alias("attempts"))
+    chains = Tables(spark, d).chains().select("conv", F.array("chain", F.reverse("chain")).alias("attempts"))
     return generation.generate(chains, generation.FakeModel()).select("conversation_id", "success", "attempts", "repaired", *quality.DIMENSIONS, F.size("messages").alias("n_messages"), "endpoint_ids")
 
 
@@ -849,4 +849,4 @@ def _(spark, d):
     return made.select("id", F.posexplode("embedding").alias("pos", "v")).where("v <> 0").withColumn("v", F.round(F.col("v").cast("double"), 4))
 
 
-from . import catalog_records  # noqa: E402, F401 - registers more queries with query()
+from . import catalog_records, catalog_scale  # noqa: E402, F401 - register more queries with query()

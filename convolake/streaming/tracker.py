@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import datetime
+from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators import tracked
 from ..storage import new_path
 
 
@@ -47,6 +52,77 @@ def new_patterns(events: DataFrame, late: str = "1 hour", keys: tuple[str, ...]
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(list(keys))
 
 
+FINISHED = f"conv string, calls {tracked.CALLS}, ended timestamp"
+
+
+class Conversations(StatefulProcessor):
+    """Gathers a conversation's calls, in whatever order they come; it ends when event time is `gap` beyond its last one.
+
+    State by conversation: how often each (tool, domain) was called, and the time of its last call. The timer moves with
+    that time. What has ended is given once, and its state goes.
+    """
+
+    def __init__(self, gap: datetime.timedelta):
+        self.gap = gap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.calls = handle.getMapState("calls", "tool string, domain string", "n long")
+        self.last = handle.getValueState("last", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new, latest = Counter(), None
+        for row in rows:
+            new[row["tool"], row["domain"]] += 1
+            latest = row["ts"] if latest is None else max(latest, row["ts"])
+        if key[0] is None:  # the marker of an ended stream, or calls of no conversation
+            return iter([])
+        for call, n in new.items():
+            self.calls.updateValue(call, ((self.calls.getValue(call)[0] if self.calls.containsKey(call) else 0) + n,))
+        ms, before = int(latest.timestamp() * 1000), self.last.get()[0] if self.last.exists() else None
+        if before is None or ms > before:
+            gap = int(self.gap.total_seconds() * 1000)
+            if before is not None:
+                self.handle.deleteTimer(before + gap)
+            self.handle.registerTimer(ms + gap)
+            self.last.update((ms,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        calls = sorted(((*call, n[0]) for call, n in self.calls.iterator()), key=str)
+        ended = datetime.datetime.fromtimestamp(self.last.get()[0] / 1000)
+        self.calls.clear()
+        self.last.clear()
+        yield Row(conv=key[0], calls=[Row(tool=t, domain=d, n=n) for t, d, n in calls], ended=ended)
+
+    def close(self) -> None:
+        pass
+
+
+def finished_conversations(calls: DataFrame, gap: datetime.timedelta, late: str = "1 hour") -> DataFrame:
+    """(conv, calls, ended) of a stream calls(conv, tool, domain, ts), as conversations end; calls later than `late` behind the watermark are dropped."""
+    rows = calls.select("conv", F.col("tool").cast("string").alias("tool"), F.col("domain").cast("string").alias("domain"), "ts").withWatermark("ts", late)
+    return rows.groupBy("conv").transformWithState(Conversations(gap), outputStructType=FINISHED, outputMode="append", timeMode="eventTime")
+
+
+def track(calls: DataFrame, state: tracked.StateTable, gap: datetime.timedelta, late: str = "1 hour", marks: str | None = None) -> None:
+    """Runs a stream of calls to its end; each micro-batch adds its finished conversations to the state as the next version."""
+    with rocks_states(calls.sparkSession):
+        run_to_end(calls, lambda c: finished_conversations(c, gap, late), each=lambda batch, k: state.commit(k, tracked.contributions(batch)), marks=marks)
+
+
+@contextlib.contextmanager
+def rocks_states(spark: SparkSession):
+    """Typed states and timers need the RocksDB state store; the session's own setting comes back afterwards."""
+    key, held = "spark.sql.streaming.stateStore.providerClass", None
+    held = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held) if held else spark.conf.unset(key)
+
+
 #: When the last marker of an ended stream stands; no event may be later.
 END_OF_TIME = "9999-01-01 00:00:00"
 
@@ -63,29 +139,33 @@ def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def _run(stream: DataFrame, mode: str, out: str, marks: str) -> None:
+def _run(stream: DataFrame, mode: str, out: str, marks: str, each: Callable[[DataFrame, int], None] | None = None) -> None:
     writer = stream.writeStream.option("checkpointLocation", marks).trigger(availableNow=True)
-    if mode == "append":
+    if each is not None:
+        writer = writer.outputMode(mode).foreachBatch(each)
+    elif mode == "append":
         writer = writer.format("parquet").option("path", out).outputMode("append")
     else:
         writer = writer.outputMode(mode).foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
     writer.start().awaitTermination()
 
 
-def run_to_end(events: DataFrame, transform: Callable[[DataFrame], DataFrame], time: str = "ts") -> DataFrame:
+def run_to_end(events: DataFrame, transform: Callable[[DataFrame], DataFrame], time: str = "ts", each: Callable[[DataFrame, int], None] | None = None, marks: str | None = None) -> DataFrame | None:
     """run_once() of transform(events) for a stream that has ended: what it leaves open comes out as well.
 
     A second source, empty until all events are through, then holds one marker at the end of time. The query starts again
     from its checkpoint, the marker moves the watermark past all events, and their windows and sessions close; the
-    marker's own stays open for good.
+    marker's own stays open for good. With `each`, micro-batches go there, and nothing is returned; a run that was broken
+    off goes on from its checkpoint when `marks` names it again.
     """
     spark = events.sparkSession
-    out, marks, markers = new_path(spark, "stream"), new_path(spark, "stream-marks"), new_path(spark, "markers")
+    out, marks = new_path(spark, "stream"), marks or new_path(spark, "stream-marks")
+    markers = f"{marks}-markers"
     folder = spark._jvm.org.apache.hadoop.fs.Path(markers)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     stream = transform(events.unionByName(spark.readStream.schema(events.schema).parquet(markers)))
-    _run(stream, "append", out, marks)
+    _run(stream, "append", out, marks, each)
     marker = [F.lit(END_OF_TIME if f.name == time else None).cast(f.dataType).alias(f.name) for f in events.schema]
     spark.range(1).select(*marker).write.mode("append").parquet(markers)
-    _run(stream, "append", out, marks)
-    return spark.read.schema(stream.schema).parquet(out)
+    _run(stream, "append", out, marks, each)
+    return None if each else spark.read.schema(stream.schema).parquet(out)
