@@ -6,8 +6,9 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from .catalog import Tables, _rounded, query
-from .operators import sampling, tracked
+from .catalog import _PAIR_SQL, Tables, _rounded, query
+from .operators import pruning, sampling, tracked
+from .sources import vector_index
 from .storage import new_path, stored
 from .streaming import steering, tracker
 
@@ -96,3 +97,24 @@ def _(spark, d):
     state = tracked.StateTable(spark, new_path(spark, "steering"), every=2)
     stream = spark.readStream.schema("conv string").option("maxFilesPerTrigger", 1).parquet(path)
     return _rounded(steering.steer(stream, registry, sampler, state, new_path(spark, "steered"), new_path(spark, "steering-marks")), "w")
+
+
+# -- vectors --
+
+
+@query("cosine_pairs_pruned", f"WITH {_PAIR_SQL} SELECT a, b, round(score, 6) AS score FROM p")
+def _(spark, d):
+    return _rounded(pruning.pruned_pairs(Tables(spark, d).vectors(), 0.3, rows=256)[0], "score")
+
+
+@query(
+    "index_topk",
+    """WITH u AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), v AS (SELECT *, sqrt(list_dot_product(x, x)) + 1e-10 AS norm FROM u),
+    s AS (SELECT a.id AS q, b.id, list_dot_product(a.x, b.x) / (a.norm * b.norm) AS score FROM v a JOIN v b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, id) AS rank FROM s)
+    SELECT q, id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""",
+)
+def _(spark, d):
+    v = Tables(spark, d).vectors()
+    path = new_path(spark, "vector-index")
+    vector_index.build(v, path)
+    return _rounded(vector_index.Index(spark, path).search(v, 5), "score")

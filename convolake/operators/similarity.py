@@ -31,6 +31,11 @@ def cosine_pairs(vectors: DataFrame, threshold: float, rows: int = 2048) -> Data
     kind = vectors.schema["id"].dataType.simpleString()
     own = vectors.where("embedding is not null").select("id", F.col("embedding").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return block_pairs(dealt, threshold, kind)
+
+
+def block_pairs(dealt: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """(a, b, score) of dealt(id, v, own, i, j): vectors of blocks i and j, each pair of blocks one matrix product in one task."""
 
     def one(part: pa.Table) -> pa.Table:
         ids, block = part["id"].to_numpy(zero_copy_only=False), part["own"].to_numpy()
