@@ -6,8 +6,8 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from .catalog import _PAIR_SQL, Tables, _rounded, query
-from .operators import pruning, sampling, tracked
+from .catalog import _G, _PAIR_SQL, Tables, _graph, _rounded, query
+from .operators import graph, pruning, sampling, tracked
 from .sources import vector_index
 from .storage import new_path, stored
 from .streaming import steering, tracker
@@ -118,3 +118,24 @@ def _(spark, d):
     path = new_path(spark, "vector-index")
     vector_index.build(v, path)
     return _rounded(vector_index.Index(spark, path).search(v, 5), "score")
+
+
+# -- graphs --
+
+
+@query(
+    "shortest_paths",
+    f"""WITH RECURSIVE {_G}, u AS (SELECT src AS node, dst AS other FROM g UNION SELECT dst, src FROM g),
+    q AS (SELECT 'e' || p_partkey AS start, 'e' || p_partkey - 37 AS goal FROM part WHERE p_partkey % 100 = 0),
+    w(start, goal, node, d) AS (SELECT start, goal, goal, 0 FROM q UNION SELECT w.start, goal, other, d + 1 FROM w JOIN u USING (node) WHERE d < 8),
+    f AS (SELECT start, goal, node, min(d) AS togo FROM w GROUP BY 1, 2, 3),
+    p(start, goal, node, togo, length, path) AS (
+      SELECT start, goal, node, togo, togo, node FROM f WHERE node = start
+      UNION ALL SELECT start, goal, other, togo - 1, length, path || '>' || other FROM (SELECT p.start, p.goal, p.togo, p.length, p.path, min(u.other) AS other FROM p JOIN u ON u.node = p.node JOIN f ON f.start = p.start AND f.goal = p.goal AND f.node = u.other AND f.togo = p.togo - 1 GROUP BY 1, 2, 3, 4, 5))
+    SELECT start, goal, CAST(length AS INTEGER) AS length, path FROM p WHERE togo = 0""",
+)
+def _(spark, d):
+    t = Tables(spark, d)
+    key = F.col("p_partkey")
+    pairs = t.part.where(key % 100 == 0).select(F.concat(F.lit("e"), key.cast("string")).alias("start"), F.concat(F.lit("e"), (key - 37).cast("string")).alias("goal"))
+    return graph.shortest_paths(_graph(t)[1], pairs).withColumn("path", F.array_join("path", ">"))

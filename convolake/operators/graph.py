@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import domain_node_id
-from ..storage import stored
+from ..storage import bucketed, drop_bucketed, drop_stored, stored
 
 TOOL, ENDPOINT, DOMAIN = "Tool", "Endpoint", "Domain"
 HAS_ENDPOINT, IN_DOMAIN, SAME_DOMAIN, SIMILAR = "HAS_ENDPOINT", "IN_DOMAIN", "SAME_DOMAIN", "SEMANTICALLY_SIMILAR"
@@ -103,18 +103,48 @@ def neighbors(edges: DataFrame, types: list[str] | None = None) -> DataFrame:
     return both_ways(edges, types).select("node", "other").distinct()
 
 
-def bfs(edges: DataFrame, starts: DataFrame, depth: int, types: list[str] | None = None) -> DataFrame:
+class Adjacency:
+    """The distinct neighbours of all nodes as a bucketed, sorted table, so that rounds of searches don't send edges again.
+
+    Nodes of over `most` edges have several slots, by a hash of the neighbour, and are joined slot by slot; where there are
+    such hubs, (node, slot) is what buckets go by.
+    """
+
+    def __init__(self, edges: DataFrame, types: list[str] | None = None, most: int = 100_000, buckets: int | None = None):
+        both = both_ways(edges, types).select("node", "other")
+        degrees = both.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > most)
+        self.hubs = stored(degrees.select("node", F.ceil(F.col("n") / most).cast("int").alias("slots")), "hubs")
+        self.keys = ["node"] if self.hubs.isEmpty() else ["node", "slot"]
+        if len(self.keys) > 1:
+            both = both.join(self.hubs, "node", "left").select("node", F.pmod(F.xxhash64("other"), F.coalesce("slots", F.lit(1))).cast("int").alias("slot"), "other")
+        self.near = bucketed(both.distinct(), self.keys, buckets, "adjacency")
+
+    def step(self, front: DataFrame) -> DataFrame:
+        """front(…, node) with each neighbour (other) of its nodes."""
+        if len(self.keys) > 1:
+            front = front.join(self.hubs, "node", "left").withColumn("slot", F.explode(F.sequence(F.lit(0), F.coalesce("slots", F.lit(1)) - 1))).drop("slots")
+        return front.join(self.near, self.keys).drop("slot")
+
+    def drop(self) -> None:
+        drop_bucketed(self.near)
+        drop_stored(self.hubs)
+
+
+def bfs(edges: DataFrame, starts: DataFrame, depth: int, types: list[str] | None = None, index: Adjacency | None = None) -> DataFrame:
     """(start, node, depth): the least number of steps, up to depth, from each start (column id); starts included.
 
-    Each round follows only nodes that are new to their start, so hubs are crossed once.
+    Each round follows only nodes that are new to their start, so hubs are crossed once. Without an index one is made, and
+    dropped at the end.
     """
-    near = neighbors(edges, types)
+    near = index or Adjacency(edges, types)
     seen = starts.select(F.col("id").alias("start"), F.col("id").alias("node"), F.lit(0).alias("depth")).distinct()
     front = seen
     for k in range(1, depth + 1):
-        step = front.select("start", "node").join(near, "node").select("start", F.col("other").alias("node")).distinct()
+        step = near.step(front.select("start", "node")).select("start", F.col("other").alias("node")).distinct()
         front = stored(step.join(seen.select("start", "node"), ["start", "node"], "left_anti").withColumn("depth", F.lit(k)), "front")
         seen = seen.unionByName(front)
+    if index is None:
+        near.drop()
     return seen
 
 
@@ -124,31 +154,87 @@ def reachable_endpoints(edges: DataFrame, nodes: DataFrame, starts: DataFrame, d
     return bfs(edges, starts, depth).where("depth > 0").join(ends, "node", "left_semi")
 
 
-def shortest_path(edges: DataFrame, start: str, goal: str, most: int | None = None) -> list[str] | None:
-    """The nodes of a shortest path (the smallest, node by node, of several); None without one (of `most` steps, if given).
-
-    A breadth-first search from the goal keeps each round's nodes, until it meets the start or finds no new ones; the
-    path is then read from the start downwards. A round's neighbours are in it, the one before or the next, so only
-    these are compared and plans don't grow with the length.
+_PAIR = ["start", "goal"]
+
+
+def _meet(near: Adjacency, pairs: DataFrame, most: int | None) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
+    """Levels (start, goal, node, level) from the starts and from the goals, and (start, goal, node, level, togo) where they meet."""
+    sides = [[stored(pairs.select(*_PAIR, F.col(end).alias("node"), F.lit(0).alias("level")), "front")] for end in _PAIR]
+    fronts, met, steps = [side[0] for side in sides], [], 0
+    sizes = [1, 1]
+    while all(sizes) and (most is None or steps < most):
+        # The smaller of both fronts grows, for all pairs that haven't met.
+        k = 0 if sizes[0] <= sizes[1] else 1
+        level = len(sides[k])
+        new = near.step(fronts[k].select(*_PAIR, "node")).select(*_PAIR, F.col("other").alias("node")).distinct()
+        # Neighbours of a level are in it, the one before, or the next.
+        for held in sides[k][-2:]:
+            new = new.join(held.select(*_PAIR, "node"), [*_PAIR, "node"], "left_anti")
+        new = stored(new.withColumn("level", F.lit(level)), "front")
+        sides[k].append(new)
+        steps += 1
+        # A path of this length has a node in the newest levels of both sides; a shorter one would have been met before.
+        other = sides[1 - k][-1].select(*_PAIR, "node")
+        found = stored(new.join(other, [*_PAIR, "node"]).select(*_PAIR, "node", F.lit(len(sides[0]) - 1).alias("level"), F.lit(len(sides[1]) - 1).alias("togo")), "met")
+        met.append(found)
+        done = found.select(*_PAIR).distinct()
+        fronts[k] = new.join(done, _PAIR, "left_anti")
+        # Pairs that met, or whose side ran dry, end on the other side, too.
+        fronts[1 - k] = stored(fronts[1 - k].join(fronts[k].select(*_PAIR).distinct(), _PAIR, "left_semi"), "front")
+        sizes[k], sizes[1 - k] = fronts[k].count(), fronts[1 - k].count()
+    union = lambda parts: None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
+    return union(sides[0]), union(sides[1]), union(met)
+
+
+def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None, types: list[str] | None = None, index: Adjacency | None = None) -> DataFrame:
+    """G10 of a table of pairs (start, goal): (start, goal, length, path), the smallest of the shortest paths, node by node; no row without one.
+
+    Two fronts, from the starts and from the goals, grow towards each other, for all pairs at once; each round sends the
+    smaller front to the adjacency index. Where they meet, nodes on shortest paths are traced back towards the start, which
+    gives how far each is from its goal; paths then go down from the start by the smallest neighbour that is one step
+    nearer. A start that is its goal is its own path.
     """
+    pairs = stored(pairs.select(*_PAIR).distinct().where("start is not null and goal is not null"), "pairs")
+    kind = pairs.schema["start"].dataType.simpleString()
+    own = pairs.where("start = goal").select(*_PAIR, F.lit(0).alias("length"), F.array("start").alias("path"))
+    near = index or Adjacency(edges, types)
+    forward, back, met = _meet(near, pairs.where("start <> goal"), most)
+    if met is None:
+        return own
+    length = met.groupBy(*_PAIR).agg(F.first(F.col("level") + F.col("togo")).alias("length"))
+    # Nodes on shortest paths before the meeting, level by level.
+    trace = met
+    togo = [back.join(length.select(*_PAIR), _PAIR, "left_semi").select(*_PAIR, "node", F.col("level").alias("togo")), met.select(*_PAIR, "node", "togo")]
+    while not (trace := trace.where("level > 0")).isEmpty():
+        step = near.step(trace.select(*_PAIR, "node", "level", "togo")).select(*_PAIR, F.col("other").alias("node"), (F.col("level") - 1).alias("level"), (F.col("togo") + 1).alias("togo")).distinct()
+        trace = stored(step.join(forward, [*_PAIR, "node", "level"], "left_semi"), "trace")
+        togo.append(trace.select(*_PAIR, "node", "togo"))
+    nearer = togo[0]
+    for part in togo[1:]:
+        nearer = nearer.unionByName(part)
+    nearer = stored(nearer.distinct(), "togo")
+    path = stored(length.select(*_PAIR, "length", F.col("length").alias("togo"), F.array("start").alias("path"), F.col("start").alias("node")), "paths")
+    ended = [own]
+    while not path.isEmpty():
+        step = near.step(path).select(*_PAIR, "length", (F.col("togo") - 1).alias("togo"), "path", F.col("other").alias("node"))
+        best = step.join(nearer, [*_PAIR, "node", "togo"], "left_semi").groupBy(*_PAIR, "length", "togo").agg(F.min("node").alias("node"), F.first("path").alias("path"))
+        grown = stored(best.select(*_PAIR, "length", "togo", F.array_append("path", F.col("node")).alias("path"), "node"), "paths")
+        ended.append(grown.where("togo = 0").select(*_PAIR, "length", F.col("path").cast(f"array<{kind}>").alias("path")))
+        path = grown.where("togo > 0")
+    if index is None:
+        near.drop()
+    out = ended[0]
+    for part in ended[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def shortest_path(edges: DataFrame, start: str, goal: str, most: int | None = None) -> list[str] | None:
+    """G10 of one pair; None without a path (of `most` steps, if given)."""
     if start == goal:
         return [start]
-    spark, near = edges.sparkSession, stored(neighbors(edges), "near")
-    fronts = [stored(spark.createDataFrame([(goal,)], "node string"), "front")]
-    while most is None or len(fronts) <= most:
-        step = fronts[-1].join(near, "node").select(F.col("other").alias("node")).distinct()
-        for front in fronts[-2:]:
-            step = step.join(front, "node", "left_anti")
-        fronts.append(stored(step, "front"))
-        if fronts[-1].isEmpty():
-            break
-        if not fronts[-1].where(F.col("node") == start).isEmpty():
-            path = [start]
-            for front in fronts[-2::-1]:
-                step = near.where(F.col("node") == path[-1]).select(F.col("other").alias("node")).join(front, "node")
-                path.append(step.agg(F.min("node")).first()[0])
-            return path
-    return None
+    found = shortest_paths(edges, edges.sparkSession.createDataFrame([(start, goal)], "start string, goal string"), most).first()
+    return None if found is None else list(found["path"])
 
 
 def subgraph(nodes: DataFrame, edges: DataFrame, domains: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -173,10 +259,11 @@ def random_walks(edges: DataFrame, starts: DataFrame, steps: int, seed: int = 0,
     """
     near = neighbors(edges, types).withColumn("hash", F.md5("other")).withColumn("slot", F.substring("hash", 1, 2))
     nth = F.row_number().over(Window.partitionBy("node", "slot").orderBy("hash", "other")) - 1
-    numbered = stored(near.withColumn("nth", nth).select("node", "slot", "nth", "other"), "numbered")
+    # Bucketed by what each step asks for, so that steps don't send edges again.
+    numbered = bucketed(near.withColumn("nth", nth.cast("long")).select("node", "slot", "nth", "other"), ["node", "slot", "nth"], name="numbered")
     sizes = numbered.groupBy("node", "slot").agg(F.count("*").alias("n"))
     # A node's slots, at most 256: how many neighbours each has, in order.
-    slots = stored(sizes.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("slots"), F.sum("n").alias("degree")), "slots")
+    slots = bucketed(sizes.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("slot", "n"))).alias("slots"), F.sum("n").alias("degree")), ["node"], name="slots")
     walks = starts.select("walk", F.array("id").alias("path"), F.col("id").alias("node"))
     for k in range(1, steps + 1):
         picked = walks.where("node is not null").join(slots, "node").withColumn("k", _number(F.col("walk").cast("string"), F.lit(str(k)), F.lit(str(seed))) % F.col("degree"))

@@ -61,3 +61,24 @@ def drop_stored(df: DataFrame) -> None:
     """Deletes what stored() wrote for df."""
     spark = df.sparkSession
     _delete(spark._jvm, spark._jsc.hadoopConfiguration(), df.stored_path)
+
+
+def bucketed(df: DataFrame, keys: list[str], buckets: int | None = None, name: str = "t") -> DataFrame:
+    """df, written as a table that is bucketed and sorted by keys: joins on exactly these keys read it where it lies, without a shuffle.
+
+    As many buckets as the session's shuffles have partitions, unless given: then the other side of a join is dealt to them.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
+    # Dealt out as buckets are, so each bucket is one file.
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.stored_path, out.stored_table = path, table
+    return out
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """Deletes what bucketed() wrote for df."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {df.stored_table}")
+    drop_stored(df)
