@@ -157,76 +157,50 @@ def reachable_endpoints(edges: DataFrame, nodes: DataFrame, starts: DataFrame, d
 _PAIR = ["start", "goal"]
 
 
-def _meet(near: Adjacency, pairs: DataFrame, most: int | None) -> tuple[DataFrame | None, DataFrame | None, DataFrame | None]:
-    """Levels (start, goal, node, level) from the starts and from the goals, and (start, goal, node, level, togo) where they meet."""
-    sides = [[stored(pairs.select(*_PAIR, F.col(end).alias("node"), F.lit(0).alias("level")), "front")] for end in _PAIR]
-    fronts, met, steps = [side[0] for side in sides], [], 0
-    sizes = [1, 1]
-    while all(sizes) and (most is None or steps < most):
-        # The smaller of both fronts grows, for all pairs that haven't met.
-        k = 0 if sizes[0] <= sizes[1] else 1
-        level = len(sides[k])
-        new = near.step(fronts[k].select(*_PAIR, "node")).select(*_PAIR, F.col("other").alias("node")).distinct()
-        # Neighbours of a level are in it, the one before, or the next.
-        for held in sides[k][-2:]:
-            new = new.join(held.select(*_PAIR, "node"), [*_PAIR, "node"], "left_anti")
-        new = stored(new.withColumn("level", F.lit(level)), "front")
-        sides[k].append(new)
-        steps += 1
-        # A path of this length has a node in the newest levels of both sides; a shorter one would have been met before.
-        other = sides[1 - k][-1].select(*_PAIR, "node")
-        found = stored(new.join(other, [*_PAIR, "node"]).select(*_PAIR, "node", F.lit(len(sides[0]) - 1).alias("level"), F.lit(len(sides[1]) - 1).alias("togo")), "met")
-        met.append(found)
-        done = found.select(*_PAIR).distinct()
-        fronts[k] = new.join(done, _PAIR, "left_anti")
-        # Pairs that met, or whose side ran dry, end on the other side, too.
-        fronts[1 - k] = stored(fronts[1 - k].join(fronts[k].select(*_PAIR).distinct(), _PAIR, "left_semi"), "front")
-        sizes[k], sizes[1 - k] = fronts[k].count(), fronts[1 - k].count()
-    union = lambda parts: None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(union(parts[1:]))
-    return union(sides[0]), union(sides[1]), union(met)
-
-
 def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None, types: list[str] | None = None, index: Adjacency | None = None) -> DataFrame:
     """G10 of a table of pairs (start, goal): (start, goal, length, path), the smallest of the shortest paths, node by node; no row without one.
 
     Two fronts, from the starts and from the goals, grow towards each other, for all pairs at once; each round sends the
-    smaller front to the adjacency index. Where they meet, nodes on shortest paths are traced back towards the start, which
-    gives how far each is from its goal; paths then go down from the start by the smallest neighbour that is one step
-    nearer. A start that is its goal is its own path.
+    smaller front to the adjacency index. A front's nodes carry the smallest way that leads to them (from the start, or on
+    to the goal): ways of one length that end alike compare by where they came from, so the smallest way to a node extends
+    the smallest way to one before it. Where fronts meet, the smallest of the joined ways is the path. Pairs that have met,
+    or whose front is dry on one side, are not followed any further. A start that is its goal is its own path.
     """
     pairs = stored(pairs.select(*_PAIR).distinct().where("start is not null and goal is not null"), "pairs")
-    kind = pairs.schema["start"].dataType.simpleString()
-    own = pairs.where("start = goal").select(*_PAIR, F.lit(0).alias("length"), F.array("start").alias("path"))
     near = index or Adjacency(edges, types)
-    forward, back, met = _meet(near, pairs.where("start <> goal"), most)
-    if met is None:
-        return own
-    length = met.groupBy(*_PAIR).agg(F.first(F.col("level") + F.col("togo")).alias("length"))
-    # Nodes on shortest paths before the meeting, level by level.
-    trace = met
-    togo = [back.join(length.select(*_PAIR), _PAIR, "left_semi").select(*_PAIR, "node", F.col("level").alias("togo")), met.select(*_PAIR, "node", "togo")]
-    while not (trace := trace.where("level > 0")).isEmpty():
-        step = near.step(trace.select(*_PAIR, "node", "level", "togo")).select(*_PAIR, F.col("other").alias("node"), (F.col("level") - 1).alias("level"), (F.col("togo") + 1).alias("togo")).distinct()
-        trace = stored(step.join(forward, [*_PAIR, "node", "level"], "left_semi"), "trace")
-        togo.append(trace.select(*_PAIR, "node", "togo"))
-    nearer = togo[0]
-    for part in togo[1:]:
-        nearer = nearer.unionByName(part)
-    nearer = stored(nearer.distinct(), "togo")
-    path = stored(length.select(*_PAIR, "length", F.col("length").alias("togo"), F.array("start").alias("path"), F.col("start").alias("node")), "paths")
-    ended = [own]
-    while not path.isEmpty():
-        step = near.step(path).select(*_PAIR, "length", (F.col("togo") - 1).alias("togo"), "path", F.col("other").alias("node"))
-        best = step.join(nearer, [*_PAIR, "node", "togo"], "left_semi").groupBy(*_PAIR, "length", "togo").agg(F.min("node").alias("node"), F.first("path").alias("path"))
-        grown = stored(best.select(*_PAIR, "length", "togo", F.array_append("path", F.col("node")).alias("path"), "node"), "paths")
-        ended.append(grown.where("togo = 0").select(*_PAIR, "length", F.col("path").cast(f"array<{kind}>").alias("path")))
-        path = grown.where("togo > 0")
+    apart = pairs.where("start <> goal")
+    sides = [[stored(apart.select(*_PAIR, F.col(end).alias("node"), F.array(end).alias("way")), "front")] for end in _PAIR]
+    ended = [pairs.where("start = goal").select(*_PAIR, F.array("start").alias("path"))]
+    alive, n_alive, sizes, steps = None, apart.count(), [1, 1], 0
+    while all(sizes) and (most is None or steps < most):
+        k, steps = 0 if sizes[0] <= sizes[1] else 1, steps + 1
+        front = sides[k][-1].select(*_PAIR, "node", "way")
+        grown = near.step(front if alive is None else front.join(alive, _PAIR, "left_semi"))
+        new = grown.groupBy(*_PAIR, F.col("other").alias("node")).agg(F.min("way").alias("way"))
+        # Neighbours of a level are in it, the one before, or the next.
+        held = sides[k][-1].select(*_PAIR, "node")
+        held = held if len(sides[k]) == 1 else held.unionByName(sides[k][-2].select(*_PAIR, "node"))
+        new = new.join(held, [*_PAIR, "node"], "left_anti").withColumn("way", F.array_prepend("way", F.col("node")) if k else F.array_append("way", F.col("node")))
+        # A path of this length has a node in the newest levels of both sides; a shorter one would have been met before.
+        other = sides[1 - k][-1].select(*_PAIR, "node", F.col("way").alias("rest"))
+        joint = lambda a, b: F.concat(a, F.slice(b, 2, F.size(b)))
+        path = joint(F.col("rest"), F.col("way")) if k else joint(F.col("way"), F.col("rest"))
+        new = stored(new.join(other, [*_PAIR, "node"], "left").select(*_PAIR, "node", "way", F.when(F.col("rest").isNotNull(), path).alias("path")), "front")
+        sides[k] = [sides[k][-1], new]
+        sizes[k], met, left = new.agg(F.count("*"), F.count("path"), F.count_distinct(*_PAIR)).first()
+        if left < n_alive or met:
+            alive, n_alive = new.select(*_PAIR).distinct(), left
+        if met:
+            ended.append(new.where("path is not null").groupBy(*_PAIR).agg(F.min("path").alias("path")))
+            alive = alive.join(ended[-1], _PAIR, "left_anti")
+            alive = stored(alive, "alive")
+            sizes[k], n_alive = new.join(alive, _PAIR, "left_semi").count(), alive.count()
     if index is None:
         near.drop()
     out = ended[0]
     for part in ended[1:]:
         out = out.unionByName(part)
-    return out
+    return out.select(*_PAIR, (F.size("path") - 1).alias("length"), "path")
 
 
 def shortest_path(edges: DataFrame, start: str, goal: str, most: int | None = None) -> list[str] | None:
