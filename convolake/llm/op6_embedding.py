@@ -5,14 +5,16 @@ width; the cells of `k` projections name a bucket, in each of `tables` tables. k
 of classes, so that unrelated vectors share a bucket with about `bucket` others, and the number of tables keeps the
 chance to miss a pair at the threshold below `miss` (far below that for closer pairs).
 
-Vectors are not sent to their buckets: a row of a bucket is a class's number and a sketch of 128 signs of projections.
-Pairs in a bucket whose sketches differ in no more signs than pairs at the threshold do (by four deviations) are
-candidates; of these a spanning forest leaves the task. What candidates connect is then brought together, each vector
-once, and all pairs in there are checked exactly. Where candidates connect more than `most` classes, these vectors go to
-their buckets, and a pair counts in the first table where it meets, told by whole 64-bit bucket names.
+Vectors are not sent to their buckets: a row of a bucket is a class's number and a sketch, 64 coordinates in four bits
+each. These are the vector turned at random, or a random projection of a larger one, so sketches tell distances and not
+only angles: a common direction of all vectors, or of many, doesn't make unrelated ones alike. Pairs in a bucket whose
+sketches are no further apart than those of pairs at the threshold (by four deviations) are candidates; of these a
+spanning forest leaves the task. What candidates connect is then brought together, and all pairs in there are checked
+exactly. Where that is more than `most` classes they are dealt to blocks of that many, and each pair of blocks is a group
+of its own: the same pairs are checked, a vector is sent once for each block.
 
 No pairs are sent. What leaves a task are link counts of classes and a spanning forest of the links. Buckets of over
-`most` rows are cut into blocks, and each pair of blocks is a group of its own.
+`wide` rows are cut into blocks in the same way.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing. Vectors of different sizes
 never link. Rows that repeat are vectors of their own (copies). Rows without an id keep their row; a component's id is
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SKETCH = 128
-ROW = "bucket long, t int, cid long, n long, sig binary, vec binary"
+#: Coordinates of a sketch, four bits each.
+SKETCH = 64
+ROW = "bucket long, cid long, n long, vec binary"
 
 
 def same_cell(distance: float, width: float) -> float:
@@ -62,15 +65,39 @@ class Hashing:
 
 
 class Sketching:
-    """Signs of projections: near pairs differ in few of them."""
+    """Coordinates of turned (or projected) vectors, in four bits: near pairs are near in them.
+
+    A coordinate of a unit vector deviates by 1 / sqrt(SKETCH), so steps cover four deviations each way; what lies
+    beyond is clipped, which only brings sketches nearer. Squared distances of projections deviate by sqrt(2 / SKETCH) of
+    themselves where vectors have more coordinates than sketches, and by little else; rounding adds a twelfth of a squared
+    step for each coordinate of each of both.
+    """
 
     def __init__(self, threshold: float, seed: int = 9, deviations: float = 4.0):
-        share = math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-        self.seed, self.most = seed, math.floor(SKETCH * share + deviations * math.sqrt(SKETCH * share * (1 - share)))
+        self.threshold, self.seed, self.deviations = threshold, seed, deviations
+        self.step = 8 / math.sqrt(SKETCH) / 15
+
+    def most(self, d: int) -> float:
+        """The largest squared distance of candidates' sketches, in squared steps, for vectors of d coordinates."""
+        apart, rounding = (2 - 2 * self.threshold) / self.step**2, SKETCH / 6
+        # Rounding of a coordinate difference: its square deviates, and so does its product with the difference.
+        noise = math.sqrt(SKETCH * 7 / 180 + 4 * apart / 6) + (apart * math.sqrt(2 / SKETCH) if d > SKETCH else 0)
+        return apart + rounding + self.deviations * noise
 
     def __call__(self, unit: np.ndarray) -> np.ndarray:
-        turn = np.random.default_rng([self.seed, unit.shape[1]]).normal(size=(unit.shape[1], SKETCH))
-        return np.packbits(unit @ turn > 0, axis=1).view(np.uint64)
+        """Four 64-bit numbers for each vector."""
+        d = unit.shape[1]
+        turn = np.random.default_rng([self.seed, d]).normal(size=(max(d, SKETCH), SKETCH))
+        # Directions at right angles keep distances; of larger vectors a part is kept, scaled to the whole.
+        turn = np.linalg.qr(turn)[0][:d] * math.sqrt(max(d, SKETCH) / SKETCH)
+        cells = np.clip(np.rint(unit @ turn / self.step + 7.5), 0, 15).astype(np.uint8)
+        return (cells[:, ::2] | cells[:, 1::2] << 4).view(np.uint64)
+
+    @staticmethod
+    def coordinates(sketches: np.ndarray) -> np.ndarray:
+        """In steps, as numbers."""
+        pairs = np.ascontiguousarray(sketches).view(np.uint8).reshape(len(sketches), -1)
+        return np.stack([pairs & 15, pairs >> 4], 2).reshape(len(sketches), -1).astype(np.float32)
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -132,23 +159,24 @@ class Block:
 
 
 class Sketches(Block):
-    def __init__(self, bits: np.ndarray, most: int):
-        super().__init__(len(bits))
-        self.bits, self.most = bits, most
+    def __init__(self, at: np.ndarray, most: np.ndarray):
+        super().__init__(len(at))
+        self.at, self.most, self.length = at, most, (at**2).sum(1)
 
     def near(self, i, j):
-        return np.bitwise_count(self.bits[i] ^ self.bits[j]).sum(1) <= self.most
+        return ((self.at[i] - self.at[j]) ** 2).sum(1) <= self.most[i]
 
     def near_all(self, i, j):
-        return sum(np.bitwise_count(self.bits[i, None, k] ^ self.bits[None, j, k]) for k in range(self.bits.shape[1])) <= self.most
+        # Whole numbers below 2^24, so sums of products are exact.
+        return self.length[i][:, None] + self.length[j] - 2 * self.at[i] @ self.at[j].T <= self.most[i][:, None]
 
 
 class Vectors(Block):
     """Checks cosines, and counts links of classes of n rows each."""
 
-    def __init__(self, n: np.ndarray, table: np.ndarray, sig: np.ndarray, unit: np.ndarray, threshold: float):
+    def __init__(self, n: np.ndarray, unit: np.ndarray, threshold: float):
         super().__init__(len(n))
-        self.n, self.table, self.sig, self.unit, self.threshold = n, table, sig, unit, threshold
+        self.n, self.unit, self.threshold = n, unit, threshold
         self.links = np.zeros(len(n), np.int64)
 
     def near(self, i, j):
@@ -158,25 +186,22 @@ class Vectors(Block):
         return self.unit[i] @ self.unit[j].T >= self.threshold
 
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        """Pairs that reach the threshold, unless an earlier table has them too."""
-        earlier = (self.sig[i] == self.sig[j]) & (np.arange(self.sig.shape[1]) < self.table[i][:, None])
-        first = ~earlier.any(1)
-        i, j = i[first], j[first]
-        if len(i):
-            np.add.at(self.links, i, self.n[j])
-            np.add.at(self.links, j, self.n[i])
-            self.forest.add(i, j)
+        np.add.at(self.links, i, self.n[j])
+        np.add.at(self.links, j, self.n[i])
+        self.forest.add(i, j)
 
 
 def _keys(rows: pa.Table) -> np.ndarray:
     return np.stack([rows[c].to_numpy() for c in ("bucket", "i", "j")], 1)
 
 
-def _candidates(most: int):
-    """Forest links (a, b) of the rows of whole groups whose sketches are near."""
+def _candidates(sketching: Sketching):
+    """Forest links (a, b) of the rows of whole groups whose sketches are near; buckets' names differ by vectors' sizes."""
 
     def check(rows: pa.Table) -> pa.RecordBatch | None:
-        block = Sketches(np.stack([rows[c].to_numpy().view(np.uint64) for c in ("s0", "s1")], 1), most)
+        at = Sketching.coordinates(np.stack([rows[c].to_numpy().view(np.uint64) for c in ("s0", "s1", "s2", "s3")], 1))
+        sizes, of = np.unique(rows["d"].to_numpy(), return_inverse=True)
+        block = Sketches(at, np.array([sketching.most(int(d)) for d in sizes], np.float32)[of])
         block.groups(_keys(rows), rows["own"].to_numpy())
         a, b = block.forest.links()
         cid = rows["cid"].to_numpy()
@@ -185,20 +210,18 @@ def _candidates(most: int):
     return check
 
 
-def _check(threshold: float):
+def _check(threshold: float, kind: str):
     """Link counts (a: class, b: null) and forest links (a, b) of whole groups."""
 
     def check(rows: pa.Table) -> pa.RecordBatch | None:
-        width = lambda c: np.asarray(pc.binary_length(rows[c].combine_chunks().cast(pa.large_binary())))
-        vec, sig = width("vec"), width("sig")
+        vec = np.asarray(pc.binary_length(rows["vec"].combine_chunks().cast(pa.large_binary())))
         out = []
-        for size, names in sorted(set(zip(vec.tolist(), sig.tolist()))):
-            part = rows.filter(pa.array((vec == size) & (sig == names)))
-            column = lambda c: part[c].to_numpy()
-            x = np.frombuffer(b"".join(part["vec"].to_pylist()), "<f8").reshape(part.num_rows, -1)
-            block = Vectors(column("n"), column("t"), np.frombuffer(b"".join(part["sig"].to_pylist()), "<u8").reshape(part.num_rows, names // 8), _units(x), threshold)
-            block.groups(_keys(part), column("own"))
-            hit, cid = np.flatnonzero(block.links), column("cid")
+        for size in np.unique(vec):
+            part = rows.filter(pa.array(vec == size))
+            x = np.frombuffer(b"".join(part["vec"].to_pylist()), kind).reshape(part.num_rows, -1).astype(np.float64)
+            block = Vectors(part["n"].to_numpy(), _units(x), threshold)
+            block.groups(_keys(part), part["own"].to_numpy())
+            hit, cid = np.flatnonzero(block.links), part["cid"].to_numpy()
             a, b = block.forest.links()
             out.append((np.concatenate([cid[hit], cid[a]]), np.concatenate([block.links[hit], cid[b]]), np.repeat([True, False], [len(hit), len(a)])))
         a, b, counted = (np.concatenate(x) for x in zip(*out))
@@ -247,7 +270,7 @@ def _of_size(batches, step: int = 512):
             of_size = batch.filter(pa.array(sizes == size))
             for at in range(0, of_size.num_rows, step):
                 part = of_size.slice(at, step)
-                yield part, np.asarray(part.column("v").flatten()).reshape(part.num_rows, -1)
+                yield part, np.asarray(part.column("v").flatten(), np.float64).reshape(part.num_rows, -1)
 
 
 def _grouped(rows: DataFrame, check, schema: str) -> DataFrame:
@@ -262,9 +285,12 @@ def _blocks(rows: DataFrame, hot: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).drop("other", "parts")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e-3, most: int = 4096, bucket: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e-3, most: int = 4096, wide: int = 16_384, bucket: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(id, n_links, component) for each row of vectors."""
-    read = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    # Vectors of floats travel as such; they are compared in doubles.
+    element = "float" if vectors.schema[vector_col].dataType.elementType.typeName() == "float" else "double"
+    kind = "<f4" if element == "float" else "<f8"
+    read = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{element}>").alias("v"))
     fine = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0), F.lit(False))
     marked = read.withColumn("fine", fine)
     keyed = common.stored(marked.select("id", "fine", F.when(F.col("fine"), F.struct(F.xxhash64("v").alias("h"), F.xxhash64(F.lit(1), "v").alias("g"))).alias("key")), "vectors")
@@ -283,38 +309,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, miss: float = 1e
         for part, x in _of_size(batches):
             unit = _units(x)
             short, again = sketching(unit).view(np.int64), np.repeat(np.arange(len(x)), hashing.tables)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (buckets(hashing.signatures(unit)), np.asarray(part.column("cid"))[again], short[again, 0], short[again, 1])], ["bucket", "cid", "s0", "s1"])
-
-    def spread(batches):
-        for part, x in _of_size(batches):
-            sig, again = hashing.signatures(_units(x)), np.repeat(np.arange(len(x)), hashing.tables)
-            t = np.tile(np.arange(hashing.tables, dtype=np.int32), len(x))
-            vec, own = [v.tobytes() for v in x.astype("<f8")], [s.tobytes() for s in sig.astype("<u8")]
-            cid, n = np.asarray(part.column("cid"))[again], np.asarray(part.column("n"))[again]
-            yield pa.RecordBatch.from_arrays([pa.array(buckets(sig)), pa.array(t), pa.array(cid), pa.array(n), pa.array([own[k] for k in again], pa.binary()), pa.array([vec[k] for k in again], pa.binary())], ["bucket", "t", "cid", "n", "sig", "vec"])
+            columns = [buckets(hashing.signatures(unit)), np.asarray(part.column("cid"))[again], np.full(len(again), x.shape[1], np.int32), *(short[again, k] for k in range(4))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "cid", "d", "s0", "s1", "s2", "s3"])
 
     def together(batches):
         for part, x in _of_size(batches):
-            none = pa.array([b""] * len(x), pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("root"), pa.array(np.zeros(len(x), np.int32)), part.column("cid"), part.column("n"), none, pa.array([v.tobytes() for v in x.astype("<f8")], pa.binary())], ["bucket", "t", "cid", "n", "sig", "vec"])
+            yield pa.RecordBatch.from_arrays([part.column("root"), part.column("cid"), part.column("n"), pa.array([v.tobytes() for v in x.astype(kind)], pa.binary())], ["bucket", "cid", "n", "vec"])
 
     # Which buckets are large is read from all buckets' counts; Spark broadcasts the few only if they are small.
-    hot = classes.select("v").mapInArrow(names, "bucket long").groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > most)
-    hot = common.stored(hot.select("bucket", F.ceil(F.col("rows") / most).cast("int").alias("parts")), "hot-buckets")
-    met = _blocks(classes.select("v", "cid").mapInArrow(sketched, "bucket long, cid long, s0 long, s1 long"), hot, most)
-    near = common.components(_grouped(met, _candidates(sketching.most), "a long, b long"))
-    wide = common.stored(near.groupBy("root").agg((F.count("*") + 1).alias("size")).where(F.col("size") > most).select("root", F.lit(True).alias("wide")), "wide")
+    cut = lambda counts, rows: common.stored(counts.where(F.col("rows") > rows).select("bucket", F.ceil(F.col("rows") / rows).cast("int").alias("parts")), "parts")
+    hot = cut(classes.select("v").mapInArrow(names, "bucket long").groupBy("bucket").agg(F.count("*").alias("rows")), wide)
+    met = _blocks(classes.select("v", "cid").mapInArrow(sketched, "bucket long, cid long, d int, s0 long, s1 long, s2 long, s3 long"), hot, wide)
+    near = common.components(_grouped(met, _candidates(sketching), "a long, b long"))
+    large = cut(near.groupBy(F.col("root").alias("bucket")).agg((F.count("*") + 1).alias("rows")), most)
     members = near.select(F.col("node").alias("cid"), "root").union(near.select("root", "root").distinct())
-    held = classes.select("v", "n", "cid").join(members.join(wide, "root", "left"), "cid")
-    rows = held.where("wide is null").select("v", "n", "cid", "root").mapInArrow(together, ROW).select("*", *[F.lit(-1).alias(c) for c in ("own", "i", "j")])
-    chained = not wide.isEmpty()
-    if chained:
-        rows = rows.unionByName(_blocks(held.where("wide").select("v", "n", "cid").mapInArrow(spread, ROW), hot, most))
-    found = common.stored(_grouped(rows, _check(threshold), "counted boolean, a long, b long"), "vector-links")
+    rows = classes.select("v", "n", "cid").join(members, "cid").mapInArrow(together, ROW)
+    found = common.stored(_grouped(_blocks(rows, large, most), _check(threshold, kind), "counted boolean, a long, b long"), "vector-links")
     counts = found.where("counted").groupBy(F.col("a").alias("cid")).agg(F.sum("b").alias("links"))
     # What was brought together whole is linked whole, too: a forest's links lead to one class of each component.
     links = found.where("not counted").select("a", "b")
-    roots = (common.components(links) if chained else links.toDF("node", "root")).withColumnRenamed("node", "cid")
+    roots = (links.toDF("node", "root") if large.isEmpty() else common.components(links)).withColumnRenamed("node", "cid")
     joined = classes.select("key", "cid", "n", "least").join(counts, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = joined.groupBy("root").agg(F.min("least").alias("component"))
     result = joined.join(least, "root").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component")

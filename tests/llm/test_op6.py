@@ -36,8 +36,8 @@ def test_equals_all_pairs(spark):
     rows += [(1000 + k, v) for k, v in enumerate(extra)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     want = brute(rows, 0.9)
-    for most in (4096, 40):
-        got = sorted(tuple(r) for r in op6.near_duplicates(df, 0.9, most=most, miss=1e-5).collect())
+    for most, wide in ((4096, 16_384), (40, 60)):
+        got = sorted(tuple(r) for r in op6.near_duplicates(df, 0.9, most=most, wide=wide, miss=1e-5).collect())
         assert got == want
 
 
@@ -67,3 +67,41 @@ def test_recall_with_the_querys_parameters(spark):
     by_id = dict(want)
     assert all(n <= by_id[i] for i, n in got)
     assert len({r[0] for r in got if by_id[r[0]] == 0 and r[1]}) == 0
+
+
+def shared(n, cosine, d=64, pairs=100, seed=4):
+    """Vectors that share a direction: any two have about this cosine, but for planted near copies."""
+    rng = np.random.default_rng(seed)
+    x = np.sqrt(1 - cosine) * rng.normal(size=(n, d)) / np.sqrt(d) + np.sqrt(cosine) * np.eye(1, d)
+    x[-pairs:] = x[:pairs] + rng.normal(size=(pairs, d)) * np.sqrt((1 / rng.uniform(0.91, 0.99, size=(pairs, 1)) ** 2 - 1) * (x[:pairs] ** 2).sum(1, keepdims=True) / d)
+    return x.astype(np.float32)
+
+
+def test_a_shared_direction_makes_no_candidates(spark):
+    """Links equal all pairs, and hardly a vector but the near ones is sent to be compared."""
+    x = shared(4000, 0.6)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(8)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = (unit @ unit.T >= 0.9).sum(1) - 1
+    assert 150 <= (links > 0).sum() <= 400
+    got = {r[0]: r[1] for r in op6.near_duplicates(df, 0.9, miss=1e-5).collect()}
+    assert got == dict(enumerate(links.tolist()))
+    sketching = op6.Sketching(0.9)
+    at = op6.Sketching.coordinates(sketching(unit))
+    near = (at**2).sum(1)[:, None] + (at**2).sum(1) - 2 * at @ at.T
+    candidates = near <= sketching.most(64)
+    assert candidates[unit @ unit.T >= 0.9].mean() > 0.9999
+    assert candidates.sum() - len(x) < 3 * links.sum() + 40
+
+
+def test_sketches_of_other_sizes():
+    rng = np.random.default_rng(2)
+    for d in (2, 16, 64, 300):
+        a = rng.normal(size=(2000, d))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        side = rng.normal(size=a.shape)
+        side -= (side * a).sum(1, keepdims=True) * a
+        b = a * 0.9 + side / np.linalg.norm(side, axis=1, keepdims=True) * np.sqrt(1 - 0.81)
+        sketching = op6.Sketching(0.9)
+        apart = ((op6.Sketching.coordinates(sketching(a)) - op6.Sketching.coordinates(sketching(b))) ** 2).sum(1)
+        assert (apart <= sketching.most(d)).mean() > 0.998, d
