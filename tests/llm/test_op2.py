@@ -56,3 +56,23 @@ def test_words_of_one_hash_are_told_apart(spark):
     first = lambda n, k: -math.log((k + (k + 0.01) / (2 * n + 0.01 * op2.WORDS)) / (n + 1))
     after = lambda n, k: -math.log((k + (k + 0.01) / (2 * n + 0.01 * op2.WORDS)) / (k + 1))
     assert whole[0][1] == pytest.approx((first(8, 8) + after(8, 8)) / 2, rel=1e-6)
+
+
+def test_messages_grow_with_chunks_not_their_square(spark):
+    """Hundreds of chunks of some hundred bytes, on three levels: the scores of one chunk, and few messages a unit."""
+    words = [f"w{k % 97} v{k % 13} the" for k in range(2000)]
+    docs = [(k, f"{words[k % 2000]} {words[(k * 7) % 2000]}" if k % 50 else None) for k in range(1200)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame([(k, 1, 0) for k in range(0, 1200, 3)], "doc_id long, quality int, toxic int")
+    whole = {r["id"]: tuple(r)[1:] for r in op2.scores(d, y).collect()}
+    parted = {r["id"]: tuple(r)[1:] for r in op2.scores(d, y, share=150, fan=8).collect()}
+    assert whole.keys() == parted.keys() and all(parted[k] == pytest.approx(whole[k], rel=1e-9) for k in whole)
+    chunks, base, levels = 150, 6, 3
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("long").alias("chunk")
+    good = y.select(F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("long").alias("chunk"), F.col("doc_id").alias("good"))
+    answers, totals, sent = op2.exchanged(op2.asked(d.select(dealt, F.col("doc_id").alias("id"), "text"), good, base, levels), base, levels)
+    for messages in sent:
+        assert messages.count() <= base * base**levels and messages.groupBy("sender").count().agg(F.max("count")).first()[0] <= base
+    assert answers.count() == sent[0].count() < chunks * chunks / 4
+    tokens = [w for _, t in docs for w in (t or "").split()]
+    assert totals == (len(tokens), sum(len((t or "").split()) for k, t in docs if k % 3 == 0), len(set(tokens)))
