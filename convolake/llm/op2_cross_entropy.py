@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: The least vocabulary of the uniform distribution, and the bytes of text of a chunk.
-WORDS, SHARE = 1 << 18, 16_000_000
+WORDS, SHARE = 1 << 18, 12_000_000
 #: The most units that a unit sends to on one level.
 FAN = 64
 STRENGTH, UNIFORM = 1e-5, 1e-7
