@@ -1,6 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page is parsed into a tree in one pass. Script, style and other boilerplate elements (by tag, or hidden) leave no text.
+A page is parsed into a tree in one pass, in time that grows with its length however many elements are open. Script,
+style and other boilerplate elements (by tag, or hidden by attribute or style) leave no text; of an article's header the
+headings stay.
 Names (a whole class, id or role that is a word for boilerplate, alone or with words for parts of a page) are hints:
 such elements leave no text either, unless they are headings, or hold the node with the largest density sum while hardly
 any density is left without them, or are inside the chosen region and as dense as the threshold. For every other node
@@ -54,15 +56,20 @@ MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
     re.S,
 )
-NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?:^|\s)(hidden)(?=[\s=/]|$)""", re.I)
+NAMED = re.compile(r"""(?:^|[\s"'/])(class|id|role|style|aria-hidden)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?:^|\s)(hidden)(?=[\s=/]|$)""", re.I)
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _hints(attributes: str) -> tuple[bool, bool]:
     """Whether an element is hidden, and whether one of its names is boilerplate's."""
     hidden = named = False
-    for _, value, is_hidden in NAMED.findall(attributes):
+    for name, value, is_hidden in NAMED.findall(attributes):
         hidden = hidden or bool(is_hidden)
+        if name.lower() in ("style", "aria-hidden"):
+            value = entities.unescape(value.strip("\"'"))
+            hidden = hidden or (value.strip().lower() == "true" if name.lower() == "aria-hidden" else bool(UNSEEN.search(value)))
+            continue
         for token in value.strip("\"'").split():
             words = [w.lower() for w in WORD.findall(token)]
             named = named or any(w in BOILERPLATE for w in words) and all(w in BOILERPLATE or w in PARTS for w in words)
@@ -74,6 +81,11 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.silent, self.begin, self.end = ["html"], [-1], [False], [0], [0]
+        #: The node whose silence a node shares, and (for what is silent only as an article's header) the first above that isn't.
+        self.under, self.host = [-1], [0]
+        #: Places of open elements in the stack, by name, and of those that bound what an end tag or a sibling can end.
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
         #: (node, text); a text of None is the edge of a block.
         self.runs: list[tuple[int, str | None]] = []
         self.body = 0
@@ -97,7 +109,7 @@ class Page:
                     self._pop(open_)
                 self.body = self.body or len(self.parent)
             hidden, named = _hints(found[3]) if found[3] and name not in ANCHORED else (False, False)
-            self._open(open_, name, self.silent[open_[-1]] or name in SILENT or hidden)
+            self._open(open_, name, hidden)
             if named and name not in HEADINGS and not self.silent[open_[-1]]:
                 self.hinted.append(open_[-1])
             if name in VOID or found[3].endswith("/") and name not in BLOCK and name not in RAW:
@@ -115,46 +127,49 @@ class Page:
         if text and not self.silent[node]:
             self.runs.append((node, entities.unescape(text) if "&" in text else text))
 
-    def _open(self, open_: list[int], name: str, silent: bool) -> None:
+    def _open(self, open_: list[int], name: str, hidden: bool) -> None:
+        node, up = len(self.parent), open_[-1]
+        # Of the header of an article the headings belong to the article.
+        soft = name == "header" and "article" in self.places and bool(self.places["article"]) and not self.silent[up] or self.host[up] != up and name not in SILENT and name not in HEADINGS
+        under = self.host[up] if name in HEADINGS else up
         self.tag.append(name)
-        self.parent.append(open_[-1])
-        self.silent.append(silent)
+        self.parent.append(up)
+        self.under.append(under)
+        self.silent.append(self.silent[under] or name in SILENT or hidden or soft)
+        self.host.append(self.host[up] if soft and not hidden else node)
         self.begin.append(len(self.runs))
         self.end.append(0)
-        open_.append(len(self.parent) - 1)
+        self.places.setdefault(name, []).append(len(open_))
+        if name in SCOPE:
+            self.scopes.append(len(open_))
+        open_.append(node)
         if name in BLOCK:
-            self.runs.append((open_[-1], None))
+            self.runs.append((node, None))
 
     def _pop(self, open_: list[int]) -> None:
         node = open_.pop()
+        self.places[self.tag[node]].pop()
+        if self.scopes and self.scopes[-1] == len(open_):
+            self.scopes.pop()
         if self.tag[node] in BLOCK:
             self.runs.append((node, None))
         self.end[node] = len(self.runs)
 
+    def _end(self, open_: list[int], place: int, over: bool) -> None:
+        """Ends the element at this place of the stack and all in it, unless another scope is open in it and that isn't passed over."""
+        if place and (over or not self.scopes or self.scopes[-1] <= place):
+            while len(open_) > place:
+                self._pop(open_)
+
     def _close(self, open_: list[int], name: str) -> None:
-        if name in ("html", "body"):
-            return
-        for k in range(len(open_) - 1, 0, -1):
-            if self.tag[open_[k]] == name:
-                while len(open_) > k:
-                    self._pop(open_)
-                return
-            if self.tag[open_[k]] in SCOPE and name not in SCOPE:
-                return
+        held = self.places.get(name)
+        if held and name not in ("html", "body"):
+            self._end(open_, held[-1], name in SCOPE)
 
     def _implied(self, open_: list[int], name: str) -> None:
         """Ends what an element of this name ends: an open paragraph, or its own kind in a list or table."""
-        ended = ENDED_BY.get(name)
-        if ended is None and name not in CLOSES_P:
-            return
-        for k in range(len(open_) - 1, 0, -1):
-            tag = self.tag[open_[k]]
-            if ended and tag in ended or tag == "p" and name in CLOSES_P:
-                while len(open_) > k:
-                    self._pop(open_)
-                return
-            if tag in SCOPE:
-                return
+        ended = ENDED_BY.get(name, set()) | ({"p"} if name in CLOSES_P else set())
+        self._end(open_, max((self.places[t][-1] for t in ended if self.places.get(t)), default=0), False)
 
     def densities(self) -> tuple[list[float], list[float]]:
         """Composite density and density sum of each node."""
@@ -195,7 +210,7 @@ class Page:
     def _silence(self, certain: list[bool], hinted: set[int]) -> None:
         self.silent = list(certain)
         for k in range(1, len(self.parent)):
-            self.silent[k] = self.silent[k] or k in hinted or self.silent[self.parent[k]]
+            self.silent[k] = self.silent[k] or k in hinted or self.silent[self.under[k]]
 
     def _region(self, path: list[int]) -> int | None:
         """The outermost article, else main element, around the winner or holding all of its text; else the winner, if it isn't the body."""

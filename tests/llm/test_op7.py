@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import time
 
 import pandas as pd
 import pytest
@@ -129,3 +130,58 @@ def test_article_elements_choose_nothing():
     page = f"<body><article><p>ad</p></article><div><p>{LONG}</p><p>{LONG}</p></div></body>"
     assert op7.main_text(page) == f"{LONG} {LONG}"
     assert op7.main_text(page.replace("article", "div")) == f"{LONG} {LONG}"
+
+
+def _stack_walk(source):
+    """Names of the ancestors of each text, as the rules say, walking the stack for each tag."""
+    open_, out = ["html"], []
+    for found in re.finditer(r"<(/?)(\w+)>|([^<]+)", source):
+        if found[3]:
+            out.append((found[3], tuple(open_)))
+            continue
+        name = found[2]
+        ended = op7.ENDED_BY.get(name, set()) | ({"p"} if name in op7.CLOSES_P else set()) if not found[1] else {name}
+        over = bool(found[1]) and name in op7.SCOPE
+        for k in range(len(open_) - 1, 0, -1):
+            if open_[k] in ended:
+                del open_[k:]
+                break
+            if open_[k] in op7.SCOPE and not over:
+                break
+        if not found[1]:
+            open_.append(name)
+    return out
+
+
+def test_ends_against_a_walk_of_the_stack():
+    rng = random.Random(5)
+    for _ in range(3000):
+        source = "".join(rng.choice(["<{}>", "<{}>", "</{}>"]).format(rng.choice("b i p p div ul li li table tr td section dd dt a".split())) + rng.choice(["", "x", "yy"]) for _ in range(rng.randint(1, 25)))
+        page = op7.Page(source)
+
+        def way(k):
+            return (*way(page.parent[k]), page.tag[k]) if k > 0 else ("html",)
+
+        assert [(t, way(k)) for k, t in page.runs if t] == _stack_walk(source), source
+
+
+@pytest.mark.parametrize("source", ["<b>" * 100_000 + "<div>" * 100_000 + "x", "<div>" * 100_000 + "</section>" * 100_000 + "x", "<p>x<i>" * 100_000, "<ul><li>x<b>" * 60_000 + "</p>" * 60_000])
+def test_many_open_elements(source):
+    began = time.perf_counter()
+    assert "x" in op7.main_text(source)
+    assert time.perf_counter() - began < 20
+
+
+def test_what_is_not_shown():
+    for hidden in ('style="display:none"', "style='color:red; DISPLAY : none !important'", 'style="visibility:hidden"', 'aria-hidden="true"', "hidden"):
+        page = f"<body><article><h1>T</h1><p>{LONG}</p><p {hidden}>unseen words</p><p>{LONG}</p></article></body>"
+        assert op7.main_text(page) == f"T {LONG} {LONG}", hidden
+    for shown in ('style="display:block"', 'aria-hidden="false"', 'data-style="display:none"', 'style="x-display:none"'):
+        assert "seen words" in op7.main_text(f"<body><article><p>{LONG}</p><p {shown}>seen words</p><p>{LONG}</p></article></body>"), shown
+
+
+def test_headings_of_an_articles_header():
+    page = f"<body><header><h1>Site</h1></header><article><header><div><h1>Title <i>x</i></h1></div><nav><h2>Menu</h2></nav><p>By A. B.</p></header><p>{LONG}</p><p>{LONG}</p></article></body>"
+    assert op7.main_text(page) == f"Title x {LONG} {LONG}"
+    named = page.replace("<p>By", '<div class="share">share it</div><p>By')
+    assert op7.main_text(named) == f"Title x {LONG} {LONG}"
