@@ -6,9 +6,9 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from .catalog import _G, _PAIR_SQL, Tables, _graph, _rounded, query
+from .catalog import _G, _PAIR_SQL, _REQUESTS, Tables, _graph, _requests, _rounded, query
 from .operators import graph, pruning, sampling, tracked
-from .sources import vector_index
+from .sources import cache, vector_index
 from .storage import new_path, stored
 from .streaming import steering, tracker
 
@@ -139,3 +139,11 @@ def _(spark, d):
     key = F.col("p_partkey")
     pairs = t.part.where(key % 100 == 0).select(F.concat(F.lit("e"), key.cast("string")).alias("start"), F.concat(F.lit("e"), (key - 37).cast("string")).alias("goal"))
     return graph.shortest_paths(_graph(t)[1], pairs).withColumn("path", F.array_join("path", ">"))
+
+
+# -- the cache --
+
+
+@query("uncached_requests_filtered", f"WITH {_REQUESTS} SELECT event_id FROM r ANTI JOIN e USING (k)")
+def _(spark, d):
+    return cache.misses_filtered(*_requests(Tables(spark, d))).select("event_id")

@@ -50,15 +50,23 @@ def build_edges(endpoints: DataFrame) -> DataFrame:
     return _shape(own.unionByName(domain), EDGES)
 
 
-def same_domain_edges(endpoints: DataFrame, salts: int = 16) -> DataFrame:
+def same_domain_edges(endpoints: DataFrame, most: int = 20_000) -> DataFrame:
     """An edge between any two endpoints of a domain, from the smaller id. All these pairs are the result.
 
-    A few domains hold most endpoints, so each is dealt to `salts` keys: one side by its ids, the other to all of them.
+    Domains of over `most` endpoints, if a count shows any, are dealt to several keys: one side by its ids, the other to all.
     """
     e = endpoints.where("domain is not null and domain <> ''").select("id", "domain")
-    left = e.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).alias("a")
-    right = e.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("b")
-    pairs = left.join(right, (F.col("a.domain") == F.col("b.domain")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.id") < F.col("b.id")))
+    large = stored(e.groupBy("domain").agg(F.count("*").alias("n")).where(F.col("n") > most).select("domain", F.ceil(F.col("n") / most).cast("int").alias("parts")), "domains")
+    left, right, keys = e, e, ["domain"]
+    if not large.isEmpty():
+        parted = e.join(large, "domain", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        left = parted.withColumn("salt", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        right, keys = parted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), ["domain", "salt"]
+    left, right = left.alias("a"), right.alias("b")
+    same = F.col("a.id") < F.col("b.id")
+    for k in keys:
+        same = same & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    pairs = left.join(right, same)
     return _shape(pairs.select(F.col("a.id").alias("src"), F.col("b.id").alias("dst"), F.lit(SAME_DOMAIN).alias("type"), F.lit(1.0).alias("weight")), EDGES)
 
 

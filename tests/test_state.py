@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from convolake.operators import diversity, sampling, tracked
+from convolake.sources import cache
 from convolake.storage import new_path
 from convolake.streaming import steering, tracker
 
@@ -146,3 +147,27 @@ def test_chains_in_turns_and_without_endpoints(spark):
     got = rows_of(steering.next_chains(requests, endpoints, sampling.Constraints(), weights, 3, 0).select("conv", "step", "endpoint"))
     assert got == [("a", 1, "e2"), ("a", 2, "e1"), ("a", 3, "e2"), ("b", 1, "e1"), ("b", 2, "e2"), ("b", 3, "e1")]
     assert steering.next_chains(requests, endpoints.limit(0), sampling.Constraints(), weights, 3, 0).count() == 0
+
+
+def test_filters_merge_and_miss_nothing(spark):
+    key = F.md5(F.col("id").cast("string")).alias("prompt_hash")
+    entries, requests = spark.range(4000).select(key), spark.range(2000, 30_000).select("id", key).unionByName(spark.createDataFrame([(-1, None)], "id long, prompt_hash string"))
+    words = cache.bloom_words(4000)
+    whole = cache.bloom(entries, words)
+    parts = [cache.bloom(spark.range(a, b).select(key), words) for a, b in ((0, 1500), (1000, 3000), (2500, 4000))]
+    assert rows_of(cache.blooms_merged(*parts)) == rows_of(whole) and whole.count() <= words
+    seen = requests.withColumn("maybe", cache.maybe_there(whole, words))
+    there, wrong = seen.where("id between 0 and 3999").agg(F.avg(F.col("maybe").cast("int"))).first()[0], seen.where("id >= 4000").agg(F.avg(F.col("maybe").cast("int"))).first()[0]
+    print("false positives:", wrong)
+    assert there == 1.0 and wrong < 0.02
+    want = rows_of(cache.misses(requests, entries).select("id"))
+    assert rows_of(cache.misses_filtered(requests, entries).select("id")) == want == rows_of(cache.misses_filtered(requests, entries, most=10).select("id"))
+    assert rows_of(cache.misses_filtered(requests, entries.limit(0)).select("id")) == rows_of(requests.select("id"))
+
+
+def test_large_domains_are_dealt(spark):
+    from convolake.operators import graph
+
+    rows = spark.createDataFrame([(f"e{k}", "a" if k % 3 else f"d{k % 5}") for k in range(90)] + [("x", None), ("y", "")], "id string, domain string")
+    one, other = (rows_of(graph.same_domain_edges(rows, most=m).select("src", "dst")) for m in (20_000, 7))
+    assert one == other and len(one) == len(set(one)) == sum(n * (n - 1) // 2 for n in (60, 6, 6, 6, 6, 6))
