@@ -37,5 +37,7 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, common.stored(stage(spark, docs, sf_dir), name)
+        if hasattr(before, "stored_path"):
+            common.drop_stored(before)
     return docs
