@@ -6,9 +6,10 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from .catalog import _G, _PAIR_SQL, _REQUESTS, Tables, _graph, _requests, _rounded, query
+from .catalog import _E, _G, _PAIR_SQL, _REQUESTS, Tables, _graph, _requests, _rounded, query
+from .functions import conversation
 from .operators import graph, pruning, sampling, tracked
-from .sources import cache, vector_index
+from .sources import cache, interchange, vector_index
 from .storage import new_path, stored
 from .streaming import steering, tracker
 
@@ -147,3 +148,52 @@ def _(spark, d):
 @query("uncached_requests_filtered", f"WITH {_REQUESTS} SELECT event_id FROM r ANTI JOIN e USING (k)")
 def _(spark, d):
     return cache.misses_filtered(*_requests(Tables(spark, d))).select("event_id")
+
+
+# -- edges, embeddings and endpoints that are kept or looked up --
+
+
+@query(
+    "upsert_edges",
+    f"""WITH {_E}, n AS (SELECT *, CAST(substr(id, 2) AS BIGINT) AS k FROM e) SELECT tool_id AS src, id AS dst, 'HAS_ENDPOINT' AS type, CASE WHEN k % 4 = 0 THEN CAST(0.5 AS DOUBLE) END AS weight FROM n
+    UNION ALL SELECT id, tool_id, 'BACK', CAST(0.25 AS DOUBLE) FROM n WHERE k % 4 = 1""",
+)
+def _(spark, d):
+    e = Tables(spark, d).endpoints()
+    k = F.col("id").substr(2, 20).cast("long") % 4
+    none = lambda kind: F.lit(None).cast(kind)
+    old = e.select(F.col("tool_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_ENDPOINT").alias("type"), none("double").alias("weight"), none("double").alias("score"))
+    newer = e.where(k == 0).select(F.col("tool_id").alias("src"), F.col("id").alias("dst"), F.lit("HAS_ENDPOINT").alias("type"), F.lit(0.5).alias("weight"), none("double").alias("score"))
+    back = e.where(k == 1).select(F.col("id").alias("src"), F.col("tool_id").alias("dst"), F.lit("BACK").alias("type"), F.lit(0.25).alias("weight"), none("double").alias("score"))
+    return graph.upsert_edges(old, newer.unionByName(back)).drop("score")
+
+
+@query(
+    "cached_embeddings",
+    """WITH v AS (SELECT CAST(vec_id AS VARCHAR) AS id, unnest(embedding) AS x, label FROM embeddings) SELECT id, label % 2 = 0 AS was_cached, CAST(count(*) AS INTEGER) AS size, round(sum(CAST(x AS DOUBLE)), 4) AS total FROM v GROUP BY ALL""",
+)
+def _(spark, d):
+    # Half of the vectors are in the cache; what is missing is found, made and added, and all is loaded again.
+    e = Tables(spark, d).embeddings.select(F.col("vec_id").cast("string").alias("id"), "embedding", "label")
+    path = new_path(spark, "embedding-cache")
+    interchange.clear_embeddings(spark, path)
+    interchange.save_embeddings(e.where("label % 2 = 0"), path, 64)
+    before = interchange.load_embeddings(spark, path, 64)
+    missing = interchange.missing_embeddings(e, before)
+    again = new_path(spark, "embedding-cache")
+    interchange.save_embeddings(before, again, 64)
+    interchange.save_embeddings(missing, again, 64)
+    found = interchange.load_embeddings(spark, again, 64).join(before.select("id", F.lit(True).alias("was_cached")), "id", "left")
+    return found.select("id", F.coalesce("was_cached", F.lit(False)).alias("was_cached"), F.size("embedding").alias("size"), F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
+
+
+@query(
+    "planner_endpoints",
+    f"""WITH {_E}, s AS (SELECT l_orderkey AS conv, 'e' || l_partkey AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) - 1 AS place FROM lineitem)
+    SELECT conv, CAST(place AS INTEGER) AS "at", id, name, tool_id, domain FROM s JOIN e USING (id) WHERE domain <> 'Brand#12'""",
+)
+def _(spark, d):
+    t = Tables(spark, d)
+    chains = t.chains().select("conv", F.transform("chain", lambda x: F.concat(F.lit("e"), x)).alias("chain"))
+    known = t.endpoints().where("domain <> 'Brand#12'")  # the others are dropped, as ids that nobody knows
+    return conversation.planner_endpoints(chains, known).select("conv", "at", "id", "name", "tool_id", "domain")

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import threading
 import time
+from collections import deque
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -101,6 +104,46 @@ class FakeModel:
         return f"{task.lower()} {h % 10**6}: {rest[-40:].strip()}"
 
 
+class Paced:
+    """L2: a model that is asked at most per_second times a second, by all threads of a worker together."""
+
+    def __init__(self, model: Model, per_second: float):
+        self.model, self.per_second = model, per_second
+        self._ready()
+
+    def _ready(self) -> None:
+        self.lock, self.next = threading.Lock(), 0.0
+
+    def __getstate__(self):
+        return {"model": self.model, "per_second": self.per_second}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._ready()
+
+    def complete(self, prompt: str) -> str:
+        with self.lock:
+            at = self.next = max(self.next, time.monotonic())
+            self.next += 1 / self.per_second
+        time.sleep(max(0.0, at - time.monotonic()))
+        return self.model.complete(prompt)
+
+
+def in_flight(one, items, window: int) -> Iterator:
+    """one(item) for each item, in order, up to `window` of them at a time; no more are taken in than that."""
+    if window <= 1:
+        yield from map(one, items)
+        return
+    with ThreadPoolExecutor(window) as pool:
+        waiting: deque = deque()
+        for item in items:
+            waiting.append(pool.submit(one, item))
+            if len(waiting) >= window:
+                yield waiting.popleft().result()
+        while waiting:
+            yield waiting.popleft().result()
+
+
 def complete(model: Model, prompt: str, tries: int = 3, wait: float = 0.0) -> str:
     """Tries again after transient errors, after as long as the service asks for, else `wait` seconds, doubled each time."""
     for k in range(tries):
@@ -282,13 +325,16 @@ def _row(id_: str, success: bool, attempts: int, last, error: str | None) -> dic
     return {"conversation_id": talk.id, "success": success, "attempts": attempts, "repaired": repaired, "error": error, "messages": talk.messages, "tool_outputs": talk.outputs, **scores, "endpoint_ids": ids}
 
 
-def generate(chains: DataFrame, model: Model, threshold: float = 6.0, turns: int = 20) -> DataFrame:
-    """Results (RESULT) for chains(conv, attempts array<array<string>>)."""
+def generate(chains: DataFrame, model: Model, threshold: float = 6.0, turns: int = 20, window: int = 1) -> DataFrame:
+    """Results (RESULT) for chains(conv, attempts array<array<string>>).
+
+    A worker has up to `window` conversations, and so requests, in flight; the model must then bear several threads.
+    """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = [c.strip().split()[0] for c in ("conversation_id", "success", "attempts", "repaired", "error", "messages", "tool_outputs", *DIMENSIONS, "endpoint_ids")]
         for part in parts:
-            rows = [generate_one(model, str(i), [list(c) for c in a], threshold, turns=turns) for i, a in zip(part["conv"], part["attempts"])]
+            rows = list(in_flight(lambda x: generate_one(model, str(x[0]), [list(c) for c in x[1]], threshold, turns=turns), zip(part["conv"], part["attempts"]), window))
             yield pd.DataFrame(rows, columns=columns).astype({d: "Int64" for d in DIMENSIONS})
 
     return chains.select(F.col("conv").cast("string"), "attempts").mapInPandas(run, RESULT)
@@ -308,7 +354,7 @@ def generate_steered(sample, model: Model, batches: int, **options) -> DataFrame
 # -- missing fields of endpoints --
 
 
-def infer_fields(endpoints: DataFrame, model: Model, cached: DataFrame | None = None) -> DataFrame:
+def infer_fields(endpoints: DataFrame, model: Model, cached: DataFrame | None = None, window: int = 1) -> DataFrame:
     """(endpoint_id, field, parameter, value, cached) for missing descriptions, response schemas and parameter types.
 
     What is asked for is a table, so cached answers (key, value) are joined away first.
@@ -327,13 +373,14 @@ def infer_fields(endpoints: DataFrame, model: Model, cached: DataFrame | None =
     new = asked.join(cached.select("key"), "key", "left_anti") if cached is not None else asked
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def asked(prompt: str) -> str | None:
+            try:
+                return complete(model, prompt)
+            except ModelError:
+                return None
+
         for part in parts:
-            answers = []
-            for prompt in part["prompt"]:
-                try:
-                    answers.append(complete(model, prompt))
-                except ModelError:
-                    answers.append(None)
+            answers = list(in_flight(asked, part["prompt"], window))
             yield part[["endpoint_id", "field", "parameter", "key"]].assign(answer=answers)
 
     made = new.select("endpoint_id", "field", "parameter", "key", "prompt").mapInPandas(run, "endpoint_id string, field string, parameter string, key string, answer string")

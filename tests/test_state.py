@@ -1,12 +1,15 @@
 """State that adds up: merged and retracted counts, the stateful tracker, steering by batches."""
 
 import datetime
+import pickle
 import random
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from convolake.operators import diversity, sampling, tracked
+from convolake.operators import diversity, generation, sampling, tracked
 from convolake.sources import cache
 from convolake.storage import new_path
 from convolake.streaming import steering, tracker
@@ -171,3 +174,50 @@ def test_large_domains_are_dealt(spark):
     rows = spark.createDataFrame([(f"e{k}", "a" if k % 3 else f"d{k % 5}") for k in range(90)] + [("x", None), ("y", "")], "id string, domain string")
     one, other = (rows_of(graph.same_domain_edges(rows, most=m).select("src", "dst")) for m in (20_000, 7))
     assert one == other and len(one) == len(set(one)) == sum(n * (n - 1) // 2 for n in (60, 6, 6, 6, 6, 6))
+
+
+class Slow:
+    """The offline model, after a while; counts how many ask at a time."""
+
+    def __init__(self, wait):
+        self.wait, self.now, self.most, self.lock = wait, 0, 0, threading.Lock()
+
+    def complete(self, prompt):
+        with self.lock:
+            self.now += 1
+            self.most = max(self.most, self.now)
+        time.sleep(self.wait)
+        with self.lock:
+            self.now -= 1
+        return generation.FakeModel().complete(prompt)
+
+
+def test_requests_in_flight():
+    chains = [(str(k), [[f"e{k}", f"e{k + 1}"], [f"e{k}"]]) for k in range(12)]
+    talk = lambda model: lambda x: generation.generate_one(model, *x)
+    plain = [talk(generation.FakeModel())(x) for x in chains]
+    one, many = Slow(0.01), Slow(0.01)
+    began = time.perf_counter()
+    assert list(generation.in_flight(talk(one), chains, 1)) == plain
+    middle = time.perf_counter()
+    assert list(generation.in_flight(talk(many), chains, 6)) == plain
+    ended = time.perf_counter()
+    assert one.most == 1 and 3 <= many.most <= 6 and (middle - began) > 2.5 * (ended - middle)
+    taken = []
+    first = next(generation.in_flight(lambda x: x, (taken.append(k) or k for k in range(100)), 4))
+    assert first == 0 and len(taken) <= 5  # no more are taken in than are in flight
+    with pytest.raises(ZeroDivisionError):
+        list(generation.in_flight(lambda x: 1 // x, [1, 0, 1], 3))
+
+
+def test_a_shared_rate():
+    model = pickle.loads(pickle.dumps(generation.Paced(generation.FakeModel(), per_second=100)))
+    began = time.perf_counter()
+    got = list(generation.in_flight(model.complete, [f"TYPE\n{k}" for k in range(31)], 8))
+    assert got == [generation.FakeModel().complete(f"TYPE\n{k}") for k in range(31)] and time.perf_counter() - began >= 0.29
+
+
+def test_generate_with_a_window(spark):
+    chains = spark.createDataFrame([(k, [[f"e{k}", f"e{k + 1}"], [f"e{k}"]]) for k in range(20)], "conv long, attempts array<array<string>>")
+    one, many = (sorted(map(str, generation.generate(chains, generation.FakeModel(), window=w).collect())) for w in (1, 5))
+    assert one == many and len(one) == 20
