@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from . import common
 
 #: The least vocabulary of the uniform distribution, and the bytes of text of a chunk.
-WORDS, SHARE = 1 << 18, 12_000_000
+WORDS, SHARE = 1 << 18, 6_000_000
 #: The most units that a unit sends to on one level.
-FAN = 64
+FAN = 256
 STRENGTH, UNIFORM = 1e-5, 1e-7
 CODEC = "zstd"
 
@@ -81,14 +81,15 @@ class Keys:
         self.counts = np.array(counts, np.int64)
         found = list(seen)
         order = sorted(range(len(found)), key=found.__getitem__)
-        place = np.empty(len(found), np.int64)
-        place[order] = np.arange(1, len(found) + 1)
+        place = np.empty(len(found), np.int32)
+        place[order] = np.arange(1, len(found) + 1, dtype=np.int32)
         self.names = [b"", *(found[k] for k in order)]  # 0 is the start mark
         size = len(self.names)
-        self.word = place[np.concatenate(ids)] if ids else np.empty(0, np.int64)
-        self.before = np.concatenate([[0], self.word[:-1]]) if len(self.word) else self.word
+        self.word = place[np.concatenate(ids)] if ids else np.empty(0, np.int32)
+        del seen, ids, found
+        self.before = np.concatenate([np.zeros(1, np.int32), self.word[:-1]]) if len(self.word) else self.word
         self.before[(np.cumsum(self.counts) - self.counts)[self.counts > 0]] = 0
-        self.pairs, self.at = np.unique(self.before * size + self.word, return_inverse=True)
+        self.pairs, self.at = np.unique(self.before.astype(np.int64) * size + self.word, return_inverse=True)
         self.first, self.second = np.divmod(self.pairs, size)
         self.size = size
         # The hash that says where a key is summed: the words' hashes mixed; words and contexts as pairs with fixed values.
@@ -150,6 +151,7 @@ def asked(docs: DataFrame, good: DataFrame, base: int, levels: int) -> DataFrame
             keys = Keys(rows, base)
             target = pc.and_(pc.is_in(rows["id"], value_set=targets["good"].combine_chunks()), pc.is_valid(rows["id"])).to_numpy()
             all_, wanted, own = keys.tally(np.ones(len(keys.word), bool)), keys.tally(np.repeat(target, keys.counts)), rows["chunk"][0].as_py()
+            keys.word = keys.before = keys.at = None  # texts are packed next
             for digit, of in keys.dealt:
                 hashes = [pa.array(keys.hash[of])] if levels > 1 else []
                 out.append((keys.dealt.unit(own, digit), own, _packed(keys.texts(of), _narrow(all_[of]), _narrow(wanted[of]), *hashes)))
