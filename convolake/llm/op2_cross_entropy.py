@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: The least vocabulary of the uniform distribution, and the bytes of text of a chunk.
-WORDS, SHARE = 1 << 18, 6_000_000
+WORDS, SHARE = 1 << 18, 10_000_000
 #: The most units that a unit sends to on one level.
 FAN = 256
 STRENGTH, UNIFORM = 1e-5, 1e-7
@@ -83,8 +83,8 @@ class Keys:
         order = sorted(range(len(found)), key=found.__getitem__)
         place = np.empty(len(found), np.int32)
         place[order] = np.arange(1, len(found) + 1, dtype=np.int32)
-        self.names = [b"", *(found[k] for k in order)]  # 0 is the start mark
-        size = len(self.names)
+        names = [b"", *(found[k] for k in order)]  # 0 is the start mark
+        self.names, size = pa.array(names, pa.large_binary()), len(names)
         self.word = place[np.concatenate(ids)] if ids else np.empty(0, np.int32)
         del seen, ids, found
         self.before = np.concatenate([np.zeros(1, np.int32), self.word[:-1]]) if len(self.word) else self.word
@@ -93,7 +93,7 @@ class Keys:
         self.first, self.second = np.divmod(self.pairs, size)
         self.size = size
         # The hash that says where a key is summed: the words' hashes mixed; words and contexts as pairs with fixed values.
-        h = np.fromiter(map(zlib.crc32, self.names), np.uint64, size)
+        h = np.fromiter(map(zlib.crc32, names), np.uint64, size)
         with np.errstate(over="ignore"):  # products of hashes are taken modulo 2^64
             mixed = lambda a, b: ((a * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(33)).astype(np.int64)
             self.hash = np.concatenate([mixed(h, np.full(size, 1, np.uint64)), mixed(h, np.full(size, 2, np.uint64)), mixed(h[self.first], h[self.second])])
@@ -105,7 +105,7 @@ class Keys:
         return np.concatenate([one(self.word, self.size), one(self.before, self.size), one(self.at, len(self.pairs))])
 
     def texts(self, keys: np.ndarray) -> pa.Array:
-        names, n = pa.array(self.names, pa.large_binary()), self.size
+        names, n = self.names, self.size
         space, rest = pa.scalar(b" ", pa.large_binary()), keys[keys >= 2 * n] - 2 * n
         out = [names.take(pa.array(keys[keys < n]))]
         out.append(pc.binary_join_element_wise(names.take(pa.array(keys[(keys >= n) & (keys < 2 * n)] - n)), pa.scalar(b"", pa.large_binary()), space))
