@@ -11,11 +11,11 @@ from .operators import generation, graph, validation
 from .sources import cache, interchange, specs
 from .storage import new_path
 
-# -- specifications: the tools of the graph (a part's number modulo 100) as files of all three layouts --
+# -- specifications: tools of up to twenty parts each, whatever their number, as files of all three layouts --
 
 _SANITIZED = "regexp_replace(regexp_replace(regexp_replace(lower(trim({})), '[^a-z0-9_-]', '_', 'g'), '_+', '_', 'g'), '^[-_]+|[-_]+$', '', 'g')"
 _SPECS = f"""
-p AS (SELECT *, p_partkey % 100 AS t, p_partkey % 100 % 3 AS kind FROM part WHERE p_name <> ''),
+p AS (SELECT *, p_partkey // 20 AS t, p_partkey // 20 % 3 AS kind FROM part WHERE p_name <> ''),
 tools AS (SELECT DISTINCT t, kind, CASE kind WHEN 0 THEN 'movie_tool_' || t WHEN 1 THEN 't-' || t ELSE 'id_' || t END AS id FROM p),
 e AS (SELECT *, id || '_' || {_SANITIZED.format("p_name")} AS eid FROM p JOIN tools USING (t, kind)),
 first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t, eid ORDER BY p_partkey) AS nth FROM e) WHERE nth = 1)"""
@@ -23,7 +23,7 @@ first AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t, eid ORDER
 
 def _spec_files(spark, d: str) -> DataFrame:
     """The files, written one a tool to the shared folder and scanned."""
-    p = Tables(spark, d).part.where("p_name <> ''").withColumn("t", F.col("p_partkey") % 100)
+    p = Tables(spark, d).part.where("p_name <> ''").withColumn("t", F.expr("p_partkey div 20"))
     key = F.col("p_partkey").cast("string")
     listed = F.struct(
         F.col("p_name").alias("name"), F.concat(F.lit("/v1/"), key).alias("url"), F.lit("post").alias("method"), F.col("p_type").alias("api_description"),
