@@ -173,6 +173,7 @@ def _as_text(value) -> str:
     return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+# The words, in the order that results depend on.
 #: Which scalars are kept, and under what name: the first rule whose word is met decides. How a word is met, the words,
 #: the name given, and the kinds of values (None: any).
 KEPT = (

@@ -90,22 +90,36 @@ def generation_summary(results: DataFrame, top: int = 5) -> DataFrame:
     return one.crossJoin(first)
 
 
-# The report's headings and labels, in order, with the columns that they show.
+# The report's headings, and its labels with the columns that they show and their formats, in order.
 REPORT = (
-    ("", "Total Conversations: total_conversations %d", "Successful: successful_conversations %d", "Total Attempts: total_attempts %d", "Mean Attempts: mean_attempts %.2f"),
-    ("--- Quality Scores (1-10) ---", "Tool Correctness: mean_tool_correctness %.2f", "Argument Grounding: mean_argument_grounding %.2f", "Task Completion: mean_task_completion %.2f", "Naturalness: mean_naturalness %.2f", "Overall Average: mean_overall %.2f"),
-    ("--- Rates ---", "Pass Rate: pass_rate %.1f%%", "Repair Rate: repair_rate %.1f%%", "Multi-Step Rate: multi_step_rate %.1f%%", "Multi-Tool Rate: multi_tool_rate %.1f%%"),
+    ("", (
+        ("Total Conversations", "total_conversations", "%d"),
+        ("Successful", "successful_conversations", "%d"),
+        ("Total Attempts", "total_attempts", "%d"),
+        ("Mean Attempts", "mean_attempts", "%.2f"),
+    )),
+    ("--- Quality Scores (1-10) ---", (
+        ("Tool Correctness", "mean_tool_correctness", "%.2f"),
+        ("Argument Grounding", "mean_argument_grounding", "%.2f"),
+        ("Task Completion", "mean_task_completion", "%.2f"),
+        ("Naturalness", "mean_naturalness", "%.2f"),
+        ("Overall Average", "mean_overall", "%.2f"),
+    )),
+    ("--- Rates ---", (
+        ("Pass Rate", "pass_rate", "%.1f%%"),
+        ("Repair Rate", "repair_rate", "%.1f%%"),
+        ("Multi-Step Rate", "multi_step_rate", "%.1f%%"),
+        ("Multi-Tool Rate", "multi_tool_rate", "%.1f%%"),
+    )),
 )
 
 
 def report(stats: DataFrame) -> DataFrame:
     """A readable text of aggregate_scores(): sections between rules, values of the headed ones in one column."""
     rule, lines = F.lit("=" * 50), []
-    for heading, *rows in REPORT:
+    for heading, rows in REPORT:
         lines += [F.lit(""), *[F.lit(heading)] * (heading != "")]
-        for row in rows:
-            label, _, rest = row.partition(": ")
-            column, shape = rest.split()
+        for label, column, shape in rows:
             value = F.col(column) * 100 if shape.endswith("%%") else F.col(column)
             lines.append(F.format_string(f"{label + ':':<20} {shape}" if heading else f"{label}: {shape}", value))
     return stats.select(F.concat_ws("\n", rule, F.lit("Dataset Quality Report"), rule, *lines, rule).alias("report"))
