@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import conversation, scoring, text
-from .operators import diversity, generation, graph, metrics, quality, sampling, similarity, validation
+from .operators import diversity, graph, metrics, quality, sampling, similarity, validation
 from .plans import patterns
 from .sources import cache, interchange
 from .storage import new_path, stored
@@ -802,7 +802,7 @@ def _(spark, d):
     return conversation.turn_stats(Tables(spark, d).conversations).select("conv_id", conversation.pending_call(messages)["id"].alias("call_id"))
 
 
-# -- streams, and generation --
+# -- streams, and embeddings --
 
 
 @query("stream_tool_counts", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
@@ -832,12 +832,6 @@ def _(spark, d):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("generate_fake")
-def _(spark, d):
-    chains = Tables(spark, d).chains().select("conv", F.array("chain", F.reverse("chain")).alias("attempts"))
-    return generation.generate(chains, generation.FakeModel()).select("conversation_id", "success", "attempts", "repaired", *quality.DIMENSIONS, F.size("messages").alias("n_messages"), "endpoint_ids")
-
-
 @query(
     "embed_texts",
     """WITH w AS (SELECT CAST(p_partkey AS VARCHAR) AS id, CAST('0x' || substr(md5(unnest(string_split(lower(p_name), ' '))), 1, 8) AS BIGINT) AS h FROM part), c AS (SELECT id, h // 2 % 16 AS pos, sum(1 - 2 * (h % 2)) AS v FROM w GROUP BY 1, 2)
@@ -849,4 +843,4 @@ def _(spark, d):
     return made.select("id", F.posexplode("embedding").alias("pos", "v")).where("v <> 0").withColumn("v", F.round(F.col("v").cast("double"), 4))
 
 
-from . import catalog_records, catalog_scale  # noqa: E402, F401 - register more queries with query()
+from . import catalog_generation, catalog_records, catalog_scale  # noqa: E402, F401 - register more queries with query()

@@ -34,6 +34,16 @@ def _delete(jvm, conf, path: str) -> None:
     place.getFileSystem(conf).delete(place, True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a path, if it is there."""
+    _delete(spark._jvm, spark._jsc.hadoopConfiguration(), path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _leave(jvm, conf, folder: str) -> None:
     with contextlib.suppress(Exception):  # the JVM may be gone
         _delete(jvm, conf, folder)
@@ -59,8 +69,7 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Deletes what stored() wrote for df."""
-    spark = df.sparkSession
-    _delete(spark._jvm, spark._jsc.hadoopConfiguration(), df.stored_path)
+    delete(df.sparkSession, df.stored_path)
 
 
 def bucketed(df: DataFrame, keys: list[str], buckets: int | None = None, name: str = "t") -> DataFrame:
