@@ -9,7 +9,7 @@ after the last round in its folder.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,27 +35,30 @@ class Waiting(Exception):
 
 
 class Replay:
-    """A model that gives the answers on record, in their order, failures included."""
+    """A model that gives the answers on record, in their order, failures included; then it asks, up to `more` times, and keeps what it hears."""
 
-    def __init__(self, answers: list[dict]):
-        self.left = iter(answers)
+    def __init__(self, answers: list[dict], ask: Callable[[str], dict] | None = None, more: int = 0):
+        self.answers, self.at, self.ask, self.most = list(answers), 0, ask, len(answers) + more
 
     def complete(self, prompt: str) -> str:
-        answer = next(self.left, None)
-        if answer is None:
+        if self.at == self.most:
             raise Waiting(prompt)
+        if self.at == len(self.answers):
+            self.answers.append(self.ask(prompt) | {"prompt_hash": hashlib.md5(prompt.encode()).hexdigest()})
+        answer = self.answers[self.at]
+        self.at += 1
         if answer["error"] is not None:
             raise ModelError(answer["error"])
         return answer["text"]
 
 
-def _onward(row: dict, threshold: float, turns: int) -> dict:
-    """The row with what is asked next, or with its result."""
+def _onward(row: dict, model: Replay, threshold: float, turns: int) -> dict:
+    """The row with its new answers, and with what is asked next or its result."""
     try:
-        made = generate_one(Replay(row["answers"]), row["conv"], row["attempts"] or [], threshold, turns=turns)
+        made = {"prompt": None, "result": generate_one(model, row["conv"], row["attempts"] or [], threshold, turns=turns)}
     except Waiting as w:
-        return row | {"prompt": w.prompt, "result": None}
-    return row | {"prompt": None, "result": made}
+        made = {"prompt": w.prompt, "result": None}
+    return row | made | {"answers": model.answers}
 
 
 def _mapped(rows: DataFrame, one, window: int) -> DataFrame:
@@ -106,13 +109,8 @@ def generate(chains: DataFrame, model: Model, path: str, threshold: float = 6.0,
 
     def one(row: dict) -> dict:
         content = row.pop("content", None)
-        for _ in range(most):
-            answer = ask(row["prompt"]) if content is None else {"text": content, "error": None}
-            answer["prompt_hash"] = hashlib.md5(row["prompt"].encode()).hexdigest()
-            row = _onward(row | {"answers": [*row["answers"], answer]}, threshold, turns)
-            if row["result"] is not None:
-                break
-        return row
+        heard = ask if content is None else lambda prompt: {"text": content, "error": None}
+        return _onward(row, Replay(row["answers"], heard, most), threshold, turns)
 
     k = _last(spark, path)
     if k is None:
@@ -120,7 +118,7 @@ def generate(chains: DataFrame, model: Model, path: str, threshold: float = 6.0,
         # Dealt by conversation once: later rounds read the parts that the one before wrote.
         dealt = chains.select(F.col("conv").cast("string"), "attempts").repartition(parts or spark.sparkContext.defaultParallelism, "conv")
         first = dealt.withColumn("answers", F.array().cast("array<struct<prompt_hash:string,text:string,error:string>>"))
-        _write(_mapped(first, lambda row: _onward(row, threshold, turns), 1), path, k)
+        _write(_mapped(first, lambda row: _onward(row, Replay([]), threshold, turns), 1), path, k)
     while not (open_ := _at(spark, path, 0, k)).isEmpty():
         open_ = open_.select("conv", "attempts", "answers", "prompt")
         if known is not None:
