@@ -16,19 +16,19 @@ DEFAULTS = {
 
 
 def _filled(text: str) -> str:
-    """The text with the values of its variables; what is no variable stays."""
-    head, *rest = text.split("${")
-    out = [head]
-    for part in rest:
-        inner, closed, after = part.partition("}")
-        name, given, default = inner.partition(":-")
-        if not closed or not name or ":" in name:
-            out.append("${" + part)
+    """The text with the values of its variables; what is no variable stays. A default ends at the first brace, so none is nested."""
+    out, at = [], 0
+    while (start := text.find("${", at)) >= 0 and (end := text.find("}", start)) >= 0:
+        name, given, default = text[start + 2 : end].partition(":-")
+        if not name or ":" in name:
+            out.append(text[at : start + 2])
+            at = start + 2
             continue
         if name not in os.environ and not given:
             raise ValueError(f"the environment has no {name}, and no default is given")
-        out += [os.environ.get(name, default), after]
-    return "".join(out)
+        out += [text[at:start], os.environ.get(name, default)]
+        at = end + 1
+    return "".join(out) + text[at:]
 
 
 def expand(value):

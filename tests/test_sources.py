@@ -102,6 +102,12 @@ def test_cache(spark):
     assert cache.recent(entries, 0).count() == 0 and len(cache.by_shard(entries).first()["shard"]) == 2
 
 
+def test_defaults_of_variables_end_at_the_first_brace(monkeypatch):
+    monkeypatch.setenv("HERE", "v")
+    given = ["${HERE}", "a${GONE:-d}b", "${GONE:-${HERE}}", "${HERE:-${GONE}}", "${", "${}", "x${HERE", "${GONE:x}${HERE}", "${GONE:-}"]
+    assert config.expand(given) == ["v", "adb", "${HERE}", "v}", "${", "${}", "x${HERE", "${GONE:x}v", ""]
+
+
 def test_config(tmp_path, monkeypatch):
     monkeypatch.setenv("CONVOLAKE_T", "0.5")
     (tmp_path / "c.yaml").write_text("similarity: {threshold: '${CONVOLAKE_T}', fast: '${NO_SUCH:-true}'}\n")
