@@ -315,8 +315,11 @@ def query(spark, sf_dir: str) -> DataFrame:
     def joined(column: str):
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
-    return found.select(F.col("id").alias("doc_id"), *count, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    def count(k: int):
+        # Lambdas of one argument: to Spark a second one, even with a default, is the element's position.
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    return found.select(F.col("id").alias("doc_id"), *[count(k) for k in range(len(KINDS))], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
 def mask(docs: DataFrame) -> DataFrame:

@@ -153,3 +153,10 @@ print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024)
 """
     out = subprocess.run([sys.executable, "-c", run], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), check=True)
     assert float(out.stdout.split()[-1]) < 500
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    rows = [(1, "1.2.3.4"), (2, "+1 234 567 8901 and 5.6.7.8"), (3, "a@b.co c@d.org 4111 1111 1111 1111"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) for r in op1.query(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 1, 0, 0), 2: (0, 1, 0, 1), 3: (2, 0, 1, 0), 4: (0, 0, 0, 0)}
