@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import contextlib
 import datetime
-from collections import Counter
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import tracked
-from ..storage import new_path
+from ..storage import delete, new_path
 
 
 def read_events(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
@@ -52,75 +49,54 @@ def new_patterns(events: DataFrame, late: str = "1 hour", keys: tuple[str, ...]
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(list(keys))
 
 
-FINISHED = f"conv string, calls {tracked.CALLS}, ended timestamp"
-
-
-class Conversations(StatefulProcessor):
-    """Gathers a conversation's calls, in whatever order they come; it ends when event time is `gap` beyond its last one.
+def track(calls: DataFrame, state: tracked.StateTable, gap: datetime.timedelta, late: str = "1 hour", marks: str | None = None) -> None:
+    """Runs a stream of calls(conv, tool, domain, ts) to its end; each micro-batch adds its finished conversations to the state as the next version.
 
-    State by conversation: how often each (tool, domain) was called, and the time of its last call. The timer moves with
-    that time. What has ended is given once, and its state goes.
+    A conversation's calls may come in any order; it ends when event time is `gap` beyond its last one. Calls later than
+    `late` behind the latest of the batches before are dropped.
     """
+    held = OpenConversations(calls.sparkSession, f"{state.path}/open", gap, late)
+    rows = calls.select("conv", F.col("tool").cast("string").alias("tool"), F.col("domain").cast("string").alias("domain"), "ts")
+    run_to_end(rows, lambda c: c, each=lambda batch, k: state.commit(k, tracked.contributions(held.ended(k, batch))), marks=marks)
 
-    def __init__(self, gap: datetime.timedelta):
-        self.gap = gap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.calls = handle.getMapState("calls", "tool string, domain string", "n long")
-        self.last = handle.getValueState("last", "ms long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        new, latest = Counter(), None
-        for row in rows:
-            new[row["tool"], row["domain"]] += 1
-            latest = row["ts"] if latest is None else max(latest, row["ts"])
-        if key[0] is None:  # the marker of an ended stream, or calls of no conversation
-            return iter([])
-        for call, n in new.items():
-            self.calls.updateValue(call, ((self.calls.getValue(call)[0] if self.calls.containsKey(call) else 0) + n,))
-        ms, before = int(latest.timestamp() * 1000), self.last.get()[0] if self.last.exists() else None
-        if before is None or ms > before:
-            gap = int(self.gap.total_seconds() * 1000)
-            if before is not None:
-                self.handle.deleteTimer(before + gap)
-            self.handle.registerTimer(ms + gap)
-            self.last.update((ms,))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        calls = sorted(((*call, n[0]) for call, n in self.calls.iterator()), key=str)
-        ended = datetime.datetime.fromtimestamp(self.last.get()[0] / 1000)
-        self.calls.clear()
-        self.last.clear()
-        yield Row(conv=key[0], calls=[Row(tool=t, domain=d, n=n) for t, d, n in calls], ended=ended)
-
-    def close(self) -> None:
-        pass
-
-
-def finished_conversations(calls: DataFrame, gap: datetime.timedelta, late: str = "1 hour") -> DataFrame:
-    """(conv, calls, ended) of a stream calls(conv, tool, domain, ts), as conversations end; calls later than `late` behind the watermark are dropped."""
-    rows = calls.select("conv", F.col("tool").cast("string").alias("tool"), F.col("domain").cast("string").alias("domain"), "ts").withWatermark("ts", late)
-    return rows.groupBy("conv").transformWithState(Conversations(gap), outputStructType=FINISHED, outputMode="append", timeMode="eventTime")
 
+class OpenConversations:
+    """Conversations that have not ended, as a table a micro-batch: (conv, calls, last), last in microseconds.
 
-def track(calls: DataFrame, state: tracked.StateTable, gap: datetime.timedelta, late: str = "1 hour", marks: str | None = None) -> None:
-    """Runs a stream of calls to its end; each micro-batch adds its finished conversations to the state as the next version."""
-    with rocks_states(calls.sparkSession):
-        run_to_end(calls, lambda c: finished_conversations(c, gap, late), each=lambda batch, k: state.commit(k, tracked.contributions(batch)), marks=marks)
-
-
-@contextlib.contextmanager
-def rocks_states(spark: SparkSession):
-    """Typed states and timers need the RocksDB state store; the session's own setting comes back afterwards."""
-    key, held = "spark.sql.streaming.stateStore.providerClass", None
-    held = spark.conf.get(key, None)
-    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, held) if held else spark.conf.unset(key)
+    Version k adds batch k to what version k - 1 left open, so a batch that is run again replaces its own version. Only
+    grouping and files are used; no state is asked for key by key.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, gap: datetime.timedelta, late: str):
+        self.spark, self.path, self.gap, self.late = spark, path, gap // datetime.timedelta(microseconds=1), late
+
+    def _mark(self, version: int) -> int | None:
+        """The watermark after a version, in microseconds."""
+        return self.spark.read.schema("mark long").parquet(f"{self.path}/marks/{version}").first()["mark"] if version >= 0 else None
+
+    def _over(self, mark: int | None) -> Column:
+        return F.lit(False) if mark is None else F.coalesce(F.col("last") + self.gap < mark, F.lit(True))
+
+    def _read(self, batch: DataFrame, version: int) -> DataFrame:
+        schema = f"conv {batch.schema['conv'].dataType.simpleString()}, calls {tracked.CALLS}, last long"
+        return batch.sparkSession.read.schema(schema).parquet(f"{self.path}/held/{version}")
+
+    def ended(self, version: int, batch: DataFrame) -> DataFrame:
+        """(conv, calls) of the conversations that end with this batch."""
+        before = self._mark(version - 1)
+        rows = batch.where("conv is not null").select("conv", "tool", "domain", F.lit(1).cast("long").alias("n"), F.unix_micros("ts").alias("last"))
+        if before is not None:
+            rows = rows.where(F.coalesce(F.col("last") > before, F.lit(True)))
+        if version:
+            rows = rows.unionByName(self._read(batch, version - 1).where(~self._over(before)).select("conv", F.inline("calls"), "last"))
+        each = rows.repartition("conv").groupBy("conv", "tool", "domain").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        held = each.groupBy("conv").agg(F.collect_list(F.struct("tool", "domain", "n")).alias("calls"), F.max("last").alias("last"))
+        held.write.mode("overwrite").parquet(f"{self.path}/held/{version}")
+        latest = batch.agg(F.unix_micros(F.max("ts") - F.expr(f"interval {self.late}")).alias("mark"))
+        latest.select(F.greatest("mark", F.lit(before)).cast("long").alias("mark")).write.mode("overwrite").parquet(f"{self.path}/marks/{version}")
+        # A batch that is run again needs the version before it only.
+        delete(self.spark, f"{self.path}/held/{version - 2}")
+        return self._read(batch, version).where(self._over(self._mark(version))).select("conv", "calls")
 
 
 #: When the last marker of an ended stream stands; no event may be later.

@@ -110,6 +110,19 @@ def test_tracker_out_of_order_and_restarted(spark):
     assert early is not None and 0 < early["n"] < 60
 
 
+def test_tracker_keeps_no_state_a_key(spark):
+    path, rows = calls(spark)
+    query, state = [], tracked.StateTable(spark, new_path(spark, "state"))
+
+    class Seen(tracked.StateTable):
+        def commit(self, version, part):
+            super().commit(version, part)
+            query.append(part._jdf.queryExecution().toString())
+
+    tracker.track(tracker.read_events(spark, path, files=1), Seen(spark, state.path), GAP, late="6 hours")
+    assert query and not any("TransformWithState" in q for q in query)
+
+
 def test_steering_replays_change_nothing(spark):
     endpoints = spark.createDataFrame([(f"e{k}", f"t{k % 7}", f"d{k % 3}", 0.9) for k in range(40)], "id string, tool_id string, domain string, completeness_score double")
     registry = endpoints.select(F.col("id").alias("endpoint"), F.col("tool_id").alias("tool"), "domain")
