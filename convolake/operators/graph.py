@@ -173,6 +173,9 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None,
     to the goal): ways of one length that end alike compare by where they came from, so the smallest way to a node extends
     the smallest way to one before it. Where fronts meet, the smallest of the joined ways is the path. Pairs that have met,
     or whose front is dry on one side, are not followed any further. A start that is its goal is its own path.
+
+    Where growing both fronts would make more rows than there are edges (hubs), fronts are first asked for neighbours in
+    common (_between()): many pairs share a hub, so this is done for its edges once, and not for each pair.
     """
     pairs = stored(pairs.select(*_PAIR).distinct().where("start is not null and goal is not null"), "pairs")
     near = index or Adjacency(edges, types)
@@ -180,7 +183,19 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None,
     sides = [[stored(apart.select(*_PAIR, F.col(end).alias("node"), F.array(end).alias("way")), "front")] for end in _PAIR]
     ended = [pairs.where("start = goal").select(*_PAIR, F.array("start").alias("path"))]
     alive, n_alive, sizes, steps = None, apart.count(), [1, 1], 0
+    degrees = stored(near.near.groupBy("node").agg(F.count("*").alias("degree")), "degrees")
+    n_near = degrees.agg(F.sum("degree")).first()[0] or 0
     while all(sizes) and (most is None or steps < most):
+        if most is None or steps + 2 <= most:
+            fronts = [side[-1].select(*_PAIR, "node", "way") for side in sides]
+            fronts = fronts if alive is None else [f.join(alive, _PAIR, "left_semi") for f in fronts]
+            met = _between(near, degrees, n_near, *fronts)
+            if met is not None:
+                ended.append(met)
+                alive = stored(fronts[0].select(*_PAIR).distinct().join(met, _PAIR, "left_anti"), "alive")
+                n_alive = alive.count()
+                if not n_alive:
+                    break
         k, steps = 0 if sizes[0] <= sizes[1] else 1, steps + 1
         front = sides[k][-1].select(*_PAIR, "node", "way")
         grown = near.step(front if alive is None else front.join(alive, _PAIR, "left_semi"))
@@ -203,6 +218,7 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None,
             alive = alive.join(ended[-1], _PAIR, "left_anti")
             alive = stored(alive, "alive")
             sizes[k], n_alive = new.join(alive, _PAIR, "left_semi").count(), alive.count()
+    drop_stored(degrees)
     if index is None:
         near.drop()
     out = ended[0]
@@ -211,6 +227,30 @@ def shortest_paths(edges: DataFrame, pairs: DataFrame, most: int | None = None,
     return out.select(*_PAIR, (F.size("path") - 1).alias("length"), "path")
 
 
+def _between(near: Adjacency, degrees: DataFrame, n_near: int, start: DataFrame, goal: DataFrame) -> DataFrame | None:
+    """(start, goal, path): the smallest shortest paths of pairs whose fronts are one or two steps apart; None where growing the fronts costs less.
+
+    Fronts have (start, goal, node, way). Between two nodes only the smallest of their common neighbours counts.
+    """
+    grown = start.select("node").unionByName(goal.select("node")).join(degrees, "node").agg(F.sum("degree")).first()[0] or 0
+    if grown <= n_near:
+        return None
+    ends = start.select(*_PAIR, F.col("node").alias("u"), "way").join(goal.select(*_PAIR, F.col("node").alias("v"), F.col("way").alias("rest")), _PAIR)
+    mine, theirs = (f.select(F.col("node").alias(name)).distinct() for f, name in ((start, "u"), (goal, "v")))
+    out = near.near.select(F.col("node").alias("u"), F.col("other").alias("w")).join(mine, "u")
+    back = near.near.select(F.col("node").alias("w"), F.col("other").alias("v")).join(theirs, "v")
+    met = lambda side: side.groupBy("w").agg(F.count("*").alias("n"))
+    ways = met(out).join(met(back).withColumnRenamed("n", "m"), "w").agg(F.sum(F.col("n") * F.col("m"))).first()[0] or 0
+    if ways > grown or start.groupBy(*_PAIR).count().join(goal.groupBy(*_PAIR).agg(F.count("*").alias("m")), _PAIR).agg(F.sum(F.col("count") * F.col("m"))).first()[0] > grown:
+        return None
+    first = lambda found, path: found.groupBy(*_PAIR).agg(F.min(path).alias("path"))
+    one = stored(first(ends.join(near.near.select(F.col("node").alias("u"), F.col("other").alias("v")), ["u", "v"]), F.concat("way", "rest")), "met")
+    apart = ends.join(one, _PAIR, "left_anti")
+    between = out.join(back, "w").groupBy("u", "v").agg(F.min("w").alias("w"))
+    two = stored(first(apart.join(between, ["u", "v"]), F.concat("way", F.array("w"), "rest")), "met")
+    return one.unionByName(two)
+
+
 def shortest_path(edges: DataFrame, start: str, goal: str, most: int | None = None) -> list[str] | None:
     """G10 of one pair; None without a path (of `most` steps, if given)."""
     if start == goal:

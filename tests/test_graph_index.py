@@ -47,6 +47,17 @@ def test_paths_of_many_pairs(spark, seed):
     assert got["x00", "x12"][0] == 12 and ("x00", "n01") not in got
 
 
+def test_pairs_that_share_hubs_meet_without_growing_them(spark, monkeypatch):
+    pairs = [(f"e{k:03}", x) for k in range(200) for x in (f"t{k % 4}", f"d{k % 5}")] + [("t0", "far"), ("far", "farther"), ("y0", "y1")]
+    asked = [(f"e{k:03}", f"e{(k * 7 + 3) % 200:03}") for k in range(40)] + [("e001", "farther"), ("farther", "e002"), ("t0", "d1"), ("e001", "y1")]
+    met, between = [], graph._between
+    monkeypatch.setattr(graph, "_between", lambda *x: met.append(between(*x)) or met[-1])
+    want = {(a, b): p for a, b in asked if (p := plainly(pairs, a, b)) is not None}
+    got = {(r["start"], r["goal"]): list(r["path"]) for r in graph.shortest_paths(edges_of(spark, pairs), spark.createDataFrame(asked, "start string, goal string")).collect()}
+    assert got == want
+    assert sum(m.count() for m in met if m is not None) >= 30
+
+
 def test_paths_up_to_a_length_and_of_nothing(spark):
     edges = edges_of(spark, [(f"x{k}", f"x{k + 1}") for k in range(6)])
     asked = spark.createDataFrame([("x0", "x6"), ("x0", "x3")], "start string, goal string")
