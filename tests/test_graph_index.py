@@ -120,3 +120,15 @@ def test_walks_do_not_send_edges(spark, no_broadcast):
     plan = walks._jdf.queryExecution().executedPlan().toString()
     assert plan.count("numbered") >= 3 and "Bucketed: true" in plan
     assert all(len(r["path"]) == 4 for r in walks.collect())
+
+
+def test_subgraph_makes_only_its_domains_pairs(spark, monkeypatch):
+    endpoints = spark.createDataFrame([(f"e{k:02}", f"t{k % 3}", f"n{k}", f"d{k % 4}") for k in range(40)], "id string, tool_id string, name string, domain string")
+    tools = endpoints.select(F.col("tool_id").alias("id"), F.col("tool_id").alias("name")).distinct()
+    nodes, edges = graph.build_nodes(tools, endpoints), graph.build_edges(endpoints)
+    rows = lambda t: sorted((r["src"], r["dst"], r["type"]) for r in t.collect())
+    want = rows(graph.subgraph(nodes, edges.unionByName(graph.same_domain_edges(endpoints)), ["d1", "d2"])[1])
+    made, plain = [], graph.same_domain_edges
+    monkeypatch.setattr(graph, "same_domain_edges", lambda e: made.append(e.count()) or plain(e))
+    assert rows(graph.domain_subgraph(nodes, edges, endpoints, ["d1", "d2"])[1]) == want and len(want) == 90
+    assert made == [20]
