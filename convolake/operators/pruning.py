@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..storage import stored
 from . import cells
-from .similarity import TINY, block_pairs
+from .similarity import TINY, block_pairs, blocks_a_group, component
 
 #: Angles to pivots are cut into so many bins.
 BINS = 1024
@@ -57,14 +57,15 @@ def pruned_pairs(vectors: DataFrame, threshold: float, rows: int = 2048, pivots:
 
     Up to `pivots` directions are fitted on a bounded sample. A vector is dealt to its nearest pivot and, there, by its
     angle to it; neighbouring bins of angles are one block of up to `rows` vectors, and a fuller bin is cut by a hash of
-    the id. Only vectors of blocks that must meet are sent, once for each such pair of blocks. Blocks grow with the table
+    the id. Only vectors of blocks that must meet are sent, once for each group of neighbouring blocks. Blocks grow with the table
     beyond `most` of them (plus two for each pivot), so what the driver knows, a row of angles a block, stays bounded.
 
     Vectors have one size. Null vectors pair with nothing, as do zero vectors; the threshold is above 0.
     """
     if not threshold > 0:
         raise ValueError("the threshold must be above 0")
-    own = stored(vectors.where("embedding is not null").select("id", F.col("embedding").cast("array<double>").alias("v")).where(cells.usable(F.col("v"))), "vectors")
+    number = component(vectors)
+    own = stored(vectors.where("embedding is not null").select("id", F.col("embedding").cast(f"array<{number}>").alias("v")).where(cells.usable(F.col("v"))), "vectors")
     total = own.count()
     kind = vectors.schema["id"].dataType.simpleString()
     if not total:
@@ -87,7 +88,7 @@ def pruned_pairs(vectors: DataFrame, threshold: float, rows: int = 2048, pivots:
                 bin_ = np.minimum((angle[np.arange(len(cell)), cell] / math.pi * BINS).astype(np.int32), BINS - 1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell.astype(np.int32)), pa.array(bin_)], ["id", "v", "cell", "bin"])
 
-    placed = stored(own.mapInArrow(dealt, f"id {kind}, v array<double>, cell int, bin int"), "placed")
+    placed = stored(own.mapInArrow(dealt, f"id {kind}, v array<{number}>, cell int, bin int"), "placed")
 
     def spans(batches):
         # A bin's own interval in this batch; bins are few, so these rows add up before they are sent.
@@ -110,20 +111,29 @@ def pruned_pairs(vectors: DataFrame, threshold: float, rows: int = 2048, pivots:
     # A little slack for rounding: comparing more is always right.
     meeting = blocks.meeting(math.acos(min(1.0, threshold)) + 1e-7)
 
+    # Neighbouring blocks are sent together; a vector goes to each group in which a block meets its own.
+    meets = np.zeros((len(meeting), len(meeting)), bool)
+    for k, m in enumerate(meeting):
+        meets[k, m] = True
+    per = blocks_a_group(len(meeting), rows, size)
+    groups = [np.unique(m // per) for m in meeting]
+
     def sent(batches):
         for batch in batches:
             ids = np.arange(batch.num_rows)
             at = [blocks.of[c, b] for c, b in zip(batch.column("cell").to_pylist(), batch.column("bin").to_pylist())]
             block = np.array([first + int(h) % parts for (first, parts), h in zip(at, batch.column("hash").to_pylist())], np.int32)
-            others = [meeting[b] for b in block]
+            others = [groups[b] for b in block]
             again = np.repeat(ids, [len(o) for o in others])
             other = np.concatenate(others).astype(np.int32) if others else np.empty(0, np.int32)
-            own_ = block[again]
+            block = block[again]
+            own_ = block // per
             for k in range(0, len(again), 4096):
                 pick = slice(k, k + 4096)
                 part = batch.take(pa.array(again[pick]))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(own_[pick]), pa.array(np.minimum(own_, other)[pick]), pa.array(np.maximum(own_, other)[pick])], ["id", "v", "own", "i", "j"])
+                numbers = [block, own_, np.minimum(own_, other), np.maximum(own_, other)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.nulls(part.num_rows, pa.string()), *(pa.array(x[pick].astype(np.int32)) for x in numbers)], ["id", "v", "domain", "block", "own", "i", "j"])
 
-    rows_ = placed.withColumn("hash", F.pmod(F.xxhash64("id"), F.lit(2**31))).mapInArrow(sent, f"id {kind}, v array<double>, own int, i int, j int")
+    rows_ = placed.withColumn("hash", F.pmod(F.xxhash64("id"), F.lit(2**31))).mapInArrow(sent, f"id {kind}, v array<{number}>, domain string, block int, own int, i int, j int")
     compared = sum(int((m >= k).sum()) for k, m in enumerate(meeting))
-    return block_pairs(rows_, threshold, kind), compared, len(meeting) * (len(meeting) + 1) // 2
+    return block_pairs(rows_, threshold, kind, meets).select("a", "b", "score"), compared, len(meeting) * (len(meeting) + 1) // 2

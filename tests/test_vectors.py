@@ -38,6 +38,22 @@ def test_pruned_pairs(spark, kind):
     print(kind, compared, "of", blocks, "pairs of blocks")
 
 
+def test_vectors_are_sent_by_groups_of_blocks(spark, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(700, 12)).astype(np.float32)
+    rows = spark.createDataFrame([(k, v.tolist(), k % 3) for k, v in enumerate(x)], "id long, embedding array<float>, domain int")
+    sent, plain = [], similarity.block_pairs
+    monkeypatch.setattr(similarity, "block_pairs", lambda dealt, *a, **k: sent.append((dealt.count(), dict(dealt.dtypes)["v"])) or plain(dealt, *a, **k))
+    got = similarity.cosine_pairs(rows, 0.5, rows=7).collect()
+    assert sent == [(sent[0][0], "array<float>")] and sent[0][0] <= 16 * 700  # not once for each of the 100 blocks
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    want = {(a, b) for a, b in zip(*np.nonzero(np.triu(u @ u.T, 1) >= 0.5))}
+    assert {(r["a"], r["b"]) for r in got} == want and len(got) == len(want)
+    few = similarity.cosine_pairs(rows, 0.5, rows=7, first=2)
+    assert few.count() < len(got)
+    top = lambda p: {(r["a"], r["b"]) for r in similarity.greedy_top_k(p, 2).collect()}
+    assert top(few) == top(spark.createDataFrame(got))
+
+
 def test_pruned_pairs_of_nothing(spark):
     rows = frame(spark, clustered(5))
     assert pruning.pruned_pairs(rows.limit(0), 0.5)[0].count() == 0
