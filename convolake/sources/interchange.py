@@ -102,8 +102,15 @@ def write_graph_json(nodes: DataFrame, edges: DataFrame, path: str, links: str =
     _assemble(nodes.sparkSession, path, [head, nodes.select(line), f'], "{links}": [\n', edges.select(line), "]}\n"], compressed)
 
 
-def read_graph_json(spark: SparkSession, path: str, links: str = "edges") -> tuple[DataFrame, DataFrame]:
-    """S16 and S17."""
+def read_graph_json(spark: SparkSession, path: str, links: str = "edges", lined: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S16 and S17. A document with an element a line, as write_graph_json() leaves it, can be read in parts (lined)."""
+    if lined:
+        line = spark.read.text(path).select(F.ltrim(F.col("value"), F.lit(",")).alias("line"))
+
+        def part(schema: str, key: str) -> DataFrame:
+            return line.select(F.from_json("line", schema).alias("e")).where(F.col(f"e.{key}").isNotNull()).select("e.*")
+
+        return part(graph.NODES, "id"), part(graph.EDGES, "src")
     doc = spark.read.schema(f"nodes array<struct<{_typed(graph.NODES)}>>, {links} array<struct<{_typed(graph.EDGES)}>>").json(path, multiLine=True)
     return doc.select(F.inline("nodes")), doc.select(F.inline(links))
 
@@ -113,7 +120,7 @@ def _typed(schema: str) -> str:
 
 
 def _escaped(x: Column, attribute: bool = False) -> Column:
-    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *((('"', "&quot;"), ("\n", "&#10;"), ("\t", "&#9;")) if attribute else ()), ("\r", "&#13;")):
+    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *((('"', "&quot;"), ("\t", "&#9;")) if attribute else ()), ("\n", "&#10;"), ("\r", "&#13;")):
         x = F.replace(x, F.lit(plain), F.lit(coded))
     return x
 
@@ -130,11 +137,15 @@ def write_graphml(nodes: DataFrame, edges: DataFrame, path: str, compressed: boo
     _assemble(nodes.sparkSession, path, [head, *keys, '<graph edgedefault="directed">\n', *lines, "</graph>\n</graphml>\n"], compressed)
 
 
-def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """S15, by Spark's own XML reader."""
+def read_graphml(spark: SparkSession, path: str, lined: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S15, by Spark's own XML reader. A document with an element a line, as write_graphml() leaves it, can be read in parts (lined)."""
+    data = "data array<struct<_VALUE:string,_key:string>>"
 
     def part(kind: str, schema: str) -> DataFrame:
-        rows = spark.read.schema("data array<struct<_VALUE:string,_key:string>>").option("rowTag", kind).xml(path)
+        if lined:
+            rows = spark.read.text(path).where(F.ltrim("value").startswith(f"<{kind} ")).select(F.from_xml("value", data).alias("e")).select("e.data")
+        else:
+            rows = spark.read.schema(data).option("rowTag", kind).xml(path)
         values = F.map_from_entries(F.transform("data", lambda d: F.struct(F.substring(d["_key"], 6, 1000), d["_VALUE"])))
         return rows.select(values.alias("m")).select(*[F.element_at("m", c).cast(t).alias(c) for c, t in (p.split() for p in schema.split(","))])
 

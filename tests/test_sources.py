@@ -266,3 +266,21 @@ def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError, match="checkpoint"):
         storage.shared_dir(session("spark://host:7077"))
     assert storage.shared_dir(session("local[2]")).startswith("file:/")
+
+
+def test_graph_documents_are_read_in_parts(spark, tmp_path):
+    said = ["plain", 'a "b" <c> & d', "two\nlines", "tab\there", ",comma", "] {\"id\": 1}"]
+    nodes = spark.createDataFrame([(f"n{k}\n{said[k % 6]}", "Endpoint", said[k % 6]) for k in range(300)], "id string, type string, name string")
+    nodes = graph._shape(nodes, graph.NODES)
+    edges = graph._shape(nodes.select(F.col("id").alias("src"), F.concat("id", F.lit("x")).alias("dst"), F.lit("IN_DOMAIN").alias("type"), F.lit(0.5).alias("weight")), graph.EDGES)
+    interchange.write_graph_json(nodes, edges, f"{tmp_path}/g.json", links="links")
+    interchange.write_graphml(nodes, edges, f"{tmp_path}/g.graphml")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        for n, e in (interchange.read_graph_json(spark, f"file://{tmp_path}/g.json", links="links", lined=True), interchange.read_graphml(spark, f"file://{tmp_path}/g.graphml", lined=True)):
+            assert n.rdd.getNumPartitions() > 1 and e.rdd.getNumPartitions() > 1
+            assert sorted(map(str, n.collect())) == sorted(map(str, nodes.collect()))
+            assert sorted(map(str, e.collect())) == sorted(map(str, edges.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
