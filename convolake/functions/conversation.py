@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
+from json.encoder import encode_basestring_ascii
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -212,9 +214,14 @@ def extract_values(data) -> dict[str, str]:
     return found
 
 
+@functools.lru_cache(4096)
+def _grounds(key: str) -> bool:
+    return any(w in key.lower() for w in GROUNDING_KEYS.split())
+
+
 def grounding_values(data) -> dict[str, str]:
     """P31. Scalars whose keys hold one of the known words, under their full path; lists are passed over."""
-    words, found, todo = GROUNDING_KEYS.split(), {}, [(data, "")]
+    found, todo = {}, [(data, "")]
     while todo:
         node, path = todo.pop()
         if not isinstance(node, dict):
@@ -223,7 +230,7 @@ def grounding_values(data) -> dict[str, str]:
         for key, value in node.items():
             if isinstance(value, dict):
                 inner.append((value, f"{path}{key}_"))
-            elif value is not None and not isinstance(value, list) and any(w in key.lower() for w in words):
+            elif value is not None and not isinstance(value, list) and _grounds(key):
                 found[path + key] = _as_text(value)
         todo += reversed(inner)
     return found
@@ -320,11 +327,21 @@ def output_of(contexts: DataFrame) -> DataFrame:
     )
 
 
+def _indented(value, end: str = "\n") -> str:
+    """json.dumps(value, indent=2), which is slow: with an indent it encodes piece by piece in Python."""
+    inner, text = end + "  ", encode_basestring_ascii
+    if type(value) is list and value:
+        return f"[{inner}{f',{inner}'.join([text(v) if type(v) is str else _indented(v, inner) for v in value])}{end}]"
+    if type(value) is dict and set(map(type, value)) == {str}:
+        return f"{{{inner}{f',{inner}'.join([f'{text(k)}: {text(v) if type(v) is str else _indented(v, inner)}' for k, v in value.items()])}{end}}}"
+    return json.dumps(value, indent=2).replace("\n", end)
+
+
 def repair_text(messages: list[dict], outputs: list[dict], scenario: dict | None) -> str:
     """A conversation as JSON for the prompt of a repair: calls and their ids only where there are some."""
     said = [{"role": m["role"], "content": m["content"], **{k: m[k] for k in ("tool_calls", "tool_call_id") if m.get(k)}} for m in messages]
     data = {"messages": said, "tool_outputs": [{k: o[k] for k in ("endpoint_id", "arguments", "result", "call_id")} for o in outputs], "scenario": scenario or {}}
-    return json.dumps(data, indent=2)
+    return _indented(data)
 
 
 def _parsed_list(text: Column, schema: str) -> Column:

@@ -17,9 +17,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values, repair_text, user_goal
 from ..functions.text import is_blank, parse_response_schema, parse_type
@@ -79,7 +83,7 @@ class FakeModel:
     fail_every: int = 0
 
     def _hash(self, text: str) -> int:
-        return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+        return int.from_bytes(hashlib.md5(text.encode()).digest()[:8]) >> 4  # the first 15 hexadecimal digits
 
     def complete(self, prompt: str) -> str:
         h = self._hash(prompt)
@@ -87,11 +91,11 @@ class FakeModel:
             raise ModelError("no answer")
         task, _, rest = prompt.partition("\n")
         if task == "JUDGE":
-            return json.dumps({d: self.least + (h >> 8 * k) % (11 - self.least) for k, d in enumerate(DIMENSIONS)})
+            return f"{{{', '.join([f'"{d}": {self.least + (h >> 8 * k) % (11 - self.least)}' for k, d in enumerate(DIMENSIONS)])}}}"
         if task == "TOOL":
-            return json.dumps({"status": "success", "id": f"{h % 10**8:08d}"})
+            return f'{{"status": "success", "id": "{h % 10**8:08d}"}}'
         if task == "SCENARIO":
-            return json.dumps({"description": f"scenario {h % 1000}", "user_goal": f"goal {h % 97}"})
+            return f'{{"description": "scenario {h % 1000}", "user_goal": "goal {h % 97}"}}'
         if task == "REPAIR":
             said = json.loads(rest.partition("\n")[2])["messages"]
             for m in [m for m in said if m["role"] == "assistant"][-1:]:
@@ -129,6 +133,9 @@ class Paced:
         return self.model.complete(prompt)
 
 
+_sorted = json.JSONEncoder(sort_keys=True).encode
+
+
 def in_flight(one, items, window: int) -> Iterator:
     """one(item) for each item, in order, up to `window` of them at a time; no more are taken in than that."""
     if window <= 1:
@@ -202,12 +209,19 @@ class Talk:
     outputs: list[dict] = field(default_factory=list)
     grounding: dict[str, str] = field(default_factory=dict)
     scenario: dict = field(default_factory=dict)
+    #: The history of the messages counted so far: messages are only added, so each is put into text once.
+    told: str = field(default="", repr=False, compare=False)
+    counted: int = field(default=0, repr=False, compare=False)
 
     def say(self, role: str, content: str | None, calls: list[dict] | None = None, call_id: str | None = None) -> None:
         self.messages.append({"role": role, "content": content, "tool_calls": calls, "tool_call_id": call_id})
 
     def history(self) -> str:
-        return "\n".join(f"{m['role']}: {m['content']}" for m in self.messages if m["content"])
+        new = [f"{m['role']}: {m['content']}" for m in self.messages[self.counted :] if m["content"]]
+        if new:
+            self.told = "\n".join([self.told, *new] if self.told else new)
+        self.counted = len(self.messages)
+        return self.told
 
 
 def plan(model: Model, talk: Talk) -> None:
@@ -226,7 +240,7 @@ def assistant_turn(model: Model, talk: Talk) -> None:
     step = len(talk.outputs)
     text = complete(model, f"ASSISTANT\nGoal: {talk.goal}\nStep {step}\n{talk.history()}")
     if step < len(talk.chain):
-        call = {"id": f"call_{talk.id}_{step}", "function": {"name": talk.chain[step], "arguments": json.dumps(talk.grounding, sort_keys=True)}}
+        call = {"id": f"call_{talk.id}_{step}", "function": {"name": talk.chain[step], "arguments": _sorted(talk.grounding)}}
         talk.say("assistant", text, [call])
     else:
         talk.say("assistant", text)
@@ -234,8 +248,13 @@ def assistant_turn(model: Model, talk: Talk) -> None:
 
 def tool_turn(model: Model, talk: Talk) -> bool:
     """Answers the first call that waits, and keeps values of the answer; whether there was one."""
-    answered = {m["tool_call_id"] for m in talk.messages if m["role"] == "tool"}
-    calls = next((m["tool_calls"] for m in reversed(talk.messages) if m["role"] == "assistant" and m["tool_calls"]), None) or []
+    answered, calls = set(), []
+    for m in reversed(talk.messages):  # answers come after their calls
+        if m["role"] == "tool":
+            answered.add(m["tool_call_id"])
+        elif m["role"] == "assistant" and m["tool_calls"]:
+            calls = m["tool_calls"]
+            break
     call = next((c for c in calls if c["id"] not in answered), None)
     if call is None:
         return False
@@ -244,9 +263,10 @@ def tool_turn(model: Model, talk: Talk) -> bool:
         result = complete_json(model, f"TOOL\n{name}({arguments})\nas call {call['id']}")
     except ModelError:
         result = {"status": "success", "id": f"{name}_{call['id'][-8:]}"}
-    talk.outputs.append({"endpoint_id": name, "arguments": arguments, "result": json.dumps(result), "call_id": call["id"], "success": True})
+    text = json.dumps(result)
+    talk.outputs.append({"endpoint_id": name, "arguments": arguments, "result": text, "call_id": call["id"], "success": True})
     talk.grounding.update(grounding_values(result))
-    talk.say("tool", json.dumps(result), call_id=call["id"])
+    talk.say("tool", text, call_id=call["id"])
     return True
 
 
@@ -287,22 +307,29 @@ def repair(model: Model, talk: Talk, scores: dict[str, int], least: float) -> Ta
 
 
 def converse(model: Model, talk: Talk, turns: int = 20) -> None:
-    """Until the chain is done, or after so many turns."""
-    plan(model, talk)
-    for _ in range(turns):
-        user_turn(model, talk)
-        assistant_turn(model, talk)
+    """Until the chain is done, or after so many turns. A talk that was left goes on after its last message."""
+    if not talk.goal:
+        plan(model, talk)
+    at, role = sum(m["role"] == "user" for m in talk.messages), talk.messages[-1]["role"] if talk.messages else "tool"
+    while role != "tool" or (at < turns and (at == 0 or len(talk.outputs) < len(talk.chain))):
+        if role == "tool":
+            user_turn(model, talk)
+            at += 1
+        if role != "assistant":
+            assistant_turn(model, talk)
         while tool_turn(model, talk):
             pass
-        if len(talk.outputs) >= len(talk.chain):
-            break
+        role = "tool"
+
 
+def generate_one(model: Model, id_: str, chains: list[list[str]], threshold: float = 6.0, least: float = 6.0, turns: int = 20, begun: Talk | None = None) -> dict:
+    """One attempt a chain: talk, judge, repair what is low, judge again; the first that passes counts.
 
-def generate_one(model: Model, id_: str, chains: list[list[str]], threshold: float = 6.0, least: float = 6.0, turns: int = 20) -> dict:
-    """One attempt a chain: talk, judge, repair what is low, judge again; the first that passes counts."""
+    The first attempt goes on with the talk that was begun, if there is one.
+    """
     error, last = None, None
     for attempt, chain in enumerate(chains, 1):
-        talk = Talk(f"{id_}-{attempt}", chain)
+        talk = begun if attempt == 1 and begun else Talk(f"{id_}-{attempt}", chain)
         try:
             converse(model, talk, turns)
             scores = judge(model, talk)
@@ -325,19 +352,64 @@ def _row(id_: str, success: bool, attempts: int, last, error: str | None) -> dic
     return {"conversation_id": talk.id, "success": success, "attempts": attempts, "repaired": repaired, "error": error, "messages": talk.messages, "tool_outputs": talk.outputs, **scores, "endpoint_ids": ids}
 
 
+#: Rows that a worker hands back at a time, so that what it holds doesn't grow with its part.
+ROWS = 200
+
+
+def _fitted(value, kind: pa.DataType):
+    """A value as its column can hold it: what a model gives in place of a text becomes one, in place of a list or an object nothing."""
+    if value is None or pa.types.is_string(kind):
+        return value if value is None or isinstance(value, str) else str(value)
+    if pa.types.is_list(kind):
+        return [_fitted(v, kind.value_type) for v in value] if isinstance(value, list) else None
+    if pa.types.is_struct(kind):
+        return {f.name: _fitted(value.get(f.name), f.type) for f in kind} if isinstance(value, dict) else None
+    return value
+
+
+def to_batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    try:
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
+    except (pa.ArrowInvalid, pa.ArrowTypeError):
+        return pa.RecordBatch.from_pylist([{f.name: _fitted(r.get(f.name), f.type) for f in schema} for r in rows], schema=schema)
+
+
+def _values(column: pa.Array) -> list:
+    """The column's values, made level by level: to_pylist makes an object of Arrow's for each on the way."""
+    kind = column.type
+    if pa.types.is_string(kind):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    if pa.types.is_list(kind):
+        held, ends = _values(column.flatten()), np.cumsum(column.value_lengths().fill_null(0)).tolist()
+        return [held[a:b] if there else None for a, b, there in zip([0, *ends], ends, column.is_valid().to_numpy(zero_copy_only=False))]
+    if pa.types.is_struct(kind) and not column.null_count:
+        names = [f.name for f in kind]
+        return [dict(zip(names, x)) for x in zip(*map(_values, column.flatten()))]
+    return column.to_pylist()
+
+
+def from_batch(batch: pa.RecordBatch) -> list[dict]:
+    """The batch's rows."""
+    return [dict(zip(batch.schema.names, x)) for x in zip(*map(_values, batch.columns))]
+
+
 def generate(chains: DataFrame, model: Model, threshold: float = 6.0, turns: int = 20, window: int = 1) -> DataFrame:
     """Results (RESULT) for chains(conv, attempts array<array<string>>).
 
     A worker has up to `window` conversations, and so requests, in flight; the model must then bear several threads.
     """
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [c.strip().split()[0] for c in ("conversation_id", "success", "attempts", "repaired", "error", "messages", "tool_outputs", *DIMENSIONS, "endpoint_ids")]
-        for part in parts:
-            rows = list(in_flight(lambda x: generate_one(model, str(x[0]), [list(c) for c in x[1]], threshold, turns=turns), zip(part["conv"], part["attempts"]), window))
-            yield pd.DataFrame(rows, columns=columns).astype({d: "Int64" for d in DIMENSIONS})
+    schema = to_arrow_schema(StructType.fromDDL(RESULT))
+
+    def one(row: dict) -> dict:
+        return generate_one(model, str(row["conv"]), row["attempts"] or [], threshold, turns=turns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                yield to_batch(list(in_flight(one, from_batch(batch.slice(k, ROWS)), window)), schema)
 
-    return chains.select(F.col("conv").cast("string"), "attempts").mapInPandas(run, RESULT)
+    return chains.select(F.col("conv").cast("string"), "attempts").mapInArrow(run, RESULT)
 
 
 def generate_steered(sample, model: Model, batches: int, **options) -> DataFrame:

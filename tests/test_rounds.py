@@ -83,3 +83,9 @@ def test_odd_chains(spark):
     assert set(found) == {"None-1", "n", "e", "t-1", "r-1"} and len(found["r-1"]) == 2
     assert not found["n"][0].success and found["n"][0].attempts == found["e"][0].attempts == 0
     assert rounds.generate(odd.limit(0), generation.FakeModel(), new_path(spark, "rounds")).count() == 0
+
+
+def test_odd_answers_become_texts_as_columns_want_them():
+    said = {"role": "user", "content": {"a": 1}, "tool_calls": [{"id": 7, "function": {"name": "f", "arguments": {"x": 2}}}, "no"], "tool_call_id": None}
+    schema = generation.pa.schema([("messages", generation.pa.list_(generation.pa.struct([("role", "string"), ("content", "string"), ("tool_calls", generation.pa.list_(generation.pa.struct([("id", "string"), ("function", generation.pa.struct([("arguments", "string")]))])))])))])
+    assert generation.to_batch([{"messages": [said]}], schema).to_pylist() == [{"messages": [{"role": "user", "content": "{'a': 1}", "tool_calls": [{"id": "7", "function": {"arguments": "{'x': 2}"}}, None]}]}]
