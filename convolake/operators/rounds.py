@@ -1,7 +1,8 @@
 """Conversations in rounds: the answers so far are a table, and each round asks what every open conversation needs next.
 
-A conversation is what generation.generate_one makes of its answers, so it can be taken up again from these alone: they are
-replayed, which costs microseconds where a request costs seconds, until it wants one more. A round is one committed table. A
+A conversation is what generation.generate_one makes of its answers, so it can be taken up again from these alone. The first
+attempt's talk is kept beside them, so that only answers which are not in it (scores, a repair, a second attempt) are
+replayed, until one more is wanted. A round is one committed table. A
 lost executor asks again what its tasks asked in that round, never whole conversations, and a run that has ended goes on
 after the last round in its folder.
 """
@@ -9,6 +10,7 @@ after the last round in its folder.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,12 +20,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..storage import delete, exists
-from .generation import RESULT, Model, ModelError, complete, generate_one, in_flight
+from .generation import RESULT, ROWS, Model, ModelError, Talk, complete, converse, from_batch, generate_one, in_flight, to_batch
 
-STATE = f"conv string, attempts array<array<string>>, answers array<struct<prompt_hash:string,text:string,error:string>>, prompt string, result struct<{RESULT}>"
-
-#: Rows that a worker hands back at a time, so that what it holds doesn't grow with its part.
-ROWS = 200
+STATE = f"conv string, attempts array<array<string>>, answers array<struct<prompt_hash:string,text:string,error:string>>, talk string, prompt string, result struct<{RESULT}>"
 
 
 class Waiting(Exception):
@@ -31,7 +30,7 @@ class Waiting(Exception):
 
     def __init__(self, prompt: str):
         super().__init__(prompt)
-        self.prompt = prompt
+        self.prompt, self.talk = prompt, None
 
 
 class Replay:
@@ -52,12 +51,37 @@ class Replay:
         return answer["text"]
 
 
+#: What of a talk is kept between rounds; the rest follows from the row.
+KEPT = ("goal", "scenario", "messages", "outputs", "grounding")
+
+
+def _begun(row: dict, model: Replay, turns: int) -> tuple[Talk | None, str | None]:
+    """The first attempt's talk, as far as the model answers, and how it is kept; neither, if it has failed."""
+    talk = Talk(f"{row['conv']}-1", row["attempts"][0])
+    if row["talk"] is not None:
+        model.at, *kept = json.loads(row["talk"])
+        for name, value in zip(KEPT, kept):
+            setattr(talk, name, value)
+    try:
+        converse(model, talk, turns)
+    except Waiting as w:
+        w.talk = json.dumps([model.at, *(getattr(talk, name) for name in KEPT)])
+        raise
+    except ModelError:
+        model.at = 0  # all is told again, so that the failure counts
+        return None, None
+    # While scores are waited for, the talk stays as it is.
+    return talk, json.dumps([model.at, *(getattr(talk, name) for name in KEPT)])
+
+
 def _onward(row: dict, model: Replay, threshold: float, turns: int) -> dict:
     """The row with its new answers, and with what is asked next or its result."""
+    kept = None
     try:
-        made = {"prompt": None, "result": generate_one(model, row["conv"], row["attempts"] or [], threshold, turns=turns)}
+        begun, kept = _begun(row, model, turns) if row["attempts"] else (None, None)
+        made = {"talk": None, "prompt": None, "result": generate_one(model, str(row["conv"]), row["attempts"] or [], threshold, turns=turns, begun=begun)}
     except Waiting as w:
-        made = {"prompt": w.prompt, "result": None}
+        made = {"talk": w.talk or kept, "prompt": w.prompt, "result": None}
     return row | made | {"answers": model.answers}
 
 
@@ -68,7 +92,7 @@ def _mapped(rows: DataFrame, one, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, ROWS):
-                yield pa.RecordBatch.from_pylist(list(in_flight(one, batch.slice(k, ROWS).to_pylist(), window)), schema=schema)
+                yield to_batch(list(in_flight(one, from_batch(batch.slice(k, ROWS)), window)), schema)
 
     return rows.mapInArrow(run, STATE)
 
@@ -117,10 +141,10 @@ def generate(chains: DataFrame, model: Model, path: str, threshold: float = 6.0,
         k = 0
         # Dealt by conversation once: later rounds read the parts that the one before wrote.
         dealt = chains.select(F.col("conv").cast("string"), "attempts").repartition(parts or spark.sparkContext.defaultParallelism, "conv")
-        first = dealt.withColumn("answers", F.array().cast("array<struct<prompt_hash:string,text:string,error:string>>"))
+        first = dealt.withColumn("answers", F.array().cast("array<struct<prompt_hash:string,text:string,error:string>>")).withColumn("talk", F.lit(None).cast("string"))
         _write(_mapped(first, lambda row: _onward(row, Replay([]), threshold, turns), 1), path, k)
     while not (open_ := _at(spark, path, 0, k)).isEmpty():
-        open_ = open_.select("conv", "attempts", "answers", "prompt")
+        open_ = open_.select("conv", "attempts", "answers", "talk", "prompt")
         if known is not None:
             answers = known.groupBy(F.col("prompt_hash").alias("_hash")).agg(F.min("content").alias("content"))
             open_ = open_.withColumn("_hash", F.md5("prompt")).join(answers, "_hash", "left").drop("_hash")

@@ -89,3 +89,16 @@ def test_odd_answers_become_texts_as_columns_want_them():
     said = {"role": "user", "content": {"a": 1}, "tool_calls": [{"id": 7, "function": {"name": "f", "arguments": {"x": 2}}}, "no"], "tool_call_id": None}
     schema = generation.pa.schema([("messages", generation.pa.list_(generation.pa.struct([("role", "string"), ("content", "string"), ("tool_calls", generation.pa.list_(generation.pa.struct([("id", "string"), ("function", generation.pa.struct([("arguments", "string")]))])))])))])
     assert generation.to_batch([{"messages": [said]}], schema).to_pylist() == [{"messages": [{"role": "user", "content": "{'a': 1}", "tool_calls": [{"id": "7", "function": {"arguments": "{'x': 2}"}}, None]}]}]
+
+
+def test_a_round_replays_no_talk(spark, chains, monkeypatch):
+    """Work of a round: what is in the talk isn't said again; it was, once a round."""
+    said, answers = Counter(), 0
+    model, row = generation.FakeModel(), {"conv": "9", "attempts": [[f"e{k}" for k in range(12)]], "answers": [], "talk": None}
+    say = generation.Talk.say
+    monkeypatch.setattr(generation.Talk, "say", lambda talk, role, *rest, **more: said.update([role]) or say(talk, role, *rest, **more))
+    while row.get("result") is None:
+        row = rounds._onward(row, rounds.Replay(row["answers"], lambda p: {"text": model.complete(p), "error": None}, 3), 6.0, 20)
+        answers += 1
+    assert answers > 12 and row["result"] == generation.generate_one(model, "9", row["attempts"])
+    assert said == {"user": 24, "assistant": 24, "tool": 24}  # twelve turns here, twelve in one go
