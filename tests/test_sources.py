@@ -284,3 +284,17 @@ def test_graph_documents_are_read_in_parts(spark, tmp_path):
             assert sorted(map(str, e.collect())) == sorted(map(str, edges.collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+
+
+def test_specifications_by_lines(spark, tmp_path):
+    """One file, a tool a line: ids, categories by folder and nameless tools as of a file each; and the query writes few files."""
+    (tmp_path / "my_films").mkdir()
+    docs = [{"id": "a", "name": "A", "api_list": [{"name": "x"}]}, {"tool_name": "B b", "endpoints": [{"name": "y", "parameters": {"p": {"type": "int"}}}]}, {"apis": []}, {"apis": [{"name": "\r\n"}]}, [1]]
+    (tmp_path / "my_films" / "all.json").write_text("\n".join(json.dumps(d) for d in docs) + "\nno json\n")
+    tools = specs.parse_tools(specs.scan_lines(spark, f"file://{tmp_path}")).collect()
+    assert len(tools) == 4 and {t["category"] for t in tools} == {"my films"} and {"A", "B b"} < {t["name"] for t in tools} and len({t["id"] for t in tools}) == 4
+    assert {e["name"] for e in specs.parse_endpoints(specs.parse_tools(specs.scan_lines(spark, f"file://{tmp_path}"))).collect()} == {"x", "y", "\r\n"}
+    from convolake import catalog_records
+
+    held = catalog_records._spec_files(spark, "/root/testdata/sf0.001")
+    assert held.count() > len(held.inputFiles())
