@@ -6,6 +6,8 @@ are not registered count nowhere but in their conversation.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,14 @@ def calls(chains: DataFrame, registry: DataFrame) -> DataFrame:
     return chains.select("conv", "endpoint").join(registry.select("endpoint", "tool", "domain"), "endpoint")
 
 
+def dealt(called: DataFrame, rows: int = 500_000) -> DataFrame:
+    """called(conv, ...), dealt by conversation to parts of about so many calls: a part's pairs are added up in memory, so a part must not grow with the table."""
+    if called.isStreaming:
+        return called
+    parts = max(called.sparkSession.sparkContext.defaultParallelism, math.ceil(called.count() / rows))
+    return called.repartition(parts, "conv")
+
+
 def tool_sets(called: DataFrame) -> DataFrame:
     """(conv, tools): the distinct tools of each conversation, sorted as strings."""
     return called.select("conv", F.col("tool").cast("string").alias("tool")).groupBy("conv").agg(F.array_sort(F.collect_set("tool")).alias("tools"))
@@ -28,7 +38,7 @@ def tool_pairs(called: DataFrame) -> DataFrame:
     Pairs come from each conversation's own tool set, so nothing is joined: a conversation's pairs are made where it is,
     and added up before they are sent.
     """
-    sets = tool_sets(called)
+    sets = tool_sets(dealt(called.select("conv", "tool")))
     pairs = F.flatten(F.transform("tools", lambda a, i: F.transform(F.slice("tools", i + 2, F.size("tools")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
     return sets.select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import metrics
+from .diversity import dealt
 
 STATE = "kind string, a string, b string, n long"
 CALLS = "array<struct<tool:string,domain:string,n:bigint>>"
@@ -18,7 +19,7 @@ CALLS = "array<struct<tool:string,domain:string,n:bigint>>"
 
 def finished(called: DataFrame) -> DataFrame:
     """(conv, calls): of each conversation of called(conv, tool, domain), how often it calls what."""
-    each = called.groupBy("conv", F.col("tool").cast("string").alias("tool"), F.col("domain").cast("string").alias("domain")).agg(F.count("*").alias("n"))
+    each = dealt(called.select("conv", "tool", "domain")).groupBy("conv", F.col("tool").cast("string").alias("tool"), F.col("domain").cast("string").alias("domain")).agg(F.count("*").alias("n"))
     return each.groupBy("conv").agg(F.collect_list(F.struct("tool", "domain", "n")).alias("calls"))
 
 

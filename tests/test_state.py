@@ -234,3 +234,15 @@ def test_generate_with_a_window(spark):
     chains = spark.createDataFrame([(k, [[f"e{k}", f"e{k + 1}"], [f"e{k}"]]) for k in range(20)], "conv long, attempts array<array<string>>")
     one, many = (sorted(map(str, generation.generate(chains, generation.FakeModel(), window=w).collect())) for w in (1, 5))
     assert one == many and len(one) == 20
+
+
+def test_parts_of_conversations_do_not_grow_with_the_table(spark):
+    """Pairs and states are summed over parts of a bounded number of calls; before, over as many parts as shuffles have."""
+    called = spark.range(4000).select((F.col("id") % 500).alias("conv"), (F.col("id") % 7).alias("tool"), F.lit("d").alias("domain"))
+    own = max(8, spark.sparkContext.defaultParallelism)
+    assert [diversity.dealt(called, rows).rdd.getNumPartitions() for rows in (500_000, 100)] == [own, 40]
+    held = diversity.dealt(called, 100).select("conv", F.spark_partition_id().alias("p")).distinct()
+    assert held.count() == 500  # a conversation is in one part
+    plan = diversity.tool_pairs(called)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert "REPARTITION_BY_NUM" in tracked.finished(called)._jdf.queryExecution().executedPlan().toString()
