@@ -132,3 +132,18 @@ def test_subgraph_makes_only_its_domains_pairs(spark, monkeypatch):
     monkeypatch.setattr(graph, "same_domain_edges", lambda e: made.append(e.count()) or plain(e))
     assert rows(graph.domain_subgraph(nodes, edges, endpoints, ["d1", "d2"])[1]) == want and len(want) == 90
     assert made == [20]
+
+
+def test_same_domain_edges_in_chunks(spark, tmp_path):
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    # Pairs of chunks and groups, ids that repeat, and domains of one: as the plain join.
+    few = spark.createDataFrame([(f"e{k % 70}", f"d{k % 3 * (k % 7 > 0)}") for k in range(90)] + [("x", None), ("y", ""), ("z", "one")], "id string, domain string")
+    few.createOrReplaceTempView("few")
+    want = rows(spark.sql("SELECT a.id AS src, b.id AS dst FROM few a JOIN few b ON a.domain = b.domain AND a.id < b.id WHERE a.domain <> ''"))
+    for chunk, most in ((504, 16), (4, 2), (1, 1)):
+        assert rows(graph.same_domain_edges(few, chunk, most).select("src", "dst")) == want and want
+    # Edges come in runs that files store in little: 4.5 million took more than a byte each.
+    large = spark.range(3000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"), F.lit("a").alias("domain"))
+    graph.same_domain_edges(large).select("src", "dst", "weight").write.parquet(str(tmp_path / "edges"))
+    assert spark.read.parquet(str(tmp_path / "edges")).count() == 3000 * 2999 // 2
+    assert sum(f.stat().st_size for f in (tmp_path / "edges").glob("*.parquet")) < 0.7 * 3000 * 2999 / 2
