@@ -1,7 +1,9 @@
 """Pruned cosine pairs against all pairs, and the inverted file against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from convolake.operators import cells, pruning, similarity
 from convolake.sources import vector_index
@@ -130,3 +132,20 @@ def test_cells(spark):
     true = np.sqrt(((x[:, None] - centre[None]) ** 2).sum(2))
     assert np.allclose(far, true.min(1)) and len(centre) == 40
     assert len(cells.fit(np.ones((3, 2)), 8)) == 3
+
+
+def test_index_sends_questions_by_groups(spark):
+    # Noise, so bounds exclude nothing, and copies, whose ties go to the smaller id.
+    x = np.random.default_rng(5).normal(size=(2000, 12))
+    x[1000:1040] = x[7]
+    path = new_path(spark, "index")
+    vector_index.build(frame(spark, x), path, cell_rows=10)
+    index = vector_index.Index(spark, path)
+    layout = index.layout
+    assert len(layout.cell) > 100 and len(layout.edges) - 1 <= 16 and layout.edges[-1] == len(layout.cell)
+    batch = pa.RecordBatch.from_pydict({"id": range(256), "v": x[:256].tolist(), "within": [np.inf] * 256})
+    sent = sum(b.num_rows for b in layout.sent(lambda q, _: np.ones((len(q), len(layout.centre)), bool))([batch]))
+    assert sent <= 16 * 256  # one row a part before
+    q = np.array([0, 7, 1005, 1999, *range(20, 400, 20)])
+    asked = frame(spark, x).where(F.col("id").isin(q.tolist()))
+    assert lists(index.search(asked, 10)) == brute(x, q, 10)
