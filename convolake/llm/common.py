@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..storage import drop_stored, stored
 
-__all__ = ["Forest", "components", "drop_stored", "local_roots", "slices", "stored", "table"]
+__all__ = ["Forest", "components", "drop_stored", "local_roots", "pieces", "slices", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch with about `most` bytes of text each (one row at least), and their texts as bytes, null as empty."""
+    for part in pieces(batch, column, most):
+        yield part, [x or b"" for x in part.column(column).cast(pa.large_binary()).to_pylist()]
+
+
+def pieces(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `most` bytes of text each (one row at least)."""
     texts = batch.column(column).cast(pa.large_binary())
     sizes = np.cumsum(np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64))
     at = 0
     while at < len(texts):
         end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, "right")))
-        yield batch.slice(at, end - at), [x or b"" for x in texts.slice(at, end - at).to_pylist()]
+        yield batch.slice(at, end - at)
         at = end
 
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -50,6 +51,45 @@ def test_token_file(spark):
     assert op4.read(op4.write(df.limit(0))).count() == 0
 
 
+def test_words_go_to_the_library_once():
+    with open(op4.default_model(), encoding="utf-8") as f:
+        tokenising = op4.Tokenising(f.read())
+    sent, library = [], tokenising.bare
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(w for t in texts for w in t.split(" "))
+            return library.encode_batch_fast(texts, **how)
+
+    tokenising.bare = Counting()
+    texts = ["x house garden, house. house, garden! Größe\nhouse", None, "y garden house.  house Größe:"]
+    ids, sizes = tokenising(pa.array(texts))
+    want = [[*tokenising.model.encode(t or "", add_special_tokens=False).ids, op4.END] for t in texts]
+    assert ids.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    assert all(sent.count(w) == 1 for w in ("Ġhouse", "Ġgarden", "ĠGrÃ¶ÃŁe", "house"))
+
+
+def test_blocks_of_a_task_are_coded_together(spark):
+    df = spark.range(4).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 300000)").alias("text"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        file = op4.write(df)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert file.count() == 1 and file.first()["n_tokens"] == op4.read(file).agg(F.sum("n_tokens")).first()[0]
+
+
+def test_damage_beside_the_ids():
+    ids = np.arange(3 * op4.BLOCK, dtype=np.int32) % 50_000
+    blob = op4.Part.write([1], np.array([len(ids)]), ids)
+    for at in (-1, -3, -1000, -6000):
+        damaged = bytearray(blob)
+        damaged[at] ^= 1
+        with pytest.raises(ValueError):
+            op4.Part.read(bytes(damaged))
+
+
 def test_pieces_equal_library(spark):
     texts = some_texts()
     model = sentencepiece.SentencePieceProcessor(model_file=op5.default_model())
