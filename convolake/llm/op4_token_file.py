@@ -447,8 +447,8 @@ class Tokenising:
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     STEADY = "\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u0557\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u206f\u2190-\u27ff\u3001-\u30ff\u4e00-\u9fcc\uac00-\ud7a3\uff01-\uffee\U0001f300-\U0001f64f"
     RUNS = ("   ", "  \n", "\n  ", "\n \n")
-    #: What is a word by itself after letters.
-    MARKS = ".,;:!?"
+    #: Some or many of these are one word after letters.
+    MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, model: str, most: int = 600_000):
         import regex
@@ -486,22 +486,23 @@ class Tokenising:
             begins, ends, flat = (2 * (cuts + (not spaced))).tolist(), (2 * np.append(cuts[1:], len(ids))).tolist(), ids.tobytes()
             found.update(zip(part, [flat[a:b] for a, b in zip(begins, ends)]))
 
+    def _learn(self, spaced: list[str], others: list[str]) -> None:
+        self._letters(self.chunks, spaced, True)
+        self._letters(self.known, [w for w in others if w.isalpha()], False)
+        others = [w for w in others if not w.isalpha()]
+        for k in range(0, len(others), 20_000):
+            self.known.update(zip(others[k : k + 20_000], self._ids(others[k : k + 20_000])))
+
     def _by_words(self, split: list[list[str]]) -> list[bytes]:
         known, chunks = self.known, self.chunks
-        spaced, bare, others = [], [], []
+        spaced, bare = set(), set()
         for w in {w for x in split for w in x}:
-            if w.isalpha():
-                if w not in known:
-                    bare.append(w)
-            elif w[0] == " " and w[1:].isalpha():
+            if w[0] == " " and w[1:].isalpha():
                 if w[1:] not in chunks:
-                    spaced.append(w[1:])
+                    spaced.add(w[1:])
             elif w not in known:
-                others.append(w)
-        self._letters(chunks, spaced, True)
-        self._letters(known, bare, False)
-        for k in range(0, len(others), 20_000):
-            known.update(zip(others[k : k + 20_000], self._ids(others[k : k + 20_000])))
+                bare.add(w)
+        self._learn(list(spaced), list(bare))
         return [b"".join([known[w] if w in known else chunks[w[1:]] for w in x]) for x in split]
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -530,26 +531,30 @@ class Tokenising:
         follow[heads] = False
         used = np.zeros(len(chunks), bool)
         used[codes[follow]] = True
-        get = self.chunks.get
-        found = list(map(get, chunks))
-        fresh = [k for k, (x, u) in enumerate(zip(found, used.tolist())) if x is None and u]
-        words, marked, others = set(), [], []
-        for k in fresh:
+        found = list(map(self.chunks.get, chunks))
+        spaced, bare, letters, parsed, others = set(), set(), [], [], []
+        for k in [k for k, (x, u) in enumerate(zip(found, used.tolist())) if x is None and u]:
             c = chunks[k]
             if c.isalpha():
-                words.add(c)
-            elif c[-1:] in self.MARKS and c[:-1].isalpha():
-                marked.append(c)
-                if c[:-1] not in self.chunks:
-                    words.add(c[:-1])
+                spaced.add(c)
+                letters.append(k)
+                continue
+            line, feed, after = c.partition("\n")
+            word, next_ = line.rstrip(self.MARKS), after.rstrip(self.MARKS)
+            if word.isalpha() and (not feed or next_.isalpha()):
+                parsed.append((k, word, line[len(word) :], feed, next_, after[len(next_) :]))
+                spaced.add(word)
+                bare.update(parsed[-1][2:])
             else:
-                others.append(c)
-        self._letters(self.chunks, list(words), True)
-        self._by_words([[*self.MARKS]])
-        self.chunks.update([(c, self.chunks[c[:-1]] + self.known[c[-1]]) for c in marked])
-        self.chunks.update(zip(others, self._by_words([self.words.findall(" " + c) for c in others])))
-        for k in fresh:
-            found[k] = get(chunks[k])
+                others.append(k)
+        self._learn([w for w in spaced if w not in self.chunks], [w for w in bare if w not in self.known])
+        of, known = self.chunks, self.known
+        for k in letters:
+            found[k] = of[chunks[k]]
+        for k, word, marks, feed, next_, more in parsed:
+            found[k] = of[chunks[k]] = of[word] + known[marks] + known[feed] + known[next_] + known[more]
+        for k, ids in zip(others, self._by_words([self.words.findall(" " + chunks[k]) for k in others])):
+            found[k] = of[chunks[k]] = ids
         # A chunk that only begins a text isn't wanted after a space.
         found = [b"" if x is None else x for x in found]
         for k, ids in zip(by_words, self._by_words(list(by_words.values()))):
@@ -615,7 +620,7 @@ def write(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", tex
             return pa.RecordBatch.from_arrays(row, ["shard", "part", "start", "n_tokens", "blob"])
 
         for batch in batches:
-            for piece in common.pieces(batch, "text", 4_000_000):
+            for piece in common.pieces(batch, "text", 6_000_000):
                 held.append(tokenising(piece.column("text")))
                 docs += piece.column("id").to_pylist()
                 if sum(len(ids) for ids, _ in held) >= PART:
