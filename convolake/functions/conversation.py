@@ -327,6 +327,18 @@ def output_of(contexts: DataFrame) -> DataFrame:
     )
 
 
+def compact(value) -> str:
+    """json.dumps(value), which makes a new encoder at each call: for what is small, that is most of its time."""
+    text, kind = encode_basestring_ascii, type(value)
+    if kind is str:
+        return text(value)
+    if kind is list:
+        return f"[{', '.join([text(v) if type(v) is str else compact(v) for v in value])}]"
+    if kind is dict and set(map(type, value)) <= {str}:
+        return f"{{{', '.join([f'{text(k)}: {text(v) if type(v) is str else compact(v)}' for k, v in value.items()])}}}"
+    return "null" if value is None else json.dumps(value)
+
+
 def _indented(value, end: str = "\n") -> str:
     """json.dumps(value, indent=2), which is slow: with an indent it encodes piece by piece in Python."""
     inner, text = end + "  ", encode_basestring_ascii

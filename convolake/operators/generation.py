@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..functions.conversation import MESSAGE, TOOL_OUTPUT, extract_values, grounding_values, repair_text, user_goal
+from ..functions.conversation import MESSAGE, TOOL_OUTPUT, compact, extract_values, grounding_values, repair_text, user_goal
 from ..functions.text import is_blank, parse_response_schema, parse_type
 from ..operators.quality import DIMENSIONS
 from ..operators.validation import ROLES
@@ -133,7 +133,8 @@ class Paced:
         return self.model.complete(prompt)
 
 
-_sorted = json.JSONEncoder(sort_keys=True).encode
+def _sorted(values: dict[str, str]) -> str:
+    return compact(dict(sorted(values.items())))
 
 
 def in_flight(one, items, window: int) -> Iterator:
@@ -198,6 +199,10 @@ def complete_with_tools(model: Model, prompt: str, tools: list[dict]) -> tuple[s
     return text, []
 
 
+def _message(role: str, content: str | None, calls: list[dict] | None = None, call_id: str | None = None) -> dict:
+    return {"role": role, "content": content, "tool_calls": calls, "tool_call_id": call_id}
+
+
 @dataclass
 class Talk:
     """A conversation under way."""
@@ -214,7 +219,7 @@ class Talk:
     counted: int = field(default=0, repr=False, compare=False)
 
     def say(self, role: str, content: str | None, calls: list[dict] | None = None, call_id: str | None = None) -> None:
-        self.messages.append({"role": role, "content": content, "tool_calls": calls, "tool_call_id": call_id})
+        self.messages.append(_message(role, content, calls, call_id))
 
     def history(self) -> str:
         new = [f"{m['role']}: {m['content']}" for m in self.messages[self.counted :] if m["content"]]
@@ -224,6 +229,34 @@ class Talk:
         return self.told
 
 
+def _call(talk: Talk, step: int, arguments: str) -> dict:
+    return {"id": f"call_{talk.id}_{step}", "function": {"name": talk.chain[step], "arguments": arguments}}
+
+
+def _output(call: dict, text: str) -> dict:
+    return {"endpoint_id": call["function"]["name"], "arguments": call["function"]["arguments"], "result": text, "call_id": call["id"], "success": True}
+
+
+def kept_talk(talk: Talk) -> list:
+    """What of a talk that converse() makes can't be told from its id and chain, as JSON holds it; talk_again() puts it back."""
+    arguments = [m["tool_calls"][0]["function"]["arguments"] for m in talk.messages if m["tool_calls"]]
+    return [talk.scenario, talk.goal, talk.grounding, [m["content"] for m in talk.messages], arguments]
+
+
+def talk_again(id_: str, chain: list[str], kept: list) -> Talk:
+    scenario, goal, grounding, texts, arguments = kept
+    talk = Talk(id_, chain, goal, grounding=grounding, scenario=scenario)
+    for step in range(-(-len(texts) // 3)):  # users, assistants and tools in turn
+        turn, call = texts[3 * step : 3 * step + 3], _call(talk, step, arguments[step]) if step < len(arguments) else None
+        talk.messages.append(_message("user", turn[0]))
+        if len(turn) > 1:
+            talk.messages.append(_message("assistant", turn[1], call and [call]))
+        if len(turn) > 2:
+            talk.outputs.append(_output(call, turn[2]))
+            talk.messages.append(_message("tool", turn[2], None, call["id"]))
+    return talk
+
+
 def plan(model: Model, talk: Talk) -> None:
     """L3."""
     talk.scenario = complete_json(model, f"SCENARIO\nInvent a user who needs these tools in turn: {', '.join(talk.chain)}")
@@ -232,7 +265,7 @@ def plan(model: Model, talk: Talk) -> None:
 
 def user_turn(model: Model, talk: Talk) -> None:
     """L4."""
-    talk.say("user", complete(model, f"USER\nYour goal: {talk.goal}\nKnown: {json.dumps(talk.grounding)}\nSo far:\n{talk.history()}"))
+    talk.say("user", complete(model, f"USER\nYour goal: {talk.goal}\nKnown: {compact(talk.grounding)}\nSo far:\n{talk.history()}"))
 
 
 def assistant_turn(model: Model, talk: Talk) -> None:
@@ -240,8 +273,7 @@ def assistant_turn(model: Model, talk: Talk) -> None:
     step = len(talk.outputs)
     text = complete(model, f"ASSISTANT\nGoal: {talk.goal}\nStep {step}\n{talk.history()}")
     if step < len(talk.chain):
-        call = {"id": f"call_{talk.id}_{step}", "function": {"name": talk.chain[step], "arguments": _sorted(talk.grounding)}}
-        talk.say("assistant", text, [call])
+        talk.say("assistant", text, [_call(talk, step, _sorted(talk.grounding))])
     else:
         talk.say("assistant", text)
 
@@ -263,8 +295,8 @@ def tool_turn(model: Model, talk: Talk) -> bool:
         result = complete_json(model, f"TOOL\n{name}({arguments})\nas call {call['id']}")
     except ModelError:
         result = {"status": "success", "id": f"{name}_{call['id'][-8:]}"}
-    text = json.dumps(result)
-    talk.outputs.append({"endpoint_id": name, "arguments": arguments, "result": text, "call_id": call["id"], "success": True})
+    text = compact(result)
+    talk.outputs.append(_output(call, text))
     talk.grounding.update(grounding_values(result))
     talk.say("tool", text, call_id=call["id"])
     return True
@@ -285,6 +317,10 @@ def judge(model: Model, talk: Talk) -> dict[str, int]:
     return {d: min(10, max(1, int(read[d]))) for d in DIMENSIONS}
 
 
+def mended_talk(talk: Talk, messages: list[dict]) -> Talk:
+    return Talk(f"{talk.id}-r", talk.chain, talk.goal, messages, list(talk.outputs), dict(talk.grounding), talk.scenario)
+
+
 def repair(model: Model, talk: Talk, scores: dict[str, int], least: float) -> Talk:
     """The conversation as the model rewrites it, under a new id, if any score is low.
 
@@ -303,7 +339,7 @@ def repair(model: Model, talk: Talk, scores: dict[str, int], least: float) -> Ta
     said = [{"role": m.get("role", "user"), "content": m.get("content"), "tool_calls": m.get("tool_calls"), "tool_call_id": m.get("tool_call_id")} for m in read]
     if said[0]["role"] not in ("user", "system") or any(m["role"] not in ROLES for m in said):
         return talk
-    return Talk(f"{talk.id}-r", talk.chain, talk.goal, said, list(talk.outputs), dict(talk.grounding), talk.scenario)
+    return mended_talk(talk, said)
 
 
 def converse(model: Model, talk: Talk, turns: int = 20) -> None:
@@ -322,32 +358,48 @@ def converse(model: Model, talk: Talk, turns: int = 20) -> None:
         role = "tool"
 
 
-def generate_one(model: Model, id_: str, chains: list[list[str]], threshold: float = 6.0, least: float = 6.0, turns: int = 20, begun: Talk | None = None) -> dict:
+@dataclass
+class Course:
+    """How far a conversation has come: the attempt under way, and what came of the last one that was judged."""
+
+    attempt: int = 1
+    talk: Talk | None = None
+    scores: dict[str, int] | None = None
+    #: The talk after its repair; the talk itself if it needed none or can't be mended.
+    mended: Talk | None = None
+    error: str | None = None
+    #: The attempt, its talk as mended, its scores, whether it was repaired.
+    last: tuple[int, Talk, dict[str, int], bool] | None = None
+
+
+def generate_one(model: Model, id_: str, chains: list[list[str]], threshold: float = 6.0, least: float = 6.0, turns: int = 20, course: Course | None = None) -> dict:
     """One attempt a chain: talk, judge, repair what is low, judge again; the first that passes counts.
 
-    The first attempt goes on with the talk that was begun, if there is one.
+    A course that was left goes on where it stopped.
     """
-    error, last = None, None
-    for attempt, chain in enumerate(chains, 1):
-        talk = begun if attempt == 1 and begun else Talk(f"{id_}-{attempt}", chain)
+    c = course or Course()
+    while c.attempt <= len(chains):
+        c.talk = c.talk or Talk(f"{id_}-{c.attempt}", chains[c.attempt - 1])
         try:
-            converse(model, talk, turns)
-            scores = judge(model, talk)
-            mended = talk
-            if min(scores.values()) < least:
-                mended = repair(model, talk, scores, least)
-                scores = judge(model, mended) if mended is not talk else scores
-            last = (mended, scores, mended is not talk)
+            if c.scores is None:
+                converse(model, c.talk, turns)
+                c.scores = judge(model, c.talk)
+            if c.mended is None:
+                c.mended = repair(model, c.talk, c.scores, least) if min(c.scores.values()) < least else c.talk
+            repaired = c.mended is not c.talk
+            scores = judge(model, c.mended) if repaired else c.scores
+            c.last = (c.attempt, c.mended, scores, repaired)
             if sum(scores.values()) / 4 >= threshold:
-                return _row(id_, True, attempt, last, None)
-            error = "judged too low"
+                return _row(id_, True, c.attempt, c.last, None)
+            c.error = "judged too low"
         except ModelError as e:
-            error = str(e)
-    return _row(id_, False, len(chains), last, error)
+            c.error = str(e)
+        c.attempt, c.talk, c.scores, c.mended = c.attempt + 1, None, None, None
+    return _row(id_, False, len(chains), c.last, c.error)
 
 
 def _row(id_: str, success: bool, attempts: int, last, error: str | None) -> dict:
-    talk, scores, repaired = last or (Talk(id_, []), dict.fromkeys(DIMENSIONS), False)
+    _, talk, scores, repaired = last or (0, Talk(id_, []), dict.fromkeys(DIMENSIONS), False)
     ids = [o["endpoint_id"] for o in talk.outputs]
     return {"conversation_id": talk.id, "success": success, "attempts": attempts, "repaired": repaired, "error": error, "messages": talk.messages, "tool_outputs": talk.outputs, **scores, "endpoint_ids": ids}
 

@@ -102,3 +102,45 @@ def test_a_round_replays_no_talk(spark, chains, monkeypatch):
         answers += 1
     assert answers > 12 and row["result"] == generation.generate_one(model, "9", row["attempts"])
     assert said == {"user": 24, "assistant": 24, "tool": 24}  # twelve turns here, twelve in one go
+
+
+def _in_rounds(conv, attempts, model, requests):
+    def ask(prompt):
+        try:
+            return {"text": model.complete(prompt), "error": None}
+        except generation.ModelError as e:
+            return {"text": None, "error": str(e)}
+
+    row = {"conv": conv, "attempts": attempts, "answers": None}
+    while row.get("result") is None:
+        row = rounds._onward(row, rounds.Replay(row["answers"], ask, requests), 6.0, 20)
+    return row["result"]
+
+
+def test_second_attempts_and_repairs_are_not_replayed(monkeypatch):
+    """Work of a round: a later attempt goes on where it stopped, too, also after a repair."""
+    said, say = Counter(), generation.Talk.say
+    monkeypatch.setattr(generation.Talk, "say", lambda talk, role, *rest, **more: said.update([role]) or say(talk, role, *rest, **more))
+    seen = set()
+    for conv in map(str, range(40)):
+        attempts = [[f"e{conv}", "f", "g"], ["g", "f", f"e{conv}", "h"]]
+        said.clear()
+        want = generation.generate_one(generation.FakeModel(), conv, attempts)
+        once = Counter(said)
+        said.clear()
+        assert _in_rounds(conv, attempts, generation.FakeModel(), 3) == want and said == once
+        seen.add((want["attempts"], want["repaired"]))
+    assert {(1, False), (1, True), (2, True)} <= seen
+
+
+def test_courses_are_kept_whole():
+    """Wherever a round ends, what comes out is what one go gives: failures and the outcome of an earlier attempt as well."""
+    kinds = Counter()
+    for model in (generation.FakeModel(), generation.FakeModel(least=1), generation.FakeModel(fail_every=7), generation.FakeModel(least=1, fail_every=15)):
+        for conv in map(str, range(60)):
+            attempts = [["é\n", '"q"'], [], [f"x{conv}", "y"]]
+            want = generation.generate_one(model, conv, attempts)
+            assert all(_in_rounds(conv, attempts, model, n) == want for n in (1, 2, 3))
+            kinds[want["success"], want["repaired"], want["error"]] += 1
+    # Some failed in the end and gave the talk of an earlier attempt, as it was repaired or as it was.
+    assert kinds[False, True, "no answer"] and kinds[False, False, "no answer"] and kinds[False, True, "judged too low"]
