@@ -147,3 +147,24 @@ def test_same_domain_edges_in_chunks(spark, tmp_path):
     graph.same_domain_edges(large).select("src", "dst", "weight").write.parquet(str(tmp_path / "edges"))
     assert spark.read.parquet(str(tmp_path / "edges")).count() == 3000 * 2999 // 2
     assert sum(f.stat().st_size for f in (tmp_path / "edges").glob("*.parquet")) < 0.7 * 3000 * 2999 / 2
+
+
+def test_edges_are_made_apart_from_their_join(spark):
+    """A stage holds what a row makes of itself: one that joined, too, held all edges of a chunk with its group, up to 4 million."""
+    import re
+
+    e = spark.range(3000).select(F.concat(F.lit("e"), F.col("id").cast("string")).alias("id"), F.concat(F.lit("d"), (F.col("id") % 2).cast("string")).alias("domain"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = graph.same_domain_edges(e)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    joined, made = re.findall(r"\*\((\d+)\) SortMergeJoin", plan), re.findall(r"\*\((\d+)\) Generate explode\((?:dst|src)_ids", plan)
+    assert len(joined) == 1 and len(made) == 2 and joined[0] not in made
+
+
+def test_endpoints_without_an_id_have_no_edges(spark):
+    rows = spark.createDataFrame([(None, "a"), ("e1", "b"), (None, "b"), ("e2", "b"), ("e0", "b"), ("e3", "c")], "id string, domain string")
+    for chunk in (504, 1):
+        assert sorted(map(tuple, graph.same_domain_edges(rows, chunk).select("src", "dst").collect())) == [("e0", "e1"), ("e0", "e2"), ("e1", "e2")]
