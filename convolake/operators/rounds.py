@@ -112,7 +112,7 @@ def _unsorted(spark: SparkSession) -> Iterator[None]:
     """Both values of `done` are written side by side: else each task sorts its rows, states and all, by them first."""
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name)
-    spark.conf.set(name, max(2, int(before)))
+    spark.conf.set(name, max(3, int(before)))  # at as many writers as may be, the rest is sorted after all
     try:
         yield
     finally:
